@@ -6,3 +6,12 @@ scan (Python Data Source) and the isolation forest (pandas functions).
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+try:  # ship our functions by value so executors need no installed copy
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older pyspark: fall back to --py-files
+    pass

@@ -149,10 +149,14 @@ def _as_text(df: DataFrame, name: str) -> Column:
 
 
 def coalesce_alias(df: DataFrame, columns: Sequence[str],
-                   aliases: Mapping[str, Sequence[str]] = STATE_ALIASES) -> DataFrame:
-    """One text column per target: own name, else first non-null alias, else '' (N5)."""
+                   aliases: Mapping[str, Sequence[str]] = STATE_ALIASES,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """One text column per target: own name, else first non-null alias, else '' (N5).
+
+    ``keep`` lists input columns passed through unchanged in front.
+    """
     present = set(df.columns)
-    out = []
+    out = [F.col(c) for c in keep]
     for target in columns:
         names = [target] + [a for a in aliases.get(target, []) if a != target]
         cands = [_as_text(df, n) for n in names if n in present]

@@ -60,7 +60,57 @@ SELECT o_orderkey AS seq, CAST(1 + (o_orderkey % 8) * 5 AS INT) AS files_count,
  CAST(o_orderkey % 100 AS DOUBLE) AS avg_cpu, CAST(o_custkey % 100 AS DOUBLE) AS avg_ram, CAST(o_orderkey % 977 AS DOUBLE) AS net_mb, CAST(o_custkey % 499 AS DOUBLE) AS disk_mb FROM {orders}
 """
 
+_SC = "time, icao24, lat, lon, velocity, heading, vertrate, callsign, onground, alert, spi, squawk, baroaltitude, geoaltitude, lastposupdate, lastcontact"
+
+# ``lines`` — raw state lines: well-formed, short (9, 10 fields), long (17),
+# header, blank, non-numeric time, padded with blanks.
+LINES_SQL = f"""
+SELECT event_id, CASE event_id % 11
+ WHEN 0 THEN concat_ws(',', time, icao24, lat, lon, velocity, heading, vertrate, callsign, onground)
+ WHEN 1 THEN concat_ws(',', time, icao24, lat, lon, velocity, heading, vertrate, callsign, onground, alert)
+ WHEN 2 THEN concat_ws(',', {_SC}, 'x')
+ WHEN 3 THEN 'time,icao24,lat,lon,velocity,heading,vertrate,callsign,onground,alert,spi,squawk,baroaltitude,geoaltitude,lastposupdate,lastcontact'
+ WHEN 4 THEN '   '
+ WHEN 5 THEN concat_ws(',', concat('T', time), icao24, lat, lon, velocity, heading, vertrate, callsign, onground, alert, spi, squawk, baroaltitude, geoaltitude, lastposupdate, lastcontact)
+ WHEN 6 THEN concat('  ', concat_ws(',', {_SC}), ' ')
+ ELSE concat_ws(',', {_SC}) END AS line
+FROM {{states}}
+"""
+
+# ``records`` — state records with alternative field names and gaps.
+RECORDS_SQL = """
+SELECT event_id, time, icao24, CASE WHEN event_id % 3 = 0 THEN NULL ELSE lat END AS lat, lat AS latitude,
+ lon AS longitude, CASE WHEN event_id % 4 = 0 THEN NULL ELSE velocity END AS speed, heading AS track,
+ vertrate AS vertical_rate, CASE WHEN event_id % 5 = 0 THEN NULL ELSE geoaltitude END AS geo_altitude,
+ baroaltitude AS altitude, callsign, onground = 'True' AS onground, squawk
+FROM {states}
+"""
+
+# ``archive_keys`` — object-store style archive keys, some hidden, some of
+# other kinds, years spread over two decades.
+ARCHIVE_KEYS_SQL = """
+SELECT concat(CASE WHEN o_orderkey % 7 = 0 THEN 'states/.' ELSE 'states/' END,
+ CAST(year(o_orderdate) + 20 + CAST(o_orderkey % 3 AS INTEGER) * 6 AS STRING), '-',
+ lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '-', lpad(CAST(day(o_orderdate) AS STRING), 2, '0'), '/',
+ lpad(CAST(o_orderkey % 24 AS STRING), 2, '0'), '/states_', CAST(o_orderkey AS STRING),
+ CASE WHEN o_orderkey % 5 = 0 THEN '.csv.gz' ELSE '.csv.tar' END) AS path
+FROM {orders}
+"""
+
+# ``aircraft_raw`` — master data with repeated ids (raw and case/blank variants).
+AIRCRAFT_RAW_SQL = """
+SELECT p_partkey AS _pos, concat(CASE WHEN p_partkey % 4 = 0 THEN upper(hex(p_partkey % 499 * 2 + 10485760))
+ ELSE lower(hex(p_partkey % 499 * 2 + 10485760)) END, CASE WHEN p_partkey % 2 = 0 THEN ' ' ELSE '' END) AS icao24,
+ p_brand AS manufacturerName, p_name AS model, p_type AS typecode,
+ CASE WHEN p_size > 25 THEN 'Large' ELSE 'Small' END AS categoryDescription, p_brand AS operator
+FROM {part}
+"""
+
 VIEWS: dict[str, tuple[str, str]] = {
+    "lines": (LINES_SQL, "states"),
+    "records": (RECORDS_SQL, "states"),
+    "archive_keys": (ARCHIVE_KEYS_SQL, "orders"),
+    "aircraft_raw": (AIRCRAFT_RAW_SQL, "part"),
     "states": (STATES_SQL, "events"),
     "aircraft": (AIRCRAFT_SQL, "part"),
     "telemetry": (TELEMETRY_SQL, "events"),
@@ -74,9 +124,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named view as a Spark DataFrame over ``sf_dir``."""
+    """The named view as a Spark DataFrame over ``sf_dir`` (views may stack)."""
     sql, base = VIEWS[name]
-    return spark.sql(sql, **{base: table(spark, sf_dir, base)})
+    src = view(spark, sf_dir, base) if base in VIEWS else table(spark, sf_dir, base)
+    return spark.sql(sql, **{base: src})
 
 
 def states(spark, sf_dir):
@@ -100,9 +151,21 @@ def bench_history(spark, sf_dir):
 
 
 def duckdb_ctes(*names: str) -> str:
-    """``WITH`` clause defining the named views for DuckDB (tables pre-registered)."""
-    parts = []
+    """``WITH`` clause defining the named views (and the views they stack on)
+    for DuckDB, where the driver tables are pre-registered."""
+    order: list[str] = []
+
+    def add(n: str) -> None:
+        base = VIEWS[n][1]
+        if base in VIEWS:
+            add(base)
+        if n not in order:
+            order.append(n)
+
     for n in names:
+        add(n)
+    parts = []
+    for n in order:
         sql, base = VIEWS[n]
         parts.append(f"{n} AS ({sql.replace('{' + base + '}', base).strip()})")
     return "WITH " + ",\n".join(parts) + "\n"
