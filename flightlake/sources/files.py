@@ -109,9 +109,7 @@ def read_metric_log(spark: SparkSession, path: str, array: bool = True) -> DataF
     if array:
         df = spark.read.schema(METRIC_LOG_SCHEMA).option("multiLine", True).json(path)
     else:
-        schema = T.StructType(METRIC_LOG_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
-        df = (spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-              .filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
+        df = spark.read.schema(METRIC_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
     return df.withColumn("seq", F.monotonically_increasing_id())
 
 
