@@ -1,10 +1,13 @@
 """Isolation forest on Spark (X2-X4; Liu, Ting and Zhou, ICDM 2008).
 
 fit
-  1. Pool: rows whose seeded hash falls under 2 * psi * trees / n — about
-     2 * psi * trees rows whatever the input size (all rows when n is small).
-  2. Per tree, rank pool rows by a per-tree hash and keep the psi smallest:
-     a sample without replacement that does not depend on partitioning.
+  1. Small inputs (n <= 2 * psi * trees): every tree ranks all rows by its own
+     seeded hash and keeps the psi smallest — independent samples without
+     replacement per tree.
+  2. Large inputs: a hash pool of about 2 * psi * trees rows (a size fixed by
+     the parameters, not the data); a second hash deals each pool row to one
+     tree; each tree keeps its psi smallest. Either way the sample does not
+     depend on partitioning.
   3. ``groupBy('tree').applyInPandas`` grows each tree (at most 2 * psi rows
      per group) with a generator seeded by (seed, tree).
   4. The model — at most trees * (2 * psi - 1) nodes, a size fixed by the
@@ -135,15 +138,21 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
     psi = min(sample, n)
     max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
     kcols = [F.col(c) for c in keys]
-    pool_frac = min(1.0, 2.0 * psi * trees / n)
-    pool = data.filter(F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), *kcols), F.lit(_RES))
-                       < F.lit(int(pool_frac * _RES)))
-    pool_n = max(1.0, 2.0 * psi * trees) if pool_frac < 1.0 else float(n)
-    per_tree = min(1.0, 2.0 * psi / pool_n)
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), *kcols), F.lit(_RES))
-    cand = (pool.select(*features, *kcols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-            .withColumn("_h", h)
-            .filter(F.col("_h") < F.lit(int(math.ceil(per_tree * _RES))) if per_tree < 1.0 else F.lit(True)))
+    target = 2 * psi * trees            # rows drawn before trimming each tree to psi
+    if n <= target:
+        # small input: every tree ranks all rows by its own hash (independent samples)
+        h = F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), *kcols), F.lit(_RES))
+        keep = min(1.0, 2.0 * psi / n)
+        cand = (data.select(*features, *kcols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+                .withColumn("_h", h).filter(F.col("_h") < F.lit(int(math.ceil(keep * _RES)))))
+    else:
+        # large input: a hash pool of ~2 * psi * trees rows (size fixed by the
+        # parameters), each pool row dealt to one tree by a second hash
+        pool = data.filter(F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), *kcols), F.lit(_RES))
+                           < F.lit(int(target / n * _RES)))
+        cand = pool.select(*features, *kcols,
+                           F.pmod(F.xxhash64(F.lit(seed), F.lit(-2), *kcols), F.lit(trees)).cast("int").alias("tree"),
+                           F.pmod(F.xxhash64(F.lit(seed), F.lit(-3), *kcols), F.lit(_RES)).alias("_h"))
     w = Window.partitionBy("tree").orderBy("_h", *kcols)
     picked = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).select("tree", "_h", *features)
     nodes = picked.groupBy("tree").applyInPandas(
@@ -180,12 +189,15 @@ def _assemble(pdf: pd.DataFrame, features: list[str], psi: int, max_depth: int,
 def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_score_raw") -> DataFrame:
     """Vectorised scoring: adds ``out_col`` (more negative = more anomalous)."""
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(model)
+    # plain arrays only: broadcast values are unpickled without our package
+    bc = spark.sparkContext.broadcast({k: getattr(model, k) for k in
+                                       ("features", "psi", "max_depth", "feature", "threshold", "left", "right",
+                                        "leaf_value")})
     features = model.features
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType())])
 
     def run(batches):
-        m = bc.value
+        m = ForestModel(**bc.value)
         for pdf in batches:
             x = np.column_stack([pd.to_numeric(pdf[c], errors="coerce").fillna(0.0).to_numpy(dtype=float)
                                  for c in features]) if len(pdf) else np.zeros((0, len(features)))
