@@ -70,6 +70,7 @@ class ForestModel:
     right: np.ndarray
     leaf_value: np.ndarray   # depth + c(size) at leaves
     offset: float | None = None
+    n_fit: int = 0           # rows the forest was fitted on
 
     def score_samples(self, x: np.ndarray) -> np.ndarray:
         """-(2 ** (-mean path length / c(psi))) for rows of ``x``."""
@@ -158,17 +159,26 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
     nodes = picked.groupBy("tree").applyInPandas(
         lambda pdf: _grow_tree(pdf, features, max_depth, seed), NODE_SCHEMA)
     model = _assemble(nodes.toPandas(), features, psi, max_depth, trees)
+    model.n_fit = n
     if contamination is None:
         model.offset = -0.5
     else:
-        scored = score_samples(df, model)
-        q = float(contamination)
-        agg = (F.percentile(F.col("anomaly_score_raw"), q) if n <= EXACT_PERCENTILE_MAX_ROWS
-               else F.percentile_approx(F.col("anomaly_score_raw"), q, 10_000_000))
-        model.offset = float(scored.agg(agg.alias("o")).first()["o"])
+        model.offset = float(_offset(score_samples(df, model), contamination, n).first()["_offset"])
     return model
 
 
+def _offset(raw: DataFrame, contamination: float, n: int, col: str = "anomaly_score_raw") -> DataFrame:
+    """One-row frame: the ``contamination`` percentile of the raw scores.
+
+    Exact (linear interpolation) while the row count keeps one aggregation
+    buffer small; a 1e-7-accurate sketch beyond.
+    """
+    q = float(contamination)
+    agg = (F.percentile(F.col(col), q) if n <= EXACT_PERCENTILE_MAX_ROWS
+           else F.percentile_approx(F.col(col), q, 10_000_000))
+    return raw.agg(agg.cast(T.DoubleType()).alias("_offset"))
+
+
 def _assemble(pdf: pd.DataFrame, features: list[str], psi: int, max_depth: int, trees: int) -> ForestModel:
     width = int(pdf["node"].max()) + 1 if len(pdf) else 1
     shape = (trees, width)
@@ -207,6 +217,30 @@ def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_sco
     return df.mapInPandas(run, schema)
 
 
+def score_and_label(df: DataFrame, model: ForestModel, contamination: float | None = 0.01,
+                    partition_by: Sequence[str] = (), score_col: str = "anomaly_score",
+                    label_col: str = "anomaly_label") -> DataFrame:
+    """X3 in one scoring pass: raw scores, offset at the ``contamination``
+    percentile of these scores (lazy one-row broadcast), decision and label.
+
+    The offset is a one-row aggregate joined back as a broadcast, so scoring,
+    percentile and labels form one lazy plan (no driver round trip); Spark
+    evaluates the scoring once per branch. ``partition_by`` hash-partitions the
+    scored rows for a later per-key step.
+    """
+    from flightlake.operators.aggregates import attach_scalars
+    raw = score_samples(df, model, "anomaly_score_raw")
+    if partition_by:
+        raw = raw.repartition(*partition_by)
+    if contamination is None:
+        off = raw.sparkSession.range(1).select(F.lit(-0.5).alias("_offset"))
+    else:
+        off = _offset(raw, contamination, model.n_fit or EXACT_PERCENTILE_MAX_ROWS + 1)
+    out = attach_scalars(raw, off).withColumn(score_col, F.col("anomaly_score_raw") - F.col("_offset"))
+    return (out.withColumn(label_col, F.when(F.col(score_col) < 0, F.lit(-1)).otherwise(F.lit(1)))
+            .drop("anomaly_score_raw", "_offset"))
+
+
 def score(df: DataFrame, model: ForestModel, score_col: str = "anomaly_score",
           label_col: str = "anomaly_label") -> DataFrame:
     """Decision score (score_samples - offset) and label -1 / 1."""

@@ -561,6 +561,7 @@ def q_tar_ingest(spark, sf):
     from flightlake.sources.archives import write_state_archives
     from flightlake.sources.tarstates import register as register_source
     register_source(spark)
-    paths = write_state_archives(V.states(spark, sf).drop("event_id"))
+    paths = write_state_archives(V.states(spark, sf).drop("event_id"),
+                                 num_archives=spark.sparkContext.defaultParallelism)
     lines = spark.read.format("tarstates").load(",".join(paths))
     return clean_states(accept_rows(lines, "lenient", "line"))

@@ -74,8 +74,8 @@ def detect_anomalies(points: DataFrame, trees: int = 100, sample: int = 256,
     """JB4: forest over (velocity_kmh, baroaltitude); anomalous rows, the most
     extreme per aircraft, lat/lon numeric."""
     feats = points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
-    model = iforest.fit(feats, FOREST_FEATURES, trees, sample, contamination, seed)
-    scored = iforest.score(feats, model)
+    model = iforest.fit(feats, FOREST_FEATURES, trees, sample, None, seed)
+    scored = iforest.score_and_label(feats, model, contamination)
     anomalies = Fl.anomalies_only(scored).withColumns({"lat": num("lat"), "lon": num("lon")})
     return W.extreme_per_key(anomalies, "icao24", "anomaly_score")
 

@@ -42,9 +42,16 @@ def _write_bytes(path: str, data: bytes) -> None:
         out.write(data)
 
 
-def write_state_archives(df: DataFrame, root: str | None = None, header: bool = True) -> list[str]:
-    """Write one ``states_<part>.csv.tar`` (a single ``.csv.gz`` member) per partition."""
+def write_state_archives(df: DataFrame, root: str | None = None, header: bool = True,
+                         num_archives: int | None = None) -> list[str]:
+    """Write one ``states_<part>.csv.tar`` (a single ``.csv.gz`` member) per partition.
+
+    ``num_archives`` sets the archive count (a round-robin repartition, as a
+    file count is set before a write); by default one archive per partition.
+    """
     spark = df.sparkSession
+    if num_archives:
+        df = df.repartition(num_archives)
     base = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
     cols = [c for c in STATE_COLUMNS if c in df.columns]
     text = df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("line"))
