@@ -8,6 +8,7 @@ one scan instead of an N-fold union, which re-reads the input N times.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +37,27 @@ def sample_hash(df: DataFrame, fraction: float, seed: int = DEFAULT_SEED,
 
 
 def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, key_cols: Sequence[str] | None = None) -> DataFrame:
-    """Exactly min(n, rows) rows — the n smallest seeded hashes (a top-k)."""
+    """Exactly min(n, rows) rows — the n smallest seeded hashes (a top-k).
+
+    A plain ``orderBy(h).limit(n)`` merges n rows from every partition in one
+    task. Instead rows are first cut at a hash threshold T chosen from the
+    row count so that at least n rows pass (checked, widened if not); every
+    row of the top n has h <= T, so the result is the same and the final
+    top-n merge sees about n rows whatever the partition count.
+    """
     keys = _keys(df, key_cols)
-    order = [F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])] + [F.col(c) for c in keys]
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])
+    order = [h] + [F.col(c) for c in keys]
+    total = df.count()
+    if n <= 0:
+        return df.limit(0)
+    if total > 4 * n:
+        frac = min(1.0, (n + 6.0 * math.sqrt(n) + 16.0) / total)
+        while frac < 1.0:
+            cut = F.lit(min(2 ** 63 - 1, int(-(2 ** 63) + frac * (2 ** 64 - 1))))
+            if df.filter(h <= cut).count() >= n:
+                return df.filter(h <= cut).orderBy(*order).limit(n)
+            frac = min(1.0, frac * 2)
     return df.orderBy(*order).limit(n)
 
 
