@@ -16,7 +16,8 @@ score
   ``mapInPandas`` walks all trees over Arrow batches with numpy (no per-row
   Python); score_samples = -2 ** (-E[h] / c(psi)); the offset is the
   ``contamination`` percentile of the scores of the fitted data (exact up to
-  ``EXACT_PERCENTILE_MAX_ROWS`` rows, else a 1e-7-accurate approximation), or
+  ``EXACT_PERCENTILE_MAX_ROWS`` rows — the exact aggregate keeps every distinct
+  score in one final buffer — else a sketch with rank error <= n / 1e6), or
   -0.5 without contamination; decision = score - offset; label -1 when
   decision < 0.
 """
@@ -37,7 +38,8 @@ from flightlake.functions import fill_zero
 
 # Euler-Mascheroni constant used by the average path length.
 EULER_GAMMA = 0.5772156649
-EXACT_PERCENTILE_MAX_ROWS = 20_000_000
+EXACT_PERCENTILE_MAX_ROWS = 2_000_000
+APPROX_PERCENTILE_ACCURACY = 1_000_000
 _RES = 1 << 30
 
 NODE_SCHEMA = T.StructType([
@@ -171,11 +173,11 @@ def _offset(raw: DataFrame, contamination: float, n: int, col: str = "anomaly_sc
     """One-row frame: the ``contamination`` percentile of the raw scores.
 
     Exact (linear interpolation) while the row count keeps one aggregation
-    buffer small; a 1e-7-accurate sketch beyond.
+    buffer small; a bounded sketch (rank error <= n / 1e6) beyond.
     """
     q = float(contamination)
     agg = (F.percentile(F.col(col), q) if n <= EXACT_PERCENTILE_MAX_ROWS
-           else F.percentile_approx(F.col(col), q, 10_000_000))
+           else F.percentile_approx(F.col(col), q, APPROX_PERCENTILE_ACCURACY))
     return raw.agg(agg.cast(T.DoubleType()).alias("_offset"))
 
 

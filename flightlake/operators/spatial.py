@@ -24,9 +24,10 @@ nothing older than one round.
 Neighbour buckets: latitude bands of ``threshold`` degrees; within a band,
 longitude buckets of ``threshold / cos(max |lat| of the band)`` degrees,
 which bounds every neighbour of a point to the 3 x 3 surrounding buckets.
-Near the poles (cos -> 0) a band is one bucket. Candidates must be unique on
-(lat, lon) — grid cells are — so a point's neighbour count is bounded by the
-grid geometry, not by the data volume.
+Near the poles (cos -> 0) a band is one bucket. Candidates sharing a position
+are first collapsed to the strongest (the sequential walk suppresses the rest
+at distance 0), so positions are unique and, for grid cells, a point's
+neighbour count is bounded by the grid geometry, not by the data volume.
 """
 
 from __future__ import annotations
@@ -94,7 +95,9 @@ def spatial_nms(cands: DataFrame, lat: str = "lat_cluster", lon: str = "lon_clus
     is checkpointed once. One checkpoint and one emptiness test per round.
     """
     ensure_checkpoint_dir(cands.sparkSession)
-    base = cands.select(F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(strength).alias("s"))
+    # exact duplicates of a position: the strongest suppresses the rest (distance 0)
+    base = (cands.groupBy(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+            .agg(F.max(F.col(strength)).alias("s")))
     base = _materialise(base)
     edges = _materialise(suppression_edges(base, threshold))
     nodes = base.select("lat", "lon", F.lit(0).alias("st"))

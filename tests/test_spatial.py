@@ -46,3 +46,9 @@ def test_random_against_sequential(spark):
     for i, p in enumerate(got):
         for q in got[i + 1:]:
             assert (q[0] - p[0]) ** 2 + ((q[1] - p[1]) * np.cos(np.radians(p[0]))) ** 2 >= 0.04
+
+
+def test_duplicate_positions(spark):
+    pts = [(1.0, 1.0, 3), (1.0, 1.0, 5), (1.1, 1.0, 4), (5.0, 5.0, 1), (5.0, 5.0, 1)]
+    got = run(spark, pts)
+    assert got == [(1.0, 1.0, 5), (5.0, 5.0, 1)]
