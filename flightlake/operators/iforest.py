@@ -133,6 +133,9 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
         key_cols: Sequence[str] | None = None) -> ForestModel:
     """Grow the forest on ``df`` (NULL features count as 0) and set the offset."""
     features = list(features)
+    # hash and rank on the whole row (features included): rows that tie on
+    # every column are interchangeable, so the per-tree samples do not depend
+    # on the input layout
     keys = [c for c in (key_cols or df.columns) if c not in features]
     data = _features_frame(df, features)
     n = data.count()
@@ -140,20 +143,20 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
         raise ValueError("cannot fit on an empty DataFrame")
     psi = min(sample, n)
     max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
-    kcols = [F.col(c) for c in keys]
+    kcols = [F.col(c) for c in features + keys]
     target = 2 * psi * trees            # rows drawn before trimming each tree to psi
     if n <= target:
         # small input: every tree ranks all rows by its own hash (independent samples)
         h = F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), *kcols), F.lit(_RES))
         keep = min(1.0, 2.0 * psi / n)
-        cand = (data.select(*features, *kcols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        cand = (data.select(*kcols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
                 .withColumn("_h", h).filter(F.col("_h") < F.lit(int(math.ceil(keep * _RES)))))
     else:
         # large input: a hash pool of ~2 * psi * trees rows (size fixed by the
         # parameters), each pool row dealt to one tree by a second hash
         pool = data.filter(F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), *kcols), F.lit(_RES))
                            < F.lit(int(target / n * _RES)))
-        cand = pool.select(*features, *kcols,
+        cand = pool.select(*kcols,
                            F.pmod(F.xxhash64(F.lit(seed), F.lit(-2), *kcols), F.lit(trees)).cast("int").alias("tree"),
                            F.pmod(F.xxhash64(F.lit(seed), F.lit(-3), *kcols), F.lit(_RES)).alias("_h"))
     w = Window.partitionBy("tree").orderBy("_h", *kcols)
