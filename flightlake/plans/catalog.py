@@ -546,6 +546,17 @@ def q_anomalies(spark, sf):
     return detect_anomalies(speed_altitude_points(V.states(spark, sf), None, None))
 
 
+@register("upscaled_inference")
+def q_upscaled_inference(spark, sf):
+    """Forest fitted on the airborne points, scoring 1.5 times their volume."""
+    from flightlake.operators import iforest
+    from flightlake.plans.jobs import FOREST_FEATURES, batch_inference, speed_altitude_points
+    pts = speed_altitude_points(V.states(spark, sf), None, None)
+    feats = pts.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FOREST_FEATURES})
+    model = iforest.fit(feats, FOREST_FEATURES, contamination=0.01)
+    return batch_inference(pts, model, 1.5)
+
+
 @register("risk_report")
 def q_risk_report(spark, sf):
     """JB6: forest anomalies joined to master data, top 50 risk table."""

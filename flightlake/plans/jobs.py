@@ -44,11 +44,23 @@ POINT_ROW_CAP = 200_000
 
 
 def ingest_states(spark: SparkSession, archives: DataFrame | Sequence[str], out_root: str, run_id: int,
-                  mode: str = "lenient") -> str:
-    """JB1: archives -> accepted rows -> typed clean -> run directory; returns its path."""
-    paths = archives if isinstance(archives, list) else [r.path for r in archives.select("path").collect()]
+                  mode: str = "lenient") -> str | None:
+    """JB1: archives -> accepted rows -> typed clean -> run directory; returns its
+    path, or None when nothing was selected or nothing survived (N8).
+
+    ``archives`` is a selection (S1/S2) or a list of paths; only the selected
+    paths (one per archive) reach the driver.
+    """
+    from flightlake.sources.tarstates import register
+    paths = list(archives) if not isinstance(archives, DataFrame) else \
+        [r.path for r in archives.select("path").collect()]
+    if not paths:
+        return None
+    register(spark)
     lines = spark.read.format("tarstates").load(",".join(paths))
     states = N.clean_states(N.accept_rows(lines, mode=mode, line_col="line"))
+    if states.isEmpty():
+        return None
     return S.write_run(states, out_root, run_id)
 
 
@@ -80,6 +92,12 @@ def detect_anomalies(points: DataFrame, trees: int = 100, sample: int = 256,
     return W.extreme_per_key(anomalies, "icao24", "anomaly_score")
 
 
+def batch_inference(points: DataFrame, model: iforest.ForestModel, factor: float, seed: int = 42) -> DataFrame:
+    """Score ``factor`` times the points (U1/U2 upscaling) with a fitted forest."""
+    feats = points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
+    return iforest.score(L.upscale(feats, factor, seed), model)
+
+
 def risk_table(worst: DataFrame, aircraft: DataFrame, k: int | None = 50) -> DataFrame:
     """J1 + F6 + P10 + L2: identified aircraft, report columns, lowest scores first."""
     ident = Fl.identified(J.enrich(worst, aircraft))

@@ -97,3 +97,19 @@ def test_metric_log_telemetry_runs(spark, tmp_path):
     n, preview = S.verify_run(spark, latest.run_dir, cols=["id"])
     assert n == 2 and preview.count() == 2
     S.run_noop(df)
+
+
+def test_line_counts_bench_history_and_ingest_job(spark, tmp_path):
+    from flightlake.plans.jobs import ingest_states
+    (tmp_path / "a.csv.gz").write_bytes(gz([HEADER, row(1), row(2)]))
+    (tmp_path / "b.csv").write_text("x\ny\nz\nw\n")
+    counts = {r.path.split("/")[-1]: r.n_lines for r in S.line_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"a.csv.gz": 3, "b.csv": 4}
+    (tmp_path / "h.csv").write_text("files_count,duration_sec,avg_cpu,avg_ram,net_mb,disk_mb\n5,10,1,2,3,4\n5,12,1,2,3,4\n1,2,1,2,3,4\n")
+    h = S.read_bench_history(spark, str(tmp_path / "h.csv"))
+    from flightlake.operators.windows import bench_summary
+    assert [(r.files_count, r.duration_sec) for r in bench_summary(h).collect()] == [(1, 2.0), (5, 12.0)]
+    tar = make_tar(tmp_path / "s.tar", [("m.csv.gz", gz([HEADER, row(1), row(2), row(3, v="")]))])
+    out = ingest_states(spark, [tar], str(tmp_path / "runs"), 7)
+    assert out.endswith("run_7") and spark.read.parquet(out).count() == 2
+    assert ingest_states(spark, [], str(tmp_path / "runs"), 8) is None
