@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.functions import deg_dist_sq
-from flightlake.session import ensure_checkpoint_dir
+from flightlake.session import adaptive_execution, ensure_checkpoint_dir
 
 # Suppression radius in degrees (about 20 km).
 NMS_THRESHOLD_DEG = 0.2
@@ -94,31 +94,35 @@ def spatial_nms(cands: DataFrame, lat: str = "lat_cluster", lon: str = "lon_clus
     2 suppressed, checkpointed to the shared checkpoint folder; the edge table
     is checkpointed once. One checkpoint and one emptiness test per round.
     """
-    ensure_checkpoint_dir(cands.sparkSession)
+    spark = cands.sparkSession
+    ensure_checkpoint_dir(spark)
     # exact duplicates of a position: the strongest suppresses the rest (distance 0)
     base = (cands.groupBy(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
             .agg(F.max(F.col(strength)).alias("s")))
     base = _materialise(base)
-    edges = _materialise(suppression_edges(base, threshold))
-    nodes = base.select("lat", "lon", F.lit(0).alias("st"))
     key = ["lat", "lon"]
-    for r in range(max_rounds):
-        und = nodes.filter(F.col("st") == 0).select(*key)
-        if r > 0 and und.isEmpty():
-            break
-        blocked = (edges.join(und, key, "left_semi")
-                   .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
-        new_kept = und.join(blocked, key, "left_anti")
-        killed = (edges.join(new_kept, key, "left_semi")
-                  .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
-        st = (F.when(F.col("st") != 0, F.col("st")).when(F.col("_k").isNotNull(), F.lit(1))
-              .when(F.col("_d").isNotNull(), F.lit(2)).otherwise(F.lit(0)))
-        step = (nodes.join(new_kept.withColumn("_k", F.lit(1)), key, "left")
-                .join(killed.withColumn("_d", F.lit(1)), key, "left")
-                .select(*key, st.alias("st")))
-        nodes = _materialise(step)
-    else:
-        raise RuntimeError("spatial_nms did not converge")
+    # The loop joins small checkpointed tables whose exact sizes the static
+    # planner sees; per-stage adaptive re-planning costs more than it saves here.
+    with adaptive_execution(spark, False):
+        edges = _materialise(suppression_edges(base, threshold))
+        nodes = base.select("lat", "lon", F.lit(0).alias("st"))
+        for r in range(max_rounds):
+            und = nodes.filter(F.col("st") == 0).select(*key)
+            if r > 0 and und.isEmpty():
+                break
+            blocked = (edges.join(und, key, "left_semi")
+                       .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
+            new_kept = und.join(blocked, key, "left_anti")
+            killed = (edges.join(new_kept, key, "left_semi")
+                      .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
+            st = (F.when(F.col("st") != 0, F.col("st")).when(F.col("_k").isNotNull(), F.lit(1))
+                  .when(F.col("_d").isNotNull(), F.lit(2)).otherwise(F.lit(0)))
+            step = (nodes.join(new_kept.withColumn("_k", F.lit(1)), key, "left")
+                    .join(killed.withColumn("_d", F.lit(1)), key, "left")
+                    .select(*key, st.alias("st")))
+            nodes = _materialise(step)
+        else:
+            raise RuntimeError("spatial_nms did not converge")
     kept = base.join(nodes.filter(F.col("st") == 1), key, "left_semi")
     return (kept.select(F.col("lat").alias(lat), F.col("lon").alias(lon), F.col("s").alias(strength))
             .orderBy(F.desc(strength), lat, lon))

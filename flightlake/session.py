@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,3 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="flightlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+@contextmanager
+def adaptive_execution(spark: SparkSession, enabled: bool):
+    """Temporarily set ``spark.sql.adaptive.enabled``; the caller's value is restored."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true" if enabled else "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

@@ -52,3 +52,9 @@ def test_duplicate_positions(spark):
     pts = [(1.0, 1.0, 3), (1.0, 1.0, 5), (1.1, 1.0, 4), (5.0, 5.0, 1), (5.0, 5.0, 1)]
     got = run(spark, pts)
     assert got == [(1.0, 1.0, 5), (5.0, 5.0, 1)]
+
+
+def test_session_setting_restored(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    run(spark, [(1.0, 1.0, 1), (1.05, 1.0, 2)])
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before
