@@ -6,8 +6,9 @@ memory stays bounded by one Arrow batch whatever the archive size. Members:
 
 * ``*.csv.gz``   gunzipped, one row per line;
 * plain csv      (name contains ``.csv`` or ``states``), one row per line;
-* ``*.avro``     skipped unless ``fastavro`` is importable; records become
-  comma-joined lines in state column order, alias names resolved (N5).
+* ``*.avro``     Avro containers (``fastavro`` when installed, else the
+  built-in decoder); records become comma-joined lines in state column
+  order, alias names resolved (N5).
 
 Bytes are decoded as UTF-8 with undecodable bytes dropped. A broken archive
 ends that archive's rows; rows already produced are kept and the job goes on.
@@ -34,6 +35,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flightlake.functions.columns import STATE_ALIASES
 from flightlake.schemas import STATE_COLUMNS
+from flightlake.sources.avro_records import read_records
 
 SCHEMA = StructType([StructField("archive", StringType()), StructField("member", StringType()),
                      StructField("line", StringType())])
@@ -69,12 +71,17 @@ def member_kind(name: str) -> str | None:
     return None
 
 
-def _avro_lines(f) -> Iterator[str]:
+def _avro_records(f) -> Iterator[dict]:
     try:
-        import fastavro  # optional
+        import fastavro  # optional, faster
+        return iter(fastavro.reader(f))
     except ImportError:
-        return
-    for rec in fastavro.reader(f):
+        return read_records(f)
+
+
+def _avro_lines(f) -> Iterator[str]:
+    """Records -> comma-joined state lines; own field name first, then aliases."""
+    for rec in _avro_records(f):
         vals = []
         for c in STATE_COLUMNS:
             v = rec.get(c)
