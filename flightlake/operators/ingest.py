@@ -35,6 +35,9 @@ def is_header_or_blank(line: Column) -> Column:
     return (F.length(_strip(line)) == 0) | (line.contains("time") & line.contains("icao24"))
 
 
+_ROW_TYPE = "struct<" + ",".join(f"{c}:string" for c in STATE_COLUMNS) + ">"
+
+
 def accept_rows(lines: DataFrame, mode: str = "lenient", line_col: str = "value",
                 keep: Sequence[str] = ()) -> DataFrame:
     """Split state lines into the 16 text columns.
@@ -43,20 +46,24 @@ def accept_rows(lines: DataFrame, mode: str = "lenient", line_col: str = "value"
     fields and field 0 is all digits; truncate to 16, pad with ''.
     strict (N2 + N3): drop blank and header lines, accept exactly 16 fields.
     ``keep`` carries extra input columns (e.g. the source file) along.
+
+    Acceptance is a generator (``inline`` of a zero- or one-row array) over a
+    projection that splits each line once; a filter would be pushed below
+    that projection and split (and build) every line twice.
     """
-    line = F.col(line_col)
+    if mode not in ("lenient", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
+    keep = list(keep)
+    base = lines.select(*keep, F.col(line_col).alias("_l"))
+    parts = base.select(*keep, "_l", F.split(_strip(F.col("_l")), ",", -1).alias("_p"))
+    p = F.col("_p")
     if mode == "lenient":
-        p = F.col("_p")
-        out = (lines.select(*keep, F.split(_strip(line), ",", -1).alias("_p"))
-               .filter((F.size(p) >= MIN_LENIENT_FIELDS) & F.get(p, 0).rlike("^[0-9]+$")))
-        return out.select(*keep, *_fields(p))
-    if mode == "strict":
-        stripped = _strip(line)
-        parts = F.split(stripped, ",", -1)
-        out = (lines.filter(~is_header_or_blank(line))
-               .select(*keep, parts.alias("_p")).filter(F.size("_p") == N_FIELDS))
-        return out.select(*keep, *_fields(F.col("_p")))
-    raise ValueError(f"unknown mode {mode!r}")
+        ok = (F.size(p) >= MIN_LENIENT_FIELDS) & F.get(p, 0).rlike("^[0-9]+$")
+    else:
+        ok = ~is_header_or_blank(F.col("_l")) & (F.size(p) == N_FIELDS)
+    row = F.struct(*_fields(p))
+    rows = F.when(ok, F.array(row)).otherwise(F.array().cast(f"array<{_ROW_TYPE}>"))
+    return parts.select(*keep, F.inline(rows))
 
 
 def clean_states(df: DataFrame, numeric: Sequence[str] = ("velocity", "geoaltitude"),
