@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.functions import blank_to_null, coverage_grade, num, safe_ratio
+from flightlake.functions import blank_to_null, coverage_grade, safe_ratio
 from flightlake.operators.aggregates import attach_scalars
 from flightlake.operators.filters import contradiction_pred, typed
 from flightlake.operators.joins import feed_keys, known_aircraft
@@ -67,18 +67,16 @@ def validate(df: DataFrame, rules: Sequence[Rule] = STATE_RULES, numeric: Iterab
     aggs = [F.count(F.lit(1)).alias("total")]
     aggs += [F.count_if(~F.coalesce(r.condition(), F.lit(False))).alias(f"f{i}") for i, r in enumerate(active)]
     counts = t.agg(*aggs)
-    stack = ", ".join(f"{i}, f{i}" for i in range(len(active)))
-    rows = counts.selectExpr("total", f"stack({len(active)}, {stack}) AS (rule_no, failed_rows)")
-    meta = t.sparkSession.createDataFrame(
-        [(i, r.name, r.description) for i, r in enumerate(active)],
-        "rule_no int, rule string, description string")
+    args = [F.lit(len(active))]
+    for i, r in enumerate(active):
+        args += [F.lit(i), F.lit(r.name), F.lit(r.description), F.col(f"f{i}")]
+    rows = counts.select("total", F.stack(*args).alias("rule_no", "rule", "description", "failed_rows"))
     pct_ok = F.lit(100.0) - safe_ratio("failed_rows", "total") * F.lit(100.0)
     pct_ok = F.when(F.col("total") > 0, pct_ok).otherwise(F.lit(0.0))
     status = (F.when(F.col("failed_rows") == 0, "PASS")
               .when(pct_ok > F.lit(WARN_ABOVE_PCT), "WARN").otherwise("FAIL"))
-    return (rows.join(F.broadcast(meta), "rule_no")
-            .select("rule_no", "rule", status.alias("status"), F.col("failed_rows").cast(T.LongType()),
-                    F.round(pct_ok, ndigits).alias("pct_passed"), "description")
+    return (rows.select("rule_no", "rule", status.alias("status"), F.col("failed_rows").cast(T.LongType()),
+                        F.round(pct_ok, ndigits).alias("pct_passed"), "description")
             .orderBy("rule_no"))
 
 
@@ -98,8 +96,10 @@ def missing_report(df: DataFrame, blank_is_null: bool = False, only_missing: boo
         return F.count_if(v.isNull())
 
     counts = t.agg(F.count(F.lit(1)).alias("total_rows"), *[missing(c).alias(f"m{i}") for i, c in enumerate(cols)])
-    names = ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))
-    rows = counts.selectExpr("total_rows", f"stack({len(cols)}, {names}) AS (column_name, missing)")
+    args = [F.lit(len(cols))]
+    for i, c in enumerate(cols):
+        args += [F.lit(c), F.col(f"m{i}")]
+    rows = counts.select("total_rows", F.stack(*args).alias("column_name", "missing"))
     rows = rows.withColumn("missing_pct", F.round(safe_ratio("missing", "total_rows") * F.lit(100.0), ndigits))
     if only_missing:
         rows = rows.filter(F.col("missing_pct") > 0)
@@ -125,8 +125,10 @@ def coverage(feed: DataFrame, dim: DataFrame, key: str = "icao24",
     m = matched.agg(F.count(F.lit(1)).alias("matched_rows"), *per_attr)
     total = keys.agg(F.count(F.lit(1)).alias("feed_aircraft"))
     both = attach_scalars(m, total)
-    stack = ", ".join(f"'{a}', `{a}`" for a in attributes)
-    rows = both.selectExpr("feed_aircraft", "matched_rows", f"stack({len(attributes)}, {stack}) AS (attribute, valid_count)")
+    args = [F.lit(len(attributes))]
+    for a in attributes:
+        args += [F.lit(a), F.col(f"`{a}`")]
+    rows = both.select("feed_aircraft", "matched_rows", F.stack(*args).alias("attribute", "valid_count"))
     pct = F.round(safe_ratio("valid_count", "feed_aircraft") * F.lit(100.0), ndigits)
     rate = F.round(safe_ratio("matched_rows", "feed_aircraft") * F.lit(100.0), ndigits)
     return (rows.select("attribute", F.col("valid_count").cast(T.LongType()), pct.alias("percentage"),
