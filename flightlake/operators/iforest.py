@@ -74,24 +74,29 @@ class ForestModel:
     offset: float | None = None
     n_fit: int = 0           # rows the forest was fitted on
 
+    def __post_init__(self):
+        # walk arrays: a leaf points to itself with threshold +inf, so every
+        # row takes exactly max_depth steps with no leaf test
+        leaf = self.feature < 0
+        ids = np.broadcast_to(np.arange(self.feature.shape[1]), self.feature.shape)
+        self._feat = np.where(leaf, 0, self.feature)
+        self._thr = np.where(leaf, np.inf, self.threshold)
+        self._left = np.where(leaf, ids, self.left)
+        self._right = np.where(leaf, ids, self.right)
+
     def score_samples(self, x: np.ndarray) -> np.ndarray:
         """-(2 ** (-mean path length / c(psi))) for rows of ``x``."""
         n = x.shape[0]
+        xt = np.ascontiguousarray(x.T)
         rows = np.arange(n)
         total = np.zeros(n)
-        for t in range(self.feature.shape[0]):
-            feat, thr = self.feature[t], self.threshold[t]
-            left, right = self.left[t], self.right[t]
+        for t in range(self._feat.shape[0]):
+            ft, tt, lt, rt = self._feat[t], self._thr[t], self._left[t], self._right[t]
             idx = np.zeros(n, dtype=np.int64)
-            for _ in range(self.max_depth + 1):
-                f = feat[idx]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                go_left = x[rows, np.maximum(f, 0)] < thr[idx]
-                idx = np.where(inner, np.where(go_left, left[idx], right[idx]), idx)
+            for _ in range(self.max_depth):
+                idx = np.where(xt[ft[idx], rows] < tt[idx], lt[idx], rt[idx])
             total += self.leaf_value[t][idx]
-        mean_h = total / self.feature.shape[0]
+        mean_h = total / self._feat.shape[0]
         cpsi = float(average_path_length(np.array([self.psi]))[0]) or 1.0
         return -np.power(2.0, -mean_h / cpsi)
 
@@ -240,7 +245,9 @@ def score_and_label(df: DataFrame, model: ForestModel, contamination: float | No
     if contamination is None:
         off = raw.sparkSession.range(1).select(F.lit(-0.5).alias("_offset"))
     else:
-        off = _offset(raw, contamination, model.n_fit or EXACT_PERCENTILE_MAX_ROWS + 1)
+        # the percentile pass ships only the feature columns to Python
+        feats_only = score_samples(df.select(*model.features), model, "anomaly_score_raw")
+        off = _offset(feats_only, contamination, model.n_fit or EXACT_PERCENTILE_MAX_ROWS + 1)
     out = attach_scalars(raw, off).withColumn(score_col, F.col("anomaly_score_raw") - F.col("_offset"))
     return (out.withColumn(label_col, F.when(F.col(score_col) < 0, F.lit(-1)).otherwise(F.lit(1)))
             .drop("anomaly_score_raw", "_offset"))
