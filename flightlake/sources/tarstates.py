@@ -1,8 +1,11 @@
 """``tarstates``: a Python Data Source over tar archives of state files.
 
-One input partition per archive (the archive is the unit of work, as a file
-is for Spark's own sources); a task streams its archive member by member, so
-memory stays bounded by one Arrow batch whatever the archive size. Members:
+Planning lists each archive's members from the tar headers alone (member
+data is skipped by seeking) and groups them into partitions of about
+``partitionBytes``; a task seeks to its members and streams them, so one huge
+archive is read by many tasks and memory stays bounded by one Arrow batch.
+An archive that cannot be listed (e.g. truncated) is streamed front to back
+by one task. Members:
 
 * ``*.csv.gz``   gunzipped, one row per line;
 * plain csv      (name contains ``.csv`` or ``states``), one row per line;
@@ -43,9 +46,43 @@ BATCH_ROWS = 10_000
 
 
 class ArchivePartition(InputPartition):
-    def __init__(self, path: str):
+    """A whole archive streamed front to back, or (``members`` set) a group of
+    its members given as (name, data offset, size)."""
+
+    def __init__(self, path: str, members: list[tuple[str, int, int]] | None = None):
         super().__init__(path)
         self.path = path
+        self.members = members
+
+
+def list_members(path: str) -> list[tuple[str, int, int]] | None:
+    """(name, data offset, size) of the readable members, from the headers only
+    (member data is skipped by seeking); None when the archive cannot be listed."""
+    try:
+        with _open(path) as raw, tarfile.open(fileobj=raw, mode="r:") as tar:
+            return [(m.name, m.offset_data, m.size) for m in tar if m.isfile() and member_kind(m.name)]
+    except Exception:  # noqa: BLE001 - fall back to streaming the archive
+        return None
+
+
+def plan_partitions(paths: list[str], target_bytes: int) -> list[ArchivePartition]:
+    """Members of an archive grouped up to ``target_bytes`` per partition."""
+    parts: list[ArchivePartition] = []
+    for p in paths:
+        members = list_members(p)
+        if not members:
+            parts.append(ArchivePartition(p))
+            continue
+        group: list[tuple[str, int, int]] = []
+        size = 0
+        for m in members:
+            if group and size + m[2] > target_bytes:
+                parts.append(ArchivePartition(p, group))
+                group, size = [], 0
+            group.append(m)
+            size += m[2]
+        parts.append(ArchivePartition(p, group))
+    return parts
 
 
 def _open(path: str):
@@ -93,6 +130,47 @@ def _avro_lines(f) -> Iterator[str]:
         yield ",".join(vals)
 
 
+def _member_lines(f, kind: str) -> Iterator[str]:
+    if kind == "avro":
+        yield from _avro_lines(f)
+        return
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=f)) if kind == "gz" else f
+    for b in stream:
+        yield b.decode("utf-8", errors="ignore").rstrip("\r\n")
+
+
+class _Slice(io.RawIOBase):
+    """Read-only view of ``size`` bytes of ``f`` starting at its current position."""
+
+    def __init__(self, f, size: int):
+        self.f, self.left = f, size
+
+    def readable(self):
+        return True
+
+    def readinto(self, b):
+        n = min(len(b), self.left)
+        if n <= 0:
+            return 0
+        data = self.f.read(n)
+        b[:len(data)] = data
+        self.left -= len(data)
+        return len(data)
+
+
+def iter_members(path: str, members: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, str]]:
+    """Lines of the listed members, each read by seeking to its data."""
+    try:
+        with _open(path) as raw:
+            for name, offset, size in members:
+                raw.seek(offset)
+                f = io.BufferedReader(_Slice(raw, size))
+                for line in _member_lines(f, member_kind(name)):
+                    yield path, name, line
+    except Exception as e:  # noqa: BLE001 - a broken member ends this partition's rows only
+        print(f"tarstates: stopped reading {path}: {e!r}", file=sys.stderr)
+
+
 def iter_archive(path: str) -> Iterator[tuple[str, str, str]]:
     """(archive, member, line) for every line of every readable member."""
     try:
@@ -104,28 +182,29 @@ def iter_archive(path: str) -> Iterator[tuple[str, str, str]]:
                 f = tar.extractfile(member)
                 if f is None:
                     continue
-                if kind == "avro":
-                    for line in _avro_lines(f):
-                        yield path, member.name, line
-                    continue
-                stream = gzip.GzipFile(fileobj=f) if kind == "gz" else f
-                for b in io.BufferedReader(stream) if kind == "gz" else stream:
-                    yield path, member.name, b.decode("utf-8", errors="ignore").rstrip("\r\n")
+                for line in _member_lines(f, kind):
+                    yield path, member.name, line
     except Exception as e:  # noqa: BLE001 - a broken archive ends its own rows only
         print(f"tarstates: stopped reading {path}: {e!r}", file=sys.stderr)
 
 
 class TarStatesReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
+    def __init__(self, paths: list[str], split_members: bool, target_bytes: int):
         self.paths = paths
+        self.split_members = split_members
+        self.target_bytes = target_bytes
 
     def partitions(self):
-        return [ArchivePartition(p) for p in self.paths]
+        if not self.split_members:
+            return [ArchivePartition(p) for p in self.paths]
+        return plan_partitions(self.paths, self.target_bytes)
 
     def read(self, partition):
         import pyarrow as pa
         cols: tuple[list, list, list] = ([], [], [])
-        for a, m, line in iter_archive(partition.path):
+        rows = (iter_members(partition.path, partition.members) if partition.members
+                else iter_archive(partition.path))
+        for a, m, line in rows:
             cols[0].append(a)
             cols[1].append(m)
             cols[2].append(line)
@@ -137,7 +216,9 @@ class TarStatesReader(DataSourceReader):
 
 
 class TarStatesDataSource(DataSource):
-    """Options: ``path`` (comma-separated archive paths) or ``paths``."""
+    """Options: ``path`` (comma-separated archive paths) or ``paths``;
+    ``splitMembers`` (default true): split archives into member groups of
+    about ``partitionBytes`` (default 128 MiB) of member data."""
 
     @classmethod
     def name(cls):
@@ -151,7 +232,9 @@ class TarStatesDataSource(DataSource):
         paths = [p.strip() for p in raw.split(",") if p.strip()]
         if not paths:
             raise ValueError("tarstates needs at least one archive path")
-        return TarStatesReader(paths)
+        split = str(self.options.get("splitMembers", "true")).lower() != "false"
+        target = int(self.options.get("partitionBytes", 128 * 1024 * 1024))
+        return TarStatesReader(paths, split, target)
 
 
 def register(spark) -> None:

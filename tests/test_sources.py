@@ -113,3 +113,16 @@ def test_line_counts_bench_history_and_ingest_job(spark, tmp_path):
     out = ingest_states(spark, [tar], str(tmp_path / "runs"), 7)
     assert out.endswith("run_7") and spark.read.parquet(out).count() == 2
     assert ingest_states(spark, [], str(tmp_path / "runs"), 8) is None
+
+
+def test_archive_split_by_members(spark, tmp_path):
+    register(spark)
+    members = [(f"m{i}.csv.gz", gz([HEADER] + [row(i * 100 + j) for j in range(50)])) for i in range(5)]
+    members.append(("plain_states.csv", "\n".join(row(900 + j) for j in range(7)).encode()))
+    tar = make_tar(tmp_path / "big.tar", members)
+    split = spark.read.format("tarstates").option("partitionBytes", 600).load(tar)
+    whole = spark.read.format("tarstates").option("splitMembers", "false").load(tar)
+    assert split.rdd.getNumPartitions() >= 5 and whole.rdd.getNumPartitions() == 1
+    key = lambda r: (r.member, r.line)
+    assert sorted(split.collect(), key=key) == sorted(whole.collect(), key=key)
+    assert split.count() == 5 * 51 + 7
