@@ -66,11 +66,12 @@ def _states_sql(body: str, *extra: str) -> str:
 @register("airborne_points", _states_sql(_AIRBORNE))
 def q_airborne_points(spark, sf):
     """Airborne state vectors with speed in km/h."""
-    return A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    return _airborne_points(spark, sf)
 
 
-def A_select(df: DataFrame, cols):
-    return select_existing(df, cols)
+def _airborne_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Airborne state vectors: speed in km/h, altitude, position, aircraft."""
+    return select_existing(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
 
 
 _PHASE = f"""SELECT v * {_K} AS velocity_kmh, g AS geoaltitude, vr * {_K} AS vertrate_kmh,
@@ -269,7 +270,7 @@ e AS (SELECT a.velocity_kmh, a.baroaltitude, a.lat, a.lon, {_NORM.format(c='a.ic
 @register("enriched_states", _states_sql(_ENRICHED + "SELECT * FROM e", "aircraft"))
 def q_enriched_states(spark, sf):
     """J1 + J3: airborne states with master data (size-checked broadcast)."""
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     return J.enrich(air, V.aircraft(spark, sf))
 
 
@@ -277,7 +278,7 @@ def q_enriched_states(spark, sf):
     _ENRICHED + "SELECT * FROM e WHERE manufacturerName IS NOT NULL OR model IS NOT NULL", "aircraft"))
 def q_identified_aircraft(spark, sf):
     """J1 + F6: enriched states with a known manufacturer or model."""
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     return Fl.identified(J.enrich(air, V.aircraft(spark, sf)))
 
 
@@ -290,7 +291,7 @@ x AS (SELECT velocity_kmh, baroaltitude, lat, lon, icao24 FROM (SELECT *, row_nu
 @register("extreme_per_aircraft", _states_sql(_EXTREME + "SELECT * FROM x"))
 def q_extreme_per_aircraft(spark, sf):
     """Per aircraft its most extreme row (score = speed, lowest first)."""
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     return W.extreme_per_key(air, "icao24", "velocity_kmh", ["baroaltitude", "lat", "lon"])
 
 
@@ -312,7 +313,7 @@ def q_top_risks(spark, sf):
     checked exactly; ``risk_report`` runs the same chain on forest scores.
     """
     from flightlake.plans.jobs import risk_table
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     scored = air.withColumn("anomaly_score", -F.col("velocity_kmh") / F.lit(1000.0))
     worst = W.extreme_per_key(scored, "icao24", "anomaly_score", ["velocity_kmh", "baroaltitude", "lat", "lon"])
     return risk_table(worst, V.aircraft(spark, sf), k=50)
@@ -520,7 +521,7 @@ def q_aircraft_deduped_normalised(spark, sf):
 def q_hash_sample(spark, sf):
     """50 % seeded hash sample of the airborne points (layout-independent)."""
     from flightlake.operators.sampling import sample_hash
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     return sample_hash(air, 0.5, 42)
 
 
@@ -528,7 +529,7 @@ def q_hash_sample(spark, sf):
 def q_exact_sample(spark, sf):
     """Exactly min(1000, rows) airborne points by seeded hash rank."""
     from flightlake.operators.sampling import sample_n
-    air = A_select(Fl.airborne(V.states(spark, sf)), ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"])
+    air = _airborne_points(spark, sf)
     return sample_n(air, 1000, 42)
 
 
