@@ -29,16 +29,35 @@ def typed(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns(conv) if conv else df
 
 
+def _prefilter(df: DataFrame, not_null: Iterable[str] = (), equal: dict[str, str] | None = None) -> DataFrame:
+    """Conjuncts on the stored columns that the full predicate implies.
+
+    Stated before any conversion so Parquet can skip row groups
+    (PushedFilters); the exact predicate is applied afterwards.
+    """
+    conds = [F.col(c).isNotNull() for c in not_null if c in df.columns]
+    conds += [F.col(c) == F.lit(v) for c, v in (equal or {}).items() if c in df.columns]
+    if not conds:
+        return df
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond & c
+    return df.filter(cond)
+
+
 def airborne_pred(onground: str = "onground", velocity: str = "velocity",
                   altitude: str = "baroaltitude") -> Column:
-    """onground is exactly 'False' and both numbers are present (F1)."""
-    return (F.coalesce(F.col(onground) == F.lit("False"), F.lit(False))
-            & F.col(velocity).isNotNull() & F.col(altitude).isNotNull())
+    """onground is exactly 'False' and both numbers are present (F1).
+
+    A filter predicate: NULL drops the row like false.
+    """
+    return (F.col(onground) == F.lit("False")) & F.col(velocity).isNotNull() & F.col(altitude).isNotNull()
 
 
 def airborne(df: DataFrame) -> DataFrame:
     """F1 + P2: airborne rows with ``velocity_kmh`` added."""
-    t = typed(df, ["velocity", "baroaltitude"])
+    pre = _prefilter(df, ["velocity", "baroaltitude"], {"onground": "False"})
+    t = typed(pre, ["velocity", "baroaltitude"])
     return t.filter(airborne_pred()).withColumn("velocity_kmh", to_kmh("velocity"))
 
 
@@ -49,7 +68,7 @@ def phase_points(df: DataFrame, eps: float = GROUND_VERTRATE_BAND) -> DataFrame:
     ground rows stay in. Output: velocity_kmh, <altitude>, vertrate_kmh, phase.
     """
     alt = altitude_col(df)
-    t = typed(df, ["velocity", alt, "vertrate"])
+    t = typed(_prefilter(df, ["velocity", alt, "vertrate"]), ["velocity", alt, "vertrate"])
     t = t.withColumns({"velocity_kmh": to_kmh("velocity"), "vertrate_kmh": to_kmh("vertrate")})
     band = PHASE_VERTRATE_KMH_BAND
     t = t.filter(F.col("velocity").isNotNull() & F.col(alt).isNotNull() & F.col("vertrate").isNotNull()
@@ -72,12 +91,13 @@ def ground_pred() -> Column:
 
 def on_ground_points(df: DataFrame) -> DataFrame:
     """rows of aircraft on (or at) the ground, coordinates typed."""
-    return typed(df, ["lat", "lon", "velocity", "geoaltitude", "vertrate"]).filter(ground_pred())
+    cols = ["lat", "lon", "velocity", "geoaltitude", "vertrate"]
+    return typed(_prefilter(df, ["lat", "lon"]), cols).filter(ground_pred())
 
 
 def reported_on_ground(df: DataFrame, strict: bool = True) -> DataFrame:
-    """onground flag only."""
-    return df.filter(flag("onground", strict))
+    """onground flag only (strict: exactly 'True', pushable to the scan)."""
+    return df.filter(F.col("onground") == F.lit("True")) if strict else df.filter(flag("onground", False))
 
 
 def anomalies_only(df: DataFrame, label: str = "anomaly_label") -> DataFrame:
