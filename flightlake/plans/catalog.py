@@ -540,6 +540,21 @@ def q_fractional_upscale(spark, sf):
     return upscale(V.states(spark, sf), 2.5, copy_col="copy")
 
 
+@register("speed_altitude_points")
+def q_speed_altitude_points(spark, sf):
+    """JB3 (P1, P2, P3, F1, L5, L4): airborne points, 50 % hash sample, capped at 200 000 for a client."""
+    from flightlake.plans.jobs import speed_altitude_points
+    return speed_altitude_points(V.states(spark, sf))
+
+
+@register("upscaled_local_sort")
+def q_upscaled_local_sort(spark, sf):
+    """JB12 (U1, L7): 20 copies of the feed sorted by speed inside each partition (spill workload)."""
+    from flightlake.operators.sampling import sort_local, upscale
+    up = upscale(V.states(spark, sf).select("icao24", "time", "velocity"), 20)
+    return sort_local(Fl.typed(up, ["velocity"]), ["velocity"])
+
+
 @register("anomalies")
 def q_anomalies(spark, sf):
     """X2 + X3 + F5 + W1 (JB4): most anomalous state per aircraft by isolation forest."""
