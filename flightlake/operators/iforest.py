@@ -129,6 +129,10 @@ def _grow_tree(pdf: pd.DataFrame, features: list[str], max_depth: int, seed: int
     return pd.DataFrame(out, columns=[f.name for f in NODE_SCHEMA.fields])
 
 
+def spark_parallelism(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def _features_frame(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: fill_zero(c) for c in features})
 
@@ -166,6 +170,11 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
                            F.pmod(F.xxhash64(F.lit(seed), F.lit(-3), *kcols), F.lit(_RES)).alias("_h"))
     w = Window.partitionBy("tree").orderBy("_h", *kcols)
     picked = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).select("tree", "_h", *features)
+    # growing trees is CPU-bound Python over a bounded sample (<= psi * trees
+    # rows): spread the trees over the cores instead of letting the small
+    # shuffle be coalesced into one task
+    spread = max(1, min(trees, spark_parallelism(df)))
+    picked = picked.repartition(spread, "tree")
     nodes = picked.groupBy("tree").applyInPandas(
         lambda pdf: _grow_tree(pdf, features, max_depth, seed), NODE_SCHEMA)
     model = _assemble(nodes.toPandas(), features, psi, max_depth, trees)
