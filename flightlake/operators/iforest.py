@@ -224,6 +224,11 @@ def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_sco
                                         "leaf_value")})
     features = model.features
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType())])
+    # scoring is CPU-bound Python: an input with fewer splits than cores (a
+    # small single-file table) is spread first; large inputs pass untouched
+    cores = spark_parallelism(df)
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
 
     def run(batches):
         m = ForestModel(**bc.value)
