@@ -4,7 +4,7 @@ Per-key "first row" operators use ``min_by(struct(row), struct(order))``: a
 declarative aggregate with a map-side partial step, so a hot key sends one
 row per map task through the shuffle instead of all of its rows into one
 window task. Scalars that a row-level expression needs (min/max of a column)
-are joined back as a one-row broadcast, so the plan stays lazy.
+come from a one-row global aggregate bound as literals (no join).
 """
 
 from __future__ import annotations
@@ -18,18 +18,33 @@ from pyspark.sql import types as T
 from flightlake.functions import grid_cell
 from flightlake.operators.filters import on_ground_points, reported_on_ground, typed
 
-_ONE = "__one__"
+def scalar_literals(scalars: DataFrame) -> dict[str, Column]:
+    """The single row of a global aggregate as typed literal columns.
+
+    Fetches exactly one row (a global aggregate has one by construction);
+    values keep their Spark types, NTZ timestamps go through their ISO text
+    so no time zone is applied.
+    """
+    row = scalars.first()
+    out: dict[str, Column] = {}
+    for f in scalars.schema.fields:
+        v = row[f.name] if row is not None else None
+        if v is None:
+            out[f.name] = F.lit(None).cast(f.dataType)
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            out[f.name] = F.lit(v.isoformat(sep=" ")).cast(f.dataType)
+        else:
+            out[f.name] = F.lit(v).cast(f.dataType)
+    return out
 
 
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``.
 
-    ``scalars`` is a global aggregate (exactly one row by construction), so
-    broadcasting it is size-safe; the join is an equi-join on a constant.
+    The aggregate is evaluated once and bound as literals — no join, so no
+    (constant-folded) nested-loop product appears in the plan.
     """
-    left = df.withColumn(_ONE, F.lit(1))
-    right = F.broadcast(scalars.withColumn(_ONE, F.lit(1)))
-    return left.join(right, _ONE, "inner").drop(_ONE)
+    return df.withColumns(scalar_literals(scalars))
 
 
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:

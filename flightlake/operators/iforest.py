@@ -247,10 +247,9 @@ def score_and_label(df: DataFrame, model: ForestModel, contamination: float | No
     """X3 in one scoring pass: raw scores, offset at the ``contamination``
     percentile of these scores (lazy one-row broadcast), decision and label.
 
-    The offset is a one-row aggregate joined back as a broadcast, so scoring,
-    percentile and labels form one lazy plan (no driver round trip); Spark
-    evaluates the scoring once per branch. ``partition_by`` hash-partitions the
-    scored rows for a later per-key step.
+    The offset is a one-row aggregate (one scoring pass over the features
+    only), bound as a literal into the labelling pass. ``partition_by``
+    hash-partitions the scored rows for a later per-key step.
     """
     from flightlake.operators.aggregates import attach_scalars
     raw = score_samples(df, model, "anomaly_score_raw")
