@@ -245,7 +245,7 @@ def score_and_label(df: DataFrame, model: ForestModel, contamination: float | No
                     partition_by: Sequence[str] = (), score_col: str = "anomaly_score",
                     label_col: str = "anomaly_label") -> DataFrame:
     """X3 in one scoring pass: raw scores, offset at the ``contamination``
-    percentile of these scores (lazy one-row broadcast), decision and label.
+    percentile of these scores, decision and label.
 
     The offset is a one-row aggregate (one scoring pass over the features
     only), bound as a literal into the labelling pass. ``partition_by``

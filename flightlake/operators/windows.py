@@ -112,7 +112,8 @@ def counter_since_start(df: DataFrame, ts: str, cols: Sequence[str], seq: str |
                         partition_by: Sequence[str] = (), scale: float = MIB) -> DataFrame:
     """Counter minus its first value of the series, divided by ``scale``.
 
-    The first value is an aggregate (min_by) joined back, not a window.
+    The first value is an aggregate (min_by): joined back per partition key,
+    or bound as a literal for a single series; no window.
     """
     parts = list(partition_by)
     order = F.struct(F.col(ts), *([F.col(seq)] if seq else []))
