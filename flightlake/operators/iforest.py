@@ -244,12 +244,13 @@ def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_sco
 def score_and_label(df: DataFrame, model: ForestModel, contamination: float | None = 0.01,
                     partition_by: Sequence[str] = (), score_col: str = "anomaly_score",
                     label_col: str = "anomaly_label") -> DataFrame:
-    """X3 in one scoring pass: raw scores, offset at the ``contamination``
-    percentile of these scores, decision and label.
+    """Raw scores, offset at the ``contamination`` percentile of these
+    scores, decision and label.
 
-    The offset is a one-row aggregate (one scoring pass over the features
-    only), bound as a literal into the labelling pass. ``partition_by``
-    hash-partitions the scored rows for a later per-key step.
+    Two scoring passes: the offset is a one-row aggregate over a pass that
+    ships only the feature columns to Python, bound as a literal into the
+    labelling pass. ``partition_by`` hash-partitions the scored rows for a
+    later per-key step.
     """
     from flightlake.operators.aggregates import attach_scalars
     raw = score_samples(df, model, "anomaly_score_raw")
