@@ -33,6 +33,8 @@ import sys
 import tarfile
 from collections.abc import Iterator
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -65,11 +67,33 @@ def list_members(path: str) -> list[tuple[str, int, int]] | None:
         return None
 
 
+def archive_size(path: str) -> int | None:
+    """Size in bytes from file-system metadata (no data read)."""
+    try:
+        if path.startswith("file:") or "://" not in path:
+            import os
+            local = path[len("file:"):] if path.startswith("file:") else path
+            while local.startswith("//"):
+                local = local[1:]
+            return os.path.getsize(local)
+        from pyarrow import fs
+        filesystem, inner = fs.FileSystem.from_uri(path)
+        return filesystem.get_file_info(inner).size
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def plan_partitions(paths: list[str], target_bytes: int) -> list[ArchivePartition]:
-    """Members of an archive grouped up to ``target_bytes`` per partition."""
+    """Members of an archive grouped up to ``target_bytes`` per partition.
+
+    Only archives larger than ``target_bytes`` are listed (their headers are
+    read on the driver); smaller ones are one partition each. For very many
+    large archives use ``read_archive_members`` (listing in tasks).
+    """
     parts: list[ArchivePartition] = []
     for p in paths:
-        members = list_members(p)
+        size = archive_size(p)
+        members = list_members(p) if size is None or size > target_bytes else None
         if not members:
             parts.append(ArchivePartition(p))
             continue
@@ -239,3 +263,59 @@ class TarStatesDataSource(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(TarStatesDataSource)
+
+
+# ------------------------------------------------------------------ distributed member reading
+
+MEMBER_SCHEMA = "archive string, member string, offset long, size long"
+
+
+def list_archive_members(archives: DataFrame, path_col: str = "path") -> DataFrame:
+    """(archive, member, offset, size) of every readable member, listed in tasks.
+
+    An archive that cannot be listed yields one row with offset -1: it is
+    streamed front to back by ``read_archive_members``.
+    """
+    def listing(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for path in pdf[path_col]:
+                members = list_members(path)
+                if members:
+                    out.extend((path, n, o, z) for n, o, z in members)
+                else:
+                    out.append((path, "", -1, 0))
+            yield pd.DataFrame(out, columns=["archive", "member", "offset", "size"])
+
+    return archives.select(path_col).mapInPandas(listing, MEMBER_SCHEMA)
+
+
+def read_archive_members(archives: DataFrame, target_bytes: int = 128 * 1024 * 1024,
+                         path_col: str = "path") -> DataFrame:
+    """Lines (archive, member, line) of many archives with listing and reading in tasks.
+
+    Members are hash-spread over ceil(total member bytes / ``target_bytes``)
+    partitions, so a few huge archives and many small ones both balance.
+    """
+    members = list_archive_members(archives, path_col)
+    total = members.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    n_parts = max(1, min(int(total["n"] or 1), -(-int(total["b"] or 0) // target_bytes) or 1))
+    spread = members.repartition(n_parts, "archive", "member")
+
+    def reading(batches):
+        import pandas as pd
+        for pdf in batches:
+            for rec in pdf.itertuples(index=False):
+                rows = (iter_archive(rec.archive) if rec.offset < 0
+                        else iter_members(rec.archive, [(rec.member, int(rec.offset), int(rec.size))]))
+                buf = []
+                for r in rows:
+                    buf.append(r)
+                    if len(buf) >= BATCH_ROWS:
+                        yield pd.DataFrame(buf, columns=["archive", "member", "line"])
+                        buf = []
+                if buf:
+                    yield pd.DataFrame(buf, columns=["archive", "member", "line"])
+
+    return spread.mapInPandas(reading, "archive string, member string, line string")

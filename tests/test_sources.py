@@ -126,3 +126,19 @@ def test_archive_split_by_members(spark, tmp_path):
     key = lambda r: (r.member, r.line)
     assert sorted(split.collect(), key=key) == sorted(whole.collect(), key=key)
     assert split.count() == 5 * 51 + 7
+
+
+def test_distributed_member_reading(spark, tmp_path):
+    from flightlake.sources.tarstates import list_archive_members, read_archive_members
+    register(spark)
+    a = make_tar(tmp_path / "a.tar", [(f"m{i}.csv.gz", gz([HEADER] + [row(i * 10 + j) for j in range(10)])) for i in range(4)])
+    b = make_tar(tmp_path / "b.tar", [("x.csv", "\n".join(row(500 + j) for j in range(3)).encode())])
+    c = make_tar(tmp_path / "c.tar", [("y.csv.gz", gz([row(700)])), ("z.csv.gz", gz([row(701)]))], truncate=1024 + 300)
+    paths = spark.createDataFrame([(a,), (b,), (c,)], "path string")
+    members = list_archive_members(paths).collect()
+    assert sum(1 for m in members if m.archive == a) == 4
+    got = read_archive_members(paths, target_bytes=100)
+    ref = spark.read.format("tarstates").option("splitMembers", "false").load(",".join([a, b, c]))
+    key = lambda r: (r.archive, r.member, r.line)
+    assert sorted(got.collect(), key=key) == sorted(ref.collect(), key=key)
+    assert got.filter("archive = '%s'" % a).count() == 44
