@@ -21,16 +21,21 @@ from flightlake.operators.filters import on_ground_points, reported_on_ground, t
 def scalar_literals(scalars: DataFrame) -> dict[str, Column]:
     """The single row of a global aggregate as typed literal columns.
 
-    Fetches exactly one row (a global aggregate has one by construction);
-    values keep their Spark types, NTZ timestamps go through their ISO text
-    so no time zone is applied.
+    Fetches exactly one row (a global aggregate has one by construction).
+    Values keep their Spark types without passing through a local time zone:
+    zoned timestamps travel as epoch microseconds, NTZ timestamps as text.
     """
-    row = scalars.first()
+    fields = scalars.schema.fields
+    fetch = scalars.select(*[F.unix_micros(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampType)
+                             else F.col(f.name) for f in fields])
+    row = fetch.first()
     out: dict[str, Column] = {}
-    for f in scalars.schema.fields:
+    for f in fields:
         v = row[f.name] if row is not None else None
         if v is None:
             out[f.name] = F.lit(None).cast(f.dataType)
+        elif isinstance(f.dataType, T.TimestampType):
+            out[f.name] = F.timestamp_micros(F.lit(v))
         elif isinstance(f.dataType, T.TimestampNTZType):
             out[f.name] = F.lit(v.isoformat(sep=" ")).cast(f.dataType)
         else:

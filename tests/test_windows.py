@@ -42,3 +42,18 @@ def test_run_kpis_and_bench(spark):
     hist = spark.createDataFrame([(1, 5, 10.0), (2, 5, 20.0), (3, 1, 4.0)], "seq long, files_count int, duration_sec double")
     b = W.bench_summary(hist).collect()
     assert [(r.files_count, r.duration_sec, r.sec_per_file) for r in b] == [(1, 4.0, 4.0), (5, 20.0, 4.0)]
+
+
+def test_scalar_literals_keep_timestamps(spark):
+    from pyspark.sql import functions as F
+
+    from flightlake.operators.aggregates import attach_scalars
+    df = spark.createDataFrame([(1,)], "x int").select(
+        F.lit("2024-03-31 01:30:00.123456").cast("timestamp").alias("ltz"),
+        F.lit("2024-10-27 02:30:00.5").cast("timestamp_ntz").alias("ntz"), F.lit(2.5).alias("d"))
+    got = attach_scalars(spark.range(1), df.agg(F.max("ltz").alias("a"), F.max("ntz").alias("b"),
+                                                F.max("d").alias("c")))
+    row = got.select((F.col("a") == F.lit("2024-03-31 01:30:00.123456").cast("timestamp")).alias("ok_a"),
+                     (F.col("b") == F.lit("2024-10-27 02:30:00.5").cast("timestamp_ntz")).alias("ok_b"),
+                     F.col("c")).first()
+    assert row.ok_a and row.ok_b and row.c == 2.5
