@@ -186,16 +186,21 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
     return model
 
 
-def _offset(raw: DataFrame, contamination: float, n: int, col: str = "anomaly_score_raw") -> DataFrame:
-    """One-row frame: the ``contamination`` percentile of the raw scores.
+def offset_aggregate(scores, contamination: float, n: int):
+    """Aggregate expression: the ``contamination`` percentile of ``scores``.
 
     Exact (linear interpolation) while the row count keeps one aggregation
     buffer small; a bounded sketch (rank error <= n / 1e6) beyond.
     """
     q = float(contamination)
-    agg = (F.percentile(F.col(col), q) if n <= EXACT_PERCENTILE_MAX_ROWS
-           else F.percentile_approx(F.col(col), q, APPROX_PERCENTILE_ACCURACY))
-    return raw.agg(agg.cast(T.DoubleType()).alias("_offset"))
+    agg = (F.percentile(scores, q) if n <= EXACT_PERCENTILE_MAX_ROWS
+           else F.percentile_approx(scores, q, APPROX_PERCENTILE_ACCURACY))
+    return agg.cast(T.DoubleType())
+
+
+def _offset(raw: DataFrame, contamination: float, n: int, col: str = "anomaly_score_raw") -> DataFrame:
+    """One-row frame: the ``contamination`` percentile of the raw scores."""
+    return raw.agg(offset_aggregate(F.col(col), contamination, n).alias("_offset"))
 
 
 def _assemble(pdf: pd.DataFrame, features: list[str], psi: int, max_depth: int, trees: int) -> ForestModel:

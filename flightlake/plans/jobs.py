@@ -23,6 +23,7 @@ from flightlake.operators import quality as Q
 from flightlake.operators import sampling as L
 from flightlake.operators import spatial as X
 from flightlake.operators import windows as W
+from flightlake.session import ensure_checkpoint_dir
 from flightlake.sources import files as S
 
 # Report column names of the risk table, in output order.
@@ -83,13 +84,37 @@ def speed_altitude_points(states: DataFrame, fraction: float | None = POINT_SAMP
 
 def detect_anomalies(points: DataFrame, trees: int = 100, sample: int = 256,
                      contamination: float | None = 0.01, seed: int = 42) -> DataFrame:
-    """JB4: forest over (velocity_kmh, baroaltitude); anomalous rows, the most
-    extreme per aircraft, lat/lon numeric."""
+    """JB4: forest over (velocity_kmh, baroaltitude); per aircraft its most
+    extreme anomalous row (label -1), lat/lon numeric.
+
+    The decision is monotone in the raw score, so an aircraft's most extreme
+    anomalous row is its lowest-scoring row, kept when it lies below the
+    offset. One scoring pass feeds one aggregation: every scored row goes to
+    its aircraft's group (min_by, combined map-side) and to one global group
+    (the contamination percentile). The result — one row per aircraft plus
+    one — is checkpointed, the offset read from it.
+    """
     feats = points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
     model = iforest.fit(feats, FOREST_FEATURES, trees, sample, None, seed)
-    scored = iforest.score_and_label(feats, model, contamination)
-    anomalies = Fl.anomalies_only(scored).withColumns({"lat": num("lat"), "lon": num("lon")})
-    return W.extreme_per_key(anomalies, "icao24", "anomaly_score")
+    raw = iforest.score_samples(feats, model, "_raw")
+    cols = [c for c in feats.columns]
+    ties = [c for c in cols if c != "icao24"]
+    both = raw.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
+    key = F.when(F.col("_kind") == 0, F.col("icao24")).alias("_key")
+    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols], F.col("_raw")),
+                     F.struct(F.col("_raw"), *[F.col(c) for c in ties])).alias("_row")]
+    if contamination is not None:
+        aggs.append(iforest.offset_aggregate(F.when(F.col("_kind") == 1, F.col("_raw")), contamination,
+                                             model.n_fit).alias("_offset"))
+    ensure_checkpoint_dir(points.sparkSession)
+    grouped = both.groupBy(key, "_kind").agg(*aggs).checkpoint(eager=True)
+    offset = (-0.5 if contamination is None
+              else grouped.filter(F.col("_kind") == 1).select("_offset").first()["_offset"])
+    per_aircraft = grouped.filter(F.col("_kind") == 0).select("_row.*")
+    score = F.col("_raw") - F.lit(float(offset))
+    return (per_aircraft.filter(score < 0)
+            .select(*[F.col(c) for c in cols], score.alias("anomaly_score"), F.lit(-1).alias("anomaly_label"))
+            .withColumns({"lat": num("lat"), "lon": num("lon")}))
 
 
 def batch_inference(points: DataFrame, model: iforest.ForestModel, factor: float, seed: int = 42) -> DataFrame:
