@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import decontam, mixing, sharding
+from flightlake.llm import bagminhash, decontam, mixing, quality, sharding
 from flightlake.llm.common import materialise, table
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.filter("predicted = 1").select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return bagminhash.drop_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window."""
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -24,6 +35,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", keep_good),
+    ("MinHash near-dedup", drop_copies),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
     ("sharding", shard),

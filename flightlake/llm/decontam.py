@@ -74,15 +74,17 @@ def word_hashes(tokens) -> np.ndarray:
 
 
 def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[list[str | None]]:
-    """Consecutive texts of about ``limit`` characters together; a longer text is alone."""
+    """Consecutive texts of about ``limit`` characters together, each counted
+    with 256 more; a longer text is alone."""
     part: list[str | None] = []
     size = 0
     for t in texts:
-        if part and size + len(t or "") > limit:
+        own = len(t or "") + 256
+        if part and size + own > limit:
             yield part
             part, size = [], 0
         part.append(t)
-        size += len(t or "")
+        size += own
     if part:
         yield part
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import bsi, chat, decontam, mixing, sharding, urlfilter
+from flightlake.llm import bagminhash, bsi, chat, decontam, mixing, quality, sharding, toxicity, urlfilter, warc
 from flightlake.llm.common import table
 
 CHAT_PROBE = r"\### Assistant: </turn> ok"
@@ -30,6 +30,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; labels of ids with crc32 mod 3 = 1 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighed 1, 2, 3 in turn, at most 3 repeats."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -43,6 +50,27 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; labels of ids with crc32 mod 4 = 2 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, read back from their bytes."""
+    responses = warc.page_responses(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    records = warc.read_records(warc.build_derivatives(responses))
+    return records.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "date", "content_type",
+                          "block_digest", "payload_digest", F.length("body").cast("long").alias("content_length"),
+                          F.sha2("body", 256).alias("body_sha256"), "error")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from the prefix-target examples of all conversations."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -61,8 +89,12 @@ def op10_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_url_filter": op5_url_filter,
+    "op6_quality": op6_quality,
+    "op7_bagminhash": op7_bagminhash,
+    "op8_warc_derivatives": op8_warc_derivatives,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_bit_sliced_topk": op10_bit_sliced_topk,
 }
