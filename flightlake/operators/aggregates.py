@@ -1,10 +1,11 @@
 """Aggregations and distinct.
 
-Per-key "first row" operators use ``min_by(struct(row), struct(order))``: a
-declarative aggregate with a map-side partial step, so a hot key sends one
-row per map task through the shuffle instead of all of its rows into one
-window task. Scalars that a row-level expression needs (min/max of a column)
-come from a one-row global aggregate bound as literals (no join).
+Per-key "first row" operators first take the minimum of a numeric order column
+per key (a hash aggregate with a map-side partial step: no sort, and a hot key
+sends one row per map task), keep the rows that reach it, and break ties among
+those few only. Scalars that a row-level expression needs (min/max of a
+column) are scalar subqueries, so they run with the query, not while it is
+built.
 """
 
 from __future__ import annotations
@@ -18,56 +19,44 @@ from pyspark.sql import types as T
 from flightlake.functions import grid_cell
 from flightlake.operators.filters import on_ground_points, reported_on_ground, typed
 
-def scalar_literals(scalars: DataFrame) -> dict[str, Column]:
-    """The single row of a global aggregate as typed literal columns.
-
-    Fetches exactly one row (a global aggregate has one by construction).
-    Values keep their Spark types without passing through a local time zone:
-    zoned timestamps travel as epoch microseconds, NTZ timestamps as text.
-    """
-    fields = scalars.schema.fields
-    fetch = scalars.select(*[F.unix_micros(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampType)
-                             else F.col(f.name) for f in fields])
-    row = fetch.first()
-    out: dict[str, Column] = {}
-    for f in fields:
-        v = row[f.name] if row is not None else None
-        if v is None:
-            out[f.name] = F.lit(None).cast(f.dataType)
-        elif isinstance(f.dataType, T.TimestampType):
-            out[f.name] = F.timestamp_micros(F.lit(v))
-        elif isinstance(f.dataType, T.TimestampNTZType):
-            out[f.name] = F.lit(v.isoformat(sep=" ")).cast(f.dataType)
-        else:
-            out[f.name] = F.lit(v).cast(f.dataType)
-    return out
-
 
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``.
 
-    The aggregate is evaluated once and bound as literals — no join, so no
-    (constant-folded) nested-loop product appears in the plan.
+    Each is a scalar subquery: evaluated once when the query runs, no join.
     """
-    return df.withColumns(scalar_literals(scalars))
+    return df.withColumns({c: scalars.select(c).scalar() for c in scalars.columns})
 
 
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _nulls_last(order: Sequence[Column]) -> Column:
+    """Struct that compares like the columns in turn, missing values last."""
+    return F.struct(*[x for i, c in enumerate(order) for x in (c.isNull().alias(f"_n{i}"), c.alias(f"_o{i}"))])
+
+
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the smallest by ``order_by`` (A2, A3).
+    """One row per key: the smallest by ``order_by``, missing values last (A2, A3).
 
     Deterministic for any partitioning as long as ``order_by`` is a total
-    order within a key; the aggregate combines map-side, so skew-safe.
+    order within a key. With a numeric first order column only the rows that
+    reach the key's minimum take part in the tie-break.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    order = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_order_cols(order_by))])
-    picked = F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row")
+    order = _order_cols(order_by)
+    if isinstance(df.select(order[0]).schema.fields[0].dataType, T.NumericType):
+        lead = df.select(*keys, order[0].alias("_lead"))
+        best = lead.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_lead").alias("_best"))
+        reached = order[0].eqNullSafe(F.col("_best"))
+        for i, k in enumerate(keys):
+            reached = reached & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        df = df.join(best, reached, "left_semi")
+    picked = F.min_by(F.struct(*[F.col(c) for c in rest]), _nulls_last(order)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
@@ -75,8 +64,8 @@ def one_vote(df: DataFrame, key: str = "icao24",
              order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One plane, one vote: the earliest state vector per aircraft (A2).
 
-    Default order: epoch time as a number, then every other column as text, so
-    the pick does not depend on the input layout.
+    Default order: epoch time as a number (times that do not parse come last),
+    then every other column, so the pick does not depend on the input layout.
     """
     if order_by is None:
         order_by = [F.col("time").try_cast(T.LongType())] + [F.col(c) for c in df.columns if c != key]
@@ -145,9 +134,3 @@ def position_heatmap(states: DataFrame, digits: int = 1, ndigits: int = 6) -> Da
     t = t.dropna(subset=["lat", "lon"])
     return (t.groupBy(grid_cell("lat", digits).alias("lat_cell"), grid_cell("lon", digits).alias("lon_cell"))
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("geoaltitude"), ndigits).alias("avg_geoaltitude")))
-
-
-def distinct_keys(df: DataFrame, col: str, normalise=None) -> DataFrame:
-    """Distinct non-null values of a column (optionally normalised)."""
-    c = normalise(col) if normalise else F.col(col)
-    return df.select(c.alias(col)).filter(F.col(col).isNotNull()).distinct()

@@ -1,25 +1,23 @@
 """Isolation forest on Spark (X2-X4; Liu, Ting and Zhou, ICDM 2008).
 
 fit
-  1. Small inputs (n <= 2 * psi * trees): every tree ranks all rows by its own
-     seeded hash and keeps the psi smallest — independent samples without
-     replacement per tree.
-  2. Large inputs: a hash pool of about 2 * psi * trees rows (a size fixed by
-     the parameters, not the data); a second hash deals each pool row to one
-     tree; each tree keeps its psi smallest. Either way the sample does not
-     depend on partitioning.
-  3. ``groupBy('tree').applyInPandas`` grows each tree (at most 2 * psi rows
-     per group) with a generator seeded by (seed, tree).
+  1. Rows with equal features are one weighted point (a partial aggregate), so
+     repeated rows are sampled in proportion and spread over the trees.
+  2. One sampling design for every size: about 2 * psi * trees draws are taken
+     in all. A point of weight m is drawn floor(m * p + u) times, u its hash in
+     [0, 1); each draw goes to ``c`` different trees, chosen by hash. c is 1
+     unless the data are fewer than the draws. Each tree keeps the psi draws
+     with the smallest hashes. Nothing depends on partitioning.
+  3. ``groupBy('tree').applyInPandas`` grows each tree (about 2 * psi rows a
+     group before the cut) with a generator seeded by (seed, tree).
   4. The model — at most trees * (2 * psi - 1) nodes, a size fixed by the
      parameters — is collected once and broadcast.
 score
   ``mapInPandas`` walks all trees over Arrow batches with numpy (no per-row
-  Python); score_samples = -2 ** (-E[h] / c(psi)); the offset is the
-  ``contamination`` percentile of the scores of the fitted data (exact up to
-  ``EXACT_PERCENTILE_MAX_ROWS`` rows — the exact aggregate keeps every distinct
-  score in one final buffer — else a sketch with rank error <= n / 1e6), or
-  -0.5 without contamination; decision = score - offset; label -1 when
-  decision < 0.
+  Python); score_samples = -2 ** (-E[h] / c(psi)); the offset is the exact
+  ``contamination`` percentile of the scores of the fitted data (counts in
+  bins that narrow in), or -0.5 without contamination; decision = score -
+  offset; label -1 when decision < 0.
 """
 
 from __future__ import annotations
@@ -30,17 +28,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.functions import fill_zero
+from flightlake.session import stored
 
 # Euler-Mascheroni constant used by the average path length.
 EULER_GAMMA = 0.5772156649
-EXACT_PERCENTILE_MAX_ROWS = 2_000_000
-APPROX_PERCENTILE_ACCURACY = 1_000_000
-_RES = 1 << 30
+# Bins of one counting pass, and distinct values that end the narrowing.
+QUANTILE_BINS = 4_096
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -72,7 +70,6 @@ class ForestModel:
     right: np.ndarray
     leaf_value: np.ndarray   # depth + c(size) at leaves
     offset: float | None = None
-    n_fit: int = 0           # rows the forest was fitted on
 
     def __post_init__(self):
         # walk arrays: a leaf points to itself with threshold +inf, so every
@@ -137,39 +134,40 @@ def _features_frame(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: fill_zero(c) for c in features})
 
 
+def _unit(*cols) -> Column:
+    """Pseudo-uniform number in [0, 1) from a hash of ``cols``."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 11) * F.lit(2.0 ** -53)
+
+
+def sample_trees(df: DataFrame, features: Sequence[str], n: int, trees: int, psi: int, seed: int) -> DataFrame:
+    """(tree, _h, features): the psi draws of every tree from ``n`` rows."""
+    target = 2 * psi * trees
+    c = min(trees, -(-target // n))
+    p = min(1.0, target / (n * c))
+    points = df.groupBy(*features).agg(F.count(F.lit(1)).alias("_m"))
+    draws = F.floor(F.col("_m") * F.lit(p) + _unit(F.lit(seed), F.lit(-1), *features)).cast("int")
+    drawn = points.select(*features, draws.alias("_d")).filter("_d > 0")
+    drawn = drawn.select(*features, F.explode(F.sequence(F.lit(1), F.col("_d"))).alias("_i"))
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        F.xxhash64(F.lit(seed), F.lit(-2), *features, F.col("_i"), t).alias("h"), t.alias("t"))))
+    dealt = drawn.select(*features, "_i", F.explode(F.slice(ranked, 1, c)).alias("_s"))
+    dealt = dealt.select(*features, "_i", F.col("_s.t").alias("tree"),
+                         F.xxhash64(F.lit(seed), F.lit(-3), *features, F.col("_i"), F.col("_s.t")).alias("_h"))
+    w = Window.partitionBy("tree").orderBy("_h", *features, "_i")
+    return dealt.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).select("tree", "_h", *features)
+
+
 def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int = 256,
-        contamination: float | None = 0.01, seed: int = 42,
-        key_cols: Sequence[str] | None = None) -> ForestModel:
+        contamination: float | None = 0.01, seed: int = 42) -> ForestModel:
     """Grow the forest on ``df`` (NULL features count as 0) and set the offset."""
     features = list(features)
-    # hash and rank on the whole row (features included): rows that tie on
-    # every column are interchangeable, so the per-tree samples do not depend
-    # on the input layout
-    keys = [c for c in (key_cols or df.columns) if c not in features]
-    data = _features_frame(df, features)
+    data = _features_frame(df, features).select(*features)
     n = data.count()
     if n == 0:
         raise ValueError("cannot fit on an empty DataFrame")
     psi = min(sample, n)
     max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
-    kcols = [F.col(c) for c in features + keys]
-    target = 2 * psi * trees            # rows drawn before trimming each tree to psi
-    if n <= target:
-        # small input: every tree ranks all rows by its own hash (independent samples)
-        h = F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), *kcols), F.lit(_RES))
-        keep = min(1.0, 2.0 * psi / n)
-        cand = (data.select(*kcols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-                .withColumn("_h", h).filter(F.col("_h") < F.lit(int(math.ceil(keep * _RES)))))
-    else:
-        # large input: a hash pool of ~2 * psi * trees rows (size fixed by the
-        # parameters), each pool row dealt to one tree by a second hash
-        pool = data.filter(F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), *kcols), F.lit(_RES))
-                           < F.lit(int(target / n * _RES)))
-        cand = pool.select(*kcols,
-                           F.pmod(F.xxhash64(F.lit(seed), F.lit(-2), *kcols), F.lit(trees)).cast("int").alias("tree"),
-                           F.pmod(F.xxhash64(F.lit(seed), F.lit(-3), *kcols), F.lit(_RES)).alias("_h"))
-    w = Window.partitionBy("tree").orderBy("_h", *kcols)
-    picked = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).select("tree", "_h", *features)
+    picked = sample_trees(data, features, n, trees, psi, seed)
     # growing trees is CPU-bound Python over a bounded sample (<= psi * trees
     # rows): spread the trees over the cores instead of letting the small
     # shuffle be coalesced into one task
@@ -178,29 +176,46 @@ def fit(df: DataFrame, features: Sequence[str], trees: int = 100, sample: int =
     nodes = picked.groupBy("tree").applyInPandas(
         lambda pdf: _grow_tree(pdf, features, max_depth, seed), NODE_SCHEMA)
     model = _assemble(nodes.toPandas(), features, psi, max_depth, trees)
-    model.n_fit = n
     if contamination is None:
         model.offset = -0.5
     else:
-        model.offset = float(_offset(score_samples(df, model), contamination, n).first()["_offset"])
+        scores = stored(score_samples(data, model, "_raw").select("_raw"))
+        model.offset = exact_quantile(scores, "_raw", contamination)
     return model
 
 
-def offset_aggregate(scores, contamination: float, n: int):
-    """Aggregate expression: the ``contamination`` percentile of ``scores``.
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """The ``q`` quantile of a column (linear interpolation between the two
+    nearest values), exactly and with bounded counts on the driver.
 
-    Exact (linear interpolation) while the row count keeps one aggregation
-    buffer small; a bounded sketch (rank error <= n / 1e6) beyond.
+    Each pass counts the rows in equal bins of the current interval; the bin
+    that holds the lower rank is the next interval, until it has few rows or
+    all of its values are one. None for an empty column.
     """
-    q = float(contamination)
-    agg = (F.percentile(scores, q) if n <= EXACT_PERCENTILE_MAX_ROWS
-           else F.percentile_approx(scores, q, APPROX_PERCENTILE_ACCURACY))
-    return agg.cast(T.DoubleType())
-
-
-def _offset(raw: DataFrame, contamination: float, n: int, col: str = "anomaly_score_raw") -> DataFrame:
-    """One-row frame: the ``contamination`` percentile of the raw scores."""
-    return raw.agg(offset_aggregate(F.col(col), contamination, n).alias("_offset"))
+    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    n, lo, hi = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n:
+        return None
+    at = q * (n - 1)
+    rank = math.floor(at)
+    below, rows = 0, n  # rows under the interval, and in it
+    while rows > QUANTILE_BINS and lo < lo + (hi - lo) / QUANTILE_BINS:
+        number = F.floor((F.col("x") - F.lit(lo)) / F.lit((hi - lo) / QUANTILE_BINS))
+        bins = (x.filter(F.col("x").between(lo, hi)).groupBy(F.least(number, F.lit(QUANTILE_BINS - 1)).alias("b"))
+                .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("b").collect())
+        for b in bins:
+            if rank < below + b.n:
+                lo, hi, rows = b.lo, b.hi, b.n
+                break
+            below += b.n
+    for v in x.filter(F.col("x").between(lo, hi)).groupBy("x").agg(F.count("x").alias("n")).orderBy("x").collect():
+        below += v.n
+        if rank < below:
+            break
+    above = v.x
+    if rank + 1 >= below and rank + 1 < n:
+        above = x.filter(F.col("x") > F.lit(v.x)).agg(F.min("x")).first()[0]
+    return v.x + (at - rank) * (above - v.x)
 
 
 def _assemble(pdf: pd.DataFrame, features: list[str], psi: int, max_depth: int, trees: int) -> ForestModel:
@@ -220,8 +235,13 @@ def _assemble(pdf: pd.DataFrame, features: list[str], psi: int, max_depth: int,
     return ForestModel(features, psi, max_depth, feat, thr, left, right, leaf)
 
 
-def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_score_raw") -> DataFrame:
-    """Vectorised scoring: adds ``out_col`` (more negative = more anomalous)."""
+def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_score_raw",
+                  spread: int | None = None) -> DataFrame:
+    """Vectorised scoring: adds ``out_col`` (more negative = more anomalous).
+
+    Scoring is CPU-bound Python; a caller whose input has fewer splits than
+    cores can have it dealt to ``spread`` partitions first.
+    """
     spark = df.sparkSession
     # plain arrays only: broadcast values are unpickled without our package
     bc = spark.sparkContext.broadcast({k: getattr(model, k) for k in
@@ -229,11 +249,8 @@ def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_sco
                                         "leaf_value")})
     features = model.features
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType())])
-    # scoring is CPU-bound Python: an input with fewer splits than cores (a
-    # small single-file table) is spread first; large inputs pass untouched
-    cores = spark_parallelism(df)
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if spread:
+        df = df.repartition(spread)
 
     def run(batches):
         m = ForestModel(**bc.value)
@@ -246,37 +263,11 @@ def score_samples(df: DataFrame, model: ForestModel, out_col: str = "anomaly_sco
     return df.mapInPandas(run, schema)
 
 
-def score_and_label(df: DataFrame, model: ForestModel, contamination: float | None = 0.01,
-                    partition_by: Sequence[str] = (), score_col: str = "anomaly_score",
-                    label_col: str = "anomaly_label") -> DataFrame:
-    """Raw scores, offset at the ``contamination`` percentile of these
-    scores, decision and label.
-
-    Two scoring passes: the offset is a one-row aggregate over a pass that
-    ships only the feature columns to Python, bound as a literal into the
-    labelling pass. ``partition_by`` hash-partitions the scored rows for a
-    later per-key step.
-    """
-    from flightlake.operators.aggregates import attach_scalars
-    raw = score_samples(df, model, "anomaly_score_raw")
-    if partition_by:
-        raw = raw.repartition(*partition_by)
-    if contamination is None:
-        off = raw.sparkSession.range(1).select(F.lit(-0.5).alias("_offset"))
-    else:
-        # the percentile pass ships only the feature columns to Python
-        feats_only = score_samples(df.select(*model.features), model, "anomaly_score_raw")
-        off = _offset(feats_only, contamination, model.n_fit or EXACT_PERCENTILE_MAX_ROWS + 1)
-    out = attach_scalars(raw, off).withColumn(score_col, F.col("anomaly_score_raw") - F.col("_offset"))
-    return (out.withColumn(label_col, F.when(F.col(score_col) < 0, F.lit(-1)).otherwise(F.lit(1)))
-            .drop("anomaly_score_raw", "_offset"))
-
-
 def score(df: DataFrame, model: ForestModel, score_col: str = "anomaly_score",
-          label_col: str = "anomaly_label") -> DataFrame:
+          label_col: str = "anomaly_label", spread: int | None = None) -> DataFrame:
     """Decision score (score_samples - offset) and label -1 / 1."""
     offset = model.offset if model.offset is not None else -0.5
-    s = score_samples(df, model, "_raw")
+    s = score_samples(df, model, "_raw", spread)
     return (s.withColumn(score_col, F.col("_raw") - F.lit(offset))
             .withColumn(label_col, F.when(F.col(score_col) < 0, F.lit(-1)).otherwise(F.lit(1)))
             .drop("_raw"))

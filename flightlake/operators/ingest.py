@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.functions import norm_key, select_existing
+from flightlake.functions import coalesce_alias, norm_key, select_existing
+from flightlake.functions.columns import STATE_ALIASES
 from flightlake.operators.aggregates import first_per_key
 from flightlake.schemas import AIRCRAFT_COLUMNS, STATE_COLUMNS
 
@@ -66,6 +67,26 @@ def accept_rows(lines: DataFrame, mode: str = "lenient", line_col: str = "value"
     return parts.select(*keep, F.inline(rows))
 
 
+def accept_members(scanned: DataFrame, mode: str = "lenient", keep: Sequence[str] = ()) -> DataFrame:
+    """The 16 text columns of scanned archive members (``tarstates`` columns):
+    lines by ``accept_rows``, Avro records by their field names and aliases
+    (N5; lenient mode asks for a numeric time there too). Rows that only tell
+    of a fault are left out; ``archive_faults`` has them."""
+    lines = accept_rows(scanned.filter(F.col("line").isNotNull()), mode, "line", keep)
+    names = dict.fromkeys(n for c in STATE_COLUMNS for n in (c, *STATE_ALIASES.get(c, ())))
+    fields = scanned.filter(F.col("record").isNotNull()).select(*keep, *[F.col("record")[n].alias(n) for n in names])
+    records = coalesce_alias(fields, STATE_COLUMNS, keep=keep)
+    if mode == "lenient":
+        records = records.filter(F.col("time").rlike("^[0-9]+$"))
+    return lines.unionByName(records)
+
+
+def archive_faults(scanned: DataFrame) -> DataFrame:
+    """(archive, member, fault) of what could not be read; member is null where
+    an archive's list of members broke off."""
+    return scanned.filter(F.col("fault").isNotNull()).select("archive", "member", "fault")
+
+
 def clean_states(df: DataFrame, numeric: Sequence[str] = ("velocity", "geoaltitude"),
                  required: Sequence[str] = ("velocity",)) -> DataFrame:
     """Cast ``numeric`` text columns to double (bad text -> NULL), drop rows

@@ -61,9 +61,9 @@ def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, key_cols: Sequence
     return df.orderBy(*order).limit(n)
 
 
-def cap(df: DataFrame, n: int) -> DataFrame:
-    """L4: at most ``n`` rows (any rows), e.g. before handing a result to a client."""
-    return df.limit(n)
+def cap(df: DataFrame, n: int, seed: int = DEFAULT_SEED) -> DataFrame:
+    """L4: at most ``n`` rows for a client: those with the smallest seeded hashes."""
+    return sample_n(df, n, seed)
 
 
 def sort_local(df: DataFrame, cols: Sequence[str]) -> DataFrame:

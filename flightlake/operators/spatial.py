@@ -16,10 +16,10 @@ Parallel form, identical result for any input:
 
 A candidate kept in round r has, in the sequential walk, only dropped
 stronger neighbours, which by induction are exactly the ones this loop
-drops. The loop's control runs on the driver (an emptiness test per round),
-the data stays in Spark; each round's state is checkpointed to the shared
-checkpoint folder so lineage stays short and lost executors recompute
-nothing older than one round.
+drops. Edges with a decided end are dropped with it, so each round works on
+undecided candidates only. A step of the loop is one job: it plans HOPS rounds,
+writes what is left to the shared checkpoint folder (lineage stays short, lost
+executors recompute nothing older) and counts it on the way.
 
 Neighbour buckets: latitude bands of ``threshold`` degrees; within a band,
 longitude buckets of ``threshold / cos(max |lat| of the band)`` degrees,
@@ -32,12 +32,14 @@ neighbour count is bounded by the grid geometry, not by the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.functions import deg_dist_sq
-from flightlake.session import adaptive_execution, ensure_checkpoint_dir
+from flightlake.session import stored
 
 # Suppression radius in degrees (about 20 km).
 NMS_THRESHOLD_DEG = 0.2
@@ -80,50 +82,52 @@ def suppression_edges(cands: DataFrame, threshold: float = NMS_THRESHOLD_DEG) ->
             .select("lat", "lon", "w_lat", "w_lon"))
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
-    return df.checkpoint(eager=True)
+#: Rounds of one job.
+HOPS = 1
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges between candidates still undecided, candidates dropped now).
+
+    An edge leads from a stronger to a weaker undecided candidate. A stronger
+    end that is nobody's weaker end is kept; what it points to is dropped.
+    """
+    weaker = edges.select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct()
+    flagged = edges.join(weaker.withColumn("_w", F.lit(True)), ["lat", "lon"], "left")
+    dropped = (flagged.filter(F.col("_w").isNull())
+               .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
+    left = flagged.filter(F.col("_w").isNotNull()).drop("_w").join(dropped, ["lat", "lon"], "left_anti")
+    gone = dropped.select(F.col("lat").alias("w_lat"), F.col("lon").alias("w_lon"))
+    return left.join(gone, ["w_lat", "w_lon"], "left_anti").select("lat", "lon", "w_lat", "w_lon"), dropped
 
 
 def spatial_nms(cands: DataFrame, lat: str = "lat_cluster", lon: str = "lon_cluster",
-                strength: str = "flight_count", threshold: float = NMS_THRESHOLD_DEG,
-                max_rounds: int = 100_000) -> DataFrame:
+                strength: str = "flight_count", threshold: float = NMS_THRESHOLD_DEG) -> DataFrame:
     """Candidates that survive greedy suppression, strongest first.
 
-    State per round: one table (lat, lon, st) with st 0 undecided, 1 kept,
-    2 suppressed, checkpointed to the shared checkpoint folder; the edge table
-    is checkpointed once. One checkpoint and one emptiness test per round.
+    Every round drops at least the neighbours of the strongest undecided
+    candidate, so the loop ends with the edges.
     """
-    spark = cands.sparkSession
-    ensure_checkpoint_dir(spark)
     # exact duplicates of a position: the strongest suppresses the rest (distance 0)
-    base = (cands.groupBy(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-            .agg(F.max(F.col(strength)).alias("s")))
-    base = _materialise(base)
-    key = ["lat", "lon"]
-    # The loop joins small checkpointed tables whose exact sizes the static
-    # planner sees; per-stage adaptive re-planning costs more than it saves here.
-    with adaptive_execution(spark, False):
-        edges = _materialise(suppression_edges(base, threshold))
-        nodes = base.select("lat", "lon", F.lit(0).alias("st"))
-        for r in range(max_rounds):
-            und = nodes.filter(F.col("st") == 0).select(*key)
-            if r > 0 and und.isEmpty():
-                break
-            blocked = (edges.join(und, key, "left_semi")
-                       .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
-            new_kept = und.join(blocked, key, "left_anti")
-            killed = (edges.join(new_kept, key, "left_semi")
-                      .select(F.col("w_lat").alias("lat"), F.col("w_lon").alias("lon")).distinct())
-            st = (F.when(F.col("st") != 0, F.col("st")).when(F.col("_k").isNotNull(), F.lit(1))
-                  .when(F.col("_d").isNotNull(), F.lit(2)).otherwise(F.lit(0)))
-            step = (nodes.join(new_kept.withColumn("_k", F.lit(1)), key, "left")
-                    .join(killed.withColumn("_d", F.lit(1)), key, "left")
-                    .select(*key, st.alias("st")))
-            nodes = _materialise(step)
-        else:
-            raise RuntimeError("spatial_nms did not converge")
-    kept = base.join(nodes.filter(F.col("st") == 1), key, "left_semi")
+    base = stored(cands.groupBy(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+                  .agg(F.max(F.col(strength)).alias("s")), "candidates")
+    edges = stored(suppression_edges(base, threshold), "edges")
+    dropped = None
+    left = None
+    while left != 0:
+        parts = []
+        for _ in range(HOPS):
+            edges, out = _round(edges)
+            parts.append(out.select("*", F.lit(None).cast("double").alias("w_lat"), F.lit(None).cast("double").alias("w_lon")))
+        # One table holds both results: edges that are left, and positions dropped (no weaker end).
+        counted = Observation()
+        step = reduce(DataFrame.unionByName, [edges, *parts])
+        step = stored(step.observe(counted, F.count("w_lat").alias("left")), "suppression")
+        edges = step.filter(F.col("w_lat").isNotNull())
+        now = step.filter(F.col("w_lat").isNull()).select("lat", "lon")
+        dropped = now if dropped is None else dropped.unionByName(now)
+        left = counted.get["left"]
+    kept = base.join(dropped, ["lat", "lon"], "left_anti")
     return (kept.select(F.col("lat").alias(lat), F.col("lon").alias(lon), F.col("s").alias(strength))
             .orderBy(F.desc(strength), lat, lon))
 

@@ -22,13 +22,14 @@ MIB = 1024.0 * 1024.0
 
 def extreme_per_key(df: DataFrame, key: str = "icao24", score: str = "anomaly_score",
                     ties: Sequence[str] | None = None) -> DataFrame:
-    """Per key the row with the lowest score (ties broken by ``ties``)."""
+    """Per key the row with the lowest score (ties broken by ``ties``); a
+    missing score is no extreme."""
     ties = list(ties) if ties is not None else [c for c in df.columns if c not in (key, score)]
     return first_per_key(df, key, [score, *ties])
 
 
 def last_per_key(df: DataFrame, key: str | Sequence[str], seq: str) -> DataFrame:
-    """Per key the row with the highest ``seq`` (keep='last')."""
+    """Per key the row with the highest ``seq`` (the last one kept)."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
     picked = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(seq)).alias("_row")
@@ -68,10 +69,13 @@ def stage_intervals(tele: DataFrame, ts: str = "timestamp", stage: str = "stage"
                      F.timestamp_add("MICROSECOND", half_us, F.col("start")).alias("midpoint"))
 
 
-def run_kpis(log: DataFrame, seq: str = "seq") -> DataFrame:
-    """A9 + W6: last Duration, last RowCount (0 if none), throughput rows/s."""
+def run_kpis(log: DataFrame, seq: str = "seq", ts: str = "timestamp") -> DataFrame:
+    """A9 + W6: last Duration, last RowCount (0 if none), throughput rows/s.
+    Last is by time where the log has one, then by ``seq``."""
+    order = F.struct(*[F.col(c) for c in (ts, seq) if c in log.columns])
+
     def last_of(metric: str) -> Column:
-        return F.max_by(F.col("value"), F.when(F.col("metric") == metric, F.col(seq)))
+        return F.max_by(F.col("value"), F.when(F.col("metric") == metric, order))
     k = log.agg(last_of("Duration").alias("duration"), last_of("RowCount").alias("row_count"))
     k = k.withColumn("row_count", F.coalesce("row_count", F.lit(0.0)))
     return k.withColumn("throughput", safe_ratio("row_count", "duration"))
@@ -85,39 +89,42 @@ def _bucketed(df: DataFrame, ts: str, bucket_seconds: int) -> DataFrame:
 def counter_delta(df: DataFrame, ts: str, cols: Sequence[str], seq: str | None = None,
                   partition_by: Sequence[str] = (), bucket_seconds: int = 3600,
                   scale: float = MIB) -> DataFrame:
-    """Cumulative counters -> per-interval deltas (previous sample as base,
-    the first sample of a series has delta 0), divided by ``scale``.
+    """Cumulative counters -> per-interval deltas, divided by ``scale``.
 
-    Rows are cut into time buckets: the lag runs per (partition, bucket) in
-    parallel; the first row of a bucket takes its base from the last row of the
-    nearest earlier bucket, found on a per-bucket aggregate.
+    The base of a sample is the last known one before it, so that the deltas
+    add up over gaps; the first known sample of a series has delta 0, an
+    unknown one has none. Rows are cut into time buckets: the base is looked up
+    per (partition, bucket) in parallel; the first rows of a bucket take it
+    from the nearest earlier bucket, found on a per-bucket aggregate.
     """
     parts = list(partition_by)
     order = [F.col(ts)] + ([F.col(seq)] if seq else [])
     b = _bucketed(df, ts, bucket_seconds)
-    w = Window.partitionBy(*parts, "_b").orderBy(*order)
-    tail = (b.groupBy(*parts, "_b")
-            .agg(*[F.max_by(F.col(c), F.struct(*order)).alias(f"_last_{c}") for c in cols]))
-    wb = Window.partitionBy(*parts).orderBy("_b")
-    tail = tail.select(*parts, "_b", *[F.lag(f"_last_{c}").over(wb).alias(f"_prev_{c}") for c in cols])
+    w = Window.partitionBy(*parts, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    last_known = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{c}") for c in cols]
+    tail = b.groupBy(*parts, "_b").agg(*last_known)
+    wb = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tail = tail.select(*parts, "_b", *[F.last(f"_last_{c}", ignorenulls=True).over(wb).alias(f"_prev_{c}")
+                                       for c in cols])
     joined = b.join(tail, [*parts, "_b"], "left")
     out = {}
     for c in cols:
-        prev = F.coalesce(F.lag(c).over(w), F.col(f"_prev_{c}"), F.col(c))
+        prev = F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_prev_{c}"), F.col(c))
         out[f"{c}_delta_mb"] = (F.col(c) - prev).cast(T.DoubleType()) / F.lit(scale)
     return joined.withColumns(out).drop("_b", *[f"_prev_{c}" for c in cols])
 
 
 def counter_since_start(df: DataFrame, ts: str, cols: Sequence[str], seq: str | None = None,
                         partition_by: Sequence[str] = (), scale: float = MIB) -> DataFrame:
-    """Counter minus its first value of the series, divided by ``scale``.
+    """Counter minus its first known value of the series, divided by ``scale``.
 
     The first value is an aggregate (min_by): joined back per partition key,
-    or bound as a literal for a single series; no window.
+    or a scalar subquery for a single series; no window.
     """
     parts = list(partition_by)
     order = F.struct(F.col(ts), *([F.col(seq)] if seq else []))
-    firsts = df.groupBy(*parts).agg(*[F.min_by(F.col(c), order).alias(f"_first_{c}") for c in cols])
+    firsts = df.groupBy(*parts).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_first_{c}")
+                                      for c in cols])
     joined = df.join(firsts, parts, "left") if parts else attach_scalars(df, firsts)
     out = {f"{c}_since_start_mb": (F.col(c) - F.col(f"_first_{c}")).cast(T.DoubleType()) / F.lit(scale)
            for c in cols}
@@ -126,8 +133,8 @@ def counter_since_start(df: DataFrame, ts: str, cols: Sequence[str], seq: str |
 
 def run_stats(samples: DataFrame, ts: str = "timestamp", counter: str = "bytes_recv",
               seq: str | None = None, ndigits: int = 6) -> DataFrame:
-    """A10: duration, mean CPU, mean RAM, cumulative counter MB at the last sample."""
-    order = F.struct(F.col(ts), *([F.col(seq)] if seq else []))
+    """A10: duration, mean CPU, mean RAM, counter MB from the first known to the last known sample."""
+    order = F.when(F.col(counter).isNotNull(), F.struct(F.col(ts), *([F.col(seq)] if seq else [])))
     return samples.agg(
         seconds_between(F.min(ts), F.max(ts)).alias("duration_s"),
         F.round(F.avg("cpu_percent"), ndigits).alias("avg_cpu"),

@@ -1,15 +1,15 @@
 """User-level jobs composed from the operators.
 
-Each job returns DataFrames (or writes a run directory); nothing here pulls
-data to the driver except the isolation-forest model, whose size is fixed by
-its parameters.
+Each job returns DataFrames (or writes a run directory). What reaches the
+driver is bounded: the isolation-forest model (a size fixed by its parameters),
+single values and the counts of a quantile's bins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,10 @@ from flightlake.operators import quality as Q
 from flightlake.operators import sampling as L
 from flightlake.operators import spatial as X
 from flightlake.operators import windows as W
-from flightlake.session import ensure_checkpoint_dir
+from flightlake.session import stored
 from flightlake.sources import files as S
 
-# Report column names of the risk table, in output order.
+# Input columns of the risk table in output order, each with our label for it.
 RISK_COLUMNS = {
     "anomaly_score": "risk_score",
     "icao24": "icao_id",
@@ -39,88 +39,83 @@ RISK_COLUMNS = {
 }
 POINT_COLUMNS = ["velocity_kmh", "baroaltitude", "lat", "lon", "icao24"]
 FOREST_FEATURES = ["velocity_kmh", "baroaltitude"]
-# The reference's sample fraction and client row cap.
-POINT_SAMPLE_FRACTION = 0.5
-POINT_ROW_CAP = 200_000
 
 
 def ingest_states(spark: SparkSession, archives: DataFrame | Sequence[str], out_root: str, run_id: int,
                   mode: str = "lenient") -> str | None:
-    """JB1: archives -> accepted rows -> typed clean -> run directory; returns its
-    path, or None when nothing was selected or nothing survived (N8).
+    """JB1: archives -> accepted rows -> typed clean -> run directory, checked by
+    re-reading it (S16); returns its path, or None when nothing was selected
+    (N8: the selection is looked at, not the data) or no row survived.
 
-    ``archives`` is a selection (S1/S2) or a list of paths; only the selected
-    paths (one per archive) reach the driver.
+    ``archives`` is a selection (S1/S2) with a ``path`` column or a list of
+    paths; members are listed and read in tasks.
     """
-    from flightlake.sources.tarstates import register
-    paths = list(archives) if not isinstance(archives, DataFrame) else \
-        [r.path for r in archives.select("path").collect()]
-    if not paths:
+    from flightlake.sources.tarstates import read_archive_members
+    if not isinstance(archives, DataFrame):
+        archives = spark.createDataFrame([(p,) for p in archives], "path string")
+    if archives.isEmpty():
         return None
-    register(spark)
-    lines = spark.read.format("tarstates").load(",".join(paths))
-    states = N.clean_states(N.accept_rows(lines, mode=mode, line_col="line"))
-    if states.isEmpty():
+    written = Observation()
+    states = N.clean_states(N.accept_members(read_archive_members(archives), mode))
+    path = S.write_run(states.observe(written, F.count(F.lit(1)).alias("rows")), out_root, run_id)
+    rows = written.get["rows"]
+    if not rows:
+        S.remove_tree(spark, path)
         return None
-    return S.write_run(states, out_root, run_id)
+    found, _ = S.verify_run(spark, path)
+    if found != rows:
+        raise RuntimeError(f"{path}: {found} rows of {rows} can be read back")
+    return path
 
 
 def ingest_aircraft(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
-    """JB2: master-data CSV -> projection + first row per icao24 -> write-once Parquet."""
+    """JB2: master-data CSV -> projection + first row per icao24 -> write-once
+    Parquet; returns what is stored (an older file if there was one)."""
     raw = S.read_aircraft_csv(spark, csv_path)
     clean = N.clean_aircraft(raw, order_col="_pos")
     S.write_once(clean, out_path)
-    return clean
+    return S.read_run(spark, out_path)
 
 
-def speed_altitude_points(states: DataFrame, fraction: float | None = POINT_SAMPLE_FRACTION,
-                          row_cap: int | None = POINT_ROW_CAP) -> DataFrame:
-    """JB3: airborne points (km/h), optionally hash-sampled and capped for a client."""
+def speed_altitude_points(states: DataFrame, fraction: float | None = None, row_cap: int | None = None,
+                          seed: int = 42) -> DataFrame:
+    """JB3: all airborne points (km/h). A caller that draws them may ask for a
+    hash sample of a fraction, and for at most ``row_cap`` rows (those with the
+    smallest seeded hashes)."""
     pts = select_existing(Fl.airborne(states), POINT_COLUMNS)
     if fraction is not None:
-        pts = L.sample_hash(pts, fraction)
-    return L.cap(pts, row_cap) if row_cap else pts
+        pts = L.sample_hash(pts, fraction, seed)
+    return L.cap(pts, row_cap, seed) if row_cap else pts
+
+
+def _forest_input(points: DataFrame) -> DataFrame:
+    return points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
 
 
 def detect_anomalies(points: DataFrame, trees: int = 100, sample: int = 256,
-                     contamination: float | None = 0.01, seed: int = 42) -> DataFrame:
+                     contamination: float | None = 0.01, seed: int = 42, spread: int | None = None) -> DataFrame:
     """JB4: forest over (velocity_kmh, baroaltitude); per aircraft its most
     extreme anomalous row (label -1), lat/lon numeric.
 
-    The decision is monotone in the raw score, so an aircraft's most extreme
-    anomalous row is its lowest-scoring row, kept when it lies below the
-    offset. One scoring pass feeds one aggregation: every scored row goes to
-    its aircraft's group (min_by, combined map-side) and to one global group
-    (the contamination percentile). The result — one row per aircraft plus
-    one — is checkpointed, the offset read from it.
+    The scored rows are written once; the offset is their exact contamination
+    quantile, and only rows below it (about that share) go on to the choice of
+    each aircraft's lowest score.
     """
-    feats = points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
+    feats = _forest_input(points)
     model = iforest.fit(feats, FOREST_FEATURES, trees, sample, None, seed)
-    raw = iforest.score_samples(feats, model, "_raw")
-    cols = [c for c in feats.columns]
-    ties = [c for c in cols if c != "icao24"]
-    both = raw.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
-    key = F.when(F.col("_kind") == 0, F.col("icao24")).alias("_key")
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols], F.col("_raw")),
-                     F.struct(F.col("_raw"), *[F.col(c) for c in ties])).alias("_row")]
-    if contamination is not None:
-        aggs.append(iforest.offset_aggregate(F.when(F.col("_kind") == 1, F.col("_raw")), contamination,
-                                             model.n_fit).alias("_offset"))
-    ensure_checkpoint_dir(points.sparkSession)
-    grouped = both.groupBy(key, "_kind").agg(*aggs).checkpoint(eager=True)
-    offset = (-0.5 if contamination is None
-              else grouped.filter(F.col("_kind") == 1).select("_offset").first()["_offset"])
-    per_aircraft = grouped.filter(F.col("_kind") == 0).select("_row.*")
-    score = F.col("_raw") - F.lit(float(offset))
-    return (per_aircraft.filter(score < 0)
-            .select(*[F.col(c) for c in cols], score.alias("anomaly_score"), F.lit(-1).alias("anomaly_label"))
-            .withColumns({"lat": num("lat"), "lon": num("lon")}))
-
-
-def batch_inference(points: DataFrame, model: iforest.ForestModel, factor: float, seed: int = 42) -> DataFrame:
+    scored = stored(iforest.score_samples(feats, model, "anomaly_score", spread), "scores")
+    offset = -0.5 if contamination is None else iforest.exact_quantile(scored, "anomaly_score", contamination)
+    score = F.col("anomaly_score") - F.lit(offset)
+    below = scored.withColumn("anomaly_score", score).filter(F.col("anomaly_score") < 0)
+    worst = W.extreme_per_key(below, "icao24", "anomaly_score", [c for c in feats.columns if c != "icao24"])
+    return worst.select(*feats.columns, "anomaly_score", F.lit(-1).alias("anomaly_label")).withColumns(
+        {"lat": num("lat"), "lon": num("lon")})
+
+
+def batch_inference(points: DataFrame, model: iforest.ForestModel, factor: float, seed: int = 42,
+                    spread: int | None = None) -> DataFrame:
     """Score ``factor`` times the points (U1/U2 upscaling) with a fitted forest."""
-    feats = points.withColumns({c: F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(0.0)) for c in FOREST_FEATURES})
-    return iforest.score(L.upscale(feats, factor, seed), model)
+    return iforest.score(L.upscale(_forest_input(points), factor, seed), model, spread=spread)
 
 
 def risk_table(worst: DataFrame, aircraft: DataFrame, k: int | None = 50) -> DataFrame:
@@ -139,7 +134,7 @@ def risk_table(worst: DataFrame, aircraft: DataFrame, k: int | None = 50) -> Dat
 
 def risk_report(states: DataFrame, aircraft: DataFrame, k: int = 50, **forest) -> DataFrame:
     """JB6: forest anomalies -> master data -> top-k risk table."""
-    return risk_table(detect_anomalies(speed_altitude_points(states, None, None), **forest), aircraft, k)
+    return risk_table(detect_anomalies(speed_altitude_points(states), **forest), aircraft, k)
 
 
 def metadata_coverage(states: DataFrame, aircraft: DataFrame) -> DataFrame:

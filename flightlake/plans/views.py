@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# ``states`` — 16 text columns of a state vector, plus event_id as tie-breaker.
+# ``states`` — 16 text columns of a state vector, plus event_id as tie-breaker;
+# some times do not parse.
 STATES_SQL = """
-SELECT event_id, CAST(1704067200 + event_id * 10 AS STRING) AS time,
+SELECT event_id, CASE WHEN event_id % 89 = 5 THEN 'bad' ELSE CAST(1704067200 + event_id * 10 AS STRING) END AS time,
  lower(hex(user_id + 10485760)) AS icao24,
  CAST(CAST(((user_id % 12) * 1000 - 6000 + (event_id % 9) * 3) * 10 + (event_id % 2) * 6 + 1 AS DOUBLE) / CAST(1000 AS DOUBLE) AS STRING) AS lat,
  CAST(CAST(((user_id % 12) * 2500 - 15000 + (event_id % 5) * 7) * 10 + (event_id % 2) * 6 + 1 AS DOUBLE) / CAST(1000 AS DOUBLE) AS STRING) AS lon,
@@ -31,20 +32,26 @@ SELECT event_id, CAST(1704067200 + event_id * 10 AS STRING) AS time,
 FROM {events}
 """
 
-# ``aircraft`` — upper-case keys with a trailing blank, NULL and blank attributes.
+# ``aircraft`` — upper-case keys with a trailing blank, NULL and blank
+# attributes; other spellings of some keys without any attributes, before or
+# behind the known row in file order (_pos); a row without a key.
 AIRCRAFT_SQL = """
-SELECT concat(upper(hex(p_partkey * 2 + 10485760)), ' ') AS icao24,
+SELECT p_partkey * 2 + 1 AS _pos, concat(upper(hex(p_partkey * 2 + 10485760)), ' ') AS icao24,
  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS manufacturerName,
  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END AS model, p_type AS typecode,
  CASE WHEN p_partkey % 3 = 0 THEN '  ' ELSE p_brand END AS operator FROM {part}
+UNION ALL SELECT CASE WHEN p_partkey % 22 = 0 THEN p_partkey * 2 ELSE p_partkey * 2 + 1000000000 END AS _pos,
+ lower(hex(p_partkey * 2 + 10485760)) AS icao24, CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING)
+ FROM {part} WHERE p_partkey % 11 = 0
+UNION ALL SELECT 0 AS _pos, CAST(NULL AS STRING), p_brand, p_name, p_type, p_brand FROM {part} WHERE p_partkey % 50 = 1
 """
 
-# ``telemetry`` — sampler output; bytes_recv is a cumulative counter.
+# ``telemetry`` — sampler output; bytes_recv is a cumulative counter with gaps.
 TELEMETRY_SQL = """
 SELECT event_id AS sample_id, ts AS timestamp, event_type AS stage,
  CAST((event_id * 13) % 100 AS DOUBLE) AS cpu_percent, CAST((event_id * 11) % 100 AS DOUBLE) AS ram_percent,
  CAST((event_id * 7) % 160 AS DOUBLE) / CAST(10 AS DOUBLE) AS ram_gb, CAST(0 AS DOUBLE) AS net_sent_mb, value AS net_recv_mb,
- (event_id * event_id) * 4096 AS bytes_recv FROM {events}
+ CASE WHEN event_id % 53 < 2 THEN NULL ELSE (event_id * event_id) * 4096 END AS bytes_recv FROM {events}
 """
 
 # ``metric_log`` — pipeline metric records.

@@ -9,13 +9,9 @@ STATE_COLUMNS = [
     "geoaltitude", "lastposupdate", "lastcontact",
 ]
 
-RAW_STATES_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in STATE_COLUMNS])
-
 # Master-data columns kept from the aircraft database.
 AIRCRAFT_COLUMNS = ["icao24", "manufacturerName", "model", "typecode", "categoryDescription", "operator"]
 
-AIRCRAFT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in AIRCRAFT_COLUMNS])
-
 TELEMETRY_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
     T.StructField("stage", T.StringType(), True),
@@ -44,8 +40,3 @@ BENCH_SCHEMA = T.StructType([
     T.StructField("net_mb", T.DoubleType(), True),
     T.StructField("disk_mb", T.DoubleType(), True),
 ])
-
-DISK_LOG_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.DoubleType(), True),
-    T.StructField("total_mb", T.DoubleType(), True),
-])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-from contextlib import contextmanager
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants; the cluster manager supplies the rest.
 DEFAULT_CONF = {
@@ -54,20 +56,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="flightlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)  # a private folder of a local run
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-@contextmanager
-def adaptive_execution(spark: SparkSession, enabled: bool):
-    """Temporarily set ``spark.sql.adaptive.enabled``; the caller's value is restored."""
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true" if enabled else "false")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` written once as a table under the shared checkpoint folder and
+    read back: its lineage ends there and every executor sees the files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,28 +97,47 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TELEMETRY_SCHEMA).option("header", True).csv(path)
 
 
+def _record_order() -> Column:
+    """Order of the records of text files: file, block in it, row of the block.
+    (Row ids alone follow the splits, which are packed by size.)"""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def read_bench_history(spark: SparkSession, path: str) -> DataFrame:
-    """Benchmark-history CSV; ``seq`` keeps the file order."""
+    """Benchmark-history CSV; ``seq`` keeps the order of files and records."""
     df = spark.read.schema(BENCH_SCHEMA).option("header", True).csv(path)
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    return df.withColumn("seq", _record_order())
 
 
 def read_metric_log(spark: SparkSession, path: str, array: bool = True) -> DataFrame:
     """Metric log as one JSON array (writer format) or JSON lines
-    (bad lines dropped); ``seq`` keeps the record order."""
+    (bad lines dropped); ``seq`` keeps the order of files and records."""
     if array:
         df = spark.read.schema(METRIC_LOG_SCHEMA).option("multiLine", True).json(path)
     else:
         df = spark.read.schema(METRIC_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    return df.withColumn("seq", _record_order())
 
 
-def read_run(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False) -> DataFrame:
-    """S8 + U3: Parquet run directory (or several); corrupt part files skipped."""
-    r = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", True)
+def read_run(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False,
+             skip_corrupt: bool = False) -> DataFrame:
+    """S8 + U3: Parquet run directory (or several). A broken part file fails the
+    read; with ``skip_corrupt`` it is left out (``corrupt_parts`` names it)."""
+    r = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
     return r.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
+def corrupt_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Part files of a run that yield no rows when broken ones are skipped: the
+    Parquet files of the folder without a single readable row (path, length)."""
+    files = list_files(spark, path, "*.parquet").select("path", "length")
+    readable = read_run(spark, path, skip_corrupt=True).select(F.col("_metadata.file_path").alias("p")).distinct()
+    # Listings give plain paths, readers encoded ones: compare the names.
+    name = lambda c: F.element_at(F.split(F.col(c), "/"), -1)
+    return files.join(readable.select(name("p").alias("n")), name("path") == F.col("n"), "left_anti")
+
+
 # ------------------------------------------------------------------ sinks
 
 def write_run(df: DataFrame, root: str, run_id: int) -> str:
@@ -128,6 +147,12 @@ def write_run(df: DataFrame, root: str, run_id: int) -> str:
     return path
 
 
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours (any file system that Spark knows)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_once(df: DataFrame, path: str) -> None:
     """Write unless the target exists."""
     df.write.mode("ignore").parquet(path)
@@ -140,6 +165,7 @@ def run_noop(df: DataFrame) -> None:
 
 def verify_run(spark: SparkSession, path: str, cols: Sequence[str] = ("time", "icao24", "lat", "lon"),
                k: int = 5) -> tuple[int, DataFrame]:
-    """Re-read a run: row count and a k-row preview of some columns."""
+    """Re-read a run: row count and a k-row preview of some columns. A
+    broken part file fails the check."""
     df = read_run(spark, path)
     return df.count(), df.select(*[c for c in cols if c in df.columns]).limit(k)

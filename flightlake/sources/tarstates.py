@@ -1,124 +1,97 @@
 """``tarstates``: a Python Data Source over tar archives of state files.
 
-Planning lists each archive's members from the tar headers alone (member
-data is skipped by seeking) and groups them into partitions of about
-``partitionBytes``; a task seeks to its members and streams them, so one huge
-archive is read by many tasks and memory stays bounded by one Arrow batch.
-An archive that cannot be listed (e.g. truncated) is streamed front to back
-by one task. Members:
+An archive's members are listed from its headers alone (member data is skipped
+by seeking) and read by offset, so one large archive is read by many tasks and
+memory stays bounded by one block of text. Members:
 
 * ``*.csv.gz``   gunzipped, one row per line;
 * plain csv      (name contains ``.csv`` or ``states``), one row per line;
 * ``*.avro``     Avro containers (``fastavro`` when installed, else the
-  built-in decoder); records become comma-joined lines in state column
-  order, alias names resolved (N5).
+  built-in decoder), one row per record, its fields as a map of texts.
 
-Bytes are decoded as UTF-8 with undecodable bytes dropped. A broken archive
-ends that archive's rows; rows already produced are kept and the job goes on.
-Line parsing (arity, header, padding) is left to ``accept_rows`` so it runs
-as JVM expressions. Paths may be anything ``pyarrow.fs`` opens (local,
-HDFS, object stores), so executors read archives directly.
+Columns: archive, member, line (text members), record (Avro members), fault.
+Bytes are decoded as UTF-8 with undecodable bytes dropped. One rule for broken
+input, whatever the size or the path: a broken member ends with the last whole
+line or record before the break, the other members are read, headers that
+break off end the archive's list; each break gives one row with only ``fault``
+set, so that a caller can count what is missing. Only format errors are such
+breaks; an archive that is missing or cannot be read fails the task.
+
+Line parsing (arity, header, padding) and alias names are left to
+``accept_members``, so they run as JVM expressions. Paths may be anything
+``pyarrow.fs`` opens (local, HDFS, object stores).
 
 Usage::
 
     spark.dataSource.register(TarStatesDataSource)
     spark.read.format("tarstates").load("a.tar,b.tar")
+    read_archive_members(paths_df)          # many archives: listed in tasks
 """
 
 from __future__ import annotations
 
 import gzip
 import io
-import sys
+import struct
 import tarfile
+import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from flightlake.functions.columns import STATE_ALIASES
-from flightlake.schemas import STATE_COLUMNS
 from flightlake.sources.avro_records import read_records
 
 SCHEMA = StructType([StructField("archive", StringType()), StructField("member", StringType()),
-                     StructField("line", StringType())])
+                     StructField("line", StringType()),
+                     StructField("record", MapType(StringType(), StringType())),
+                     StructField("fault", StringType())])
+_ARROW = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line", pa.string()),
+                    ("record", pa.map_(pa.string(), pa.string())), ("fault", pa.string())])
 BATCH_ROWS = 10_000
+BLOCK = 1 << 20
+#: What broken tar, gzip, deflate and Avro data raise. (BadGzipFile is an
+#: OSError; all other OSErrors are failed reads and are not caught.)
+FORMAT_ERRORS = (tarfile.TarError, gzip.BadGzipFile, zlib.error, EOFError, ValueError, KeyError, IndexError,
+                 struct.error, OverflowError)
+
+Member = tuple[str, int, int]  # name, offset of its data, size
 
 
 class ArchivePartition(InputPartition):
-    """A whole archive streamed front to back, or (``members`` set) a group of
-    its members given as (name, data offset, size)."""
+    """Some members of an archive, or all of them (listed by the task)."""
 
-    def __init__(self, path: str, members: list[tuple[str, int, int]] | None = None):
+    def __init__(self, path: str, members: list[Member] | None = None):
         super().__init__(path)
         self.path = path
         self.members = members
 
 
-def list_members(path: str) -> list[tuple[str, int, int]] | None:
-    """(name, data offset, size) of the readable members, from the headers only
-    (member data is skipped by seeking); None when the archive cannot be listed."""
-    try:
-        with _open(path) as raw, tarfile.open(fileobj=raw, mode="r:") as tar:
-            return [(m.name, m.offset_data, m.size) for m in tar if m.isfile() and member_kind(m.name)]
-    except Exception:  # noqa: BLE001 - fall back to streaming the archive
-        return None
-
-
-def archive_size(path: str) -> int | None:
-    """Size in bytes from file-system metadata (no data read)."""
-    try:
-        if path.startswith("file:") or "://" not in path:
-            import os
-            local = path[len("file:"):] if path.startswith("file:") else path
-            while local.startswith("//"):
-                local = local[1:]
-            return os.path.getsize(local)
-        from pyarrow import fs
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        return filesystem.get_file_info(inner).size
-    except Exception:  # noqa: BLE001
-        return None
-
+def _filesystem(path: str):
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
 
-def plan_partitions(paths: list[str], target_bytes: int) -> list[ArchivePartition]:
-    """Members of an archive grouped up to ``target_bytes`` per partition.
 
-    Only archives larger than ``target_bytes`` are listed (their headers are
-    read on the driver); smaller ones are one partition each. For very many
-    large archives use ``read_archive_members`` (listing in tasks).
-    """
-    parts: list[ArchivePartition] = []
-    for p in paths:
-        size = archive_size(p)
-        members = list_members(p) if size is None or size > target_bytes else None
-        if not members:
-            parts.append(ArchivePartition(p))
-            continue
-        group: list[tuple[str, int, int]] = []
-        size = 0
-        for m in members:
-            if group and size + m[2] > target_bytes:
-                parts.append(ArchivePartition(p, group))
-                group, size = [], 0
-            group.append(m)
-            size += m[2]
-        parts.append(ArchivePartition(p, group))
-    return parts
+def open_archive(path: str):
+    """A seekable file object for a local path or any URI that pyarrow knows."""
+    filesystem, inner = _filesystem(path)
+    return filesystem.open_input_file(inner)
 
 
-def _open(path: str):
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    if "://" in path:
-        from pyarrow import fs
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        return filesystem.open_input_stream(inner)
-    return open(path, "rb")
+def archive_size(path: str) -> int:
+    """Size in bytes from file-system metadata (no data read)."""
+    filesystem, inner = _filesystem(path)
+    size = filesystem.get_file_info(inner).size
+    if size is None:
+        raise FileNotFoundError(path)
+    return size
 
 
 def member_kind(name: str) -> str | None:
@@ -132,84 +105,141 @@ def member_kind(name: str) -> str | None:
     return None
 
 
-def _avro_records(f) -> Iterator[dict]:
-    try:
-        import fastavro  # optional, faster
-        return iter(fastavro.reader(f))
-    except ImportError:
-        return read_records(f)
-
-
-def _avro_lines(f) -> Iterator[str]:
-    """Records -> comma-joined state lines; own field name first, then aliases."""
-    for rec in _avro_records(f):
-        vals = []
-        for c in STATE_COLUMNS:
-            v = rec.get(c)
-            for alias in STATE_ALIASES.get(c, []):
-                if v is not None:
-                    break
-                v = rec.get(alias)
-            vals.append("" if v is None else str(v))
-        yield ",".join(vals)
-
-
-def _member_lines(f, kind: str) -> Iterator[str]:
-    if kind == "avro":
-        yield from _avro_lines(f)
-        return
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=f)) if kind == "gz" else f
-    for b in stream:
-        yield b.decode("utf-8", errors="ignore").rstrip("\r\n")
+def list_members(path: str) -> tuple[list[Member], str | None]:
+    """Readable members from the headers, and the fault that ended the list."""
+    found: list[Member] = []
+    with open_archive(path) as raw:
+        try:
+            with tarfile.open(fileobj=raw, mode="r:") as tar:
+                for m in tar:
+                    if m.isfile() and member_kind(m.name):
+                        found.append((m.name, m.offset_data, m.size))
+        except FORMAT_ERRORS as e:
+            return found, repr(e)
+    return found, None
 
 
 class _Slice(io.RawIOBase):
-    """Read-only view of ``size`` bytes of ``f`` starting at its current position."""
+    """Read-only view of ``size`` bytes of ``f`` from ``offset`` on."""
 
-    def __init__(self, f, size: int):
+    def __init__(self, f, offset: int, size: int):
+        f.seek(offset)
         self.f, self.left = f, size
 
     def readable(self):
         return True
 
     def readinto(self, b):
-        n = min(len(b), self.left)
-        if n <= 0:
-            return 0
-        data = self.f.read(n)
+        data = self.f.read(min(len(b), self.left))
         b[:len(data)] = data
         self.left -= len(data)
         return len(data)
 
 
-def iter_members(path: str, members: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, str]]:
-    """Lines of the listed members, each read by seeking to its data."""
+def _line_blocks(stream) -> Iterator[list[str]]:
+    """Lines of a byte stream, many at a time. The bytes after the last line
+    end are a line only if the stream ends well."""
+    rest = b""
+    while block := stream.read1(BLOCK):
+        whole, end, tail = block.rpartition(b"\n")
+        if not end:
+            rest += block
+            continue
+        lines = (rest + whole).decode("utf-8", errors="ignore").split("\n")
+        rest = tail
+        yield [x.rstrip("\r") for x in lines]
+    if rest:
+        yield [rest.decode("utf-8", errors="ignore").rstrip("\r")]
+
+
+def _avro_records(f) -> Iterator[dict]:
     try:
-        with _open(path) as raw:
-            for name, offset, size in members:
-                raw.seek(offset)
-                f = io.BufferedReader(_Slice(raw, size))
-                for line in _member_lines(f, member_kind(name)):
-                    yield path, name, line
-    except Exception as e:  # noqa: BLE001 - a broken member ends this partition's rows only
-        print(f"tarstates: stopped reading {path}: {e!r}", file=sys.stderr)
-
-
-def iter_archive(path: str) -> Iterator[tuple[str, str, str]]:
-    """(archive, member, line) for every line of every readable member."""
+        import fastavro  # optional, faster
+        return iter(fastavro.reader(f))
+    except ImportError:
+        return read_records(f)
+
+
+def _rows(archive: str, member: str | None, lines=None, records=None, fault: str | None = None) -> pa.RecordBatch:
+    n = len(lines) if lines is not None else len(records) if records is not None else 1
+    columns = [[archive] * n, [member] * n, lines or [None] * n, records or [None] * n, [fault] * n]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW.types)], schema=_ARROW)
+
+
+def read_member(raw, archive: str, member: Member) -> Iterator[pa.RecordBatch]:
+    """The rows of one member; a break in it is its last row."""
+    name, offset, size = member
+    f = io.BufferedReader(_Slice(raw, offset, size))
+    kind = member_kind(name)
     try:
-        with _open(path) as raw, tarfile.open(fileobj=raw, mode="r|") as tar:
-            for member in tar:
-                kind = member_kind(member.name) if member.isfile() else None
-                if kind is None:
-                    continue
-                f = tar.extractfile(member)
-                if f is None:
-                    continue
-                for line in _member_lines(f, kind):
-                    yield path, member.name, line
-    except Exception as e:  # noqa: BLE001 - a broken archive ends its own rows only
-        print(f"tarstates: stopped reading {path}: {e!r}", file=sys.stderr)
+        if kind == "avro":
+            batch: list[list[tuple[str, str]]] = []
+            for rec in _avro_records(f):
+                batch.append([(k, str(v)) for k, v in rec.items() if v is not None])
+                if len(batch) == BATCH_ROWS:
+                    yield _rows(archive, name, records=batch)
+                    batch = []
+            if batch:
+                yield _rows(archive, name, records=batch)
+            return
+        counted = _Counted(f) if kind == "csv" else gzip.GzipFile(fileobj=f)
+        for lines in _line_blocks(counted):
+            for i in range(0, len(lines), BATCH_ROWS):
+                yield _rows(archive, name, lines=lines[i:i + BATCH_ROWS])
+        if kind == "csv" and counted.seen < size:
+            raise EOFError(f"{counted.seen} bytes of {size}")
+    except FORMAT_ERRORS as e:
+        yield _rows(archive, name, fault=repr(e))
+
+
+class _Counted:
+    """``read1`` that counts, to tell a cut-off plain member from a whole one."""
+
+    def __init__(self, f):
+        self.f, self.seen = f, 0
+
+    def read1(self, n: int) -> bytes:
+        data = self.f.read1(n)
+        self.seen += len(data)
+        return data
+
+
+def read_members(archive: str, members: list[Member]) -> Iterator[pa.RecordBatch]:
+    with open_archive(archive) as raw:
+        for member in members:
+            yield from read_member(raw, archive, member)
+
+
+def read_archive(archive: str) -> Iterator[pa.RecordBatch]:
+    members, fault = list_members(archive)
+    yield from read_members(archive, members)
+    if fault:
+        yield _rows(archive, None, fault=fault)
+
+
+def plan_partitions(paths: list[str], target_bytes: int) -> list[ArchivePartition]:
+    """Members of a large archive grouped up to ``target_bytes`` per partition.
+
+    Archives up to ``target_bytes`` are one partition each and listed by their
+    task; for larger ones the headers are read here. For very many large
+    archives use ``read_archive_members``, which lists in tasks.
+    """
+    parts: list[ArchivePartition] = []
+    for p in paths:
+        members, fault = list_members(p) if archive_size(p) > target_bytes else ([], None)
+        if not members or fault:
+            parts.append(ArchivePartition(p))
+            continue
+        group: list[Member] = []
+        size = 0
+        for m in members:
+            if group and size + m[2] > target_bytes:
+                parts.append(ArchivePartition(p, group))
+                group, size = [], 0
+            group.append(m)
+            size += m[2]
+        parts.append(ArchivePartition(p, group))
+    return parts
 
 
 class TarStatesReader(DataSourceReader):
@@ -224,19 +254,10 @@ class TarStatesReader(DataSourceReader):
         return plan_partitions(self.paths, self.target_bytes)
 
     def read(self, partition):
-        import pyarrow as pa
-        cols: tuple[list, list, list] = ([], [], [])
-        rows = (iter_members(partition.path, partition.members) if partition.members
-                else iter_archive(partition.path))
-        for a, m, line in rows:
-            cols[0].append(a)
-            cols[1].append(m)
-            cols[2].append(line)
-            if len(cols[2]) >= BATCH_ROWS:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=SCHEMA.names)
-                cols = ([], [], [])
-        if cols[2]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=SCHEMA.names)
+        if partition.members is None:
+            yield from read_archive(partition.path)
+        else:
+            yield from read_members(partition.path, partition.members)
 
 
 class TarStatesDataSource(DataSource):
@@ -265,57 +286,50 @@ def register(spark) -> None:
     spark.dataSource.register(TarStatesDataSource)
 
 
-# ------------------------------------------------------------------ distributed member reading
+# ------------------------------------------------------------------ distributed listing and reading
 
-MEMBER_SCHEMA = "archive string, member string, offset long, size long"
+MEMBER_SCHEMA = "archive string, member string, offset long, size long, fault string"
 
 
 def list_archive_members(archives: DataFrame, path_col: str = "path") -> DataFrame:
-    """(archive, member, offset, size) of every readable member, listed in tasks.
+    """(archive, member, offset, size, fault) of every readable member, listed
+    in tasks; a list that breaks off has one row with only ``fault`` set."""
 
-    An archive that cannot be listed yields one row with offset -1: it is
-    streamed front to back by ``read_archive_members``.
-    """
-    def listing(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = []
-            for path in pdf[path_col]:
-                members = list_members(path)
-                if members:
-                    out.extend((path, n, o, z) for n, o, z in members)
-                else:
-                    out.append((path, "", -1, 0))
-            yield pd.DataFrame(out, columns=["archive", "member", "offset", "size"])
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                members, fault = list_members(path)
+                rows = [(path, n, o, z, None) for n, o, z in members]
+                rows += [(path, None, None, None, fault)] if fault else []
+                columns = list(zip(*rows)) or [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(),
+                                                              pa.string()))],
+                    names=["archive", "member", "offset", "size", "fault"])
 
-    return archives.select(path_col).mapInPandas(listing, MEMBER_SCHEMA)
+    return archives.select(path_col).mapInArrow(listing, MEMBER_SCHEMA)
 
 
 def read_archive_members(archives: DataFrame, target_bytes: int = 128 * 1024 * 1024,
                          path_col: str = "path") -> DataFrame:
-    """Lines (archive, member, line) of many archives with listing and reading in tasks.
+    """Rows of many archives with listing and reading in tasks; no path list
+    passes through the driver.
 
-    Members are hash-spread over ceil(total member bytes / ``target_bytes``)
-    partitions, so a few huge archives and many small ones both balance.
+    Members are dealt to ceil(all member bytes / ``target_bytes``) partitions,
+    at least one for each eight members, so a few huge archives, many small
+    ones and broken ones all spread.
     """
     members = list_archive_members(archives, path_col)
     total = members.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    n_parts = max(1, min(int(total["n"] or 1), -(-int(total["b"] or 0) // target_bytes) or 1))
-    spread = members.repartition(n_parts, "archive", "member")
-
-    def reading(batches):
-        import pandas as pd
-        for pdf in batches:
-            for rec in pdf.itertuples(index=False):
-                rows = (iter_archive(rec.archive) if rec.offset < 0
-                        else iter_members(rec.archive, [(rec.member, int(rec.offset), int(rec.size))]))
-                buf = []
-                for r in rows:
-                    buf.append(r)
-                    if len(buf) >= BATCH_ROWS:
-                        yield pd.DataFrame(buf, columns=["archive", "member", "line"])
-                        buf = []
-                if buf:
-                    yield pd.DataFrame(buf, columns=["archive", "member", "line"])
-
-    return spread.mapInPandas(reading, "archive string, member string, line string")
+    n_parts = max(1, -(-int(total["b"] or 0) // target_bytes), -(-int(total["n"]) // 8))
+    spread = members.repartition(n_parts, "archive", "member", "offset")
+
+    def reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["fault"]:
+                    yield _rows(r["archive"], None, fault=r["fault"])
+                else:
+                    yield from read_members(r["archive"], [(r["member"], r["offset"], r["size"])])
+
+    return spread.mapInArrow(reading, SCHEMA)

@@ -5,7 +5,7 @@ import json
 import struct
 import zlib
 
-from flightlake.operators.ingest import accept_rows
+from flightlake.operators.ingest import accept_members
 from flightlake.sources.avro_records import read_records
 from flightlake.sources.tarstates import register
 
@@ -78,8 +78,17 @@ def test_decoder_codecs():
 def test_avro_member_through_ingest(spark, tmp_path):
     register(spark)
     tar = make_tar(tmp_path / "avro.tar", [("part.avro", container(RECS, "deflate"))])
-    rows = accept_rows(spark.read.format("tarstates").load(tar), "strict", "line").orderBy("time").collect()
+    rows = accept_members(spark.read.format("tarstates").load(tar), "strict").orderBy("time").collect()
     assert [r.time for r in rows] == ["1700000000", "1700000010"]
     a, b = rows
     assert (a.lat, a.lon, a.velocity, a.onground, a.geoaltitude) == ("50.5", "8.25", "100.5", "False", "1200.0")
     assert (b.lat, b.velocity, b.onground, b.geoaltitude, b.heading) == ("", "", "True", "300.0", "")
+
+
+def test_values_with_commas_stay_whole(spark, tmp_path):
+    register(spark)
+    rec = dict(RECS[0], icao24="AB,C")
+    tar = make_tar(tmp_path / "comma.tar", [("part.avro", container([rec]))])
+    for mode in ("strict", "lenient"):
+        row = accept_members(spark.read.format("tarstates").load(tar), mode).first()
+        assert (row.icao24, row.onground, row.alert) == ("AB,C", "False", "")

@@ -16,14 +16,14 @@ def test_forest_flags_outlier_first(spark):
     rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal([500, 10000], [30, 300], (2000, 2)))]
     rows.append((2000, 5000.0, 100.0))
     df = spark.createDataFrame(rows, "id long, velocity_kmh double, baroaltitude double")
-    model = iforest.fit(df, ["velocity_kmh", "baroaltitude"], trees=50, contamination=0.01, seed=42, key_cols=["id"])
+    model = iforest.fit(df, ["velocity_kmh", "baroaltitude"], trees=50, contamination=0.01, seed=42)
     scored = iforest.score(df, model)
     worst = scored.orderBy("anomaly_score").first()
     assert worst.id == 2000 and worst.anomaly_label == -1
     flagged = scored.filter(F.col("anomaly_label") == -1).count()
     assert 10 <= flagged <= 40
     # layout independence: same model on a reshuffled input
-    m2 = iforest.fit(df.repartition(5, "id"), ["velocity_kmh", "baroaltitude"], trees=50, seed=42, key_cols=["id"])
+    m2 = iforest.fit(df.repartition(5, "id"), ["velocity_kmh", "baroaltitude"], trees=50, seed=42)
     assert np.array_equal(model.feature, m2.feature) and np.allclose(model.threshold, m2.threshold)
 
 
@@ -44,3 +44,31 @@ def test_upscale(spark):
     assert 2400 < n < 2600
     assert upscale(df, 3, copy_col="c").groupBy("c").count().count() == 3
     assert 150 < upscale(df, 0.2).count() < 250
+
+
+def test_quantile_is_exact(spark):
+    rng = np.random.default_rng(3)
+    for values in (rng.random(30_000) * 1e-3 - 0.5, np.repeat([-0.7, -0.5, -0.4999999999999999, -0.1], [20_000, 3, 2, 9_000]),
+                   np.array([1.5]), np.concatenate([rng.random(9_000), [1e12, -1e12]]), np.full(10_000, 0.25)):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+        for q in (0.0, 0.01, 0.37, 0.5, 1.0):
+            assert iforest.exact_quantile(df, "x", q) == np.quantile(values, q)
+    assert iforest.exact_quantile(df.limit(0), "x", 0.5) is None
+
+
+def test_one_sampling_design_at_every_size(spark):
+    """Trees get psi rows each, above and below the number of draws, and where nearly all rows are equal."""
+    base = spark.range(60_000)
+    cases = {
+        "few": base.limit(100), "some": base.limit(3_000), "many": base,
+        "equal": base.withColumn("id", F.when(F.col("id") % 60 == 0, F.col("id")).otherwise(F.lit(7))),
+    }
+    for name, df in cases.items():
+        df = df.select(F.col("id").cast("double").alias("x"), (F.col("id") * 3.0).alias("y"))
+        n, psi = df.count(), min(256, df.count())
+        picked = iforest.sample_trees(df, ["x", "y"], n, 100, psi, 42)
+        sizes = [r["count"] for r in picked.groupBy("tree").count().collect()]
+        assert len(sizes) == 100 and min(sizes) >= 0.9 * psi, (name, min(sizes))
+        if name == "equal":
+            share = picked.filter("x = 7").count() / picked.count()
+            assert abs(share - 59_000 / 60_000) < 0.01

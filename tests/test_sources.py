@@ -3,9 +3,12 @@ import io
 import json
 import tarfile
 
-from flightlake.operators.ingest import accept_rows, clean_aircraft, clean_states
+import pytest
+
+from flightlake.operators.ingest import accept_members, archive_faults, clean_aircraft, clean_states
 from flightlake.sources import files as S
-from flightlake.sources.tarstates import register
+from flightlake.sources.archives import write_state_archives
+from flightlake.sources.tarstates import read_archive_members, register
 
 HEADER = "time,icao24,lat,lon,velocity,heading,vertrate,callsign,onground,alert,spi,squawk,baroaltitude,geoaltitude,lastposupdate,lastcontact"
 
@@ -30,26 +33,23 @@ def gz(lines):
     return gzip.compress(("\n".join(lines) + "\n").encode())
 
 
-def test_good_ragged_truncated_and_bad_bytes(spark, tmp_path):
+def test_good_ragged_and_bad_bytes(spark, tmp_path):
     register(spark)
     good = make_tar(tmp_path / "good.tar", [("a.csv.gz", gz([HEADER, row(1), row(2), row(3)])),
                                             ("b.csv.gz", gz([HEADER, row(4), row(5), row(6)]))])
     ragged_lines = [",".join(["1"] * 9), ",".join(["2"] * 10), ",".join(["3"] * 15), row(4), row(5) + ",x", "",
                     "T9," + row(9).split(",", 1)[1]]
     ragged = make_tar(tmp_path / "ragged.tar", [("r.csv", "\n".join(ragged_lines).encode())])
-    second = gz([row(7), row(8)])
-    trunc = make_tar(tmp_path / "trunc.tar", [("c.csv.gz", gz([row(10)])), ("d.csv.gz", second)], truncate=1024 + 512 + 40)
     badb = make_tar(tmp_path / "bad.tar", [("e.csv", row(11).encode() + b"\xff\xfe" + b"\n")])
-    lines = spark.read.format("tarstates").load(",".join([good, ragged, trunc, badb]))
-    assert lines.rdd.getNumPartitions() == 4          # one task per archive
+    lines = spark.read.format("tarstates").load(",".join([good, ragged, badb]))
+    assert lines.rdd.getNumPartitions() == 3          # one task per archive
     by = {r.archive.split("/")[-1]: r.n for r in lines.groupBy("archive").count().withColumnRenamed("count", "n").collect()}
     assert by["good.tar"] == 8 and by["ragged.tar"] == 7
-    assert by.get("trunc.tar", 0) >= 1                 # rows before the break are kept
-    lenient = accept_rows(lines, "lenient", "line", keep=["archive"])
+    lenient = accept_members(lines, "lenient", keep=["archive"])
     lr = [r for r in lenient.collect() if r.archive.endswith("ragged.tar")]
     assert sorted(r.time for r in lr) == ["2", "3", "4", "5"]          # >= 10 fields, numeric time
     assert all(r.lastcontact is not None for r in lr)                   # padded with ''
-    strict = accept_rows(lines, "strict", "line", keep=["archive"])
+    strict = accept_members(lines, "strict", keep=["archive"])
     sr = sorted(r.time for r in strict.collect() if r.archive.endswith("ragged.tar"))
     assert sr == ["4", "T9"]
     bad = [r for r in clean_states(lenient).collect() if r.archive.endswith("bad.tar")]
@@ -115,6 +115,93 @@ def test_line_counts_bench_history_and_ingest_job(spark, tmp_path):
     assert ingest_states(spark, [], str(tmp_path / "runs"), 8) is None
 
 
+def broken_archives(tmp_path):
+    """Every kind of break between good members, and what must come back."""
+    body = "\n".join(row(i) for i in range(400))
+    good = [("m1.csv.gz", gz([row(i) for i in range(5)])), ("m3.csv.gz", gz([row(i) for i in range(7)]))]
+    cut = gzip.compress(body.encode())
+    cases = {
+        "badgzip": [good[0], ("m2.csv.gz", b"no gzip at all"), good[1]],
+        "cutgzip": [good[0], ("m2.csv.gz", cut[:len(cut) // 2]), good[1]],
+        "badavro": [good[0], ("m2.avro", b"Obj\x01garbage"), good[1]],
+    }
+    paths = [make_tar(tmp_path / f"{n}.tar", m) for n, m in cases.items()]
+    # the archive itself ends inside its last member, or inside a header
+    paths.append(make_tar(tmp_path / "endsdata.tar", [*good, ("z.csv", body.encode())], truncate=512 * 6 + 5000))
+    paths.append(make_tar(tmp_path / "endshead.tar", [*good, ("z.csv", b"x")], truncate=512 * 4 + 100))
+    return paths
+
+
+def test_breaks_are_the_same_on_every_path(spark, tmp_path):
+    register(spark)
+    paths = broken_archives(tmp_path)
+    joined = ",".join(paths)
+    key = lambda r: tuple(str(x) for x in r)
+    whole = sorted(spark.read.format("tarstates").option("splitMembers", "false").load(joined).collect(), key=key)
+    split = sorted(spark.read.format("tarstates").option("partitionBytes", 100).load(joined).collect(), key=key)
+    listed = read_archive_members(spark.createDataFrame([(p,) for p in paths], "path string"), target_bytes=100)
+    assert whole == split == sorted(listed.collect(), key=key)
+    faults = {(r.archive.split("/")[-1][:-4], r.member) for r in archive_faults(listed).collect()}
+    assert faults >= {("badgzip", "m2.csv.gz"), ("cutgzip", "m2.csv.gz"), ("badavro", "m2.avro"), ("endsdata", "z.csv")}
+    for name in ("badgzip", "cutgzip", "badavro", "endsdata", "endshead"):
+        lines = [r for r in whole if r.archive.endswith(f"/{name}.tar") and r.line is not None]
+        assert sum(r.member == "m1.csv.gz" for r in lines) == 5 and sum(r.member == "m3.csv.gz" for r in lines) == 7
+    cut = [r.line for r in whole if r.archive.endswith("cutgzip.tar") and r.member == "m2.csv.gz" and r.line is not None]
+    assert cut == [row(i) for i in range(len(cut))] or sorted(cut) == sorted(row(i) for i in range(len(cut)))
+
+
+def test_a_missing_archive_fails_the_read(spark, tmp_path):
+    paths = spark.createDataFrame([(str(tmp_path / "none.tar"),)], "path string")
+    with pytest.raises(Exception, match="none.tar"):
+        read_archive_members(paths).collect()
+
+
+def test_uri_archives_are_split(spark, tmp_path):
+    register(spark)
+    tar = make_tar(tmp_path / "big.tar", [(f"m{i}.csv.gz", gz([row(i * 100 + j) for j in range(50)])) for i in range(8)])
+    split = spark.read.format("tarstates").option("partitionBytes", 600).load(f"file://{tar}")
+    assert split.rdd.getNumPartitions() >= 4 and split.count() == 400
+    many = [make_tar(tmp_path / f"t{i}.tar", [("a.csv", b"x\n" * 10)] * 9) for i in range(8)]
+    spread = read_archive_members(spark.createDataFrame([(f"file://{p}",) for p in many], "path string"))
+    assert spread.rdd.getNumPartitions() >= 8 and spread.count() == 8 * 9 * 10
+
+
+def test_archives_roll_by_size(spark, tmp_path):
+    df = spark.range(4000).selectExpr("CAST(id AS STRING) AS time", "'abc' AS icao24")
+    paths = write_state_archives(df, root=str(tmp_path / "out"), num_archives=2, max_bytes=4000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    try:
+        found = sorted(r.path for r in paths.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) > 4
+    lines = read_archive_members(spark.createDataFrame([(p,) for p in found], "path string"))
+    assert lines.filter("line NOT LIKE 'time%'").count() == 4000
+
+
+def test_truncated_part_fails_the_check(spark, tmp_path):
+    run = S.write_run(spark.range(100).repartition(4), str(tmp_path), 1)
+    part = sorted((tmp_path / "run_1").glob("part-*.parquet"))[1]
+    lost = spark.read.parquet(str(part)).count()
+    part.write_bytes(part.read_bytes()[:-20])
+    (tmp_path / "run_1" / f".{part.name}.crc").unlink()
+    with pytest.raises(Exception):
+        S.verify_run(spark, run, cols=["id"])
+    assert S.read_run(spark, run, skip_corrupt=True).count() == 100 - lost
+    assert [r.path.split("/")[-1] for r in S.corrupt_parts(spark, run).collect()] == [part.name]
+
+
+def test_record_order_over_files_packed_by_size(spark, tmp_path):
+    folder = tmp_path / "h"
+    folder.mkdir()
+    head = "files_count,duration_sec,avg_cpu,avg_ram,net_mb,disk_mb\n"
+    for i in range(6):  # later files are larger, so splits are not packed in their order
+        (folder / f"h{i}.csv").write_text(head + f"5,{i},1,2,3,4\n" * (1 + 40 * i))
+    h = S.read_bench_history(spark, str(folder))
+    from flightlake.operators.windows import bench_summary
+    assert bench_summary(h).first().duration_sec == 5.0
+
+
 def test_archive_split_by_members(spark, tmp_path):
     register(spark)
     members = [(f"m{i}.csv.gz", gz([HEADER] + [row(i * 100 + j) for j in range(50)])) for i in range(5)]
@@ -123,22 +210,6 @@ def test_archive_split_by_members(spark, tmp_path):
     split = spark.read.format("tarstates").option("partitionBytes", 600).load(tar)
     whole = spark.read.format("tarstates").option("splitMembers", "false").load(tar)
     assert split.rdd.getNumPartitions() >= 5 and whole.rdd.getNumPartitions() == 1
-    key = lambda r: (r.member, r.line)
+    key = lambda r: (str(r.member), str(r.line))
     assert sorted(split.collect(), key=key) == sorted(whole.collect(), key=key)
     assert split.count() == 5 * 51 + 7
-
-
-def test_distributed_member_reading(spark, tmp_path):
-    from flightlake.sources.tarstates import list_archive_members, read_archive_members
-    register(spark)
-    a = make_tar(tmp_path / "a.tar", [(f"m{i}.csv.gz", gz([HEADER] + [row(i * 10 + j) for j in range(10)])) for i in range(4)])
-    b = make_tar(tmp_path / "b.tar", [("x.csv", "\n".join(row(500 + j) for j in range(3)).encode())])
-    c = make_tar(tmp_path / "c.tar", [("y.csv.gz", gz([row(700)])), ("z.csv.gz", gz([row(701)]))], truncate=1024 + 300)
-    paths = spark.createDataFrame([(a,), (b,), (c,)], "path string")
-    members = list_archive_members(paths).collect()
-    assert sum(1 for m in members if m.archive == a) == 4
-    got = read_archive_members(paths, target_bytes=100)
-    ref = spark.read.format("tarstates").option("splitMembers", "false").load(",".join([a, b, c]))
-    key = lambda r: (r.archive, r.member, r.line)
-    assert sorted(got.collect(), key=key) == sorted(ref.collect(), key=key)
-    assert got.filter("archive = '%s'" % a).count() == 44

@@ -54,7 +54,6 @@ def test_duplicate_positions(spark):
     assert got == [(1.0, 1.0, 5), (5.0, 5.0, 1)]
 
 
-def test_session_setting_restored(spark):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    run(spark, [(1.0, 1.0, 1), (1.05, 1.0, 2)])
-    assert spark.conf.get("spark.sql.adaptive.enabled") == before
+def test_nothing_to_suppress(spark):
+    assert run(spark, [(1.0, 1.0, 1), (5.0, 1.0, 2)]) == [(5.0, 1.0, 2), (1.0, 1.0, 1)]
+    assert spatial_nms(spark.createDataFrame([], SCHEMA)).collect() == []

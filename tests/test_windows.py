@@ -44,7 +44,7 @@ def test_run_kpis_and_bench(spark):
     assert [(r.files_count, r.duration_sec, r.sec_per_file) for r in b] == [(1, 4.0, 4.0), (5, 20.0, 4.0)]
 
 
-def test_scalar_literals_keep_timestamps(spark):
+def test_attached_scalars_keep_timestamps(spark):
     from pyspark.sql import functions as F
 
     from flightlake.operators.aggregates import attach_scalars
@@ -57,3 +57,34 @@ def test_scalar_literals_keep_timestamps(spark):
                      (F.col("b") == F.lit("2024-10-27 02:30:00.5").cast("timestamp_ntz")).alias("ok_b"),
                      F.col("c")).first()
     assert row.ok_a and row.ok_b and row.c == 2.5
+
+
+def test_counters_with_gaps(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    mb = 1024 * 1024
+    values = [None, 10, 20, None, None, 35, 50, None]
+    rows = [(i, t0 + dt.timedelta(seconds=i), v if v is None else v * mb) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "sample_id long, timestamp timestamp_ntz, bytes_recv long")
+    for bucket in (1, 2, 3, 3600):
+        got = W.counter_delta(df, "timestamp", ["bytes_recv"], seq="sample_id", bucket_seconds=bucket).orderBy("sample_id")
+        assert [r.bytes_recv_delta_mb for r in got.collect()] == [None, 0.0, 10.0, None, None, 15.0, 15.0, None]
+    since = W.counter_since_start(df, "timestamp", ["bytes_recv"], seq="sample_id").orderBy("sample_id").collect()
+    assert [r.bytes_recv_since_start_mb for r in since] == [None, 0.0, 10.0, None, None, 25.0, 40.0, None]
+
+
+def test_missing_scores_and_times_come_last(spark):
+    from flightlake.operators.aggregates import one_vote
+    df = spark.createDataFrame([("a", None, 1), ("a", 2.0, 2), ("b", None, 3), (None, 1.0, 4), (None, None, 0)],
+                               "icao24 string, anomaly_score double, x int")
+    assert sorted((r.icao24 or "", r.x) for r in W.extreme_per_key(df).collect()) == [("", 4), ("a", 2), ("b", 3)]
+    votes = spark.createDataFrame([("a", "bad", "1"), ("a", "100", "2"), ("a", "99", "3"), ("b", "bad", "4")],
+                                  "icao24 string, time string, lat string")
+    assert sorted((r.icao24, r.lat) for r in one_vote(votes).collect()) == [("a", "3"), ("b", "4")]
+
+
+def test_first_per_key_hashes_before_it_sorts(spark):
+    from flightlake.operators.aggregates import first_per_key
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS t", "CAST(id AS STRING) AS s")
+    plan = first_per_key(df, "k", ["t", "s"])._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate(keys=" in plan and sorted(
+        (r.k, r.t) for r in first_per_key(df, "k", ["t", "s"]).collect()) == [(k, k) for k in range(7)]
