@@ -27,14 +27,15 @@ def vectors(seed, n, dim=8, scale=1.0):
     return [(i, [rng.gauss(0, scale) for _ in range(dim)]) for i in range(n)]
 
 
-ODD = [(100, None), (200, [1.0, None, 0, 0, 0, 0, 0, 0]), (300, [float("nan")] * 8), (400, [float("inf")] + [0.0] * 7),
-       (None, [1.0] * 8), (500, []), (501, []), (600, [0.5] * 3), (601, [-0.5] * 3), (700, [0.0] * 8), (800, [1e300] + [0.0] * 7)]
+ODD = [(2000, None), (2100, [1.0, None] + [0.0] * 6), (2200, [float("nan")] * 8), (2300, [float("inf")] + [0.0] * 7),
+       (None, [1.0] * 8), (2400, []), (2401, []), (2500, [0.5] * 3), (2501, [-0.5] * 3), (2600, [0.0] * 8),
+       (2700, [1e300] + [0.0] * 7)]
 
 
 @pytest.mark.parametrize("block_rows,query_rows", [(bsi.BLOCK_ROWS, bsi.QUERY_ROWS), (130, 3)])
 def test_against_brute_force(spark, block_rows, query_rows):
     base = vectors(1, 900)
-    rows = base + [(1000 + i, base[5][1]) for i in range(80)] + ODD + [(1100, base[7][1])] * 3 + [(1200, base[8][1])]
+    rows = base + [(1000 + i, base[5][1]) for i in range(80)] + ODD + [(3100, base[7][1])] * 3 + [(3200, base[8][1])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string")
     asked = df.filter("vec_id % 100 = 0")
     got = sorted(map(tuple, bsi.top_k(df, asked, block_rows=block_rows, query_rows=query_rows).collect()))

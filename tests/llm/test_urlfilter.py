@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from flightlake.llm import urlfilter
 from flightlake.llm.components import connected_components
 
@@ -24,7 +26,7 @@ def rule_of(url):
 
 
 URLS = ["http://a.net/x", "https://Sub.Example.NET/en/1?q#f", "http://example.net/de/", "http://m.example.com/de/9",
-        "http://example.com/en/", "ftp://x.org/fr/a", "http://fr.org/", "", None, "no scheme", "http://net", "http://net/",
+        "http://example.com/en/", "ftp://x.org/fr/a", "http://fr.org/", "", None, "no scheme", "http://nets", "http://net/",
         "http://x.net?y=/z", "://example.net/en/", "http://é.org/fr/É", "http://anet/", "http://good.com/1",
         "http://good.com/2", "http://good.com/3", "http://good.com/3", "http://good.com/4#f", "http://good.com/5/"]
 
@@ -54,6 +56,15 @@ def test_aliases_take_blocks_unless_allowed(spark):
     assert got["https://Sub.Example.NET/en/1?q#f"] == "allow" and got["http://a.net/x"] == "block"
 
 
+def test_forms_of_one_url_are_aliases(spark):
+    urls = ["http://net/", "https://NET", "http://net/#x", "http://a.com/x/?utm_source=f&b=1", "https://a.com/x?b=1"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.filter_urls(pages).collect()}
+    assert got == {0: ("net/", "block"), 1: (None, "block"), 2: ("net/", "block"), 3: (None, "allow"), 4: (None, "allow")}
+    forms = pages.select(urlfilter.canonical_form(F.col("url")).alias("f")).collect()
+    assert forms[0] == forms[1] == forms[2] and forms[3] == forms[4]
+
+
 def test_links_of_html(spark):
     rows = [(1, "http://a.com/", '<head><LINK href="http://b.com/" rel="canonical"></head>'),
             (2, "http://c.com/", "<meta http-equiv=refresh content='0; url=http://d.com/x'>"),
