@@ -187,7 +187,7 @@ class Model:
     """Margins of units through a table of subsequence weights, and the
     calibration over a document's worst units."""
 
-    def __init__(self, kernel: Kernel | None, weights: np.ndarray | None, bias: float, link: tuple[float, float]):
+    def __init__(self, kernel: Kernel | None, weights: np.ndarray | None, bias: float, link: tuple[str, tuple[float, ...]]):
         self.kernel, self.weights, self.bias, self.link = kernel, weights, bias, link
         self.known: dict[str, float] = {}
 
@@ -227,7 +227,9 @@ class Model:
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        return _any_toxic(self.worst([units(x) for x in texts]), *self.link)
+        kind, values = self.link
+        worst = self.worst([units(x) for x in texts])
+        return (_any_toxic if kind == "any" else _add_up)(worst, *values)
 
     def to_bytes(self) -> bytes:
         small = None
@@ -265,28 +267,54 @@ def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) ->
     return w[:-1], float(w[-1])
 
 
-def _any_toxic(margins: np.ndarray, slope: float, offset: float) -> np.ndarray:
+def _probability(t: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(t, -30, 30)))
+
+
+def _any_toxic(margins: np.ndarray, slope: float, centre: float) -> np.ndarray:
     """The probability that any of the units is toxic, each being so with a
     logistic probability of its margin."""
-    t = np.clip(slope * margins + offset, -30, 30)
+    t = np.clip(slope * (margins - centre), -30, 30)
     return 1.0 - np.exp(-np.log1p(np.exp(t)).sum(axis=1))
 
 
-def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the greatest likelihood, on grids that narrow in; a
-    weak prior keeps the slope finite where the classes are apart."""
-    slope, centre, width_s, width_c = 4.0, 0.5, 2.0, 2.0
-    for _ in range(6):
-        best = None
-        for s in slope * np.exp2(np.linspace(-width_s, width_s, 13)):
-            for c in centre + np.linspace(-width_c, width_c, 13):
-                p = np.clip(_any_toxic(margins, s, -s * c), 1e-6, 1 - 1e-6)
-                loss = -(y * np.log(p) + (1 - y) * np.log(1 - p)).sum() + 0.1 * s
-                if best is None or loss < best[0]:
-                    best = loss, s, c
-        _, slope, centre = best
-        width_s, width_c = width_s / 3, width_c / 3
-    return float(slope), float(-slope * centre)
+def _add_up(margins: np.ndarray, steep: float, centre: float, offset: float, slope: float) -> np.ndarray:
+    """A logistic probability of what the units weigh together: little below the
+    centre, in proportion to the margin above it. Several doubtful units count."""
+    return _probability(offset + slope * np.logaddexp(0.0, steep * (margins - centre)).sum(axis=1))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
+    """(offset, slope) of a logistic regression on one feature, by Newton steps
+    with a weak ridge on the slope."""
+    x = np.column_stack([np.ones(len(x)), x])
+    w, reg = np.zeros(2), np.array([1e-6, ridge])
+    for _ in range(30):
+        p = _probability(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(reg), x.T @ (p - y) + reg * w)
+        w = w - np.clip(step, -4, 4)
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(w[0]), float(w[1])
+
+
+def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[str, tuple[float, ...]]:
+    """The link, and its parameters, under which the labels are likeliest: one
+    toxic unit is enough, or doubtful units add up."""
+    def loss(p: np.ndarray) -> float:
+        p = np.clip(p, 1e-6, 1 - 1e-6)
+        return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+    found = [(loss(_any_toxic(margins, s, c)) + 0.1 * s, "any", (s, c))
+             for s in np.exp2(np.linspace(0, 5, 16)).tolist() for c in np.linspace(-1, 2, 31).tolist()]
+    for steep in (2.0, 4.0, 8.0):
+        for centre in np.linspace(-0.75, 1.25, 9).tolist():
+            w = _logistic(np.logaddexp(0.0, steep * (margins - centre)).sum(axis=1), y)
+            if w[1] > 0:
+                found.append((loss(_add_up(margins, steep, centre, *w)) + 0.1 * steep * w[1], "sum",
+                              (steep, centre, *w)))
+    # That one unit is enough is the rule; adding up must explain clearly more.
+    return min((x + (0.002 * len(y) if kind == "sum" else 0.0), kind, values) for x, kind, values in found)[1:]
 
 
 def _insert(piece: str, rng: np.random.Generator) -> str:
@@ -336,7 +364,7 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> Model:
     """SVM on four fifths of the documents, calibration on all. Without both
     classes, a constant score."""
     share = (labels.sum() + 1.0) / (len(labels) + 2.0)
-    constant = Model(None, None, 0.0, (0.0, float(np.log(np.expm1(-np.log1p(-share) / WORST)))))
+    constant = Model(None, None, 0.0, ("sum", (1.0, 0.0, float(np.log(share / (1 - share))), 0.0)))
     if len(labels) < 10 or labels.min() == labels.max():
         return constant
     rng = np.random.default_rng(seed)
