@@ -47,7 +47,9 @@ def shard_documents(docs: DataFrame, num_shards: int = 40, size: Column | None =
         groups = (base.filter(F.col("__group").isNotNull()).groupBy("__group")
                   .agg(first.alias("__first"), F.sum("__size").alias("__group_size"), F.count(F.lit(1)).alias("__n"))
                   .filter("__n > 1").drop("__n"))
-        base = base.join(groups, "__group", "left")
+        # Written first, so that the join's two sides come straight from shuffles
+        # (or a broadcast) and the rows of a hot group are split over tasks.
+        base = base.join(materialise(groups, "groups"), "__group", "left")
         base = base.withColumn("__first", F.coalesce(
             "__first", F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])))
     else:
