@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.session import ensure_checkpoint_dir
+from flightlake.session import stored
 
 # ASCII bytes that are part of a word after lower-casing: digits and letters;
 # every byte of a non-ASCII character belongs to a word. All else separates.
@@ -34,10 +32,7 @@ def words(text: str | None) -> list[bytes]:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table under the cluster's checkpoint folder and read it
     back: the lineage ends there and every executor sees the files."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, name)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
