@@ -148,11 +148,15 @@ def sample_trees(df: DataFrame, features: Sequence[str], n: int, trees: int, psi
     draws = F.floor(F.col("_m") * F.lit(p) + _unit(F.lit(seed), F.lit(-1), *features)).cast("int")
     drawn = points.select(*features, draws.alias("_d")).filter("_d > 0")
     drawn = drawn.select(*features, F.explode(F.sequence(F.lit(1), F.col("_d"))).alias("_i"))
-    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        F.xxhash64(F.lit(seed), F.lit(-2), *features, F.col("_i"), t).alias("h"), t.alias("t"))))
-    dealt = drawn.select(*features, "_i", F.explode(F.slice(ranked, 1, c)).alias("_s"))
-    dealt = dealt.select(*features, "_i", F.col("_s.t").alias("tree"),
-                         F.xxhash64(F.lit(seed), F.lit(-3), *features, F.col("_i"), F.col("_s.t")).alias("_h"))
+    # c different trees: a start and a stride without a common divisor with the number of trees
+    strides = F.array(*[F.lit(k) for k in range(1, trees + 1) if math.gcd(k, trees) == 1])
+    h = F.xxhash64(F.lit(seed), F.lit(-2), *features, F.col("_i"))
+    stride = F.element_at(strides, (F.pmod(F.shiftright(h, 32), F.size(strides)) + 1).cast("int"))
+    dealt = drawn.select(*features, "_i", F.pmod(h, F.lit(trees)).alias("_t"), stride.alias("_s"),
+                         F.explode(F.sequence(F.lit(0), F.lit(c - 1))).alias("_j"))
+    tree = F.pmod(F.col("_t") + F.col("_j") * F.col("_s"), F.lit(trees)).cast("int")
+    dealt = dealt.select(*features, "_i", tree.alias("tree"))
+    dealt = dealt.withColumn("_h", F.xxhash64(F.lit(seed), F.lit(-3), *features, F.col("_i"), F.col("tree")))
     w = Window.partitionBy("tree").orderBy("_h", *features, "_i")
     return dealt.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).select("tree", "_h", *features)
 
