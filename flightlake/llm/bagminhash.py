@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.llm.common import materialise, mix64, window_hashes, words
@@ -140,8 +140,8 @@ def _bag_digest(text: str | None, bag: tuple[np.ndarray, np.ndarray]) -> bytes |
     return xxhash.xxh3_128_digest(b"bag" + bag[0].tobytes() + bag[1].astype(np.int64).tobytes())
 
 
-def sign_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, bag, n, bands): digest and total weight of the bag, band keys."""
+def sign_texts(docs: DataFrame, doc_id: str, text: str, row: Column) -> DataFrame:
+    """(doc_id, row, bag, n, bands): digest and total weight of the bag, band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,12 +158,13 @@ def sign_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sizes += [int(c.sum()) for _, c in bags]
                 keys += bands
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "bag", "n", "bands"])
+                [batch.column("doc_id"), batch.column("row"), pa.array(digests, pa.binary()),
+                 pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "row", "bag", "n", "bands"])
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"doc_id {kind}, bag binary, n long, bands array<long>")
+    return rows.mapInArrow(sign, f"doc_id {kind}, row long, bag binary, n long, bands array<long>")
 
 
 def bag_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -253,9 +254,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes, block against block. Whatever the size of a bucket, a task holds
     two blocks of about ``block_items`` items, and only links leave it.
     """
-    signed = materialise(sign_texts(docs, doc_id, text), "signed")
+    rows = _classed_rows(docs, doc_id, text, threshold, block_items, F.monotonically_increasing_id())
+    return rows.select("doc_id", "class_id", "n_shingles")
+
+
+def _classed_rows(docs: DataFrame, doc_id: str, text: str, threshold: float, block_items: int,
+                  row: Column) -> DataFrame:
+    """(doc_id, row, class_id, n_shingles, kept): ``kept`` is the row number of
+    the class's first row by (doc_id, nulls last; row number), null for a null text."""
+    signed = materialise(sign_texts(docs, doc_id, text, row), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     nodes = (signed.filter("bag IS NOT NULL").groupBy("bag")
-             .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+             .agg(F.min("doc_id").alias("first_id"), first.alias("first"),
+                  F.first("n").alias("n"), F.first("bands").alias("bands"))
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = materialise(nodes, "bags")
 
@@ -309,22 +320,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not more.isEmpty():
         found = materialise(connected_components(links.union(more)), "classes")
 
-    firsts = found.join(nodes.select("node", "first_id"), "node")
-    smallest = firsts.groupBy("component").agg(F.min("first_id").alias("smallest"))
+    firsts = found.join(nodes.select("node", "first"), "node")
+    smallest = firsts.groupBy("component").agg(F.min("first").alias("smallest"))
     linked = firsts.join(smallest, "component").select("node", "smallest")
-    classes = nodes.select("bag", "node", "first_id").join(linked, "node", "left").select(
-        "bag", F.when(F.col("node").isNotNull() & F.col("smallest").isNotNull(), F.col("smallest"))
-        .otherwise(F.col("first_id")).alias("class_id"))
+    classes = (nodes.select("bag", "node", "first").join(linked, "node", "left")
+               .withColumn("first", F.coalesce("smallest", "first"))
+               .select("bag", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("kept")))
     classes = materialise(classes, "classes")
-    return signed.select("doc_id", "bag", F.col("n").alias("n_shingles")).join(classes, "bag", "left").select(
-        "doc_id", F.when(F.col("bag").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        "n_shingles")
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class: that with the smallest id. Documents with a
-    null id stay; rows with the same id stay or go together."""
-    doc_id = options.get("doc_id", "doc_id")
-    surplus = (near_duplicates(docs, **options).filter("doc_id <> class_id").select("doc_id").distinct())
-    surplus = materialise(surplus, "surplus").withColumnRenamed("doc_id", "__surplus")
-    return docs.join(surplus, F.col(doc_id) == F.col("__surplus"), "left_anti")
+    return (signed.select("doc_id", "row", "bag", F.col("n").alias("n_shingles")).join(classes, "bag", "left")
+            .select("doc_id", "row", F.when(F.col("bag").isNull(), F.col("doc_id"))
+                    .otherwise(F.col("class_id")).alias("class_id"), "n_shingles", "kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                         threshold: float = SIMILARITY, block_items: int = 400_000,
+                         null_ids_stay: bool = True) -> DataFrame:
+    """One row of each class: the first by (doc_id, nulls last), of rows with
+    the same id any one. The choice is by row: equal ids of different classes do
+    not touch each other, repeated rows are copies. Null texts stay, they are
+    alike to none. ``null_ids_stay``: rows without an id are nobody's copies;
+    otherwise they are dropped like all others."""
+    numbered = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    rows = _classed_rows(numbered, doc_id, text, threshold, block_items, F.col("__row"))
+    surplus = rows.filter("row <> kept")
+    if null_ids_stay:
+        surplus = surplus.filter("doc_id IS NOT NULL")
+    surplus = materialise(surplus.select(F.col("row").alias("__row")), "surplus")
+    return numbered.join(surplus, "__row", "left_anti").select(docs.columns)

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from flightlake.llm import bagminhash, queries
 from flightlake.llm.components import connected_components
 from tests.llm.util import SF01, bag, classes, jaccard
@@ -95,6 +96,20 @@ def test_dedup_keeps_one_of_each(spark):
     assert sum(r.doc_id is None for r in kept) == 2
 
 
+def test_dedup_goes_by_row(spark):
+    """Repeated rows, copies without an id, and an id shared with a copy."""
+    base, other, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, base, "x"), (1, base, "x"), (1, base, "y"), (2, base, "x"), (2, other, "clean"), (None, base, "x"),
+            (None, third, "z"), (None, third, "z"), (7, None, "null"), (7, None, "null")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = bagminhash.drop_near_duplicates(df, null_ids_stay=False)
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(1, base), (2, other), (None, third), (7, None), (7, None)])
+    assert {(r.doc_id, r.text) for r in corpus_pipeline.drop_copies(spark, df, "").collect()} == {
+        (1, base), (2, other), (None, third), (7, None)}
+
+
 def test_query_on_small_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
     bags = [bag(t) for _, t in docs]
