@@ -114,6 +114,12 @@ def list_members(path: str) -> tuple[list[Member], str | None]:
                 for m in tar:
                     if m.isfile() and member_kind(m.name):
                         found.append((m.name, m.offset_data, m.size))
+                end = tar.offset
+            # After the first member, tarfile takes a broken header for the end.
+            raw.seek(end)
+            header = raw.read(tarfile.BLOCKSIZE)
+            if header and header != tarfile.NUL * tarfile.BLOCKSIZE:
+                raise tarfile.ReadError(f"broken header at byte {end}")
         except FORMAT_ERRORS as e:
             return found, repr(e)
     return found, None

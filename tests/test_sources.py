@@ -150,6 +150,27 @@ def test_breaks_are_the_same_on_every_path(spark, tmp_path):
     assert cut == [row(i) for i in range(len(cut))] or sorted(cut) == sorted(row(i) for i in range(len(cut)))
 
 
+def test_broken_headers_are_faults(spark, tmp_path):
+    register(spark)
+    members = [(f"m{i}.csv", f"{i}\n".encode()) for i in range(3)]
+    whole = make_tar(tmp_path / "whole.tar", members)
+    data = open(whole, "rb").read()
+    paths = [whole]
+    for name, broken in {"endshead": data[:512 * 4 + 100],                          # cut inside the third header
+                         "badsum": data[:1024 + 148] + b"9" + data[1024 + 149:],   # wrong checksum in the second
+                         "noend": data[:512 * 6]}.items():                          # all members, no zero blocks
+        (tmp_path / f"{name}.tar").write_bytes(broken)
+        paths.append(str(tmp_path / f"{name}.tar"))
+    listed = read_archive_members(spark.createDataFrame([(p,) for p in paths], "path string"))
+    loaded = spark.read.format("tarstates").option("partitionBytes", 1).load(",".join(paths))
+    for rows in (listed.collect(), loaded.collect()):
+        name = lambda r: r.archive.split("/")[-1][:-4]
+        assert sorted(name(r) for r in rows if r.fault is not None) == ["badsum", "endshead"]
+        assert sorted((name(r), r.line) for r in rows if r.line is not None) == [
+            ("badsum", "0"), ("endshead", "0"), ("endshead", "1"), ("noend", "0"), ("noend", "1"), ("noend", "2"),
+            ("whole", "0"), ("whole", "1"), ("whole", "2")]
+
+
 def test_a_missing_archive_fails_the_read(spark, tmp_path):
     paths = spark.createDataFrame([(str(tmp_path / "none.tar"),)], "path string")
     with pytest.raises(Exception, match="none.tar"):
