@@ -46,7 +46,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL by rule, else by its aliases."""
     pages = table(spark, sf_dir, "pages")
-    judged = urlfilter.filter_urls(pages.select("page_id", "url"), urlfilter.page_links(pages))
+    judged = urlfilter.filter_urls(pages.select("page_id", "url"), urlfilter.page_links(pages, resolve=True))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

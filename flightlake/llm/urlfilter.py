@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import without
+from flightlake.llm.common import materialise, without
 from flightlake.llm.components import connected_components
 
 #: (verdict, rule) with the rule as host/path (fixed by the contract).
@@ -59,15 +59,57 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
     return rule, verdict
 
 
-def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst): the canonical link and the refresh redirect that a page's
-    HTML names with an absolute URL."""
-    link = F.regexp_extract(F.col(html), r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    meta = F.regexp_extract(F.col(html), r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    href = F.regexp_extract(link, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    target = F.regexp_extract(meta, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
-    both = F.filter(F.array(href, target), lambda t: F.locate("://", t) > 0)
-    return pages.filter(F.size(both) > 0).select(F.col(url).alias("src"), F.explode(both).alias("dst"))
+def without_dots(path: Column) -> Column:
+    """A path less its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: F.when(s == ".", acc)
+                       .when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                       .otherwise(F.concat(acc, F.array(s))))
+    kept = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """``target`` as an absolute URL, seen from ``base``. Null for targets of
+    other kinds (``mailto:``) and, unless absolute, where ``base`` has no ``://``."""
+    scheme = F.regexp_extract(base, r"(?s)^([^/?#]*)://", 1)
+    site = F.regexp_extract(base, r"(?s)^([^/?#]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"(?s)^[^/?#]*://[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(base, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.concat(F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1), F.lit("/"))
+    relative = (F.when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+                .when(target.startswith("/"), F.concat(site, without_dots(own), rest))
+                .when(target.startswith("?"), F.concat(site, path, rest))
+                .when(target.startswith("#"), F.concat(site, path, query, rest))
+                .otherwise(F.concat(site, without_dots(F.concat(folder, own)), rest)))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(~target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & (site != "") & (target != ""), relative))
+
+
+def page_links(pages: DataFrame, url: str = "url", html: str = "html", resolve: bool = False) -> DataFrame:
+    """(src, dst): all canonical links and refresh redirects that a page's HTML
+    names with an absolute URL; with ``resolve`` also those with a relative one,
+    seen from the page's URL (or the base that its HTML gives)."""
+    def of_tags(tag: str, attribute: str) -> Column:
+        tags = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}[^>]*>"), F.lit(0))
+        plain = F.transform(tags, lambda t: F.regexp_replace(t, "(?i)&(amp|#38|#x26);", "&"))
+        return F.transform(plain, lambda t: F.regexp_extract(t, rf"(?is)\b{attribute}", 1))
+
+    href = r"href\s*=\s*[\"']?\s*([^\"'\s>]+)"
+    links = of_tags(r"link\b[^>]*\brel\s*=\s*[\"']?canonical\b", href)
+    metas = of_tags(r"meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b", r"url\s*=\s*[\"']?\s*([^\"'\s>;]+)")
+    found = pages.select(F.col(url).alias("src"), F.col(html).alias(html), F.concat(links, metas).alias("dst"))
+    found = found.filter(F.size("dst") > 0)
+    if not resolve:
+        return found.select("src", F.explode("dst").alias("dst")).filter("locate('://', dst) > 0")
+    given = F.element_at(F.concat(of_tags(r"base\b", href), F.array(F.lit(""))), 1)
+    # Stored between the steps: nested expressions would be copied into each other.
+    found = materialise(found.select("src", given.alias("given"), "dst"), "tags")
+    found = found.select("src", F.coalesce(resolved(F.col("src"), F.col("given")), "src").alias("base"), "dst")
+    found = materialise(found.select("src", "base", F.explode("dst").alias("dst")), "targets")
+    return materialise(found.select("src", resolved(F.col("base"), F.col("dst")).alias("dst")), "links").filter("dst IS NOT NULL")
 
 
 def filter_urls(pages: DataFrame, links: DataFrame | None = None, rules: Sequence[tuple[str, str]] = RULES,

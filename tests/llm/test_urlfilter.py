@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from flightlake.llm import urlfilter
+from flightlake.llm import queries, urlfilter
 from flightlake.llm.components import connected_components
 
 RULES = urlfilter.RULES
@@ -73,6 +73,33 @@ def test_links_of_html(spark):
     assert sorted(tuple(r) for r in links) == [("http://a.com/", "http://b.com/"), ("http://c.com/", "http://d.com/x")]
 
 
+def test_relative_links_spread_blocks(spark, tmp_path):
+    canonical = '<link rel="canonical" href="{}">'
+    rows = [("http://e.com/a/b?q=1", canonical.format("/de/x"), "http://e.com/de/x"),
+            ("http://f.com/1", canonical.format("//bad.net/x"), "http://bad.net/x"),
+            ("https://g.com/a/b?q", canonical.format("c.html?y=1"), "https://g.com/a/c.html?y=1"),
+            ("http://h.com", canonical.format("c"), "http://h.com/c"),
+            ("http://i.com/a/b/c", canonical.format("../.././../x/./y/.."), "http://i.com/x/"),
+            ("http://j.com/a?b", canonical.format("?c=1&amp;d=2"), "http://j.com/a?c=1&d=2"),
+            ("http://k.com/a?b", canonical.format("#c"), "http://k.com/a?b#c"),
+            ("http://l.com/", "<meta http-equiv=refresh content='0; url=http://m.com/x?a=1&amp;b=2'>",
+             "http://m.com/x?a=1&b=2"),
+            ("http://n.com/p", canonical.format("/go?u=http://x.org/"), "http://n.com/go?u=http://x.org/"),
+            ("http://o.com/p/q", '<base href="/r/">' + canonical.format("s"), "http://o.com/r/s"),
+            ("http://p.com/", canonical.format("mailto:a@b.net"), None), ("no scheme", canonical.format("/x"), None),
+            ("http://q.com/", None, None), (None, canonical.format("/x"), None),
+            ("http://r.com/1", canonical.format("http://s.com/") + canonical.format("http://t.net/"), None)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows)], "page_id long, url string, html string")
+    links = sorted(tuple(r) for r in urlfilter.page_links(pages, resolve=True).collect())
+    assert links == sorted([(u, d) for u, _, d in rows if d]
+                           + [("http://r.com/1", "http://s.com/"), ("http://r.com/1", "http://t.net/")])
+    # Aliases of a blocked URL by a protocol-relative link, an escaped one, and a second tag.
+    more = spark.createDataFrame([(100, "http://m.com/x?a=1&b=2", canonical.format("//y.net/"))], pages.schema)
+    pages.union(more).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.verdict for r in queries.op5_url_filter(spark, str(tmp_path)).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 7, 14, 100}
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(1000 + i, 1001 + i) for i in range(60)]
