@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import bagminhash, bsi, chat, decontam, mixing, quality, sharding, toxicity, urlfilter, warc
+from flightlake.llm import (bagminhash, bsi, chat, decontam, divergence, jaccardjoin, mixing, quality, sharding, toxicity,
+                            trie, urlfilter, warc)
 from flightlake.llm.common import table
 
 CHAT_PROBE = r"\### Assistant: </turn> ok"
@@ -86,6 +87,21 @@ def op10_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bsi.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations with their subtree totals."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices between the sources of a language, and each source's telling terms."""
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 0.8 Jaccard on 5-word shingles."""
+    return jaccardjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -97,6 +113,9 @@ QUERIES = {
     "op8_warc_derivatives": op8_warc_derivatives,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_bit_sliced_topk": op10_bit_sliced_topk,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
@@ -184,3 +203,70 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  coalesce(text, '')) AS p, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n,
+             xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                 lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+                 4294967295) % 9 AS h FROM t GROUP BY conv_id),
+l AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT l.conv_id, p AS depth, role, text FROM l JOIN t ON t.conv_id = l.base AND p <= taken
+      UNION ALL SELECT l.conv_id, taken + p - h, role, text FROM l JOIN t ON t.conv_id = l.conv_id AND p > h),
+m AS (SELECT conv_id, depth, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+             strlen(text) AS bytes FROM r UNION ALL SELECT conv_id, 0, '', 0 FROM l),
+e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM m),
+n AS (SELECT min(conv_id) AS conv_id, depth, path, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM e GROUP BY depth, path),
+k AS (SELECT depth - 1 AS depth, left(path, length(path) - 64) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, path)),
+s AS (SELECT a.depth, a.path, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens
+      FROM f a JOIN f b ON b.depth >= a.depth AND starts_with(b.path, a.path) GROUP BY 1, 2)
+SELECT f.conv_id, f.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+       f.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (depth, path)
+LEFT JOIN f u ON f.depth > 0 AND u.depth = f.depth - 1 AND u.path = left(f.path, length(f.path) - 64)
+"""
+
+ORACLE["op12_divergence_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT i) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY 1, 2),
+g AS (SELECT a.lang, a.source, coalesce(s.n, 0) + coalesce(v.v, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) a
+      LEFT JOIN s USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // g.total AS p, coalesce(c.n, 0) AS n
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+q AS (SELECT k.lang, k.term, 1 + 1000000000 * (k.n + 1) // (v.n + v.v) AS q FROM k JOIN v USING (lang)),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+ORACLE["op13_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT a AS r, b AS t FROM e UNION SELECT reach.r, e.b FROM reach JOIN e ON e.a = reach.t),
+m AS (SELECT reach.r, min(d.doc_id) AS least FROM reach JOIN d ON d.r = reach.t GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, least) AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+"""
