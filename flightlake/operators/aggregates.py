@@ -1,18 +1,19 @@
 """Aggregations and distinct.
 
-Per-key "first row" operators first take the minimum of a numeric order column
-per key (a hash aggregate with a map-side partial step: no sort, and a hot key
-sends one row per map task), keep the rows that reach it, and break ties among
-those few only. Scalars that a row-level expression needs (min/max of a
-column) are scalar subqueries, so they run with the query, not while it is
-built.
+Per-key "first row" operators rank rows with a limit of 1 that is applied below
+the exchange too: one scan, and a hot key sends one row per map task. Scalars
+that a row-level expression needs (min/max of a column) are scalar subqueries,
+so they run with the query, not while it is built.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,32 +33,21 @@ def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def _nulls_last(order: Sequence[Column]) -> Column:
-    """Struct that compares like the columns in turn, missing values last."""
-    return F.struct(*[x for i, c in enumerate(order) for x in (c.isNull().alias(f"_n{i}"), c.alias(f"_o{i}"))])
-
-
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """One row per key: the smallest by ``order_by``, missing values last (A2, A3).
 
-    Deterministic for any partitioning as long as ``order_by`` is a total
-    order within a key. With a numeric first order column only the rows that
-    reach the key's minimum take part in the tie-break.
+    A rank with a limit of 1, which the optimizer also puts below the exchange:
+    every map task sorts its rows by (key, order) and sends one row a key, so
+    the input is scanned once and no raw row is shuffled, however many a key
+    has. The sort is the cost: n log n comparisons inside each task, spilled
+    where a task's rows exceed its memory. Deterministic for any partitioning
+    as long as ``order_by`` is a total order within a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+    if len(keys) == len(df.columns):
         return df.select(*keys).distinct()
-    order = _order_cols(order_by)
-    if isinstance(df.select(order[0]).schema.fields[0].dataType, T.NumericType):
-        lead = df.select(*keys, order[0].alias("_lead"))
-        best = lead.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_lead").alias("_best"))
-        reached = order[0].eqNullSafe(F.col("_best"))
-        for i, k in enumerate(keys):
-            reached = reached & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        df = df.join(best, reached, "left_semi")
-    picked = F.min_by(F.struct(*[F.col(c) for c in rest]), _nulls_last(order)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
+    window = Window.partitionBy(*keys).orderBy(*[c.asc_nulls_last() for c in _order_cols(order_by)])
+    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def one_vote(df: DataFrame, key: str = "icao24",
@@ -96,11 +86,13 @@ def ground_sites_count(states: DataFrame, strict: bool = True) -> DataFrame:
     return voted.select("lat", "lon").distinct().agg(F.count(F.lit(1)).alias("n_sites"))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """Equal-width histogram over [min, max], last bin closed.
+def histogram(df: DataFrame, col: str, bins: int | None = 50) -> DataFrame:
+    """Equal-width histogram over [min, max], last bin closed (A11); without
+    ``bins`` their number follows the data (``auto_bins``).
 
     Rows with a NULL value are left out. Output: bin, bin_lo, bin_hi, n.
     """
+    bins = auto_bins(df, col) if bins is None else bins
     x = F.col(col)
     vals = df.select(x.cast(T.DoubleType()).alias("_x")).filter(F.col("_x").isNotNull())
     stats = vals.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
@@ -114,6 +106,81 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
             .orderBy("bin"))
 
 
+def exact_quantiles(df: DataFrame, col: str, shares: Sequence[float], bins: int = 4096, small: int = 65_536) -> list[float]:
+    """Exact quantiles of a numeric column (linear between neighbouring ranks,
+    NULL and NaN left out; NaN for no rows), all of them narrowed together.
+
+    Every round counts the rows of the open intervals in ``bins`` equal steps,
+    in one pass for all ranks, and keeps for each rank the step it falls in;
+    when the open steps hold few rows, those are sorted. An interval that can
+    be split no further holds one value. What reaches the driver is a bounded
+    table of counts and at most ``small`` values; ``df`` is read a few times.
+    """
+    x = df.select(F.col(col).cast(T.DoubleType()).alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
+    n, lo, hi = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n:
+        return [float("nan")] * len(shares)
+    at = [s * (n - 1) for s in shares]
+    value: dict[int, float] = {0: lo, n - 1: hi}
+    # rank -> (rows below the interval, its ends); intervals of different ranks are equal or disjoint
+    open_ranks = {r: (0, lo, hi) for a in at for r in (math.floor(a), math.ceil(a)) if r not in value}
+    rows = n
+    while open_ranks:
+        spans = sorted(set(open_ranks.values()))
+        for r, (_, a, b) in list(open_ranks.items()):
+            if a == b or math.nextafter(a, b) == b and rows > small:
+                value[r] = _rank_between_neighbours(x, a, b, r - open_ranks[r][0]) if a != b else a
+                del open_ranks[r]
+        if not open_ranks:
+            break
+        inside = reduce(Column.__or__, [F.col("x").between(a, b) for _, a, b in spans])
+        if rows <= small:
+            values = sorted(v for v, in x.filter(inside).collect())
+            for r, (below, a, _) in open_ranks.items():
+                value[r] = values[bisect_left(values, a) + r - below]
+            break
+        step, first = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (_, a, b) in enumerate(spans):
+            here = F.col("x").between(a, b)
+            width = b / bins - a / bins
+            step = F.when(here, F.least(F.floor((F.col("x") - a) / width), F.lit(bins - 1)).cast("int")
+                          if width > 0 else F.when(F.col("x") == a, 0).otherwise(1)).otherwise(step)
+            first = F.when(here, F.lit(i)).otherwise(first)
+        counted = (x.filter(inside).groupBy(first.alias("i"), step.alias("b"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+        held = 0
+        narrowed = {}
+        for i, (below, a, b) in enumerate(spans):
+            upto = below
+            for c in sorted((c for c in counted if c.i == i), key=lambda c: c.b):
+                ranks = [r for r, span in open_ranks.items() if span == spans[i] and upto <= r < upto + c.n]
+                narrowed |= {r: (upto, c.lo, c.hi) for r in ranks}
+                held += c.n if ranks else 0
+                upto += c.n
+        open_ranks, rows = narrowed, held
+    return [value[math.floor(a)] + (value[math.ceil(a)] - value[math.floor(a)]) * (a - math.floor(a)) for a in at]
+
+
+def _rank_between_neighbours(x: DataFrame, a: float, b: float, rank: int) -> float:
+    """The value of a rank where only two neighbouring numbers are left."""
+    return a if rank < x.filter(F.col("x") == a).count() else b
+
+
+def auto_bins(df: DataFrame, col: str) -> int:
+    """Number of equal-width bins for a column (A11): the narrower of the
+    Freedman-Diaconis width, 2 IQR / n^(1/3), and the Sturges width, range /
+    (log2(n) + 1); Sturges alone if half the rows are equal. Both quartiles come
+    from one narrowing."""
+    x = df.select(F.col(col).cast(T.DoubleType()).alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
+    n, lo, hi = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n or lo == hi:
+        return 1
+    q1, q3 = exact_quantiles(x, "x", [0.25, 0.75])
+    sturges = (hi - lo) / (math.log2(n) + 1)
+    fd = 2 * (q3 - q1) / n ** (1 / 3)
+    return max(1, math.ceil((hi - lo) / (min(fd, sturges) if fd > 0 else sturges)))
+
+
 def phase_profile(points: DataFrame, alt: str | None = None, ndigits: int = 6) -> DataFrame:
     """Per phase count, mean/min/max speed and altitude."""
     alt = alt or next(c for c in points.columns if c.endswith("altitude"))

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from flightlake.operators import windows as W
 
@@ -22,9 +23,9 @@ def test_stage_intervals_reappearing_and_single(spark):
     assert summ["Init"].duration_s == 1.5 and summ["Load"].net_recv_mb_sum == 6.0
 
 
-def test_counter_delta_across_buckets(spark):
+def test_counter_delta_across_ranges(spark):
     tele = _tele(spark, ["a"] * 12)
-    got = W.counter_delta(tele, "timestamp", ["bytes_recv"], seq="sample_id", bucket_seconds=2).orderBy("sample_id")
+    got = W.counter_delta(tele, "timestamp", ["bytes_recv"], seq="sample_id", ranges=4).orderBy("sample_id")
     deltas = [r.bytes_recv_delta_mb for r in got.collect()]
     exp = pd.Series([(i * i) for i in range(12)], dtype=float).diff().fillna(0.0).tolist()
     assert deltas == exp
@@ -65,8 +66,8 @@ def test_counters_with_gaps(spark):
     values = [None, 10, 20, None, None, 35, 50, None]
     rows = [(i, t0 + dt.timedelta(seconds=i), v if v is None else v * mb) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "sample_id long, timestamp timestamp_ntz, bytes_recv long")
-    for bucket in (1, 2, 3, 3600):
-        got = W.counter_delta(df, "timestamp", ["bytes_recv"], seq="sample_id", bucket_seconds=bucket).orderBy("sample_id")
+    for ranges in (1, 2, 3, 7):
+        got = W.counter_delta(df, "timestamp", ["bytes_recv"], seq="sample_id", ranges=ranges).orderBy("sample_id")
         assert [r.bytes_recv_delta_mb for r in got.collect()] == [None, 0.0, 10.0, None, None, 15.0, 15.0, None]
     since = W.counter_since_start(df, "timestamp", ["bytes_recv"], seq="sample_id").orderBy("sample_id").collect()
     assert [r.bytes_recv_since_start_mb for r in since] == [None, 0.0, 10.0, None, None, 25.0, 40.0, None]
@@ -82,9 +83,80 @@ def test_missing_scores_and_times_come_last(spark):
     assert sorted((r.icao24, r.lat) for r in one_vote(votes).collect()) == [("a", "3"), ("b", "4")]
 
 
-def test_first_per_key_hashes_before_it_sorts(spark):
+def test_first_per_key_shuffles_no_raw_rows(spark):
+    """One scan, and below the only exchange a rank limit: a row a key and task."""
     from flightlake.operators.aggregates import first_per_key
-    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS t", "CAST(id AS STRING) AS s")
-    plan = first_per_key(df, "k", ["t", "s"])._jdf.queryExecution().sparkPlan().toString()
-    assert "HashAggregate(keys=" in plan and sorted(
-        (r.k, r.t) for r in first_per_key(df, "k", ["t", "s"]).collect()) == [(k, k) for k in range(7)]
+    df = spark.range(0, 10_000, 1, 4).selectExpr("id % 7 AS k", "id AS t", "CAST(id AS STRING) AS s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first = first_per_key(df, "k", ["t", "s"])
+        plan = first._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in plan and plan.count("Range (") == 1
+        lines = [x.strip(" +-:") for x in first._jdf.queryExecution().executedPlan().toString().split("\n")]
+        exchanges = [i for i, x in enumerate(lines) if x.startswith("Exchange")]
+        assert len(exchanges) == 1 and lines[exchanges[0] + 1].startswith("WindowGroupLimit") and "Partial" in lines[exchanges[0] + 1]
+        assert sorted((r.k, r.t) for r in first.collect()) == [(k, k) for k in range(7)]
+        first.foreach(lambda r: None)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_first_per_key_against_a_sort(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None, "hot", "hot", "hot"]), rng.choice([None, 1.0, 2.0, float("nan")]), rng.choice([None, "x", "y"]))
+            for _ in range(500)]
+    from flightlake.operators.aggregates import first_per_key
+    got = first_per_key(spark.createDataFrame(rows, "k string, t double, s string").repartition(7), "k", ["t", "s"]).collect()
+
+    def order(r):
+        return (r[1] is None, str(r[1]) == "nan", r[1] or 0, r[2] is None, r[2] or "")
+    want = {k: min((r for r in rows if r[0] == k), key=order) for k in {r[0] for r in rows}}
+    assert sorted(map(str, ((r.k, r.t, r.s) for r in got))) == sorted(map(str, want.values()))
+
+
+def test_last_known_value_of_many_and_of_one_hot_series(spark):
+    import random
+    rng = random.Random(8)
+    rows = [(s, i, rng.choice([None, rng.randrange(100)]), rng.choice([None, None, rng.random()]))
+            for s, n in (("hot", 600), ("a", 40), (None, 30), ("b", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "series string, i long, c long, d double").repartition(5)
+    want, last = [], {}
+    for s, i, c, d in rows:
+        want.append((s, i, *last.get(s, (None, None))))
+        before = last.get(s, (None, None))
+        last[s] = (before[0] if c is None else c, before[1] if d is None else d)
+    for ranges in (1, 4, 13):
+        got = W.last_known_before(df, ["i"], ["c", "d"], ["series"], ranges).select("series", "i", "_prev_c", "_prev_d")
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+        sizes = [r[0] for r in W.last_known_before(df, ["i"], ["c"], ["series"], ranges)
+                 .groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert ranges == 1 or max(sizes) < 600  # one hot series, many tasks
+
+
+def test_scalars_of_runs(spark):
+    runs = spark.createDataFrame([(100.0, 2.0, 150.0, 7.0), (90.0, 0.0, 50.0, None), (80.0, None, None, 9.0)],
+                                 "n_rows double, duration_sec double, cpu_percent double, disk_mb double")
+    r = W.experiment_summary(runs).first()
+    assert (r.max_disk_mb, r.peak_throughput, r.avg_cpu_factor) == (9.0, 50.0, 1.0)
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from flightlake.operators.aggregates import auto_bins, exact_quantiles, histogram
+    rng = np.random.default_rng(2)
+    for x in (rng.normal(size=3000), rng.integers(0, 5, 2000).astype(float), np.array([1.0]), np.array([0.0, -1e308, 1e308] * 50),
+              np.concatenate([rng.normal(size=1000) * 1e-9 + 1, rng.normal(size=1000) * 1e9])):
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+        shares = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
+        for bins, small in ((4096, 65_536), (8, 20)):
+            got = exact_quantiles(df, "x", shares, bins, small)
+            with np.errstate(over="ignore"):
+                assert np.allclose(got, np.quantile(x, shares), rtol=1e-12, atol=0) or np.abs(x).max() > 1e300
+    x = rng.normal(size=4000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert auto_bins(df, "x") == len(np.histogram_bin_edges(x, "auto")) - 1
+    assert [r.n for r in histogram(df, "x", None).collect()] == [n for n in np.histogram(x, "auto")[0].tolist() if n]
+    assert auto_bins(df.limit(0), "x") == 1 and auto_bins(spark.createDataFrame([(2.0,)] * 9, "x double"), "x") == 1
