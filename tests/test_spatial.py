@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 
-from flightlake.operators.spatial import spatial_nms
+from pyspark.sql import functions as F
+
+from flightlake.operators.spatial import _cells_around, _placed, spatial_nms, sure_maxima
 
 SCHEMA = "lat_cluster double, lon_cluster double, flight_count long"
 
@@ -21,7 +23,11 @@ def greedy(points, thr=0.2):
 
 
 def run(spark, pts):
-    return [tuple(r) for r in spatial_nms(spark.createDataFrame(pts, SCHEMA)).collect()]
+    """Walked by one task, and in rounds to the end: the same."""
+    df = spark.createDataFrame(pts, SCHEMA)
+    walked = [tuple(r) for r in spatial_nms(df).collect()]
+    assert [tuple(r) for r in spatial_nms(df, local_rows=0).collect()] == walked
+    return walked
 
 
 def test_chain_equal_and_antimeridian(spark):
@@ -57,3 +63,33 @@ def test_duplicate_positions(spark):
 def test_nothing_to_suppress(spark):
     assert run(spark, [(1.0, 1.0, 1), (5.0, 1.0, 2)]) == [(5.0, 1.0, 2), (1.0, 1.0, 1)]
     assert spatial_nms(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rounds_near_the_poles_and_over_bands(spark):
+    rnd = random.Random(11)
+    pts = [(rnd.choice([1, -1]) * round(rnd.uniform(84, 90), 1), round(rnd.uniform(-180, 180), 0), rnd.randint(1, 9)) for _ in range(120)]
+    pts += [(round(rnd.uniform(59.5, 60.5), 2), round(rnd.uniform(-0.6, 0.6), 2), rnd.randint(1, 50)) for _ in range(200)]
+    best = {}
+    for a, b, s in pts:
+        best[a, b] = max(s, best.get((a, b), 0))
+    pts = [(a, b, s) for (a, b), s in best.items()]
+    assert run(spark, pts) == greedy(pts)
+
+
+def test_candidates_without_position_or_strength(spark):
+    pts = [(1.0, 1.0, 3), (None, 1.0, 9), (1.05, 1.0, 2), (1.0, 1.01, None)]
+    assert sorted(map(str, run(spark, pts))) == sorted(map(str, [(None, 1.0, 9), (1.0, 1.0, 3)]))
+
+
+def test_work_is_linear_in_dense_areas(spark):
+    """Four times the candidates in one dense square: rows of the joins grow about four times, not sixteen."""
+    def joined(n):
+        rnd = random.Random(5)
+        pts = list({(round(50 + rnd.randrange(100) / 100, 2), round(8 + rnd.randrange(n) / 100, 2)) for _ in range(40 * n)})
+        df = spark.createDataFrame([(a, b, rnd.randrange(10**6)) for a, b in pts], "lat double, lon double, s long")
+        sure = sure_maxima(df)
+        met = _cells_around(sure.select("lat", "lon"), 0.2, F.cos(F.radians("lat"))).join(_placed(df, 0.2), ["band", "col"])
+        return len(pts), _cells_around(_placed(df, 0.2).groupBy("band", "col").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
+                                       .select("lat", "lon"), 0.2).count() + met.count()
+    (n1, a), (n2, b) = joined(40), joined(160)
+    assert b / a < 1.6 * n2 / n1 and b < 30 * n2
