@@ -81,6 +81,53 @@ def accept_members(scanned: DataFrame, mode: str = "lenient", keep: Sequence[str
     return lines.unionByName(records)
 
 
+def _refusal(line: Column, parts: Column, mode: str) -> Column:
+    """Why ``accept_rows`` does not take a line (null: it does)."""
+    if mode not in ("lenient", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "lenient":
+        return (F.when(F.size(parts) < MIN_LENIENT_FIELDS, "fields")
+                .when(~F.get(parts, 0).rlike("^[0-9]+$"), "time"))
+    return (F.when(F.length(_strip(line)) == 0, "blank").when(is_header_or_blank(line), "header")
+            .when(F.size(parts) != N_FIELDS, "fields"))
+
+
+def sort_out_rows(lines: DataFrame, mode: str = "lenient", line_col: str = "value",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Every line with the 16 text columns and ``reason``: null for the lines
+    that ``accept_rows`` takes, else why it does not ('fields', 'time', 'blank',
+    'header', 'null'); ``text`` has a rejected line. One scan for both outcomes."""
+    line = F.col(line_col)
+    parts = lines.select(*keep, line.alias("_l"), F.split(_strip(line), ",", -1).alias("_p"))
+    reason = F.when(F.col("_l").isNull(), "null").otherwise(_refusal(F.col("_l"), F.col("_p"), mode))
+    return parts.select(*keep, F.when(reason.isNotNull(), F.col("_l")).alias("text"), reason.alias("reason"),
+                        *_fields(F.col("_p")))
+
+
+def sort_out_members(scanned: DataFrame, mode: str = "lenient", numeric: Sequence[str] = ("velocity", "geoaltitude"),
+                     required: Sequence[str] = ("velocity",)) -> DataFrame:
+    """``accept_members`` and ``clean_states`` with nothing lost, in one scan:
+    archive, member, position, text, reason and the typed columns of every row
+    that the archives gave. ``reason`` is null for an accepted row; beside the
+    rules' reasons it names the first required column that is missing after the
+    cast (N7), or 'fault' where an archive or member broke off (``text`` says how).
+    The text of an Avro record is JSON."""
+    line, record = F.col("line"), F.col("record")
+    of_record = F.array(*[F.coalesce(*[record[n] for n in dict.fromkeys((c, *STATE_ALIASES.get(c, ())))], F.lit(""))
+                          for c in STATE_COLUMNS])
+    parts = F.when(line.isNotNull(), F.split(_strip(line), ",", -1)).when(record.isNotNull(), of_record)
+    base = scanned.select("archive", "member", "position", "line", "record", "fault", parts.alias("_p"))
+    p = F.col("_p")
+    late = F.when(~F.get(p, 0).rlike("^[0-9]+$"), "time") if mode == "lenient" else F.lit(None).cast("string")
+    reason = (F.when(F.col("fault").isNotNull(), "fault").when(line.isNotNull(), _refusal(line, p, mode)).otherwise(late))
+    typed = base.select("archive", "member", "position", "line", "record", "fault", reason.alias("reason"), *_fields(p))
+    typed = typed.withColumns({c: F.col(c).try_cast(T.DoubleType()) for c in numeric})
+    for c in required:
+        typed = typed.withColumn("reason", F.coalesce("reason", F.when(F.col(c).isNull(), c)))
+    text = F.when(F.col("reason").isNotNull(), F.coalesce("fault", "line", F.to_json("record")))
+    return typed.select("archive", "member", "position", text.alias("text"), "reason", *STATE_COLUMNS)
+
+
 def archive_faults(scanned: DataFrame) -> DataFrame:
     """(archive, member, fault) of what could not be read; member is null where
     an archive's list of members broke off."""

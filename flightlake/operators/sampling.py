@@ -9,8 +9,11 @@ one scan instead of an N-fold union, which re-reads the input N times.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,29 +39,49 @@ def sample_hash(df: DataFrame, fraction: float, seed: int = DEFAULT_SEED,
     return df.filter(_u(_keys(df, key_cols), seed) < F.lit(int(round(fraction * _RES))))
 
 
+def _smallest(df: DataFrame, n: int) -> DataFrame:
+    """In each task the ``n`` rows with the smallest ``_hash`` (long): a bottom-k
+    sketch that holds at most twice ``n`` rows and a batch."""
+    schema = df.schema
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, limit = [], 0, None
+        for batch in batches:
+            if limit is not None:
+                batch = batch.filter(pc.less_equal(batch.column("_hash"), limit))
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 2 * n + 10_000:
+                held, limit = [cut(held)], None
+                size = held[0].num_rows
+                limit = pc.max(held[0].column("_hash"))
+        if size:
+            yield cut(held) if size > n else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def cut(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        order = np.argsort(table.column("_hash").to_numpy(), kind="stable")[:n]
+        return table.take(pa.array(np.sort(order))).combine_chunks().to_batches()[0]
+
+    return df.mapInArrow(keep, schema)
+
+
 def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, key_cols: Sequence[str] | None = None) -> DataFrame:
-    """Exactly min(n, rows) rows — the n smallest seeded hashes (a top-k).
+    """Exactly min(n, rows) rows — the n smallest seeded hashes (ties by the key columns).
 
-    A plain ``orderBy(h).limit(n)`` merges n rows from every partition in one
-    task. Instead rows are first cut at a hash threshold T chosen from the
-    row count so that at least n rows pass (checked, widened if not); every
-    row of the top n has h <= T, so the result is the same and the final
-    top-n merge sees about n rows whatever the partition count.
+    One pass and no job while the plan is built: every task keeps a bottom-k
+    sketch, its n smallest rows; sketches merge into sketches of the same size,
+    as a tree: all tasks' into about the square root of the shuffle partitions,
+    those into one. No task holds more than some n rows at a time, and each sends
+    n at most.
     """
-    keys = _keys(df, key_cols)
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])
-    order = [h] + [F.col(c) for c in keys]
-    total = df.count()
     if n <= 0:
         return df.limit(0)
-    if total > 4 * n:
-        frac = min(1.0, (n + 6.0 * math.sqrt(n) + 16.0) / total)
-        while frac < 1.0:
-            cut = F.lit(min(2 ** 63 - 1, int(-(2 ** 63) + frac * (2 ** 64 - 1))))
-            if df.filter(h <= cut).count() >= n:
-                return df.filter(h <= cut).orderBy(*order).limit(n)
-            frac = min(1.0, frac * 2)
-    return df.orderBy(*order).limit(n)
+    keys = _keys(df, key_cols)
+    width = math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]))
+    merged = _smallest(_smallest(hashed, n).repartition(width), n)
+    return merged.orderBy("_hash", *keys).limit(n).drop("_hash")
 
 
 def cap(df: DataFrame, n: int, seed: int = DEFAULT_SEED) -> DataFrame:

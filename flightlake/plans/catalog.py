@@ -367,12 +367,21 @@ def q_counter_since_start(spark, sf):
 @register("run_stats", duckdb_ctes("telemetry") + f"""SELECT
  CAST(date_diff('microsecond', min(timestamp), max(timestamp)) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS duration_s,
  round(avg(cpu_percent), 6) AS avg_cpu, round(avg(ram_percent), 6) AS avg_ram,
+ arg_max(disk_mb, (timestamp, sample_id)) FILTER (WHERE disk_mb IS NOT NULL) AS total_disk_mb,
  CAST(arg_max(bytes_recv, (timestamp, sample_id)) FILTER (WHERE bytes_recv IS NOT NULL)
  - arg_min(bytes_recv, (timestamp, sample_id)) FILTER (WHERE bytes_recv IS NOT NULL) AS DOUBLE) / {_MIB} AS total_net_mb,
  count(*) AS samples FROM telemetry""")
 def q_run_stats(spark, sf):
     """A10: monitor aggregates of a run."""
-    return W.run_stats(V.telemetry(spark, sf), seq="sample_id")
+    return W.run_stats(V.telemetry(spark, sf), seq="sample_id", disk="disk_mb")
+
+
+@register("experiment_summary", duckdb_ctes("experiment_runs") + """SELECT max(disk_mb) AS max_disk_mb,
+ max(CASE WHEN duration_sec > 0 THEN n_rows / duration_sec ELSE CAST(0 AS DOUBLE) END) AS peak_throughput,
+ round(avg(cpu_percent / CAST(100 AS DOUBLE)), 6) AS avg_cpu_factor FROM experiment_runs""")
+def q_experiment_summary(spark, sf):
+    """Most disk MB, peak throughput and mean CPU factor over experiment runs."""
+    return W.experiment_summary(V.view(spark, sf, "experiment_runs"))
 
 
 @register("run_kpis", duckdb_ctes("metric_log") + """, d AS (SELECT (SELECT value FROM metric_log WHERE metric = 'Duration' ORDER BY timestamp DESC, seq DESC LIMIT 1) AS duration,
@@ -413,6 +422,28 @@ def q_altitude_histogram(spark, sf):
     return A.histogram(Fl.typed(V.states(spark, sf), ["geoaltitude"]), "geoaltitude", 50)
 
 
+# Freedman-Diaconis and Sturges widths from exact quartiles.
+_AUTO = """st AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM vals),
+wd AS (SELECT *, (hi - lo) / (log2(n) + 1) AS sturges, 2 * (q3 - q1) / pow(n, 1.0::DOUBLE / 3) AS fd FROM st),
+k AS (SELECT *, CASE WHEN hi = lo THEN 1 ELSE greatest(1, ceil((hi - lo) / CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END)) END
+ ::DOUBLE AS bins FROM wd),
+bb AS (SELECT CAST(CASE WHEN (hi - lo) / bins > 0 THEN least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) ELSE 0 END AS INTEGER) AS bin,
+ lo, (hi - lo) / bins AS w FROM vals, k)
+SELECT bin, lo + bin * w AS bin_lo, lo + (bin + 1) * w AS bin_hi, count(*) AS n FROM bb GROUP BY bin, lo, w ORDER BY bin"""
+
+
+@register("altitude_histogram_auto", _states_sql(", vals AS (SELECT g AS x FROM s WHERE g IS NOT NULL), " + _AUTO))
+def q_altitude_histogram_auto(spark, sf):
+    """Geometric-altitude histogram whose width follows the quartiles."""
+    return A.histogram(Fl.typed(V.states(spark, sf), ["geoaltitude"]), "geoaltitude", None)
+
+
+@register("baro_histogram_auto", _states_sql(", vals AS (SELECT b AS x FROM s WHERE b IS NOT NULL), " + _AUTO))
+def q_baro_histogram_auto(spark, sf):
+    """Barometric-altitude histogram whose width follows the quartiles."""
+    return A.histogram(Fl.typed(V.states(spark, sf), ["baroaltitude"]), "baroaltitude", None)
+
+
 @register("position_heatmap", _states_sql("""SELECT round(la, 1) AS lat_cell, round(lo, 1) AS lon_cell, count(*) AS n,
  round(avg(g), 6) AS avg_geoaltitude FROM s WHERE la IS NOT NULL AND lo IS NOT NULL GROUP BY 1, 2"""))
 def q_position_heatmap(spark, sf):

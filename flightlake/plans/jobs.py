@@ -8,6 +8,7 @@ single values and the counts of a quantile's bins.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from flightlake.operators import quality as Q
 from flightlake.operators import sampling as L
 from flightlake.operators import spatial as X
 from flightlake.operators import windows as W
+from flightlake.schemas import STATE_COLUMNS
 from flightlake.session import stored
 from flightlake.sources import files as S
 
@@ -55,19 +57,51 @@ def ingest_states(spark: SparkSession, archives: DataFrame | Sequence[str], out_
         archives = spark.createDataFrame([(p,) for p in archives], "path string")
     if archives.isEmpty():
         return None
-    written = Observation()
     states = N.clean_states(N.accept_members(read_archive_members(archives), mode))
-    path = S.write_run(states.observe(written, F.count(F.lit(1)).alias("rows")), out_root, run_id)
-    rows = written.get["rows"]
-    if not rows:
+    path = S.write_run(states, out_root, run_id)
+    if not S.run_manifest(spark, path).rows:
         S.remove_tree(spark, path)
         return None
-    found, _ = S.verify_run(spark, path)
-    if found != rows:
-        raise RuntimeError(f"{path}: {found} rows of {rows} can be read back")
+    S.verify_run(spark, path)
     return path
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """A run and its quarantine (paths; None where nothing was written) and the rows that went to each."""
+    run: str | None
+    rejects: str | None
+    accepted: int
+    rejected: int
+
+
+def ingest_with_rejects(spark: SparkSession, archives: DataFrame, out_root: str, rejects_root: str, run_id: int,
+                        mode: str = "lenient") -> Ingested:
+    """JB1 with a quarantine: the archives are scanned once; accepted rows become
+    the run, all others a run of (archive, member, position, text, reason) under
+    ``rejects_root``, faults of archives and members among them (reason 'fault',
+    the text says which). Both are checked like any run; their rows add up to the
+    rows that were read, which were counted on the way."""
+    from flightlake.sources.tarstates import read_archive_members
+    seen = Observation()
+    every = N.sort_out_members(read_archive_members(archives), mode).observe(seen, F.count(F.lit(1)).alias("rows"))
+    sorted_out = stored(every, "sorted-out")
+    kept = sorted_out.filter("reason IS NULL").select(*STATE_COLUMNS)
+    left = sorted_out.filter("reason IS NOT NULL").select("archive", "member", "position", "text", "reason")
+    paths, counts = [], []
+    for df, root in ((kept, out_root), (left, rejects_root)):
+        path = S.write_run(df, root, run_id)
+        counts.append(S.run_manifest(spark, path).rows)
+        if counts[-1]:
+            S.verify_run(spark, path)
+        else:
+            S.remove_tree(spark, path)
+        paths.append(path if counts[-1] else None)
+    if sum(counts) != seen.get["rows"]:
+        raise RuntimeError(f"{sum(counts)} rows of {seen.get['rows']} came out of the ingest")
+    return Ingested(*paths, *counts)
+
+
 def ingest_aircraft(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
     """JB2: master-data CSV -> projection + first row per icao24 -> write-once
     Parquet; returns what is stored (an older file if there was one)."""

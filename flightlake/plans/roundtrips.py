@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.operators import filters as Fl
@@ -40,22 +40,57 @@ def q_line_counts(spark, sf):
 
 _AIRCRAFT_FILE = duckdb_ctes("aircraft_raw") + f"""SELECT {", ".join(
     f"CASE WHEN _pos % 13 = 0 THEN NULL ELSE {c} END AS {c}" if i > 1 else c for i, c in enumerate(AIRCRAFT_COLUMNS))}
- FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY _pos) AS rn FROM aircraft_raw WHERE _pos % 17 <> 0) x
+ FROM (SELECT * REPLACE (CASE WHEN _pos % 5 = 0 AND _pos % 13 <> 0 THEN model || chr(10) || 'it' || chr(39) || 's ' || chr(39)
+ || chr(10) || ',' ELSE model END AS model),
+ row_number() OVER (PARTITION BY icao24 ORDER BY _pos) AS rn FROM aircraft_raw WHERE _pos % 17 <> 0) x
  WHERE rn = 1"""
 
 
-@register("aircraft_ingest", _AIRCRAFT_FILE)
-def q_aircraft_ingest(spark, sf):
-    """S7 + N9 + S14 (JB2): a master-data CSV with short and too long rows, ingested and stored."""
+def _master_files(spark, sf: str) -> str:
+    """A folder of master-data CSV files: short and too long rows, values with
+    quotes, separators and line breaks. The tasks write one file each, named and
+    headed in the order of the rows."""
     raw = V.view(spark, sf, "aircraft_raw")
-    quoted = [F.concat(F.lit("'"), F.col(c), F.lit("'")) for c in AIRCRAFT_COLUMNS]
+    odd = F.concat(F.col("model"), F.lit("\nit's '\n,"))
+    raw = raw.withColumn("model", F.when((F.col("_pos") % 5 == 0) & (F.col("_pos") % 13 != 0), odd).otherwise(F.col("model")))
+    quoted = [F.concat(F.lit("'"), F.replace(F.col(c), F.lit("'"), F.lit("''")), F.lit("'")) for c in AIRCRAFT_COLUMNS]
     line = (F.when(F.col("_pos") % 17 == 0, F.concat_ws(",", *quoted, F.lit("x"), F.lit("y")))
             .when(F.col("_pos") % 13 == 0, F.concat_ws(",", *quoted[:2])).otherwise(F.concat_ws(",", *quoted)))
-    head = spark.range(1).select(F.lit(-1).cast("long").alias("_pos"), F.lit(",".join(AIRCRAFT_COLUMNS)).alias("line"))
-    # A master file is one file by nature; its rows keep their order in it.
     folder = scratch_path(spark, "master")
-    raw.select("_pos", line.alias("line")).union(head).orderBy("_pos").coalesce(1).select("line").write.text(folder)
-    return jobs.ingest_aircraft(spark, folder, scratch_path(spark, "aircraft"))
+    ordered = raw.select("_pos", line.alias("line")).repartitionByRange(_cores(spark), "_pos").sortWithinPartitions("_pos")
+    names = ",".join(AIRCRAFT_COLUMNS)
+
+    def with_header(batches):
+        import pyarrow as pa
+        first = True
+        for batch in batches:
+            lines = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([names, *lines] if first else lines, pa.string())], names=["line"])
+            first = False
+
+    ordered.select("line").mapInArrow(with_header, "line string").write.text(folder)
+    return folder
+
+
+@register("aircraft_ingest", _AIRCRAFT_FILE)
+def q_aircraft_ingest(spark, sf):
+    """S7 + N9 + S14 (JB2): master-data CSV files with line breaks in quotes, short and too long rows, ingested and stored."""
+    return jobs.ingest_aircraft(spark, _master_files(spark, sf), scratch_path(spark, "aircraft"))
+
+
+@register("aircraft_rejects", duckdb_ctes("aircraft_raw") + """SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n,
+ count(DISTINCT p) AS n_positions, sum(lines)::BIGINT AS n_lines FROM (SELECT _pos AS p,
+ CASE WHEN _pos % 17 = 0 THEN 'too many fields' END AS reason,
+ CASE WHEN _pos % 5 = 0 AND (_pos % 17 = 0 OR _pos % 13 <> 0) AND _pos % 13 <> 0 THEN 3 ELSE 1 END AS lines FROM aircraft_raw) x GROUP BY 1""")
+def q_aircraft_rejects(spark, sf):
+    """Rows in = accepted + rejected, each with its place; the lines of their values add up to the files' lines."""
+    accepted, rejected = S.split_aircraft_csv(spark, _master_files(spark, sf))
+    breaks = lambda c: (F.coalesce(F.regexp_count(c, F.lit("\n")), F.lit(0)) + 1).cast("long")
+    rows = (accepted.select(F.lit("accepted").alias("outcome"), F.col("_pos").cast("string").alias("p"),
+                            breaks(F.col("model")).alias("lines"))
+            .union(rejected.select("reason", F.concat_ws("#", "file", "number"), breaks(F.col("text")))))
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("n_positions"),
+                                       F.sum("lines").alias("n_lines"))
 
 
 @register("telemetry_csv", duckdb_ctes("telemetry") + f"SELECT {', '.join(TELEMETRY_SCHEMA.names)} FROM telemetry")
@@ -133,6 +168,40 @@ def q_run_roundtrip(spark, sf):
                     F.lit(S.corrupt_parts(spark, found.run_dir).count()).cast("long").alias("broken_parts"))
 
 
+@register("run_checked", duckdb_ctes("states") + """SELECT * FROM (SELECT 'whole' AS run, count(*) AS n_rows, TRUE AS sound FROM states
+ UNION ALL SELECT 'lost part', count(*) FILTER (event_id % 4 <> 0), FALSE FROM states
+ UNION ALL SELECT 'doubled part', count(*) + count(*) FILTER (event_id % 4 = 0), FALSE FROM states
+ UNION ALL SELECT 'changed part', count(*), FALSE FROM states) x""")
+def q_run_checked(spark, sf):
+    """S13 + S16: a run against its manifest, whole, and after a part was lost, doubled or replaced by one with other values."""
+    root = scratch_path(spark, "checked")
+    st = V.states(spark, sf)
+    run = S.write_run(st.repartition(_cores(spark), "event_id"), root, 1)
+    manifest = S.run_manifest(spark, run)
+    some = st.filter("event_id % 4 = 0")
+    swapped = some.withColumns({"lat": F.col("lon"), "lon": F.col("lat")})
+    rest = st.filter("event_id % 4 <> 0")
+    others = {"lost part": rest, "doubled part": st.union(some), "changed part": rest.union(swapped)}
+    rows = [("whole", *S.check_run(spark, run))]
+    for i, (name, df) in enumerate(others.items()):
+        rows.append((name, manifest, S.check_run(spark, S.write_run(df, root, i + 2))[1]))
+    return spark.createDataFrame([(name, read.rows, written == read) for name, written, read in rows],
+                                 "run string, n_rows long, sound boolean")
+
+
+@register("part_faults", duckdb_ctes("states") + """SELECT count(*) AS n_rows, count(*) AS promised, 0 AS faults,
+ TRUE AS has_empty_part FROM states""")
+def q_part_faults(spark, sf):
+    """Promised and decoded rows of every part of a sound run, one of whose parts is empty."""
+    path = scratch_path(spark, "parts")
+    st = V.states(spark, sf)
+    st.write.parquet(path)
+    st.filter("event_id < 0").coalesce(1).write.mode("append").parquet(path)
+    return S.part_report(spark, path).agg(
+        F.sum("decoded").alias("n_rows"), F.sum("expected").alias("promised"),
+        F.count("fault").cast("int").alias("faults"), (F.count_if(F.col("expected") == 0) > 0).alias("has_empty_part"))
+
+
 @register("write_once_kept", duckdb_ctes("states") + "SELECT count(*) AS n_rows, count(*) AS noop_rows FROM states")
 def q_write_once(spark, sf):
     """S14 + S15: a second write leaves the first; a no-op write runs the whole plan."""
@@ -165,6 +234,88 @@ def q_ingest_run(spark, sf):
     return S.read_run(spark, run)
 
 
+def _line_archives(spark, lines: DataFrame, name: str) -> DataFrame:
+    """Paths of plain CSV archives with the text of ``lines`` (one column), one
+    for each Arrow batch of a task."""
+    from flightlake.sources.archives import _archive, _write_bytes
+    base = scratch_path(spark, name)
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        for batch in batches:
+            if batch.num_rows:
+                path = f"{base}/{uuid.uuid4().hex}.tar"
+                _write_bytes(path, _archive("states.csv", "\n".join(batch.column(0).to_pylist()).encode()))
+                yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    return stored(lines.mapInArrow(write, "path string"), "archives")
+
+
+_REASONS = {
+    "lenient": """CASE WHEN len(string_split(trim(line), ',')) < 10 THEN 'fields'
+ WHEN NOT regexp_matches(split_part(trim(line), ',', 1), '^[0-9]+$') THEN 'time'
+ WHEN TRY_CAST(split_part(trim(line), ',', 5) AS DOUBLE) IS NULL THEN 'velocity' ELSE 'accepted' END""",
+    "strict": """CASE WHEN trim(line) = '' THEN 'blank' WHEN contains(line, 'time') AND contains(line, 'icao24') THEN 'header'
+ WHEN len(string_split(trim(line), ',')) <> 16 THEN 'fields'
+ WHEN TRY_CAST(split_part(trim(line), ',', 5) AS DOUBLE) IS NULL THEN 'velocity' ELSE 'accepted' END""",
+}
+
+
+def _rejects_sql(mode: str) -> str:
+    return duckdb_ctes("lines") + f"SELECT {_REASONS[mode]} AS outcome, count(*) AS n FROM lines GROUP BY 1"
+
+
+def _ingest_rejects(spark, sf: str, mode: str) -> DataFrame:
+    archives = _line_archives(spark, V.view(spark, sf, "lines").select("line").repartition(_cores(spark)), "raw")
+    done = jobs.ingest_with_rejects(spark, archives, scratch_path(spark, "runs"), scratch_path(spark, "rejects"), 1, mode)
+    rejects = S.read_run(spark, done.rejects)
+    whole = rejects.filter("text IS NOT NULL AND position > 0 AND member = 'states.csv'")
+    accepted = S.read_run(spark, done.run).agg(F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    return accepted.union(whole.groupBy("reason").agg(F.count(F.lit(1))))
+
+
+@register("ingest_rejects_lenient", _rejects_sql("lenient"))
+def q_ingest_rejects_lenient(spark, sf):
+    """Every line of the archives is in the run or, with its place and reason, in the quarantine."""
+    return _ingest_rejects(spark, sf, "lenient")
+
+
+@register("ingest_rejects_strict", _rejects_sql("strict"))
+def q_ingest_rejects_strict(spark, sf):
+    """As above by the strict rule."""
+    return _ingest_rejects(spark, sf, "strict")
+
+
+@register("metric_rejects", duckdb_ctes("metric_log") + """SELECT CASE WHEN seq % 19 = 0 THEN 'no record' ELSE 'accepted' END AS outcome,
+ count(*) AS n FROM metric_log GROUP BY 1""")
+def q_metric_rejects(spark, sf):
+    """Lines of a metric log, of which some break off, are accepted or rejected."""
+    path = scratch_path(spark, "metrics")
+    log = V.metric_log(spark, sf).withColumn("timestamp", F.unix_micros(F.col("timestamp").cast("timestamp")) / 1e6)
+    text = F.to_json(F.struct("timestamp", "stage", "metric", "value", "unit"))
+    log.select(F.when(F.col("seq") % 19 == 0, F.substring(text, 1, 25)).otherwise(text).alias("value")).write.text(path)
+    accepted, rejected = S.split_metric_log(spark, path, array=False)
+    outcomes = accepted.select(F.lit("accepted").alias("outcome")).union(rejected.filter("text IS NOT NULL").select("reason"))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("archives_lazily", """WITH f AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT * FROM (SELECT row_number() OVER (ORDER BY d) AS rank, 'day=' || strftime(d, '%Y-%m-%d') AS folder, TRUE AS few_listed
+ FROM f WHERE month(d) = 3) x WHERE rank <= 12""")
+def q_archives_lazily(spark, sf):
+    """The first 12 archives of March below a tree of dated folders; few of these are listed."""
+    root = scratch_path(spark, "tree")
+    orders = V.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    tree = orders.select(F.date_format("d", "yyyy-MM-dd").alias("day"), F.lit("x").alias("value"))
+    tree.repartition(_cores(spark), "day").write.partitionBy("day").text(root)
+    found, listed = S.first_archives(spark, root, 12, suffix=".txt", year_pattern="/day=[0-9]{4}-03-")
+    folder = F.regexp_extract("path", "/(day=[0-9-]+)/", 1).alias("folder")
+    return found.select(F.row_number().over(Window.orderBy("prefix_rank", "path")).cast("long").alias("rank"), folder,
+                        F.lit(listed <= 12 + 366).alias("few_listed"))
+
+
 @register("plain_csv_archives", _INGESTED)
 def q_plain_csv_archives(spark, sf):
     """S4 + N4: plain CSV members with bytes that are no UTF-8, which are dropped."""
@@ -189,33 +340,48 @@ def q_plain_csv_archives(spark, sf):
     return clean_states(accept_members(read_archive_members(paths), "lenient"))
 
 
-@register("archive_faults", "SELECT 4 AS broken_members, 0 AS broken_lists, (SELECT count(*) FROM events) > 0 AS read_rest")
+_FAULTS = """SELECT count(*) FILTER (event_id % 3 = 0) AS rows_of_whole_members, TRUE AS a_fault_an_archive, 0 AS broken_lists,
+ TRUE AS no_line_invented FROM events"""
+
+
+@register("archive_faults", _FAULTS)
 def q_archive_faults(spark, sf):
-    """S3: archives whose second member is cut off; each break is one countable row."""
+    """S3: archives whose second member is cut off, closed by size. Every third
+    line is in a whole member and comes back; each cut is one countable row; what a
+    cut member still gives is of its own lines."""
     from flightlake.operators.ingest import archive_faults
     from flightlake.sources.archives import _archive, _write_bytes
     from flightlake.sources.tarstates import read_archive_members
     base = scratch_path(spark, "broken")
-    lines = V.view(spark, sf, "lines").select("line", (F.col("event_id") % 4).cast("int").alias("part"))
+    lines = V.view(spark, sf, "lines").select(F.concat_ws("|", "event_id", "line").alias("line"),
+                                              (F.col("event_id") % 3 == 0).alias("whole"))
 
-    def write(key, table):
+    def write(batches):
         import gzip
+        import uuid
 
         import pyarrow as pa
-        part = key[0].as_py()
-        payload = gzip.compress("\n".join(table.column("line").to_pylist()).encode())
-        whole, cut = _archive("a.csv.gz", payload), _archive("b.csv.gz", payload[:len(payload) // 2])
-        end = whole.rstrip(b"\0")  # members are padded to blocks of 512 bytes
-        _write_bytes(f"{base}/{part}.tar", whole[:-(-len(end) // 512) * 512] + cut)
-        return pa.table({"path": [f"{base}/{part}.tar"]})
-
-    paths = stored(lines.groupBy("part").applyInArrow(write, "path string"), "archives")
+        for batch in batches:  # an archive for each batch, whatever the size of the table
+            texts = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            kept, cut = ("\n".join(t for t, w in texts if w is flag).encode() for flag in (True, False))
+            if not texts:
+                continue
+            first, second = _archive("a.csv.gz", gzip.compress(kept)), gzip.compress(cut)
+            end = first.rstrip(b"\0")  # members are padded to blocks of 512 bytes
+            path = f"{base}/{uuid.uuid4().hex}.tar"
+            _write_bytes(path, first[:-(-len(end) // 512) * 512] + _archive("b.csv.gz", second[:len(second) // 2]))
+            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    paths = stored(lines.repartition(_cores(spark)).mapInArrow(write, "path string"), "archives")
     scanned = stored(read_archive_members(paths), "scanned")
-    faults = archive_faults(scanned)
-    broken = faults.agg(F.count("member").cast("int").alias("broken_members"),
-                        F.count_if(F.col("member").isNull()).cast("int").alias("broken_lists"))
-    rest = scanned.filter("member = 'a.csv.gz' AND line IS NOT NULL").agg((F.count(F.lit(1)) > 0).alias("read_rest"))
-    return broken.withColumn("read_rest", rest.scalar())
+    archives = paths.agg(F.count(F.lit(1)).alias("n"))
+    faults = archive_faults(scanned).agg(F.count("member").alias("n"), F.count_if(F.col("member").isNull()).cast("int").alias("lists"))
+    found = scanned.filter("line IS NOT NULL AND line <> ''")
+    whole = found.filter("member = 'a.csv.gz'").agg(F.count_distinct("line").alias("n"))
+    invented = found.filter("member = 'b.csv.gz'").join(lines, "line", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    return whole.select(F.col("n").alias("rows_of_whole_members"),
+                        (faults.select("n").scalar() == archives.scalar()).alias("a_fault_an_archive"),
+                        faults.select("lists").scalar().alias("broken_lists"), (invented.scalar() == 0).alias("no_line_invented"))
 
 
 # --------------------------------------------------------------- column and row filters

@@ -51,7 +51,8 @@ TELEMETRY_SQL = """
 SELECT event_id AS sample_id, ts AS timestamp, event_type AS stage,
  CAST((event_id * 13) % 100 AS DOUBLE) AS cpu_percent, CAST((event_id * 11) % 100 AS DOUBLE) AS ram_percent,
  CAST((event_id * 7) % 160 AS DOUBLE) / CAST(10 AS DOUBLE) AS ram_gb, CAST(0 AS DOUBLE) AS net_sent_mb, value AS net_recv_mb,
- CASE WHEN event_id % 53 < 2 THEN NULL ELSE (event_id * event_id) * 4096 END AS bytes_recv FROM {events}
+ CASE WHEN event_id % 53 < 2 THEN NULL ELSE (event_id * event_id) * 4096 END AS bytes_recv,
+ CASE WHEN event_id % 29 < 3 THEN NULL ELSE CAST(event_id AS DOUBLE) / CAST(4 AS DOUBLE) END AS disk_mb FROM {events}
 """
 
 # ``metric_log`` — pipeline metric records.
@@ -67,6 +68,14 @@ SELECT o_orderkey AS seq, CAST(1 + (o_orderkey % 8) * 5 AS INT) AS files_count,
  CAST(o_orderkey % 100 AS DOUBLE) AS avg_cpu, CAST(o_custkey % 100 AS DOUBLE) AS avg_ram, CAST(o_orderkey % 977 AS DOUBLE) AS net_mb, CAST(o_custkey % 499 AS DOUBLE) AS disk_mb FROM {orders}
 """
 
+# ``experiment_runs`` — scaling runs: rows, time (some unknown or zero), CPU and disk.
+EXPERIMENT_RUNS_SQL = """
+SELECT o_orderkey AS run_id, CAST(o_orderkey % 1000 * 1000 AS DOUBLE) AS n_rows,
+ CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS duration_sec,
+ CAST(o_custkey % 800 AS DOUBLE) AS cpu_percent, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_custkey % 499 AS DOUBLE) END AS disk_mb
+FROM {orders}
+"""
+
 _SC = "time, icao24, lat, lon, velocity, heading, vertrate, callsign, onground, alert, spi, squawk, baroaltitude, geoaltitude, lastposupdate, lastcontact"
 
 # ``lines`` — raw state lines: well-formed, short (9, 10 fields), long (17),
@@ -122,6 +131,7 @@ VIEWS: dict[str, tuple[str, str]] = {
     "aircraft": (AIRCRAFT_SQL, "part"),
     "telemetry": (TELEMETRY_SQL, "events"),
     "metric_log": (METRIC_LOG_SQL, "events"),
+    "experiment_runs": (EXPERIMENT_RUNS_SQL, "orders"),
     "bench_history": (BENCH_HISTORY_SQL, "orders"),
 }
 

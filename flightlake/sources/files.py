@@ -7,13 +7,18 @@ top-k sorts, so they work the same over a key table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.schemas import BENCH_SCHEMA, METRIC_LOG_SCHEMA, TELEMETRY_SCHEMA
+from flightlake.session import stored
+from flightlake.sources.quoted_csv import header_of, parse_records, read_records
+from flightlake.sources.runs import (check_run, checksum, corrupt_parts, part_report, read_run, remove_tree,  # noqa: F401
+                                     run_manifest, verify_run, write_run)
 
 # Archive keys must carry a year 2010..2029 as "/<year>-".
 ARCHIVE_YEAR_PATTERN = "/20[12][0-9]-"
@@ -56,6 +61,57 @@ def select_archives(files: DataFrame, n: int | None = None, suffix: str = ".tar"
     return out.limit(n) if n else out
 
 
+def first_archives(spark: SparkSession, root: str, n: int, suffix: str = ".tar", prefixes: Sequence[str] | None = None,
+                   allow_hidden: bool = False, year_pattern: str | None = ARCHIVE_YEAR_PATTERN) -> tuple[DataFrame, int]:
+    """S1 + S2 without a full listing: (``select_archives`` of the files below
+    ``root``, number of folders listed).
+
+    Folders are expanded in key order, the next one only when its keys are
+    needed, and the walk stops at the n-th match; what it holds are the entries
+    of the open folders and ``n`` keys. ``prefixes`` are relative to ``root``;
+    each is walked in turn, starting at its deepest whole folder, and a folder
+    that cannot hold a match (hidden) is not opened."""
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    top = path_class(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = fs.makeQualified(top).toString().rstrip("/") + "/"
+    listed = 0
+
+    def keys(folder: str, start: str) -> Iterator[tuple[str, int]]:
+        """(key, length) below a folder in key order, of those that start with ``start``."""
+        nonlocal listed
+        target = path_class(base + folder)
+        if not fs.exists(target):
+            return
+        listed += 1
+        entries = []
+        for status in fs.listStatus(target):
+            name = folder + status.getPath().getName() + ("/" if status.isDirectory() else "")
+            entries.append((name, status.isDirectory(), status.getLen()))
+        for name, is_folder, length in sorted(entries):
+            if not (name.startswith(start) or start.startswith(name)):
+                continue
+            if is_folder:
+                if allow_hidden or "/." not in "/" + name:
+                    yield from keys(name, start)
+            elif name.startswith(start):
+                yield name, length
+
+    found: list[tuple[str, int, int]] = []
+    seen: set[str] = set()
+    for rank, prefix in enumerate(prefixes or [""]):
+        for key, length in keys(prefix[:prefix.rfind("/") + 1], prefix):
+            if len(found) == n:
+                break
+            hidden = not allow_hidden and "/." in "/" + key
+            if key.endswith(suffix) and not hidden and key not in seen and (
+                    year_pattern is None or re.search(year_pattern, "/" + key)):
+                seen.add(key)
+                found.append((base + key, length, rank))
+    rows = spark.createDataFrame(found, "path string, length long, prefix_rank int")
+    return rows.orderBy("prefix_rank", "path"), listed
+
+
 def latest_run(files: DataFrame, path_col: str = "path") -> DataFrame:
     """The run directory (``run_<epoch>``) with the highest epoch; one row."""
     d = files.select(F.regexp_extract(F.col(path_col), r"^(.*/run_([0-9]+))(/|$)", 1).alias("run_dir"),
@@ -80,16 +136,28 @@ def line_counts(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
 
 # ------------------------------------------------------------------ readers
 
+def split_aircraft_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of master-data CSV files, from one scan.
+
+    All text, quote ``'``; line breaks in quotes are part of a value, and a file
+    is still read by many tasks (``quoted_csv``). Rows that are too short are
+    padded with NULL; ``_pos`` numbers the rows of all files in the order of the
+    files. Rows with too many fields are rejected: (file, number, text, reason),
+    ``number`` being the record's in its file."""
+    records = read_records(spark, path)
+    rows = parse_records(records, header_of(records)).filter("number > 1")
+    sizes = records.groupBy("file").agg((F.max("number") - 1).alias("_n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    firsts = sizes.select("file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    placed = rows.join(firsts, "file").withColumn("_pos", F.col("_first") + F.col("number") - 2)
+    accepted = placed.filter(~F.col("_over")).drop("file", "number", "text", "_over", "_first")
+    rejected = rows.filter("_over").select("file", "number", "text", F.lit("too many fields").alias("reason"))
+    return accepted, rejected
+
+
 def read_aircraft_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Master-data CSV, all text, quote ``'``; rows with too many fields are
-    dropped, short rows padded with NULL; ``_pos`` keeps the file order."""
-    header = spark.read.option("header", True).option("quote", "'").option("escape", "'").csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField("_over", T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("quote", "'").option("escape", "'")
-          .option("multiLine", True).option("mode", "PERMISSIVE").csv(path))
-    return (df.withColumn("_pos", F.monotonically_increasing_id())
-            .filter(F.col("_over").isNull()).drop("_over"))
+    """The accepted rows of ``split_aircraft_csv``."""
+    return split_aircraft_csv(spark, path)[0]
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
@@ -110,49 +178,30 @@ def read_bench_history(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("seq", _record_order())
 
 
-def read_metric_log(spark: SparkSession, path: str, array: bool = True) -> DataFrame:
-    """Metric log as one JSON array (writer format) or JSON lines
-    (bad lines dropped); ``seq`` keeps the order of files and records."""
-    if array:
-        df = spark.read.schema(METRIC_LOG_SCHEMA).option("multiLine", True).json(path)
+def split_metric_log(spark: SparkSession, path: str, array: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) records of a metric log, one JSON array (writer
+    format) or JSON lines; ``seq`` keeps the order of files and records. Rejected:
+    (seq, text, reason) of lines that are no JSON record of the log's types; an
+    array that breaks off is one rejected text."""
+    schema = T.StructType([*METRIC_LOG_SCHEMA.fields, T.StructField("_text", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_text"}
+    if array:  # a file is one task and one text: parsed once, as Spark asks of queries on what is broken
+        df = stored(spark.read.schema(schema).options(multiLine=True, **options).json(path)
+                    .withColumn("seq", _record_order()), "metric-log")
     else:
-        df = spark.read.schema(METRIC_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
-    return df.withColumn("seq", _record_order())
-
-
-def read_run(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False,
-             skip_corrupt: bool = False) -> DataFrame:
-    """S8 + U3: Parquet run directory (or several). A broken part file fails the
-    read; with ``skip_corrupt`` it is left out (``corrupt_parts`` names it)."""
-    r = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
-    return r.parquet(*([path] if isinstance(path, str) else list(path)))
+        lines = spark.read.text(path).filter("trim(value) <> ''").select("value", _record_order().alias("seq"))
+        df = lines.select(F.from_json("value", schema, options).alias("r"), "seq").select("r.*", "seq")
+    accepted = df.filter("_text IS NULL").drop("_text")
+    return accepted, df.filter("_text IS NOT NULL").select("seq", F.col("_text").alias("text"), F.lit("no record").alias("reason"))
 
 
-def corrupt_parts(spark: SparkSession, path: str) -> DataFrame:
-    """Part files of a run that yield no rows when broken ones are skipped: the
-    Parquet files of the folder without a single readable row (path, length)."""
-    files = list_files(spark, path, "*.parquet").select("path", "length")
-    readable = read_run(spark, path, skip_corrupt=True).select(F.col("_metadata.file_path").alias("p")).distinct()
-    # Listings give plain paths, readers encoded ones: compare the names.
-    name = lambda c: F.element_at(F.split(F.col(c), "/"), -1)
-    return files.join(readable.select(name("p").alias("n")), name("path") == F.col("n"), "left_anti")
+def read_metric_log(spark: SparkSession, path: str, array: bool = True) -> DataFrame:
+    """The accepted records of ``split_metric_log``."""
+    return split_metric_log(spark, path, array)[0]
 
 
 # ------------------------------------------------------------------ sinks
 
-def write_run(df: DataFrame, root: str, run_id: int) -> str:
-    """Write a new ``run_<id>`` directory (overwrite); returns its path."""
-    path = f"{root.rstrip('/')}/run_{int(run_id)}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def remove_tree(spark: SparkSession, path: str) -> None:
-    """Delete a folder of ours (any file system that Spark knows)."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def write_once(df: DataFrame, path: str) -> None:
     """Write unless the target exists."""
     df.write.mode("ignore").parquet(path)
@@ -161,11 +210,3 @@ def write_once(df: DataFrame, path: str) -> None:
 def run_noop(df: DataFrame) -> None:
     """Execute the plan, discard the rows."""
     df.write.format("noop").mode("overwrite").save()
-
-
-def verify_run(spark: SparkSession, path: str, cols: Sequence[str] = ("time", "icao24", "lat", "lon"),
-               k: int = 5) -> tuple[int, DataFrame]:
-    """Re-read a run: row count and a k-row preview of some columns. A
-    broken part file fails the check."""
-    df = read_run(spark, path)
-    return df.count(), df.select(*[c for c in cols if c in df.columns]).limit(k)

@@ -9,7 +9,8 @@ memory stays bounded by one block of text. Members:
 * ``*.avro``     Avro containers (``fastavro`` when installed, else the
   built-in decoder), one row per record, its fields as a map of texts.
 
-Columns: archive, member, line (text members), record (Avro members), fault.
+Columns: archive, member, line (text members), record (Avro members), fault,
+position (number of the line or record in its member, from 1).
 Bytes are decoded as UTF-8 with undecodable bytes dropped. One rule for broken
 input, whatever the size or the path: a broken member ends with the last whole
 line or record before the break, the other members are read, headers that
@@ -41,16 +42,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
 from flightlake.sources.avro_records import read_records
 
 SCHEMA = StructType([StructField("archive", StringType()), StructField("member", StringType()),
                      StructField("line", StringType()),
                      StructField("record", MapType(StringType(), StringType())),
-                     StructField("fault", StringType())])
+                     StructField("fault", StringType()), StructField("position", LongType())])
 _ARROW = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line", pa.string()),
-                    ("record", pa.map_(pa.string(), pa.string())), ("fault", pa.string())])
+                    ("record", pa.map_(pa.string(), pa.string())), ("fault", pa.string()), ("position", pa.int64())])
 BATCH_ROWS = 10_000
 BLOCK = 1 << 20
 #: What broken tar, gzip, deflate and Avro data raise. (BadGzipFile is an
@@ -166,9 +167,11 @@ def _avro_records(f) -> Iterator[dict]:
         return read_records(f)
 
 
-def _rows(archive: str, member: str | None, lines=None, records=None, fault: str | None = None) -> pa.RecordBatch:
+def _rows(archive: str, member: str | None, lines=None, records=None, fault: str | None = None,
+          before: int = 0) -> pa.RecordBatch:
     n = len(lines) if lines is not None else len(records) if records is not None else 1
-    columns = [[archive] * n, [member] * n, lines or [None] * n, records or [None] * n, [fault] * n]
+    position = [None] * n if fault else range(before + 1, before + n + 1)
+    columns = [[archive] * n, [member] * n, lines or [None] * n, records or [None] * n, [fault] * n, position]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW.types)], schema=_ARROW)
 
 
@@ -177,21 +180,24 @@ def read_member(raw, archive: str, member: Member) -> Iterator[pa.RecordBatch]:
     name, offset, size = member
     f = io.BufferedReader(_Slice(raw, offset, size))
     kind = member_kind(name)
+    seen = 0
     try:
         if kind == "avro":
             batch: list[list[tuple[str, str]]] = []
             for rec in _avro_records(f):
                 batch.append([(k, str(v)) for k, v in rec.items() if v is not None])
                 if len(batch) == BATCH_ROWS:
-                    yield _rows(archive, name, records=batch)
+                    yield _rows(archive, name, records=batch, before=seen)
+                    seen += len(batch)
                     batch = []
             if batch:
-                yield _rows(archive, name, records=batch)
+                yield _rows(archive, name, records=batch, before=seen)
             return
         counted = _Counted(f) if kind == "csv" else gzip.GzipFile(fileobj=f)
         for lines in _line_blocks(counted):
             for i in range(0, len(lines), BATCH_ROWS):
-                yield _rows(archive, name, lines=lines[i:i + BATCH_ROWS])
+                yield _rows(archive, name, lines=lines[i:i + BATCH_ROWS], before=seen + i)
+            seen += len(lines)
         if kind == "csv" and counted.seen < size:
             raise EOFError(f"{counted.seen} bytes of {size}")
     except FORMAT_ERRORS as e:

@@ -234,3 +234,52 @@ def test_archive_split_by_members(spark, tmp_path):
     key = lambda r: (str(r.member), str(r.line))
     assert sorted(split.collect(), key=key) == sorted(whole.collect(), key=key)
     assert split.count() == 5 * 51 + 7
+
+
+def test_first_archives_lists_few_folders(spark, tmp_path):
+    for day in range(1, 29):
+        for hour in range(6):
+            folder = tmp_path / "states" / f"2024-02-{day:02d}" / f"{hour:02d}"
+            folder.mkdir(parents=True)
+            (folder / f"s{hour}.tar").write_text("x")
+            (folder / "s.txt").write_text("x")
+    (tmp_path / "states" / ".hidden").mkdir()
+    (tmp_path / "states" / ".hidden" / "2024-01-01.tar").write_text("x")
+    (tmp_path / "states-2020-01").mkdir()
+    (tmp_path / "states-2020-01" / "z.tar").write_text("x")
+    listing = S.list_files(spark, str(tmp_path))
+    for n, prefixes in ((5, None), (8, ["states/", "states-"]), (3, ["states/2024-02-2", "nothing/", "states/"]), (500, None)):
+        found, listed = S.first_archives(spark, str(tmp_path), n, prefixes=prefixes)
+        full = None if prefixes is None else [f"file:{tmp_path}/{p}" for p in prefixes]
+        want = S.select_archives(listing, n, prefixes=full, path_col="path")
+        got = [(r.prefix_rank, r.path) for r in found.collect()]
+        assert got == [(r.prefix_rank, r.path) for r in want.collect()] and len(got) == min(n, 168)
+        assert n == 500 or listed <= n + 6
+
+
+def test_rows_of_archives_are_kept_or_sorted_out(spark, tmp_path):
+    from flightlake.plans import jobs
+    members = [("a.csv.gz", gz([HEADER, row(1), "short,line", row(2).replace("2", "x", 1), ""])),
+               ("b.csv.gz", gz([row(5)] * 50)[:60]), ("states.csv", row(7).encode())]
+    tar = make_tar(tmp_path / "x.tar", members)
+    paths = spark.createDataFrame([(tar,)], "path string")
+    done = jobs.ingest_with_rejects(spark, paths, str(tmp_path / "runs"), str(tmp_path / "rejects"), 1)
+    left = S.read_run(spark, done.rejects).collect()
+    whole = {(r.member, r.position): r.reason for r in left if r.reason != "fault"}
+    assert whole.items() >= {("a.csv.gz", 1): "time", ("a.csv.gz", 3): "fields"}.items()
+    assert [(r.member, r.position) for r in left if r.reason == "fault"] == [("b.csv.gz", None)]
+    assert done.accepted == S.read_run(spark, done.run).count() and done.rejected == len(left)
+    assert done.accepted == accepted_count(spark, paths)
+
+
+def accepted_count(spark, paths):
+    from flightlake.operators.ingest import accept_members, clean_states
+    from flightlake.sources.tarstates import read_archive_members
+    return clean_states(accept_members(read_archive_members(paths))).count()
+
+
+def test_broken_lines_of_a_metric_log_are_kept_apart(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text('{"metric": "Duration", "value": 4.0}\n{broken\n{"metric": "RowCount", "value": "x"}\n')
+    accepted, rejected = S.split_metric_log(spark, str(tmp_path / "log.jsonl"), array=False)
+    assert [r.metric for r in accepted.collect()] == ["Duration"]
+    assert sorted(r.text for r in rejected.collect()) == ['{"metric": "RowCount", "value": "x"}', "{broken"]
