@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightlake.llm import bagminhash, decontam, mixing, quality, sharding
 from flightlake.llm.common import materialise, table
@@ -30,8 +31,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The corpus in 40 contiguous shards of near-equal bytes."""
-    return sharding.shard_documents(docs, 40)
+    """The corpus in 40 contiguous shards of near-equal bytes, by id, then text."""
+    ordered = docs.withColumn("__text", F.md5("text"))
+    return sharding.shard_documents(ordered, 40, order=["doc_id", "__text"]).drop("__text")
 
 
 STAGES = [
