@@ -34,6 +34,8 @@ SIMILARITY = 0.8
 #: probability (1 - 0.8^4)^25 < 2e-6.
 BANDS, ROWS = 25, 4
 REGISTERS = BANDS * ROWS
+#: Members of a block, beside the bound on their items.
+BLOCK_ROWS = 2_000
 
 _TIME, _REGISTER, _LEVEL = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 
@@ -191,6 +193,8 @@ def _links_of_blocks(table: pa.Table, threshold: float) -> list[tuple[int, int]]
     rows = table.to_pylist()
     rows.sort(key=lambda r: r["node"])
     key, i, j = rows[0]["key"], rows[0]["i"], rows[0]["j"]
+    if len({r["block"] for r in rows}) < (1 if i == j else 2):
+        return []  # one of the blocks is empty
     bands = np.array([r["bands"] for r in rows], dtype=np.int64)
     band = int(np.flatnonzero(bands[0] == key)[0])
     side = np.array([r["block"] for r in rows])
@@ -216,10 +220,9 @@ def _links_of_blocks(table: pa.Table, threshold: float) -> list[tuple[int, int]]
     column = number[item[use]]
     np.bitwise_or.at(bits, (owner[use], column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
     found = []
-    for x in range(len(rows)):
-        others = np.arange(x + 1, len(rows))
-        if i != j:
-            others = others[side[others] != side[x]]
+    right = np.flatnonzero(side == j)
+    for x in np.flatnonzero(side == i).tolist():
+        others = right[right > x] if i == j else right
         comp_x = root(rows[x]["comp"])
         others = np.array([y for y in others.tolist() if root(rows[y]["comp"]) != comp_x], dtype=np.int64)
         small, large = np.minimum(size[others], size[x]), np.maximum(size[others], size[x])
@@ -250,9 +253,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal bags are one node. Nodes that share a band are candidates. First each
     bucket's members are compared with its most connected member; then, in
-    buckets whose members are still of several classes, all pairs of different
-    classes, block against block. Whatever the size of a bucket, a task holds
-    two blocks of about ``block_items`` items, and only links leave it.
+    buckets whose members are still of several classes, pairs of different
+    classes, block against block; the largest class of a bucket is not paired
+    with itself, so that one foreign member costs one look at the others. Whatever
+    the size of a bucket, a task holds two blocks of about ``block_items`` items
+    and at most some BLOCK_ROWS members, and only links leave it.
     """
     rows = _classed_rows(docs, doc_id, text, threshold, block_items, F.monotonically_increasing_id())
     return rows.select("doc_id", "class_id", "n_shingles")
@@ -300,16 +305,29 @@ def _classed_rows(docs: DataFrame, doc_id: str, text: str, threshold: float, blo
 
     placed = (members.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
               .join(nodes.select("node", "n"), "node").select("key", "node", "comp", "n"))
-    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                           F.sum("n").alias("items"), F.count(F.lit(1)).alias("m"))
+    parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
+    largest = F.max(F.struct("m", "comp", "items"))
+    blocks_of = "cast(ceil(greatest({items} / {block_items}, {m} / {rows})) as int)"
+    open_keys = (parts.groupBy("key").agg(largest.alias("top"), F.sum("m").alias("m"), F.sum("items").alias("items"),
+                                          F.count(F.lit(1)).alias("comps"))
                  # A bucket of two has no pair but the one compared.
-                 .filter("lo < hi AND m > 2")
-                 .select("key", F.ceil(F.col("items") / F.lit(block_items)).cast("int").alias("blocks")))
-    others = placed.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = others.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    grouped = (others.withColumns({"i": F.least("block", "x"), "j": F.greatest("block", "x")})
-               .select("key", "i", "j", "block", "node", "comp")
-               .join(sets.select("node", "n", "bands", "items"), "node"))
+                 .filter("comps > 1 AND m > 2")
+                 .select("key", F.col("top.comp").alias("main"),
+                         F.expr(blocks_of.format(items="top.items", m="top.m", block_items=block_items, rows=BLOCK_ROWS))
+                         .alias("main_blocks"),
+                         F.expr(blocks_of.format(items="(items - top.items)", m="(m - top.m)", block_items=block_items,
+                                                 rows=BLOCK_ROWS)).alias("blocks")))
+    # The largest class of a bucket is never paired with itself: blocks of the
+    # others meet each other and the blocks of that class.
+    dealt = (placed.join(open_keys, "key").withColumn("is_main", F.expr("comp = main"))
+             .withColumn("own", F.expr("cast(pmod(xxhash64(node), if(is_main, main_blocks, blocks)) as int)"))
+             .withColumn("meets", F.expr("if(is_main, transform(sequence(0, blocks - 1), x -> struct(x AS i, -1 - own AS j)), "
+                                         "concat(transform(sequence(0, blocks - 1), x -> struct(least(own, x) AS i, "
+                                         "greatest(own, x) AS j)), transform(sequence(0, main_blocks - 1), "
+                                         "x -> struct(own AS i, -1 - x AS j))))"))
+             .select("key", "node", "comp", F.expr("if(is_main, -1 - own, own)").alias("block"), F.explode("meets").alias("m"))
+             .select("key", "node", "comp", "block", "m.i", "m.j"))
+    grouped = dealt.join(sets.select("node", "n", "bands", "items"), "node")
 
     def compare(table: pa.Table) -> pa.Table:
         links = _links_of_blocks(table, threshold)

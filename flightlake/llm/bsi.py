@@ -7,6 +7,8 @@ weight bit by weight bit, which gives every row's score as bit slices; walking
 these from the most significant one down selects the top rows. Quantisation
 leaves each score an interval of known width, so the rows within that width of
 the k-th value are the boundary: they are resolved by exact integer products.
+Vectors with a component that slices of 32 bits do not hold are kept beside the
+slices and always resolved exactly.
 """
 
 from __future__ import annotations
@@ -16,77 +18,91 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of an index block and queries of a query block.
-BLOCK_ROWS, QUERY_ROWS = 65_536, 1_024
+from flightlake.llm.common import materialise
+
+#: Rows of an index block and queries of a query block, at most and (where there
+#: are tasks for more blocks) at least.
+BLOCK_ROWS, QUERY_ROWS, LEAST_ROWS = 65_536, 1_024, 2_048
 #: Bits kept of values and of query weights in the slices.
 VALUE_BITS, WEIGHT_BITS = 8, 8
-#: Scaled components saturate here (|x| = 65,536).
-LIMIT = 1 << 26
+#: Scaled components of a vector in the slices are smaller than this.
+LIMIT = 1 << 31
 
-_BLOCK = "block int, dim int, ids binary, vals binary"
+_BLOCK = "block int, dim int, ids binary, rows binary, vals binary, wide binary"
+_LONG = (1 << 63) - 1
 
 
-def quantise(batch: pa.RecordBatch, vec_id: str, vector: str, scale: int) -> tuple[np.ndarray, list[np.ndarray | None]]:
-    """Ids and floor(scale * x) of each vector; None where the vector (or its
-    id) is null or has a null or non-finite component."""
+def quantise(batch: pa.RecordBatch, vec_id: str, vector: str, scale: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray | None]]:
+    """Ids, row numbers and floor(scale * x) (whole numbers as doubles) of each
+    vector; None where the vector (or its id) is null or has a null or non-finite
+    component."""
     lists = batch.column(vector)
     flat = lists.flatten().cast(pa.float64())
     x = flat.to_numpy(zero_copy_only=False)  # nulls become NaN
     sizes = np.asarray(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     ends = np.cumsum(sizes)
-    finite = np.isfinite(x)
-    bad = np.concatenate([[0], np.cumsum(~finite)])
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
     ok = (bad[ends] == bad[ends - sizes]) & np.asarray(lists.is_valid()) & np.asarray(batch.column(vec_id).is_valid())
-    q = np.zeros(len(x), dtype=np.int64)
-    q[finite] = np.clip(np.floor(scale * x[finite]), -LIMIT, LIMIT)
+    with np.errstate(invalid="ignore", over="ignore"):
+        q = np.floor(scale * x)
+        large = ~np.isfinite(q) & np.isfinite(x)
+    q[large] = np.floor(x[large])  # scale x is beyond a double: the score saturates either way
     ids = batch.column(vec_id).cast(pa.int64()).fill_null(0).to_numpy()
-    return ids, [q[e - s:e] if good else None for e, s, good in zip(ends.tolist(), sizes.tolist(), ok.tolist())]
+    vectors = [q[e - s:e] if good else None for e, s, good in zip(ends.tolist(), sizes.tolist(), ok.tolist())]
+    return ids, batch.column("__row").to_numpy(), vectors
 
 
 def pack_blocks(vectors: DataFrame, blocks: int, rows: int, vec_id: str, vector: str, scale: int) -> DataFrame:
-    """Vectors as blocks of at most ``rows`` rows of one dimension; ``block`` is
-    0 to blocks-1 (a partition may hold several blocks with its number)."""
+    """Vectors as blocks of at most ``rows`` rows of one dimension, those with a
+    component beyond LIMIT in blocks of their own (``wide``, as doubles); ``block``
+    is 0 to blocks-1 (a partition may hold several blocks with its number)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        waiting: dict[int, list] = {}
+        waiting: dict[tuple[int, bool], list] = {}
 
-        def block(dim: int) -> pa.RecordBatch:
-            pairs = waiting.pop(dim)
-            ids = np.array([i for i, _ in pairs], dtype=np.int64)
-            vals = np.array([v for _, v in pairs], dtype=np.int32).reshape(len(pairs), dim)
+        def block(dim: int, wide: bool) -> pa.RecordBatch:
+            held = waiting.pop((dim, wide))
+            ids, numbers = (np.array([h[i] for h in held], dtype=np.int64).tobytes() for i in (0, 1))
+            vals = np.array([h[2] for h in held], dtype=np.float64).reshape(len(held), dim)
+            vals, large = (None, vals.tobytes()) if wide else (vals.astype(np.int32).tobytes(), None)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
-                 pa.array([vals.tobytes()], pa.binary())], names=["block", "dim", "ids", "vals"])
+                [pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids], pa.binary()),
+                 pa.array([numbers], pa.binary()), pa.array([vals], pa.binary()), pa.array([large], pa.binary())],
+                names=["block", "dim", "ids", "rows", "vals", "wide"])
 
         for batch in batches:
-            ids, vecs = quantise(batch, vec_id, vector, scale)
-            for i, v in zip(ids.tolist(), vecs):
+            for i, r, v in zip(*(x.tolist() if hasattr(x, "tolist") else x for x in quantise(batch, vec_id, vector, scale))):
                 if v is not None:
-                    waiting.setdefault(len(v), []).append((i, v))
-                    if len(waiting[len(v)]) == rows:
-                        yield block(len(v))
-        for dim in list(waiting):
-            yield block(dim)
+                    kind = len(v), bool((np.abs(v) >= LIMIT).any())
+                    waiting.setdefault(kind, []).append((i, r, v))
+                    if len(waiting[kind]) == rows:
+                        yield block(*kind)
+        for kind in list(waiting):
+            yield block(*kind)
 
-    return vectors.select(vec_id, vector).repartition(blocks).mapInArrow(pack, _BLOCK)
+    return vectors.select(vec_id, vector, "__row").repartition(blocks).mapInArrow(pack, _BLOCK)
 
 
-def unpack(block: dict) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(block["ids"], np.int64)
-    return ids, np.frombuffer(block["vals"], np.int32).reshape(len(ids), block["dim"])
+def unpack(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, row numbers, values) of a block; wide ones are Python integers."""
+    ids, rows = np.frombuffer(block["ids"], np.int64), np.frombuffer(block["rows"], np.int64)
+    if block["wide"] is None:
+        return ids, rows, np.frombuffer(block["vals"], np.int32).reshape(len(ids), block["dim"])
+    wide = np.frombuffer(block["wide"], np.float64)
+    return ids, rows, np.array([int(x) for x in wide], dtype=object).reshape(len(ids), block["dim"])
 
 
 class SlicedBlock:
     """Bit slices of one block: ``slices[d, b]`` is a bitmap of 64-bit words."""
 
-    def __init__(self, ids: np.ndarray, vals: np.ndarray):
-        self.ids, self.vals, self.n = ids, vals, len(ids)
-        self.low = vals.min(axis=0) if self.n else np.zeros(vals.shape[1], np.int32)
-        offset = (vals - self.low).astype(np.uint32)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vals: np.ndarray):
+        self.ids, self.rows, self.vals, self.n = ids, rows, vals, len(ids)
+        self.low = vals.min(axis=0).astype(np.int64) if self.n else np.zeros(vals.shape[1], np.int64)
+        offset = vals - self.low
         bits = int(offset.max(initial=0)).bit_length()
         self.shift = max(0, bits - VALUE_BITS)
         self.bits = max(1, bits - self.shift)
@@ -142,13 +158,13 @@ class SlicedBlock:
                 tied &= ~slices[b]
         return value
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the block's k best rows, the query's own left out."""
+    def top(self, own_row: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the block's k best rows, the query's own row left out."""
         magnitude = np.abs(query)
         t = max(0, int(magnitude.max(initial=0)).bit_length() - WEIGHT_BITS)
         weights = (magnitude + ((1 << t) >> 1)) >> t
         error = np.abs(magnitude - (weights << t))
-        own = np.flatnonzero(self.ids == query_id)
+        own = np.flatnonzero(self.rows == own_row)
         among = self.all.copy()
         for row in own.tolist():
             among[row // 64] &= ~np.uint64(1 << (row % 64))
@@ -157,17 +173,22 @@ class SlicedBlock:
         width = (int(error.sum()) << self.shift) * ((1 << self.bits) - 1) + int(magnitude.sum()) * ((1 << self.shift) - 1)
         floor = self.kth_value(slices, among, k) - (width >> (self.shift + t))
         rows = np.flatnonzero(np.unpackbits((self.at_least(slices, floor) & among).view(np.uint8), bitorder="little"))
-        scores = exact_products(self.vals[rows], query)
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows][best], scores[best]
+        return best_of(self.ids[rows], exact_products(self.vals[rows], query), k)
+
+
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    best = np.lexsort((ids, -scores))[:k]
+    return ids[best], scores[best]
 
 
 def exact_products(vals: np.ndarray, query: np.ndarray) -> np.ndarray:
-    bound = vals.shape[1] * int(np.abs(query).max(initial=0)) * int(np.abs(vals).max(initial=0))
-    if bound < 1 << 62:
-        return vals.astype(np.int64) @ query
-    long = (1 << 63) - 1  # beyond a long, scores saturate
-    return np.array([max(-long, min(long, int(s))) for s in vals.astype(object) @ query.astype(object)], dtype=np.int64)
+    """Integer products of rows and a query (int64 or Python integers); beyond a long they saturate."""
+    if vals.dtype != object and query.dtype != object:
+        bound = vals.shape[1] * int(np.abs(query).max(initial=0)) * int(np.abs(vals.astype(np.int64)).max(initial=0))
+        if bound < 1 << 62:
+            return vals.astype(np.int64) @ query
+    products = (vals.astype(object) * query.astype(object)).sum(axis=1) if vals.shape[1] else [0] * len(vals)
+    return np.array([max(-_LONG, min(_LONG, int(s))) for s in products], dtype=np.int64)
 
 
 def _add(total: list[np.ndarray], number: list[np.ndarray] | np.ndarray) -> None:
@@ -197,47 +218,61 @@ def _add(total: list[np.ndarray], number: list[np.ndarray] | np.ndarray) -> None
         b += 1
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding",
+def top_k(vectors: DataFrame, asked: Column | str, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding",
           scale: int = 1024, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row of ``queries`` the k rows
-    of ``vectors`` with the highest integer inner product of floor(scale * x),
-    ties to the smaller vec_id; fewer rows if there are fewer.
-
-    All rows with the query's id are its own and left out. Vectors that are
-    null, or hold null or non-finite components, or have a null id, take no
-    part; only vectors of equal dimension are compared. Repeated candidate
-    rows each count; repeated query rows count once. Other columns are ignored.
-
-    Both sides are dealt to blocks; each pair of an index block and a query
-    block is one group of bounded size. What returns is k rows a query and
-    block, of which a window keeps the k best.
+    """(query_id, rank, vec_id, score): for each row of ``vectors`` for which
+    ``asked`` is true, the k other rows with the highest integer inner product of
+    floor(scale * x), ties to the smaller vec_id; fewer rows if there are fewer.
+
+    Rows are told apart by number, not by id: only the query's own row is left
+    out, rows that repeat its id or its values are candidates like all others,
+    and each of several query rows with one id gets its k rows. Vectors that are
+    null, or hold null or non-finite components, or have a null id, take no part;
+    only vectors of equal dimension are compared. Components may be of any size;
+    scores beyond a long saturate. Other columns are ignored.
+
+    Both sides are dealt to blocks, sized so that all cores have some; each pair
+    of an index block and a query block is one group of bounded size. What returns
+    is k rows a query and block, of which a window keeps the k best.
     """
-    queries = queries.select(vec_id, vector).dropDuplicates()
-    blocks = -(-vectors.count() // block_rows) or 1
-    query_blocks = -(-queries.count() // query_rows) or 1
-    index = pack_blocks(vectors, blocks, block_rows, vec_id, vector, scale)
-    asked = pack_blocks(queries, query_blocks, query_rows, vec_id, vector, scale)
+    where = F.expr(asked) if isinstance(asked, str) else asked
+    rows = materialise(vectors.select(vec_id, vector, F.coalesce(where, F.lit(False)).alias("__asked"),
+                                      F.monotonically_increasing_id().alias("__row")), "vectors")
+    n, n_asked = rows.agg(F.count(F.lit(1)), F.count_if("__asked")).first()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    block_rows = min(block_rows, max(LEAST_ROWS, -(-n // (2 * cores))))
+    blocks = -(-n // block_rows) or 1
+    query_blocks = -(-n_asked // query_rows) or 1
+    index = pack_blocks(rows, blocks, block_rows, vec_id, vector, scale)
+    queries = pack_blocks(rows.filter("__asked"), query_blocks, query_rows, vec_id, vector, scale)
     index = index.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = asked.withColumnRenamed("block", "other").withColumn(
+    queries = queries.withColumnRenamed("block", "other").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        for rows in left.to_pylist():
-            block = SlicedBlock(*unpack(rows))
-            for ask in right.to_pylist():
-                if ask["dim"] != rows["dim"]:
+        out = {"query_id": [], "query_row": [], "vec_id": [], "score": []}
+        asks = [(ask["dim"], *unpack(ask)) for ask in right.to_pylist()]
+        for packed in left.to_pylist():
+            ids, numbers, vals = unpack(packed)
+            block = SlicedBlock(ids, numbers, vals) if vals.dtype != object else None
+            for dim, query_ids, query_numbers, queries in asks:
+                if dim != packed["dim"]:
                     continue
-                ids, vals = unpack(ask)
-                for i, q in zip(ids.tolist(), vals.astype(np.int64)):
-                    best, scores = block.top(i, q, k)
+                for i, own, q in zip(query_ids.tolist(), query_numbers.tolist(), queries):
+                    q = q if q.dtype == object else q.astype(np.int64)
+                    if block is not None and q.dtype != object:
+                        best, scores = block.top(own, q, k)
+                    else:  # too wide for slices: all rows are resolved exactly
+                        others = numbers != own
+                        best, scores = best_of(ids[others], exact_products(vals[others], q), k)
                     out["query_id"] += [i] * len(best)
+                    out["query_row"] += [own] * len(best)
                     out["vec_id"] += best.tolist()
                     out["score"] += scores.tolist()
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
-    found = (index.groupBy("block", "other").cogroup(asked.groupBy("block", "other"))
-             .applyInArrow(search, "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = (index.groupBy("block", "other").cogroup(queries.groupBy("block", "other"))
+             .applyInArrow(search, "query_id long, query_row long, vec_id long, score long"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

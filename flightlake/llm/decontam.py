@@ -1,10 +1,12 @@
 """Benchmark decontamination.
 
-The benchmark's word n-grams are broadcast as texts (behind a check of their
-size; a larger benchmark goes round by round, one bounded part at a time) and
-every task builds a hash table of them once. Documents are scanned in Arrow
-batches: rolling hashes of all word windows at once, a bit table as first
-sieve, and a comparison of the words themselves for each candidate.
+The benchmark's word n-grams are broadcast as texts and every task builds a hash
+set of them: the windows' hashes, sorted, over one buffer of the words. A larger
+benchmark goes round by round, one bounded part at a time: between rounds the
+documents are written with the words hit so far, and the part is let go.
+Documents are scanned in Arrow batches: rolling hashes of all word windows at
+once, a bit table as first sieve, and a comparison of the words themselves for
+each candidate.
 """
 
 from __future__ import annotations
@@ -14,11 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.llm.common import window_hashes, without, words
+from flightlake.llm.common import materialise, window_hashes, without, words
 
 N_GRAM = 10
 #: Bytes of benchmark text in one broadcast.
@@ -29,20 +32,48 @@ _SIEVE_BITS = 20
 
 
 class WindowIndex:
-    """Hash table of the windows of some items: (item number, text) pairs."""
+    """Hash set of the windows of some (item number, text) pairs. For each window
+    it has a hash, the place of its first word and its item: some 16 bytes, and
+    the words once, as bytes with their ends."""
 
     def __init__(self, items: list[tuple[int, str]], n: int = N_GRAM):
-        self.by_size: dict[int, tuple[np.ndarray, dict[int, dict]]] = {}
-        for number, text in items:
-            w = words(text)
+        text = bytearray()
+        ends: list[np.ndarray] = []
+        windows: dict[int, list[tuple[np.ndarray, int, int]]] = {}
+        first = 0
+        for number, t in items:
+            w = words(t)
             k = min(n, len(w))
             if not k:
                 continue
-            sieve, found = self.by_size.setdefault(k, (np.zeros(1 << _SIEVE_BITS, dtype=bool), {}))
-            for i, h in enumerate(window_hashes(word_hashes(w), k).tolist()):
-                sieve[h >> (64 - _SIEVE_BITS)] = True
-                windows = found.setdefault(h, {})  # windows with this hash, each with its items
-                windows.setdefault(tuple(w[i:i + k]), set()).add(number)
+            ends.append(len(text) + np.cumsum([len(x) + 1 for x in w]))
+            text += b" ".join(w) + b" "
+            windows.setdefault(k, []).append((window_hashes(word_hashes(w), k), first, number))
+            first += len(w)
+        self.text = bytes(text)
+        del text
+        # Word i is text[ends[i]:ends[i + 1] - 1].
+        self.ends = np.concatenate([[0], *ends]).astype(np.uint32 if len(self.text) < 1 << 32 else np.int64)
+        del ends
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in list(windows):
+            parts = windows.pop(k)
+            hashes = np.concatenate([h for h, _, _ in parts])
+            starts = np.concatenate([np.arange(at, at + len(h), dtype=np.uint32) for h, at, _ in parts])
+            numbers = np.repeat(np.array([i for _, _, i in parts], dtype=np.int32), [len(h) for h, _, _ in parts])
+            order = np.argsort(hashes, kind="stable")
+            sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
+            sieve[hashes >> np.uint64(64 - _SIEVE_BITS)] = True
+            self.by_size[k] = sieve, hashes[order], starts[order], numbers[order]
+
+    def found(self, k: int, low: int, high: int, window: bytes) -> set[int]:
+        """Items that have a window among those from ``low`` to ``high``."""
+        _, _, starts, numbers = self.by_size[k]
+        out = set()
+        for at, number in zip(starts[low:high].tolist(), numbers[low:high].tolist()):
+            if number not in out and self.text[self.ends[at]:self.ends[at + k] - 1] == window:
+                out.add(number)
+        return out
 
     def scan(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, set[int]]]:
         """For each text: number of words, which of them are hit, items found."""
@@ -52,10 +83,18 @@ class WindowIndex:
         h = word_hashes(flat)
         hit = np.zeros(len(flat) + 1, dtype=np.int32)  # +1 where a window begins, -1 behind it
         items: dict[int, set[int]] = {}
-        for k, (sieve, found) in self.by_size.items():
+        for k, (sieve, hashes, _, _) in self.by_size.items():
             rolled = window_hashes(h, k)
-            for at in np.flatnonzero(sieve[(rolled >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)]).tolist():
-                numbers = found.get(int(rolled[at]), {}).get(tuple(flat[at:at + k]))
+            maybe = np.flatnonzero(sieve[(rolled >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)])
+            low = np.searchsorted(hashes, rolled[maybe], side="left")
+            high = np.searchsorted(hashes, rolled[maybe], side="right")
+            known: dict[bytes, set[int]] = {}
+            for i in np.flatnonzero(low < high).tolist():
+                at = int(maybe[i])
+                window = b" ".join(flat[at:at + k])
+                numbers = known.get(window)
+                if numbers is None:
+                    numbers = known[window] = self.found(k, int(low[i]), int(high[i]), window)
                 if numbers:
                     doc = int(np.searchsorted(ends, at, side="right"))
                     if at + k <= ends[doc]:  # else it runs into the next text
@@ -122,6 +161,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     Null and empty texts have no words and no hits (clean_text keeps them as
     they are). Columns with the names of the results are replaced. ``keep``
     limits the columns of ``docs`` that the result carries (default: all).
+
+    A benchmark of more than ``max_broadcast`` bytes takes as many rounds as it has
+    such parts; a worker holds one part (under ten bytes for each of its text's).
     """
     bench = (benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
              .filter(F.col("text").isNotNull()).distinct())
@@ -131,15 +173,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     results = without(docs, "n_words", "n_hit", "items", "clean_text", "__hit")
     for r in range(rounds):
         rows = bench.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).collect()
-        results = _scan_round(results, [(x["id"], x["text"]) for x in rows], text, n, first=r == 0,
-                              last=r == rounds - 1, spans=spans, keep=keep)
+        results, part = _scan_round(results, [(x["id"], x["text"]) for x in rows], text, n, first=r == 0,
+                                    last=r == rounds - 1, spans=spans, keep=keep)
+        if r < rounds - 1:
+            results = materialise(results, "scanned")
+            part.unpersist()
     return results
 
 
 def _scan_round(docs: DataFrame, items: list[tuple[str | None, str]], text: str, n: int, first: bool, last: bool,
-                spans: bool, keep: list[str] | None) -> DataFrame:
-    """Scan for one bounded part of the benchmark. Between parts the hit words
-    travel as a packed bit map in ``__hit``."""
+                spans: bool, keep: list[str] | None) -> tuple[DataFrame, Broadcast]:
+    """Scan for one bounded part of the benchmark (and that part). Between parts
+    the hit words travel as a packed bit map in ``__hit``."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     carried = [f for f in docs.schema.fields if f.name not in ("n_words", "n_hit", "items", "__hit")
                and (not last or keep is None or f.name in keep)]
@@ -185,7 +230,7 @@ def _scan_round(docs: DataFrame, items: list[tuple[str | None, str]], text: str,
                 columns.append(pa.array(clean, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in out_schema.fields])
 
-    return docs.mapInArrow(scan, out_schema)
+    return docs.mapInArrow(scan, out_schema), shared
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, spans: bool = False, **options) -> DataFrame:

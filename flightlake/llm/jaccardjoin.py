@@ -13,8 +13,8 @@ bounds keep most of that product from being made:
   document; it takes a place of the prefix and is joined with nothing.
 * The overlap inside the prefixes bounds the whole overlap.
 
-Documents with equal sets are one row of the matrix. The members of a column of
-the prefix matrix are first compared with its most connected member; where they
+Documents with equal sets are one row of the matrix, and shingles with equal
+rows one column. The members of a column of the prefix matrix are first compared with its most connected member; where they
 are then still of several components, blocks of rows of different components
 are multiplied, columns in blocks, and pairs whose overlap cannot reach the
 bound are discarded. What is left is counted exactly over the whole sets.
@@ -267,12 +267,19 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = materialise(nodes, "nodes")
     postings = nodes.select("node", "n", "lead", F.posexplode("prefix").alias("place", "key"))
-    columns = (postings.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(F.expr("place < lead")).alias("short"))
-               .filter("size > 1 AND short").select("key", "size"))
+    h = F.xxhash64("node")
+    columns = (postings.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.max(F.expr("place < lead")).alias("short"), F.bit_xor(h).alias("x"),
+        F.sum(F.shiftright(h, 20)).alias("s"), F.min(F.struct("node", "place")).alias("least")).filter("size > 1"))
+    # Columns with the same rows are one, the first of them in the order (a pair
+    # that meets in them meets there first).
+    columns = (columns.groupBy("size", "x", "s", F.col("least.node").alias("m"))
+               .agg(F.min(F.struct("least.place", "key")).alias("c"), F.max("short").alias("short"), F.count(F.lit(1)).alias("times"))
+               .filter("short").select("c.key", "size", "times"))
     members = materialise(postings.select("key", "node", "n").join(columns, "key"), "members")
 
     # The member that meets the others most often is the likeliest origin of its copies.
-    score = members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("score"))
+    score = members.groupBy("node").agg(F.sum((F.col("size") - 1) * F.col("times")).alias("score"))
     centres = (members.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("c"))
                .select("key", F.col("c.node").alias("a"), F.col("c.n").alias("centre_n")))
     pairs = (members.join(centres, "key").filter("node <> a AND 5 * least(n, centre_n) >= 4 * greatest(n, centre_n)")

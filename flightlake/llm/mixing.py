@@ -5,7 +5,9 @@ of repeats of what it has; what it cannot use is reshared by weight). Its
 documents are put in a hash-random order and taken until the budget is met:
 full epochs first, then a prefix of the order. The prefix ends at one cut per
 source, which is found from distributed prefix sums: word totals of key ranges
-first, then the rows of the one range that holds the cut.
+first, then of the parts of the one range that holds the cut, then the rows of
+the one part. Rows that are equal in all that orders them are counted before
+they are summed; where the cut falls among them, as many are taken as fit.
 
 DataFrame functions only. Texts are scanned, never shuffled; a hot source is
 spread over its key ranges.
@@ -62,31 +64,47 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], repeats: int, bud
                     F.coalesce(F.least(F.col("cap"), F.col("common") * F.col("weight")), F.col("cap")).alias("target")))
 
 
+def _cut_range(totals: DataFrame, budgets: DataFrame, place: str) -> DataFrame:
+    """(source, cut, base, rest): of each source the range (``place``) in which
+    its budget ends, and the words before that range."""
+    earlier = Window.partitionBy("__source").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = totals.withColumn("upto", F.sum("words").over(earlier))
+    return (upto.join(budgets, F.col("source").eqNullSafe(F.col("__source")))
+            .filter((F.col("base") + F.col("upto") - F.col("words") < F.col("rest"))
+                    & (F.col("base") + F.col("upto") >= F.col("rest")))
+            .select("source", F.col(place).alias("cut"), (F.col("base") + F.col("upto") - F.col("words")).alias("base"), "rest"))
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3, seed: str = "mix",
-                size: Column | None = None, key: str = "doc_id", source: str = "source",
+                size: Column | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
                 buckets: int = 4096, budget: float = 1.0) -> DataFrame:
     """``docs`` with size, source_size, target and ``taken`` (words the mix takes).
 
     A document is taken whole: ``taken`` is 0, 1, ... ``repeats`` times its
     size. In the last, partial epoch the documents come in the order of (md5 of
-    seed and key, key, size) and the cut is the one nearest to the budget.
-    Rows with equal key, source and size share their place: all of them are
-    taken or none. Null sources form one source; null keys sort as an empty
-    key. Empty texts have size 0 and take nothing. Columns of the input with
-    the names of the results are replaced. Reruns give the same mix.
+    seed, key and text, size) and are taken while more than half of one lies
+    within the budget. Rows that agree in key, text, source and size are alike:
+    of these as many are taken as fit, any of them. Null sources form one source;
+    null keys and texts count as empty ones in the order. Empty texts have size 0
+    and take nothing. Columns of the input with the names of the results are
+    replaced. Reruns give the same mix.
+
+    The cut is narrowed twice by ``buckets`` key ranges (4,096 x 4,096 of them
+    leave a task some thousand rows of 1e11), and equal rows are one row there.
     """
     own = ("size", "source_size", "target", "taken")
     # Where the input has its own column "size" it may be what ``size`` reads.
-    rows = (docs.withColumn("__size", (word_count() if size is None else size).cast("long"))
+    rows = (docs.withColumn("__size", (word_count(text) if size is None else size).cast("long"))
             .withColumn("__source", F.col(source)))
-    rows = without(rows, *own).withColumn(
-        "__key", F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary")))
-    bucket = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32)
-    rows = rows.withColumn("__bucket", F.floor(bucket).cast("int"))
-    slim = materialise(rows.select("__source", "__key", F.col(key).cast("string").alias("__id"), "__size", "__bucket"),
-                       "mix-sizes")
-
-    per_range = slim.groupBy("__source", "__bucket").agg(F.sum("__size").alias("words"))
+    content = [F.coalesce(F.md5(F.col(text).cast("binary")), F.lit(""))] if text in docs.columns else []
+    rows = without(rows, *own).withColumn("__key", F.md5(F.concat(
+        F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), *content).cast("binary")))
+    place = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("__part", F.floor(place * F.lit(buckets * buckets) / F.lit(1 << 32)).cast("long"))
+    slim = materialise(rows.select("__source", "__key", "__size", "__part",
+                                   F.expr(f"__part div {buckets}").alias("__range")), "mix-sizes")
+
+    per_range = slim.groupBy("__source", "__range").agg(F.sum("__size").alias("words"))
     sizes = per_range.groupBy(F.col("__source").alias("source")).agg(F.sum("words").alias("source_size"))
     targets = (source_targets(sizes, weights, repeats, budget)
                .withColumn("epochs", F.when(F.col("source_size") > 0, F.least(
@@ -96,38 +114,60 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats:
                            .otherwise(F.lit(0.0))))
     targets = materialise(targets, "mix-targets")
 
+    budgets = targets.select("source", "rest", F.lit(0).cast("long").alias("base"))
     same = F.col("source").eqNullSafe(F.col("__source"))
-    ranges = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding,
-                                                                            Window.currentRow)
-    # The key range of each source in which its budget ends: at most one a source.
-    upto = per_range.withColumn("upto", F.sum("words").over(ranges))
-    cut_range = (upto.join(targets, same)
-                 .filter((F.col("upto") - F.col("words") < F.col("rest")) & (F.col("upto") >= F.col("rest")))
-                 .select("source", F.col("__bucket").alias("cut_bucket"), (F.col("upto") - F.col("words")).alias("base"),
-                         "rest"))
-    inside = (Window.partitionBy("__source").orderBy("__key", "__id", "__size"))
-    in_cut = (slim.join(cut_range, same & (F.col("__bucket") == F.col("cut_bucket")))
-              .withColumn("upto", F.col("base") + F.sum("__size").over(
-                  inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("ties", F.sum("__size").over(Window.partitionBy("__source", "__key", "__id", "__size")))
-              # Taken while more than half of the row lies within the budget.
-              .filter(F.col("upto") - F.col("ties") / 2 <= F.col("rest")))
-    last = in_cut.groupBy("source").agg(F.max(F.struct("__key", F.coalesce("__id", F.lit("")).alias("i"),
-                                                       "__size")).alias("cut_row"))
-    ends = (targets.join(cut_range.select(F.col("source").alias("s"), "cut_bucket"),
-                         F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-            .join(last.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
+    ranges = _cut_range(per_range, budgets, "__range")  # at most one a source, as all that follows
+    per_part = (slim.join(ranges, same & (F.col("__range") == F.col("cut")))
+                .groupBy("__source", "__part").agg(F.sum("__size").alias("words")))
+    parts = materialise(_cut_range(per_part, ranges.drop("cut"), "__part"), "mix-parts")
+    alike = (slim.join(parts, same & (F.col("__part") == F.col("cut"))).filter("__size > 0")
+             .groupBy("source", "base", "rest", "__key", "__size").agg(F.count(F.lit(1)).alias("copies")))
+    upto = F.sum(F.col("copies") * F.col("__size")).over(
+        Window.partitionBy("source").orderBy("__key", "__size").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.col("base") + upto - F.col("copies") * F.col("__size")
+    # Taken while more than half of the row lies within the budget.
+    fit = F.floor((F.col("rest") - before) / F.col("__size") + F.lit(0.5))
+    last = (alike.withColumn("fit", F.least(fit, F.col("copies")))
+            .filter("fit > 0").groupBy(F.col("source").alias("s"))
+            .agg(F.max(F.struct("__key", "__size", "fit", "copies")).alias("cut")))
+    ends = (targets.join(parts.select(F.col("source").alias("p"), F.col("cut").alias("__cut_part")),
+                         F.col("source").eqNullSafe(F.col("p")), "left")
+            .join(last, F.col("source").eqNullSafe(F.col("s")), "left"))
     ends = materialise(ends.select(
-        F.col("source").alias("__name"), "source_size", "target", F.col("epochs").alias("__epochs"),
-        F.col("cut_bucket").alias("__cut_bucket"), F.col("cut_row").alias("__cut_row")), "mix-cuts")
-    here = F.struct(F.col("__key"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("i"), F.col("__size"))
-    in_prefix = F.coalesce((F.col("__bucket") < F.col("__cut_bucket"))
-                           | ((F.col("__bucket") == F.col("__cut_bucket")) & (here <= F.col("__cut_row"))),
-                           F.lit(False))
+        F.col("source").alias("__name"), "source_size", "target", F.col("epochs").alias("__epochs"), "__cut_part",
+        F.struct("cut.__key", "cut.__size").alias("__cut_row"), F.col("cut.fit").alias("__fit"),
+        F.coalesce(F.col("cut.fit") < F.col("cut.copies"), F.lit(False)).alias("__split")), "mix-cuts")
+
+    here = F.struct("__key", "__size")
     out = rows.join(ends, F.col("__source").eqNullSafe(F.col("__name")))
-    return (out.withColumn("taken", F.col("__size") * (F.col("__epochs") + in_prefix.cast("long")))
+    at_cut = F.coalesce((F.col("__part") == F.col("__cut_part")) & (here == F.col("__cut_row")), F.lit(False))
+    in_prefix = F.coalesce((F.col("__part") < F.col("__cut_part"))
+                           | ((F.col("__part") == F.col("__cut_part")) & (here <= F.col("__cut_row"))), F.lit(False))
+    out = out.withColumns({"__more": in_prefix.cast("long"), "__tied": at_cut & F.col("__split")})
+    if ends.filter("__split").isEmpty():
+        done = out
+    else:
+        done = out.filter("NOT __tied").unionByName(_first_of_equal(out.filter("__tied")))
+    return (done.withColumn("taken", F.col("__size") * (F.col("__epochs") + F.col("__more")))
             .withColumnRenamed("__size", "size")
-            .drop("__source", "__name", "__key", "__bucket", "__epochs", "__cut_bucket", "__cut_row"))
+            .drop("__source", "__name", "__key", "__part", "__epochs", "__cut_part", "__cut_row", "__fit", "__split",
+                  "__more", "__tied"))
+
+
+def _first_of_equal(tied: DataFrame) -> DataFrame:
+    """The equal rows at the sources' cuts, ``__more`` being 1 for the first
+    ``__fit`` of each source. They are written and numbered: inside the partitions
+    they lie in, and across these by the partitions' counts."""
+    number = F.monotonically_increasing_id()
+    held = materialise(tied.withColumn("__row", number).withColumn("__in", F.shiftright(F.col("__row"), 33)), "mix-ties")
+    counts = held.groupBy(F.col("__source").alias("c_source"), F.col("__in").alias("c_in")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("c_source").orderBy("c_in").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("c_source", "c_in", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    nth = F.row_number().over(Window.partitionBy("__source", "__in").orderBy("__row"))
+    placed = held.withColumn("nth", nth).join(
+        firsts, F.col("__source").eqNullSafe(F.col("c_source")) & (F.col("__in") == F.col("c_in")))
+    more = (F.col("first") + F.col("nth") <= F.col("__fit")).cast("long")
+    return placed.withColumn("__more", more).select(tied.columns)
 
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:

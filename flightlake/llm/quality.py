@@ -135,11 +135,18 @@ def sample_labels(labels: DataFrame, label: str, modulus: int, remainder: int, l
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
 
 
+def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, __label, text): one row an id, whatever the number of documents
+    that repeat it (the text with the smallest hash)."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_train small rows
+    return rows.groupBy("doc_id", "__label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4, remainder: int = 2,
           max_train: int = MAX_TRAIN) -> bytes:
     """The fitted machine, as bytes (its size does not depend on the input)."""
     sample = sample_labels(labels, label, modulus, remainder, max_train)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_train small rows
+    chosen = labelled_texts(docs, sample)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
                 numbers.append(at.astype(np.int32).tobytes())
                 values.append(x[at].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("__label"), pa.array(numbers, pa.binary()),
+                [batch.column("id"), batch.column("__label"), pa.array(numbers, pa.binary()),
                  pa.array(values, pa.binary())], names=["id", "label", "numbers", "vals"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
         model = fit(x, np.array([r["label"] for r in rows], dtype=np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
 
-    rows = chosen.select("doc_id", "__label", "text").mapInArrow(
-        extract, "id long, label int, numbers binary, vals binary")
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    rows = chosen.select(F.col("doc_id").alias("id"), "__label", "text").mapInArrow(
+        extract, f"id {kind}, label int, numbers binary, vals binary")
     found = rows.repartition(1).mapInArrow(learn, "model binary").first()
     return found["model"] if found else fit([], np.zeros(0)).to_bytes()
 

@@ -83,8 +83,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact top 10 by integer inner product for every hundredth vector."""
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return bsi.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+    return bsi.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +143,7 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
 
 ORACLE["op4_mixing"] = r"""
 WITH r AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  md5('mix' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+                  md5('mix' || coalesce(doc_id::VARCHAR, '') || coalesce(md5(text), '')) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM r GROUP BY source),
 w AS (SELECT *, 3.0 * source_size AS cap,
              ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight FROM s),
@@ -157,7 +156,7 @@ t AS (SELECT source, source_size, coalesce(least(cap::DOUBLE, common * weight),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS epochs FROM t),
 o AS (SELECT r.*, e.source_size, e.target, e.epochs,
              CASE WHEN epochs < 3 THEN target - epochs * e.source_size ELSE 0 END AS rest,
-             sum(size) OVER (PARTITION BY r.source ORDER BY key, doc_id::VARCHAR, size) AS upto
+             sum(size) OVER (PARTITION BY r.source ORDER BY key ROWS UNBOUNDED PRECEDING) AS upto
       FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN rest > 0 AND upto - size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM o
@@ -195,12 +194,12 @@ FROM g GROUP BY conv_id
 """
 
 ORACLE["op10_bit_sliced_topk"] = r"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
-      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q))
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
 

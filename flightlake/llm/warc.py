@@ -12,15 +12,19 @@ from __future__ import annotations
 
 import hashlib
 import html
+import io
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.sources.tarstates import _filesystem
+
 VERSION = b"WARC/1.1"
 CRLF = "\r\n"
 #: For responses that are made from a table without dates.
@@ -166,7 +170,7 @@ def page_responses(pages: DataFrame, url: str = "url", payload: str = "html", da
         *line("Content-Type", F.lit("application/http; msgtype=response")),
         *line("Content-Length", F.octet_length(body).cast("string")), F.lit(CRLF))
     record = F.concat(header.cast("binary"), body, F.lit(CRLF * 2).cast("binary"))
-    kept = [c for c in pages.columns if c not in (payload, "record")]
+    kept = [c for c in pages.columns if c.lower() not in (payload.lower(), "record")]
     return pages.select(*kept, record.alias("record"))
 
 
@@ -178,8 +182,9 @@ def build_derivatives(responses: DataFrame, record: str = "record") -> DataFrame
     any other a metadata record; records of other types give nothing. A record
     that is null or broken gives one row with a null record and the fault in
     ``error``. Repeated responses give repeated derivatives with the same ids.
+    Columns of the input named like the results (in any case) are replaced.
     """
-    kept = [f for f in responses.schema.fields if f.name not in (record, "error")]
+    kept = [f for f in responses.schema.fields if f.name.lower() not in (record.lower(), "error")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{record}` binary, error string"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +217,10 @@ _PARSED = ("record_type string, record_id string, refers_to string, target_uri s
 
 
 def read_records(records: DataFrame, record: str = "record") -> DataFrame:
-    """The fields and the body of each record; all null for a null or broken one."""
-    kept = [f for f in records.schema.fields if f.name != record]
+    """The fields and the body of each record; all null for a null or broken one.
+    Columns of the input with the names of the results (in any case) are replaced."""
+    own = {p.split()[0] for p in _PARSED.split(", ")} | {record.lower()}
+    kept = [f for f in records.schema.fields if f.name.lower() not in own]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [_PARSED])
     names = ("warc-type", "warc-record-id", "warc-refers-to", "warc-target-uri", "warc-date", "content-type",
              "warc-block-digest", "warc-payload-digest")
@@ -245,37 +252,87 @@ def compress_record(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def split_file(content: bytes) -> Iterator[bytes]:
-    """The records of a WARC file, plain or of gzip members, one at a time."""
-    if content[:2] == b"\x1f\x8b":
-        while content:
-            unpacker = zlib.decompressobj(31)
-            data = unpacker.decompress(content)
-            if not unpacker.eof:
-                raise ValueError("the last gzip member is cut off")
-            content = unpacker.unused_data
-            yield from split_file(data)
-        return
-    at = 0
-    while at < len(content):
-        end = content.find(b"\r\n\r\n", at)
-        length = re.search(rb"(?im)^content-length:\s*(\d+)", content[at:end]) if end >= 0 else None
+def _members(stream: BinaryIO, block: int = 1 << 20) -> Iterator[bytes]:
+    """What the gzip members of a stream hold, in pieces. One pass: of a block
+    only what is left behind a member's end is looked at again."""
+    unpacker, fresh = zlib.decompressobj(31), True
+    while data := stream.read(block):
+        while data:
+            if piece := unpacker.decompress(data, block):
+                yield piece
+            data = unpacker.unconsumed_tail
+            fresh = False
+            if unpacker.eof:
+                data, unpacker, fresh = unpacker.unused_data, zlib.decompressobj(31), True
+    if not fresh:
+        raise ValueError("the last gzip member is cut off")
+
+
+def split_stream(stream: BinaryIO, block: int = 1 << 20) -> Iterator[bytes]:
+    """The records of a WARC stream, plain or of gzip members, one at a time.
+    Holds one record and a block."""
+    start = stream.read(2)
+    rest = _Prefixed(start, stream)
+    pieces = _members(rest, block) if start == b"\x1f\x8b" else iter(lambda: rest.read(block), b"")
+    held, at = bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        piece = next(pieces, b"")
+        if at:
+            del held[:at]
+            at = 0
+        held.extend(piece)
+        return bool(piece)
+
+    while True:
+        looked = at
+        while (end := held.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(held) - at - 3)
+            if not more():
+                if held[at:]:
+                    raise ValueError("no record header")
+                return
+        length = re.search(rb"(?im)^content-length:\s*(\d+)", held[at:end])
         if not length:
             raise ValueError("no record header")
-        stop = end + 4 + int(length[1]) + 4
-        yield content[at:stop]
-        at = stop
+        size = end - at + 8 + int(length[1])
+        while len(held) - at < size and more():
+            pass
+        yield bytes(held[at:at + size])
+        at = min(len(held), at + size)
+
+
+class _Prefixed:
+    """A stream with some bytes before it."""
+
+    def __init__(self, first: bytes, stream: BinaryIO):
+        self.first, self.stream = first, stream
+
+    def read(self, n: int) -> bytes:
+        if self.first:
+            data, self.first = self.first, b""
+            return data
+        return self.stream.read(n)
+
+
+def split_file(content: bytes) -> Iterator[bytes]:
+    """The records of a WARC file, plain or of gzip members, one at a time."""
+    return split_stream(io.BytesIO(content))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, record) of the WARC files of a folder, one task a file or more."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """(path, record) of the WARC files of a folder. A task reads its files as
+    streams; it holds a record at a time."""
+    files = spark.read.format("binaryFile").load(path).select("path")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                for record in split_file(content.as_py()):
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([record], pa.binary())],
-                                                     names=["path", "record"])
+            for name in batch.column("path").to_pylist():
+                filesystem, inner = _filesystem(name)
+                with filesystem.open_input_stream(inner, compression=None) as stream:
+                    for record in split_stream(stream):
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([record], pa.binary())],
+                                                         names=["path", "record"])
 
     return files.mapInArrow(split, "path string, record binary")

@@ -81,3 +81,27 @@ def test_query_on_small_tables(spark):
            for r in queries.op1_decontamination(spark, SF001).collect()}
     assert got == want
     assert any(v[4] for v in got.values())
+
+
+def test_rounds_are_written(spark):
+    """A benchmark of several parts: the last round reads a table and holds one part."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    found = decontam.find_contamination(docs, bench, max_broadcast=120)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FileScan parquet" in plan
+
+
+def test_index_takes_few_bytes_a_text_byte():
+    import random
+    import tracemalloc
+    rng = random.Random(1)
+    items = [(i, " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(400))) for i in range(600)]
+    size = sum(len(t) for _, t in items)
+    decontam.WindowIndex(items[:2])
+    tracemalloc.start()
+    index = decontam.WindowIndex(items)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    held -= sum(sieve.nbytes for sieve, *_ in index.by_size.values())  # of a fixed size
+    assert held < 10 * size and peak < 20 * size

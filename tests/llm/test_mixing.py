@@ -44,7 +44,7 @@ def test_targets_and_budgets(spark):
         assert r.source_size == sizes[r.source]
         assert r.target == pytest.approx(targets[r.source], abs=1e-6)
     for s in sizes:
-        assert abs(taken[s] - targets[s]) <= 3 * largest[s] + 1e-6  # equal rows go together
+        assert abs(taken[s] - targets[s]) <= largest[s] + 1e-6
     again = mixing.mix_sources(docs_frame(spark).repartition(5)).collect()
     key = lambda r: (str(r.doc_id), r.taken)
     assert sorted(map(key, rows)) == sorted(map(key, again))
@@ -63,3 +63,21 @@ def test_empty(spark):
     only_empty = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert sorted((r.doc_id, r.size, r.target, r.taken) for r in mixing.mix_sources(only_empty).collect()) == [
         (1, 0, 0.0, 0), (2, 0, 0.0, 0)]
+
+
+def test_equal_and_null_ids_come_near_the_target(spark):
+    """Rows that nothing tells apart: as many are taken as fit."""
+    rows = [(None, "a b c", "a")] * 1000 + [(None, f"x{i} y z", "b") for i in range(700)] + [(7, "p q", "c")] * 900
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    for frame in (df, df.repartition(3)):
+        taken, target = Counter(), {}
+        for r in mixing.mix_sources(frame).collect():
+            taken[r.source] += r.taken
+            target[r.source] = r.target
+        assert all(abs(taken[s] - target[s]) <= 3 for s in "abc")
+
+
+def test_ranges_of_any_width_give_the_same_mix(spark):
+    key = lambda r: (str(r.doc_id), r.text or "", r.taken)
+    want = sorted(map(key, mixing.mix_sources(docs_frame(spark)).collect()))
+    assert sorted(map(key, mixing.mix_sources(docs_frame(spark), buckets=3).collect())) == want

@@ -110,3 +110,37 @@ def test_query_covers_all_pages(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_records(warc.build_derivatives(warc.page_responses(pages))).collect() == []
+
+
+def test_clashing_columns_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/", "<p>x</p>")], "page_id long, url string, html string")
+    derived = warc.build_derivatives(warc.page_responses(pages)).selectExpr("*", "'x' AS date", "'y' AS Body", "1 AS target_uri")
+    rows = warc.read_records(derived).collect()
+    assert {r.record_type for r in rows} == {"metadata", "conversion"} and {r.target_uri for r in rows} == {"http://a.b/"}
+
+
+def test_splitting_a_file_is_linear():
+    import io
+    import time
+
+    def record(i):
+        body = bytes([i % 251]) * 5000 + b"\r\n\r\nContent-Length: 3\r\n\r\n"
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(body), body)
+
+    took = []
+    for n in (1000, 8000):
+        records = [record(i) for i in range(n)]
+        for content in (b"".join(records), b"".join(map(warc.compress_record, records))):
+            began = time.thread_time()
+            assert list(warc.split_file(content)) == records
+            took.append(time.thread_time() - began)
+    assert took[2] + took[3] < 30 * (took[0] + took[1] + 0.05)
+    whole = b"".join(records[:50])
+    assert list(warc.split_stream(io.BytesIO(whole), block=7)) == records[:50]
+    packed = b"".join(map(warc.compress_record, records[:5]))
+    assert list(warc.split_stream(io.BytesIO(packed), block=11)) == records[:5]
+    import pytest
+    with pytest.raises(ValueError):
+        list(warc.split_file(packed[:-4]))
+    with pytest.raises(ValueError):
+        list(warc.split_file(whole + b"rest"))
