@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flightlake.llm import bagminhash, decontam, mixing, quality, sharding
 from flightlake.llm.common import materialise, table
+from flightlake.session import drop_stored, stored_tables
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; each result is written and reread."""
+    """All stages over the whole of ``documents``; each result is written and
+    reread, and what a stage wrote on its way is removed when its result stands."""
     docs = table(spark, sf_dir, "documents")
+    before = set(stored_tables())
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialise(docs, f"stage{i}")
+            result = stored_tables()[-1]
+            drop_stored(spark, [t for t in stored_tables() if t not in before and t != result])
     return docs

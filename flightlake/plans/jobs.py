@@ -131,11 +131,12 @@ def detect_anomalies(points: DataFrame, trees: int = 100, sample: int = 256,
     """JB4: forest over (velocity_kmh, baroaltitude); per aircraft its most
     extreme anomalous row (label -1), lat/lon numeric.
 
-    The scored rows are written once; the offset is their exact contamination
-    quantile, and only rows below it (about that share) go on to the choice of
-    each aircraft's lowest score.
+    The points are written once, so that fitting and scoring read numbers and
+    do not build the points again, and the scored rows once; the offset is their
+    exact contamination quantile, and only rows below it (about that share) go on
+    to the choice of each aircraft's lowest score.
     """
-    feats = _forest_input(points)
+    feats = stored(_forest_input(points), "points")
     model = iforest.fit(feats, FOREST_FEATURES, trees, sample, None, seed)
     scored = stored(iforest.score_samples(feats, model, "anomaly_score", spread), "scores")
     offset = -0.5 if contamination is None else iforest.exact_quantile(scored, "anomaly_score", contamination)

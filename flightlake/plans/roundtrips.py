@@ -468,3 +468,47 @@ def q_forest_invariants(spark, sf):
         one_row_an_aircraft=count(worst, F.col("n") == low.agg(F.count(F.lit(1)).alias("n")).scalar()),
         lowest_score_of_aircraft=count(worst.join(low, "icao24", "left").filter(F.col("lowest").isNull() | off), F.col("n") == 0),
         same_on_another_layout=spark.range(1).select(F.lit(same).alias("holds")))
+
+
+@register("one_task_an_archive", _all_hold("a_partition_an_archive", "an_archive_in_one_task", "all_lines_read"))
+def q_one_task_an_archive(spark, sf):
+    """With unsplit archives the source plans one task for each file, and a file's rows come from one task."""
+    from flightlake.sources.archives import write_state_archives
+    from flightlake.sources.tarstates import register as register_source
+    st = V.states(spark, sf).drop("event_id")
+    archives = [r.path for r in stored(write_state_archives(st, num_archives=_cores(spark)), "archives").collect()]
+    register_source(spark)
+    lines = spark.read.format("tarstates").option("splitMembers", "false").load(",".join(archives))
+    tasks = (lines.select("archive", "line", F.spark_partition_id().alias("task")).groupBy("archive")
+             .agg(F.count_distinct("task").alias("tasks"), F.count("line").alias("n")))
+    whole = tasks.agg((F.max("tasks") == 1).alias("h"))
+    planned = spark.range(1).select(F.lit(lines.rdd.getNumPartitions() == len(archives)).alias("h"))
+    n = st.agg(F.count(F.lit(1)).alias("n"))
+    return _checks(a_partition_an_archive=planned, an_archive_in_one_task=whole,
+                   all_lines_read=tasks.agg((F.sum(F.col("n") - 1) == n.scalar()).alias("h")))  # less the headers
+
+
+@register("risk_invariants", _all_hold("at_most_50", "identified_aircraft_only", "one_row_an_aircraft", "lowest_first",
+                                       "none_lower_left_out", "scores_of_the_anomalies"))
+def q_risk_invariants(spark, sf):
+    """JB6 (JB4, J1, F6, P10, L2): the risk table against the anomalies that it is made of."""
+    from flightlake.operators import joins as J
+    worst = stored(jobs.detect_anomalies(jobs.speed_altitude_points(V.states(spark, sf)), spread=_cores(spark)), "worst")
+    aircraft = V.aircraft(spark, sf)
+    table = stored(jobs.risk_table(worst, aircraft), "risks")
+    known = J.dedupe_dim(aircraft).filter("model IS NOT NULL OR manufacturerName IS NOT NULL").select("icao24")
+    candidates = J.normalised(worst, "icao24").join(known, "icao24", "left_semi")
+    left_out = candidates.join(table, F.col("icao24") == F.col("icao_id"), "left_anti")
+    count = lambda df, cond: df.agg(F.count(F.lit(1)).alias("n")).select(cond.alias("h"))
+    ordered = table.withColumn("before", F.lag("risk_score").over(Window.orderBy("risk_score", "icao_id")))
+    lowest = left_out.agg(F.min("anomaly_score").alias("m"))
+    highest = table.agg(F.max("risk_score").alias("m"), F.count(F.lit(1)).alias("n"))
+    scores = table.join(candidates, F.col("icao24") == F.col("icao_id")).filter(
+        F.abs(F.col("risk_score") - F.col("anomaly_score")) <= 0.00005 + 1e-12)
+    return _checks(
+        at_most_50=count(table, F.col("n") == F.least(F.lit(50), candidates.agg(F.count(F.lit(1)).alias("n")).scalar())),
+        identified_aircraft_only=count(table.join(known, F.col("icao24") == F.col("icao_id"), "left_anti"), F.col("n") == 0),
+        one_row_an_aircraft=table.agg((F.count_distinct("icao_id") == F.count(F.lit(1))).alias("h")),
+        lowest_first=count(ordered.filter("risk_score < before"), F.col("n") == 0),
+        none_lower_left_out=highest.select(F.coalesce(F.col("m") <= lowest.scalar() + 0.0001, F.lit(True)).alias("h")),
+        scores_of_the_anomalies=count(scores, F.col("n") == highest.select("n").scalar()))

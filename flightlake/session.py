@@ -6,7 +6,9 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,15 +63,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+#: Folders handed out by ``scratch_path`` in this process, with the thread that asked.
+_WRITTEN: dict[str, int] = {}
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """``df`` written once as a table under the shared checkpoint folder and
     read back: its lineage ends there and every executor sees the files."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_tables() -> list[str]:
+    """Folders of intermediate tables that this thread has written and not dropped, in their order."""
+    return [path for path, thread in _WRITTEN.items() if thread == threading.get_ident()]
+
+
+def drop_stored(spark: SparkSession, tables: Iterable[str]) -> None:
+    """Remove intermediate tables; what reads them must have been written elsewhere."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in list(tables):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        _WRITTEN.pop(path, None)
+
+
+def drop_stored_at_exit(spark: SparkSession) -> None:
+    """Remove this process's intermediate tables when it ends with the session open."""
+    if not getattr(drop_stored_at_exit, "registered", False):
+        drop_stored_at_exit.registered = True
+        atexit.register(lambda: spark.sparkContext._jsc is not None and drop_stored(spark, list(_WRITTEN)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN[path] = threading.get_ident()
+    drop_stored_at_exit(spark)
+    return path
