@@ -2,8 +2,10 @@
 
 Two strings are alike as far as they share subsequences of three characters,
 each occurrence discounted by the length of its span: inserted characters,
-gaps and endings change little. A sentence is read in units (its tokens, and
-runs of single characters put together) and is as toxic as its worst unit.
+gaps and endings change little. A sentence is read in units: its tokens, runs of
+single characters put together, windows of short neighbouring tokens with the
+blanks as gaps, and windows of text without blanks. It is as toxic as its worst
+unit.
 
 The kernel is not evaluated against landmarks when scoring. With landmarks l,
 the Nyström features are z(u) = K_ll^(-1/2) k(u, l) and the SVM's margin
@@ -19,7 +21,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 import pickle
 
@@ -31,14 +32,16 @@ from pyspark.sql import types as T
 
 from flightlake.llm.common import held_out, without
 from flightlake.llm.decontam import chunks
-from flightlake.llm.quality import sample_labels
+from flightlake.llm.quality import labelled_texts, sample_labels
 
 #: Labelled documents that a fit uses at most (those with the smallest id hashes).
 MAX_TRAIN = 6_000
 DECAY = 0.6
 LANDMARKS = 192
 ROUNDS = 4
-MAX_NEGATIVES = 20_000
+#: Clean units that a round of the fit uses, telling units that may be landmarks,
+#: common clean units among which the most confusing ones become landmarks.
+MAX_NEGATIVES, TELLING, COMMON = 20_000, 1_000, 4_000
 #: Likelihood ratio at which a unit's use alone marks it as toxic at first.
 EVIDENCE = 12.0
 #: Units of a document that its score may rest on.
@@ -46,8 +49,13 @@ WORST = 8
 #: How many times as likely in toxic documents a toxic unit is at least.
 ODDS = 10.0
 THRESHOLD = 0.7
-#: A longer unit is read in overlapping pieces of this many characters.
-PIECE = 20
+#: A longer unit (text without blanks) is read in windows of so many characters, at every so many.
+PIECE, WINDOW, STEP = 20, 10, 3
+#: Characters of a short token, of neighbouring ones that are read as one, and
+#: of the beginning by which these are chosen.
+SHORT, JOINED, START = 5, 12, 4
+#: Lengths of the strings inside long units that are looked at as units.
+INNER = (4, 5, 6, 7)
 #: Distinct units whose scores a task keeps.
 CACHE = 300_000
 
@@ -79,12 +87,32 @@ def units(text: str | None) -> list[str]:
     return tokens
 
 
+def windows(tokens: list[str], starts: frozenset[str]) -> list[str]:
+    """Two or three neighbouring short tokens as one unit, the blanks between
+    them gaps of the kernel: an insult that was taken apart ("id iot") is one unit
+    again. Only those whose letters begin like a telling unit are scored."""
+    out = []
+    a = b = ""  # the token before, and the one before that ("" where it is too long)
+    for t in tokens:
+        if len(t) > SHORT:
+            a = b = ""
+            continue
+        if a:
+            two = a + t
+            if two[:START] in starts and len(two) <= JOINED:
+                out.append(a + " " + t)
+            if b and (b + two)[:START] in starts and len(b) + len(two) <= JOINED:
+                out.append(b + " " + a + " " + t)
+        a, b = t, a
+    return out
+
+
 def pieces(unit: str) -> list[str]:
     """What the kernel sees of a unit: its start mark and characters; where
     signs stand inside ("i.d.i.o.t"), also the unit without them."""
     core = unit.strip(_EDGES)
     found = _cut(core)
-    if not core.isalnum():
+    if " " not in core and not core.isalnum():
         plain = "".join(filter(str.isalnum, core))
         if 1 < len(plain) < len(core):
             found += _cut(plain)
@@ -94,15 +122,20 @@ def pieces(unit: str) -> list[str]:
 def _cut(core: str) -> list[str]:
     if len(core) <= PIECE:
         return [_START + core] if len(core) > 1 else []
-    step = PIECE // 2
-    return [(_START if i == 0 else "") + core[i:i + PIECE] for i in range(0, len(core) - step, step)]
+    last = len(core) - WINDOW
+    return [core[i:i + WINDOW] for i in [*range(0, last, STEP), last]]
+
+
+#: Positions and discounts of subsequences, by length of the string.
+_TRIPLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-@lru_cache(maxsize=None)
 def _triples(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all subsequences of three characters and their discounts."""
-    at = np.array(list(combinations(range(length), 3)), dtype=np.int64).reshape(-1, 3)
-    return at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
+    if length not in _TRIPLES:
+        at = np.array(list(combinations(range(length), 3)), dtype=np.int64).reshape(-1, 3)
+        _TRIPLES[length] = at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
+    return _TRIPLES[length]
 
 
 def _by_length(strings: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -139,16 +172,33 @@ def self_kernel(codes: np.ndarray) -> np.ndarray:
     return total
 
 
+def _scatter(keys: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)).astype(np.int64)
+
+
+def _hash_table(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open table of (key, column 1, 2, ...) with four places a key, whatever the
+    alphabet; a key of 0 is an empty place."""
+    size = 1 << max(4, (4 * len(keys)).bit_length())
+    table, columns = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int32)
+    for column, (key, slot) in enumerate(zip(keys.tolist(), (_scatter(keys) & (size - 1)).tolist()), 1):
+        while table[slot]:
+            slot = (slot + 1) & (size - 1)
+        table[slot], columns[slot] = key, column
+    return table, columns
+
+
 class Kernel:
     """Weighted subsequence sums over the subsequences that some strings have."""
 
     def __init__(self, landmarks: list[str]):
         self.codes = np.array([ord(c) for c in sorted({c for s in landmarks for c in s})], dtype=np.int64)
-        self.column = np.zeros((len(self.codes) + 1) ** 3, dtype=np.int32)  # 0: no landmark has it
         groups = [(some, codes, *_triples(n)) for n, some, codes in _by_length(landmarks) if n > 2]
-        used = np.unique(np.concatenate([self._raw(codes, at).ravel() for _, codes, at, _ in groups]))
-        self.column[used] = np.arange(1, len(used) + 1)
-        self.table = np.zeros((len(landmarks), len(used) + 1), dtype=np.float32)
+        raw = [self._raw(codes, at).ravel() for _, codes, at, _ in groups]
+        self.keys, self.columns = _hash_table(np.unique(np.concatenate([np.zeros(1, np.int64), *raw]))[1:])
+        used = self.columns.max(initial=0)
+        self.table = np.zeros((len(landmarks), used + 1), dtype=np.float32)
         for some, codes, at, discount in groups:
             norms = np.sqrt(self_kernel(codes))
             for row, k, m in zip(some.tolist(), self._keys(codes, at), norms.tolist()):
@@ -157,13 +207,26 @@ class Kernel:
     def _raw(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         slot = np.searchsorted(self.codes, codes)
         slot[slot == len(self.codes)] = 0
-        letter = np.where(self.codes[slot] == codes, slot + 1, 0).astype(np.int32)
-        size = np.int32(len(self.codes) + 1)
+        letter = np.where(self.codes[slot] == codes, slot + 1, 0)
+        size = len(self.codes) + 1
         a, b, c = (letter[:, at[:, i]] for i in range(3))
         return np.where((a > 0) & (b > 0) & (c > 0), (a * size + b) * size + c, 0)
 
     def _keys(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return self.column[self._raw(codes, at)]
+        """Columns of the subsequences (0: no landmark has it)."""
+        raw = self._raw(codes, at)
+        mask = len(self.keys) - 1
+        slot = _scatter(raw) & mask
+        out = np.where(self.keys[slot] == raw, self.columns[slot], 0)
+        open_ = np.nonzero((self.keys[slot] != raw) & (self.keys[slot] != 0))
+        while len(open_[0]):
+            slot[open_] = (slot[open_] + 1) & mask
+            found = self.keys[slot[open_]]
+            hit = found == raw[open_]
+            out[open_] = np.where(hit, self.columns[slot[open_]], 0)
+            again = ~hit & (found != 0)
+            open_ = tuple(x[again] for x in open_)
+        return out
 
     def against(self, strings: list[str], table: np.ndarray) -> np.ndarray:
         """Normalised sums of ``table`` (subsequences x columns) over each string."""
@@ -189,6 +252,7 @@ class Model:
 
     def __init__(self, kernel: Kernel | None, weights: np.ndarray | None, bias: float, link: tuple[str, tuple[float, ...]]):
         self.kernel, self.weights, self.bias, self.link = kernel, weights, bias, link
+        self.starts: frozenset[str] = frozenset()
         self.known: dict[str, float] = {}
 
     def margins(self, texts: list[str]) -> list[float]:
@@ -212,7 +276,7 @@ class Model:
         if self.kernel is None:
             return out
         known = self.known
-        sets = [set(tokens) for tokens in docs]
+        sets = [set(tokens).union(windows(tokens, self.starts)) for tokens in docs]
         new = set().union(*sets) - known.keys()
         if len(known) + len(new) > CACHE:
             known.clear()
@@ -234,17 +298,19 @@ class Model:
     def to_bytes(self) -> bytes:
         small = None
         if self.kernel is not None:
-            small = (self.kernel.codes, self.kernel.column, self.weights)
-        return pickle.dumps((small, self.bias, self.link))
+            small = (self.kernel.codes, self.kernel.keys, self.kernel.columns, self.weights)
+        return pickle.dumps((small, self.bias, self.link, sorted(self.starts)))
 
     @staticmethod
     def from_bytes(data: bytes) -> Model:
-        small, bias, link = pickle.loads(data)
+        small, bias, link, starts = pickle.loads(data)
         if small is None:
             return Model(None, None, bias, link)
         kernel = Kernel.__new__(Kernel)
-        kernel.codes, kernel.column, weights = small
-        return Model(kernel, weights, bias, link)
+        kernel.codes, kernel.keys, kernel.columns, weights = small
+        model = Model(kernel, weights, bias, link)
+        model.starts = frozenset(starts)
+        return model
 
 
 def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -317,6 +383,14 @@ def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[str, tuple[float, ..
     return min((x + (0.002 * len(y) if kind == "sum" else 0.0), kind, values) for x, kind, values in found)[1:]
 
 
+def _worst_piece(model: Model, unit: str) -> str:
+    """The piece of a unit with the greatest margin (before the first fit: the first)."""
+    found = pieces(unit)
+    if len(found) == 1 or model.kernel is None:
+        return found[0]
+    return found[int(np.argmax(model.kernel.against(found, model.weights)[:, 0]))]
+
+
 def _insert(piece: str, rng: np.random.Generator) -> str:
     """The piece with a random character somewhere inside."""
     at = int(rng.integers(2, max(3, len(piece))))
@@ -336,13 +410,19 @@ def _evidence(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> dic
     return out
 
 
+def inner_strings(unit: str) -> set[str]:
+    """The short strings inside a long unit, one of which may be the insult."""
+    core = unit.strip(_EDGES)
+    return {core[i:i + n] for n in INNER for i in range(len(core) - n + 1)} if len(core) > PIECE else set()
+
+
 def _choose_landmarks(evidence: dict[str, float], clean: Counter) -> list[str]:
     """Units that tell toxic documents best, no two too alike, then the clean
     units that are most like them, then common ones."""
     telling = sorted((u for u, g in evidence.items() if g > 4), key=lambda u: (-evidence[u], u))
     chosen: list[str] = []
     if telling:
-        names = [pieces(u)[0] for u in telling[:600]]
+        names = list(dict.fromkeys(p for u in telling[:TELLING] for p in pieces(u)))
         kernel = Kernel(names)
         alike = kernel.table @ kernel.table.T
         free = np.ones(len(names), dtype=bool)
@@ -350,7 +430,7 @@ def _choose_landmarks(evidence: dict[str, float], clean: Counter) -> list[str]:
             if free[i] and len(chosen) < LANDMARKS // 2:
                 chosen.append(names[i])
                 free &= alike[i] < 0.9
-    common = [p for u, _ in clean.most_common(4_000) for p in pieces(u)[:1]]
+    common = list(dict.fromkeys(p for u, _ in clean.most_common(COMMON) for p in pieces(u)))
     if chosen and common:
         kernel = Kernel(chosen)
         near = kernel.against(common, np.ascontiguousarray(kernel.table.T)).max(axis=1)
@@ -376,8 +456,13 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> Model:
     for i, bag in zip(learn, bags):
         (toxic if labels[i] else clean).update(bag)
     n_toxic = max(1, int(sum(labels[i] for i in learn)))
-    evidence = _evidence(toxic, clean, n_toxic, max(1, len(learn) - n_toxic))
-    landmarks = _choose_landmarks(evidence, clean)
+    n_clean = max(1, len(learn) - n_toxic)
+    inside, clean_inside = Counter(), Counter()
+    for i, bag in zip(learn, bags):
+        (inside if labels[i] else clean_inside).update(set().union(*map(inner_strings, bag)))
+    inner = {x: g for x, g in _evidence(inside, clean_inside, n_toxic, n_clean).items() if g >= EVIDENCE}
+    evidence = _evidence(toxic, clean, n_toxic, n_clean)
+    landmarks = _choose_landmarks(evidence | inner, clean)
     if not landmarks or not clean or not toxic:
         return constant
     kernel = Kernel(landmarks)
@@ -393,19 +478,22 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> Model:
     toxic_units = sorted(u for u in toxic if not clean[u] and pieces(u))
     rng.shuffle(clean_units)
     ranked = sorted(evidence, key=lambda u: (-evidence[u], u))
-    witnesses = {u for u in ranked if evidence[u] >= EVIDENCE} or set(ranked[:5])
+    witnesses = {u for u in ranked if evidence[u] >= EVIDENCE} | set(inner) or set(ranked[:5])
     negatives = [u for u in clean_units if u not in witnesses][:MAX_NEGATIVES // 2]
     model = constant
     for turn in range(ROUNDS):
         positive = sorted(witnesses)
         if not positive:
             return constant
-        # Each witness also with a character inserted, so that this costs little margin.
-        spread = [_insert(pieces(u)[0], rng) for u in positive]
-        strings = [pieces(u)[0] for u in positive] + spread + [pieces(u)[0] for u in negatives]
-        y = np.concatenate([np.ones(2 * len(positive)), -np.ones(len(negatives))])
-        uses = np.array([min(toxic[u], 20) for u in positive] * 2 + [1.0] * len(negatives), dtype=float)
-        cost = uses * np.where(y > 0, 0.5 / uses[y > 0].sum(), 0.5 / len(negatives)) * 2_000
+        # Of a unit of several pieces the worst one stands for it. Each also with a
+        # character inserted, so that this costs little margin.
+        stand = [_worst_piece(model, u) for u in positive]
+        spread = [_insert(p, rng) for p in stand]
+        clean_pieces = [(u, p) for u in negatives for p in pieces(u)]
+        strings = stand + spread + [p for _, p in clean_pieces]
+        y = np.concatenate([np.ones(2 * len(positive)), -np.ones(len(clean_pieces))])
+        uses = np.array([min(max(toxic[u], inside[u]), 20) for u in positive] * 2 + [1.0] * len(clean_pieces), dtype=float)
+        cost = uses * np.where(y > 0, 0.5 / uses[y > 0].sum(), 0.5 / max(1, len(clean_pieces))) * 2_000
         w, bias = _svm(nystroem(strings), y, cost)
         weights = (columns @ (root @ w)).astype(np.float32)[:, None]
         weights[0] = 0.0  # subsequences with a character that no landmark has
@@ -422,6 +510,8 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> Model:
                 witnesses.update(u for m, u in best[:3] if m > 0)
         negatives = [u for u in dict.fromkeys(hard[:MAX_NEGATIVES // 2] + negatives)
                      if u not in witnesses][:MAX_NEGATIVES]
+    told = [u.strip(_EDGES) for u in witnesses if evidence.get(u, inner.get(u, 0.0)) >= EVIDENCE]
+    model.starts = frozenset(u[:START] for u in told if len(u) >= START)
     model.link = _calibrate(model.worst([units(t) for t in texts]), labels)
     return model
 
@@ -430,7 +520,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
           max_train: int = MAX_TRAIN) -> bytes:
     """The fitted model, as bytes (its size does not depend on the input)."""
     sample = sample_labels(labels, label, modulus, remainder, max_train)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_train small rows
+    chosen = labelled_texts(docs, sample).select("doc_id", "text", "__label")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]

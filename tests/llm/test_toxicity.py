@@ -33,8 +33,10 @@ def test_units_join_spaced_letters_and_strip_signs():
     assert "idiot" in toxicity.units("you i d i o t there")
     assert toxicity.pieces("(i.d.i.o.t)") == ["^i.d.i.o.t", "^idiot"]
     assert toxicity.pieces("...") == [] and toxicity.pieces("a") == []
-    long = "x" * 95
-    assert "".join(p.lstrip("^")[:10] for p in toxicity.pieces(long)[:-1]) + toxicity.pieces(long)[-1][:15] == long
+    long = "".join(chr(97 + i % 26) for i in range(95))
+    cut = toxicity.pieces(long)
+    assert {len(p) for p in cut} == {toxicity.WINDOW} and cut[-1] == long[-toxicity.WINDOW:]
+    assert all(any(long[i:i + 7] in p for p in cut) for i in range(len(long) - 7))
     assert toxicity.units(None) == [] and toxicity.units("") == []
 
 
@@ -73,3 +75,64 @@ def test_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (None, 0), (3, None)], "doc_id long, toxic int")
     assert len(toxicity.score_toxicity(docs, labels).collect()) == 4
     assert toxicity.score_toxicity(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_windows_of_short_tokens():
+    starts = frozenset(["idio", "wort"])
+    assert toxicity.windows("the id iot and wor th less".split(), starts) == ["id iot", "id iot and", "wor th", "wor th less"]
+    assert toxicity.windows("id iotic then".split(), starts) == ["id iotic"]
+    assert toxicity.windows("id wonderful iot".split(), starts) == [] and toxicity.windows([], starts) == []
+
+
+def test_insults_that_were_taken_apart():
+    rows = corpus(1500, 1)
+    model = toxicity.fit([t for _, t, _ in rows], np.array([y for _, _, y in rows], dtype=float))
+    split = ["the id iot tionre", "ed wor th less ou", "re mo ron hathe", "the lo ser ed", "the idiot then"]
+    assert (model.scores(split) >= 0.7).all()
+    assert (model.scores(["reed then hathe ou", "thean ed the an er re", "id the an iot", "", None]) < 0.7).all()
+    again = toxicity.Model.from_bytes(model.to_bytes())
+    assert np.allclose(again.scores(split), model.scores(split))
+
+
+def test_text_without_blanks():
+    def unspaced(n, seed):
+        rng = random.Random(seed)
+        syllables = ["the", "an", "er", "tion", "ou", "re", "ed", "nd", "ha", "in", "ea", "st", "ble"]
+        out = []
+        for _ in range(n):
+            text, toxic = "".join(rng.choices(syllables, k=40)), rng.random() < 0.2
+            at = rng.randint(24, 30)
+            out.append((text[:at] + rng.choice(["idiot", "moron", "scum", "worthless", "loser"]) + text[at:] if toxic else text, toxic))
+        return out
+
+    rows, held = unspaced(900, 3), unspaced(300, 4)
+    model = toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows], dtype=float))
+    found = model.scores([t for t, _ in held]) >= 0.7
+    toxic = np.array([y for _, y in held])
+    assert found[toxic].mean() >= 0.9 and found[~toxic].mean() <= 0.02
+
+
+def test_large_alphabets_make_small_models():
+    rng = random.Random(5)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    bad = ["".join(rng.choices(letters, k=4)) for _ in range(4)]
+    rows = []
+    for i in range(400):
+        w = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(20)]
+        rows.append((" ".join(w + [rng.choice(bad)] if i % 4 == 0 else w), float(i % 4 == 0)))
+    model = toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows]))
+    assert len(model.to_bytes()) < 20 << 20
+    assert (model.scores([f"{letters[0]}{letters[1]} {b}" for b in bad]) >= 0.7).all()
+
+
+def test_query_on_whole_tables(spark):
+    from flightlake.llm import queries
+    from tests.llm.util import SF01
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    rows = queries.op3_toxicity(spark, SF01).collect()
+    assert len(rows) == spark.read.parquet(f"{SF01}/documents.parquet").count()
+    held = [(r, labels[r.doc_id]) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1 and r.doc_id in labels]
+    assert all(r.held_out and r.predicted == int(r.score >= 0.7) for r, _ in held)
+    # Of the toxic ones some hold no insult, or one of a language with a handful of examples.
+    assert sum(r.predicted for r, y in held if y) >= 0.7 * sum(y for _, y in held)
+    assert sum(r.predicted for r, y in held if not y) <= 0.02 * len(held)
