@@ -7,17 +7,18 @@ bounds keep most of that product from being made:
 * A pair at 0.8 shares one of the first floor(n/5) + 1 shingles of each, in any
   fixed order of all shingles; of the shorter even one of the first
   floor(n/9) + 1. Only these prefixes are joined.
-* The order puts rare shingles first. How common a shingle is is read from a
-  table of counters over all documents (fixed size, shingles share counters,
-  which affects the order only). A shingle whose counter is 1 is in no other
-  document; it takes a place of the prefix and is joined with nothing.
+* The order puts rare shingles first, in four classes. How common a shingle is is
+  read from a table of counters over all documents (fixed size; shingles share
+  counters, which affects the order only). So what many documents hold brings
+  together only those that hold little else.
 * The overlap inside the prefixes bounds the whole overlap.
 
 Documents with equal sets are one row of the matrix, and shingles with equal
-rows one column. The members of a column of the prefix matrix are first compared with its most connected member; where they
-are then still of several components, blocks of rows of different components
-are multiplied, columns in blocks, and pairs whose overlap cannot reach the
-bound are discarded. What is left is counted exactly over the whole sets.
+rows one column. The rows of a column of the prefix matrix are first compared with
+its most connected row. Where they are then still of several components, blocks
+of rows of different components are multiplied, columns in blocks, and pairs
+whose overlap cannot reach the bound are discarded. The rows that are left are
+multiplied over their whole sets, which counts every overlap exactly.
 """
 
 from __future__ import annotations
@@ -27,21 +28,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.llm.common import materialise, mix64, window_hashes
 from flightlake.llm.components import connected_components
+from flightlake.session import drop_stored, stored_tables
 
 SHINGLE = 5
 #: Counters: 2^SLOT_BITS of them, in ranges of 2^16.
-SLOT_BITS = 27
+SLOT_BITS = 26
 #: Shingles that a task counts before it hands their counters on.
 HELD_SLOTS = 1 << 22
 #: A shingle is common if its counter is over this (or, in a larger corpus, over eight times the mean).
 COMMON = 64
-#: Rows and columns of a block of the product.
-BLOCK_ROWS, BLOCK_COLUMNS = 512, 4096
+#: Rows, shingles and (at a time) columns of a block of the product.
+BLOCK_ROWS, BLOCK_ITEMS, BLOCK_COLUMNS = 512, 400_000, 4096
 
 _RANGES = 1 << (SLOT_BITS - 16)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -111,70 +114,65 @@ def count_slots(texts: DataFrame) -> DataFrame:
             .mapInArrow(add, "range int, levels binary, total long"))
 
 
-def slot_planes(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit tables over the counters: 2 or more; common. 2^SLOT_BITS bits
-    each (16 MB), whatever the size of the corpus."""
+def slot_classes(texts: DataFrame) -> np.ndarray:
+    """Class of each counter, four to a byte (16 MB, whatever the size of the
+    corpus): 0 about what a counter has anyway, 1 up to twice and 2 well above
+    that, 3 common (more than COMMON, and than eight times the mean)."""
     levels = materialise(count_slots(texts), "slots")
-    total = levels.agg(F.sum("total")).first()[0] or 0
-    common = max(COMMON, 8 * total >> SLOT_BITS).bit_length()  # counts of more bits are common
+    mean = (levels.agg(F.sum("total")).first()[0] or 0) / (1 << SLOT_BITS)
+    usual = int(2 + 2 * mean).bit_length()  # levels are bit lengths of counts
+    common = max(COMMON, int(8 * mean)).bit_length()
 
-    def planes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tables = [np.frombuffer(x, np.uint8) for x in batch.column("levels").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("range"),
-                 pa.array([np.packbits(x > 1, bitorder="little").tobytes() for x in tables], pa.binary()),
-                 pa.array([np.packbits(x > common, bitorder="little").tobytes() for x in tables], pa.binary())],
-                names=["range", "shared", "common"])
-
-    out = np.zeros((2, _RANGES, 1 << 13), dtype=np.uint8)
-    for r, shared, often in levels.mapInArrow(planes, "range int, shared binary, common binary").toLocalIterator():
-        out[0, r], out[1, r] = np.frombuffer(shared, np.uint8), np.frombuffer(often, np.uint8)
-    return out[0].reshape(-1), out[1].reshape(-1)
-
-
-def _bits(plane: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (plane[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def prefix(h: np.ndarray, shared: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """(the prefix's shingles that others may have, in order; how many of them
-    are of the short prefix; where the prefix ends in the order, as a number)."""
+            packed = []
+            for x in batch.column("levels").to_pylist():
+                x = np.frombuffer(x, np.uint8)
+                c = (x > usual).astype(np.uint8) + (x > usual + 1) + (x > max(common, usual + 1))
+                c = c.astype(np.uint8)
+                packed.append((c[0::4] | c[1::4] << 2 | c[2::4] << 4 | c[3::4] << 6).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("range"), pa.array(packed, pa.binary())], names=["range", "classes"])
+
+    out = np.zeros((_RANGES, 1 << 14), dtype=np.uint8)
+    for r, classes in levels.mapInArrow(classify, "range int, classes binary").toLocalIterator():
+        out[r] = np.frombuffer(classes, np.uint8)
+    return out.reshape(-1)
+
+
+def prefix(h: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, int, int, int]:
+    """(the prefix in the order; the length of the short prefix; how many of the
+    prefix are not common; where the prefix ends in the order, as a number)."""
     n = len(h)
     slots = _slots(h)
-    some = h[_bits(shared, slots)]
-    often = _bits(common, _slots(some))
-    order = np.concatenate([some[~often], some[often]])  # both halves are sorted
-    alone = n - len(some)
-    size = n // 5 + 1
-    if not n or alone >= size:
-        return order[:0], 0, 0
-    first = order[:size - alone]
+    kind = classes[slots >> 2] >> ((slots & 3) << 1).astype(np.uint8) & 3
+    order = np.argsort(kind, kind="stable")[:n // 5 + 1]  # inside a class by hash, as they come
+    first, kind = h[order], kind[order]
     end = (1 << 63) - 1
-    if size < n:  # else nothing lies beyond the prefix
-        end = (int(len(first) > (~often).sum()) << 62) | int(first[-1] >> np.uint64(2))
-    return first, max(0, n // 9 + 1 - alone), end
+    if len(first) < n:  # else nothing lies beyond the prefix
+        end = (int(kind[-1]) << 60) | int(first[-1] >> np.uint64(4))
+    return first, n // 9 + 1 if n else 0, int((kind < 3).sum()), end
 
 
-def sign_documents(docs: DataFrame, doc_id: str, text: str, planes) -> DataFrame:
-    """(doc_id, digest, n, prefix, lead, cut): digest and size of each set, its prefix."""
+def sign_documents(docs: DataFrame, doc_id: str, text: str, table: Broadcast) -> DataFrame:
+    """(doc_id, digest, n, prefix, lead, usual, cut): digest and size of each set, its prefix."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, common = planes.value
+        classes = table.value
         for batch in batches:
             out = []
             for t in batch.column("text").to_pylist():
                 h = shingles(t)
-                first, lead, cut = prefix(h, shared, common)
-                out.append((xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None, len(h), first.view(np.int64), lead, cut))
-            kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+                first, lead, usual, cut = prefix(h, classes)
+                out.append((xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None, len(h), first.view(np.int64),
+                            lead, usual, cut))
+            kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array([r[i] for r in out], k) for i, k in enumerate(kinds))],
-                names=["doc_id", "digest", "n", "prefix", "lead", "cut"])
+                names=["doc_id", "digest", "n", "prefix", "lead", "usual", "cut"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"doc_id {kind}, digest binary, n long, prefix array<long>, lead long, cut long")
+    return rows.mapInArrow(sign, f"doc_id {kind}, digest binary, n long, prefix array<long>, lead long, usual long, cut long")
 
 
 def whole_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -190,50 +188,122 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(build, "digest binary, items array<long>")
 
 
-def block_product(left: list[dict], right: list[dict], key: int) -> list[tuple[int, int]]:
-    """Pairs of a left and a right row (or of two left ones, if ``right`` is
-    ``left``) in different components that may reach the bound. ``key`` is the
-    column that brings the rows together; pairs that meet in an earlier column
-    are left to it."""
-    def entries(rows: list[dict]) -> tuple[np.ndarray, ...]:
-        flat = np.concatenate([np.array(r["prefix"], dtype=np.int64) for r in rows])
-        owner = np.repeat(np.arange(len(rows)), [len(r["prefix"]) for r in rows])
-        place = np.concatenate([np.arange(len(r["prefix"])) for r in rows])
-        return flat, owner, place < np.array([r["prefix"].index(key) for r in rows])[owner]
-
-    (lc, lo, early_l), (rc, ro, _) = entries(left), entries(right)
-    columns = np.intersect1d(lc, rc)
-    early = np.isin(columns, lc[early_l])  # the order is the same in all rows, so a shared column is early in both
-    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
-    before = np.zeros_like(overlap)
-    for late, chosen in ((False, columns[early]), (True, columns[~early])):
-        for at in range(0, len(chosen), BLOCK_COLUMNS):
-            block = chosen[at:at + BLOCK_COLUMNS]
-            sides = []
-            for c, o, rows in ((lc, lo, left), (rc, ro, right)):
-                place = np.minimum(np.searchsorted(block, c), len(block) - 1)
-                hit = block[place] == c
-                dense = np.zeros((len(rows), len(block)), dtype=np.float32)
-                dense[o[hit], place[hit]] = 1.0
-                sides.append(dense)
-            part = sides[0] @ sides[1].T
-            overlap += part
-            if not late:
-                before += part
-
-    def column(rows: list[dict], name: str) -> np.ndarray:
-        return np.array([r[name] for r in rows], dtype=np.int64)
-
-    s, t = column(left, "n")[:, None], column(right, "n")[None, :]
-    cut_s, cut_t = column(left, "cut")[:, None], column(right, "cut")[None, :]
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Entries of the product of two blocks: for each left and right row the
+    number of columns that both have. Columns that only one side has are left out;
+    the others go in blocks."""
+    def entries(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+    sides = entries(left), entries(right)
+    columns = np.intersect1d(sides[0][0], sides[1][0])
+    total = np.zeros((len(left), len(right)), dtype=np.float32)  # counts far below 2^24
+    for at in range(0, len(columns), BLOCK_COLUMNS):
+        block = columns[at:at + BLOCK_COLUMNS]
+        dense = []
+        for (c, owner), rows in zip(sides, (left, right)):
+            place = np.minimum(np.searchsorted(block, c), len(block) - 1)
+            hit = block[place] == c
+            part = np.zeros((len(rows), len(block)), dtype=np.float32)
+            part[owner[hit], place[hit]] = 1.0
+            dense.append(part)
+        total += dense[0] @ dense[1].T
+    return total.astype(np.int64)
+
+
+class Block:
+    """Rows of one side of a product: their numbers, components, set sizes and columns."""
+
+    def __init__(self, table: pa.Table, column: str):
+        self.node, self.comp, self.n = (table.column(c).to_numpy() for c in ("node", "comp", "n"))
+        lists = table.column(column).combine_chunks()
+        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+        self.columns = np.split(lists.flatten().to_numpy(), ends[:-1]) if len(ends) else []
+        self.cut = table.column("cut").to_numpy() if "cut" in table.column_names else None
+
+
+def eligible(left: Block, right: Block) -> np.ndarray:
+    """Which pairs are of different components and of sizes that allow a link."""
+    s, t = left.n[:, None], right.n[None, :]
+    may = (left.comp[:, None] != right.comp[None, :]) & (5 * np.minimum(s, t) >= 4 * np.maximum(s, t))
+    return np.triu(may, 1) if left is right else may
+
+
+def may_link(left: Block, right: Block) -> np.ndarray:
+    """Which pairs may reach the bound, by the overlap of their prefixes: beyond
+    where the first of two prefixes ends, its row has only so many shingles left."""
+    may = eligible(left, right)
+    if not may.any():
+        return may
+    s, t = left.n[:, None], right.n[None, :]
     rest_s, rest_t = s - np.minimum(s, s // 5 + 1), t - np.minimum(t, t // 5 + 1)
-    rest = np.where(cut_s < cut_t, rest_s, np.where(cut_s > cut_t, rest_t, np.maximum(rest_s, rest_t)))
-    may = ((before == 0) & (column(left, "comp")[:, None] != column(right, "comp")[None, :])
-           & (5 * np.minimum(s, t) >= 4 * np.maximum(s, t)) & (9 * (overlap.astype(np.int64) + rest) >= 4 * (s + t)))
-    if right is left:
-        may &= np.triu(np.ones(may.shape, dtype=bool), 1)
-    a, b = column(left, "node"), column(right, "node")
-    return [(int(a[i]), int(b[j])) for i, j in zip(*np.nonzero(may))]
+    first = np.sign(left.cut[:, None] - right.cut[None, :])
+    rest = np.where(first < 0, rest_s, np.where(first > 0, rest_t, np.maximum(rest_s, rest_t)))
+    return may & (9 * (overlaps(left.columns, right.columns) + rest) >= 4 * (s + t))
+
+
+def links(left: Block, right: Block) -> list[tuple[int, int]]:
+    """Links between different components, less those that join nothing new."""
+    may = eligible(left, right)
+    if not may.any():
+        return []
+    may &= 9 * overlaps(left.columns, right.columns) >= 4 * (left.n[:, None] + right.n[None, :])
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for x, y in zip(*(i.tolist() for i in np.nonzero(may))):
+        a, b = root(int(left.comp[x])), root(int(right.comp[y]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(left.node[x]), int(right.node[y])))
+    return out
+
+
+def _products(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, int, Block, Block]]:
+    """(i, j, left block, right block) of the groups in batches sorted by (i, j, own)."""
+    held: list[pa.RecordBatch] = []
+
+    def group(parts: list[pa.RecordBatch]) -> tuple[int, int, Block, Block] | None:
+        table = pa.Table.from_batches(parts)
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own = table.column("own").to_numpy()
+        left = Block(table.filter(pa.array(own == i)), column)
+        right = left if i == j else Block(table.filter(pa.array(own == j)), column)
+        return (i, j, left, right) if len(left.node) and len(right.node) else None
+
+    for batch in batches:
+        i, j = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+        cuts = (np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist()
+        for at, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if end == at:
+                continue
+            if held and (held[-1].column("i")[0], held[-1].column("j")[0]) != (batch.column("i")[at], batch.column("j")[at]):
+                if found := group(held):
+                    yield found
+                held = []
+            held.append(batch.slice(at, end - at))
+    if held and (found := group(held)):
+        yield found
+
+
+def _by_blocks(blocks: DataFrame, column: str, run, schema: str) -> DataFrame:
+    """``run`` over the products of block pairs, many in a task, one at a time in memory."""
+    dealt = blocks.repartition("i", "j").sortWithinPartitions("i", "j", "own")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in schema.split(", ")]
+        for i, j, left, right in _products(batches, column):
+            rows = run(i, j, left, right)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+    return dealt.mapInArrow(work, schema)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -245,6 +315,80 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter("9 * common >= 4 * (n1 + n2)").select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
+def _sets_of(some: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, n, items): whole sets of some nodes, made anew from one text each."""
+    wanted = nodes.select("node", "n", "digest", "first_id").join(some, "node", "left_semi")
+    ids = wanted.select(F.col("first_id").alias("w")).distinct()
+    sources = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    sources = sources.join(ids, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
+    found = whole_sets(sources, "doc_id", "text").dropDuplicates(["digest"])
+    return wanted.select("digest", "node", "n").join(found, "digest").select("node", "n", "items")
+
+
+def _shared_columns(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, size, times): the rows of each column of the prefix matrix
+    that several rows have, one of them by its short prefix. Columns with the same
+    rows are one, the first of them in the order (a pair that meets in them meets
+    there first); ``times`` says how many they are."""
+    postings = nodes.select("node", F.posexplode("prefix").alias("place", "key"), "lead", "usual")
+    # Place and whether it is in the short prefix, in one number.
+    spot = (2 * F.col("place") + (F.col("place") < F.col("lead")).cast("int")).alias("spot")
+    rare = postings.filter("place < usual").select("key", "node", spot)
+    often = postings.filter("place >= usual").select("key", "node", spot)
+    h = F.xxhash64("node")
+    facts = {"size": F.count(F.lit(1)), "any_short": F.max(F.expr("spot % 2 = 1")), "x": F.bit_xor(h),
+             "s": F.sum(F.shiftright(h, 20)), "least": F.min(F.struct("node", "spot"))}
+    columns = ["key", "node", "spot", *facts]
+    # Most columns have one row, so that adding up before the shuffle saves
+    # nothing: rows go as they are, once. Common columns may be of any size: their
+    # rows are added up first.
+    by_key = Window.partitionBy("key")
+    shared = rare.withColumn("size", F.count(F.lit(1)).over(by_key)).filter("size > 1")
+    shared = shared.withColumns({c: f.over(by_key) for c, f in facts.items() if c != "size"})
+    summed = often.groupBy("key").agg(*[f.alias(c) for c, f in facts.items()]).filter("size > 1")
+    seen = materialise(shared.select(*columns).union(often.join(summed, "key").select(*columns)), "seen")
+    firsts = (seen.filter("node = least.node").groupBy("size", "x", "s", F.col("least.node").alias("m"))
+              .agg(F.min(F.struct("spot", "key")).alias("c"), F.max("any_short").alias("short"), F.count(F.lit(1)).alias("times"))
+              .filter("short").select(F.col("c.key").alias("key"), "times"))
+    written = stored_tables()[-1]
+    members = materialise(seen.select("key", "node", "size").join(firsts, "key").join(nodes.select("node", "n"), "node"), "members")
+    drop_stored(nodes.sparkSession, [written])
+    return members
+
+
+def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
+    """(i, j, own, node, comp): the pairs of row blocks to be multiplied, with the
+    rows of both. A row lies in one block, with rows that meet the same most
+    connected row (near copies lie together), and apart from these if it is of
+    their largest component; blocks are paired if a column of several components
+    has rows of both, but not two blocks of one component. So each pair of rows is
+    looked at once, however many columns it shares."""
+    placed = (members.select("key", "node").join(found, "node", "left")
+              .select("key", "node", F.coalesce("component", "node").alias("comp")))
+    comps = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    open_rows = materialise(placed.join(comps.filter("lo < hi").select("key"), "key"), "open")
+    home = (open_rows.join(centres.select("key", "a", "centre_score"), "key").groupBy("node", "comp")
+            .agg(F.max(F.struct("centre_score", "a")).alias("h")).select("node", "comp", F.col("h.a").alias("home"))
+            .join(nodes.select("node", F.col("n").alias("items")), "node"))
+    sizes = home.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("items").alias("items"))
+    main = sizes.groupBy("home").agg(F.max(F.struct("m", "comp")).alias("main")).select("home", F.col("main.comp").alias("main"))
+    parts = (sizes.join(main, "home").groupBy("home", (F.col("comp") == F.col("main")).alias("is_main"), "main")
+             .agg(F.sum("m").alias("m"), F.sum("items").alias("items"))
+             .select("home", "main", "is_main", F.expr(
+                 f"cast(ceil(greatest(m / {block_rows}, items / {BLOCK_ITEMS})) as int)").alias("blocks")))
+    lying = (home.join(main, "home").withColumn("is_main", F.col("comp") == F.col("main"))
+             .join(parts.drop("main"), ["home", "is_main"])
+             .select("node", "comp", F.xxhash64("home", "is_main", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"),
+                     F.when(F.col("is_main"), F.col("comp")).alias("only")))
+    lying = materialise(lying, "blocks")
+    seen = open_rows.select("key", "node").join(lying, "node").select("key", "own", "only").distinct()
+    left = seen.select("key", F.col("own").alias("i"), F.col("only").alias("only_i"))
+    right = seen.select("key", F.col("own").alias("j"), F.col("only").alias("only_j"))
+    met = (left.join(right, "key").filter("i <= j AND NOT coalesce(only_i = only_j, false)").select("i", "j").distinct())
+    sides = met.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
+    return sides.join(lying.drop("only"), "own")
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``.
@@ -259,73 +403,53 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ignored; an empty table gives no rows. Shingles are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
-    planes = spark.sparkContext.broadcast(slot_planes(docs.select(text)))  # 32 MB at any size
-    signed = materialise(sign_documents(docs, doc_id, text, planes), "signed")
+    table = spark.sparkContext.broadcast(slot_classes(docs.select(text)))  # 16 MB at any size
+    signed = materialise(sign_documents(docs, doc_id, text, table), "signed")
+    table.destroy()
     nodes = (signed.filter("digest IS NOT NULL").groupBy("digest")
              .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-                  F.first("lead").alias("lead"), F.first("cut").alias("cut"))
+                  F.first("lead").alias("lead"), F.first("usual").alias("usual"), F.first("cut").alias("cut"))
              .withColumn("node", F.monotonically_increasing_id()))
+    fat = stored_tables()[-1]
     nodes = materialise(nodes, "nodes")
-    postings = nodes.select("node", "n", "lead", F.posexplode("prefix").alias("place", "key"))
-    h = F.xxhash64("node")
-    columns = (postings.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.max(F.expr("place < lead")).alias("short"), F.bit_xor(h).alias("x"),
-        F.sum(F.shiftright(h, 20)).alias("s"), F.min(F.struct("node", "place")).alias("least")).filter("size > 1"))
-    # Columns with the same rows are one, the first of them in the order (a pair
-    # that meets in them meets there first).
-    columns = (columns.groupBy("size", "x", "s", F.col("least.node").alias("m"))
-               .agg(F.min(F.struct("least.place", "key")).alias("c"), F.max("short").alias("short"), F.count(F.lit(1)).alias("times"))
-               .filter("short").select("c.key", "size", "times"))
-    members = materialise(postings.select("key", "node", "n").join(columns, "key"), "members")
-
-    # The member that meets the others most often is the likeliest origin of its copies.
+    signed = materialise(signed.select("doc_id", "digest", "n"), "rows")
+    drop_stored(spark, [fat])  # the prefixes are with the nodes now
+    members = _shared_columns(nodes)
+
+    # The row that meets the others most often is the likeliest origin of its
+    # copies. Rows that share enough columns with it are compared; all other
+    # pairs are left to the products.
     score = members.groupBy("node").agg(F.sum((F.col("size") - 1) * F.col("times")).alias("score"))
     centres = (members.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("c"))
-               .select("key", F.col("c.node").alias("a"), F.col("c.n").alias("centre_n")))
+               .select("key", F.col("c.node").alias("a"), F.col("c.n").alias("centre_n"),
+                       F.col("c.score").alias("centre_score")))
+    centres = materialise(centres, "centres")
+    rest = F.expr("greatest(n - least(n, n div 5 + 1), centre_n - least(centre_n, centre_n div 5 + 1))")
     pairs = (members.join(centres, "key").filter("node <> a AND 5 * least(n, centre_n) >= 4 * greatest(n, centre_n)")
-             .select("a", F.col("node").alias("b")).distinct())
-
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    ids = wanted.select(F.col("first_id").alias("w")).distinct()
-    sources = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sources = sources.join(ids, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
-    found_sets = whole_sets(sources, "doc_id", "text").dropDuplicates(["digest"])
-    sets = materialise(wanted.select("digest", "node", "n").join(found_sets, "digest").select("node", "n", "items"), "items")
-
-    links = materialise(_linked(pairs, sets), "links")
-    found = materialise(connected_components(links), "classes")
-
-    placed = (members.select("key", "node").join(found, "node", "left")
-              .select("key", "node", F.coalesce("component", "node").alias("comp")))
-    groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    open_keys = (groups.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"),
-                                           F.count(F.lit(1)).alias("comps")).filter("comps > 1 AND `all` > 2")
-                 .select("key", F.col("top.comp").alias("main"),
-                         F.expr(f"cast(ceil(top.size / {block_rows}) as int)").alias("main_blocks"),
-                         F.expr(f"cast(ceil((`all` - top.size) / {block_rows}) as int)").alias("blocks")))
-    # The largest component of a column is never paired with itself: blocks of
-    # the others meet each other and its blocks.
-    dealt = (placed.join(open_keys, "key").withColumn("is_main", F.expr("comp = main"))
-             .withColumn("own", F.expr("cast(pmod(xxhash64(node), if(is_main, main_blocks, blocks)) as int)"))
-             .withColumn("meets", F.expr("if(is_main, transform(sequence(0, blocks - 1), x -> struct(x AS i, -1 - own AS j)), "
-                                         "concat(transform(sequence(0, blocks - 1), x -> struct(least(own, x) AS i, "
-                                         "greatest(own, x) AS j)), transform(sequence(0, main_blocks - 1), "
-                                         "x -> struct(own AS i, -1 - x AS j))))"))
-             .select("key", "node", "comp", F.expr("if(is_main, -1 - own, own)").alias("own"), F.explode("meets").alias("m"))
-             .select("key", "node", "comp", "own", "m.i", "m.j"))
-    blocks = dealt.join(nodes.select("node", "n", "cut", "prefix"), "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        i, j, key = rows[0]["i"], rows[0]["j"], rows[0]["key"]
-        left, right = [r for r in rows if r["own"] == i], [r for r in rows if r["own"] == j]
-        pairs = block_product(left, left if i == j else right, key) if left and right else []
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
-
-    likely = blocks.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    more = materialise(_linked(likely, sets), "links")
+             .groupBy("a", F.col("node").alias("b"), "n", "centre_n").agg(F.sum("times").alias("shared"))
+             .filter(9 * (F.col("shared") + rest) >= 4 * (F.col("n") + F.col("centre_n"))).select("a", "b"))
+    pairs = materialise(pairs, "pairs")
+    compared = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = materialise(_sets_of(compared, nodes, docs, doc_id, text), "items")
+    near = materialise(_linked(pairs, sets), "links")
+    found = materialise(connected_components(near), "classes")
+
+    pairs = _open_blocks(members, centres, found, nodes, block_rows)
+    rows = pairs.join(nodes.select("node", "n", "cut", "prefix"), "node")
+
+    def promising(i: int, j: int, left: Block, right: Block) -> list[tuple]:
+        may = may_link(left, right)
+        kept = {(i, j, i, int(x)) for x in left.node[may.any(axis=1)]} | {(i, j, j, int(y)) for y in right.node[may.any(axis=0)]}
+        return sorted(kept)
+
+    likely = _by_blocks(rows, "prefix", promising, "i long, j long, own long, node long")
+    likely = materialise(likely, "likely")
+    sets = _sets_of(likely.select("node").distinct(), nodes, docs, doc_id, text)
+    whole = (likely.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+             .join(sets, "node").select("i", "j", "own", "node", "comp", "n", "items"))
+    more = materialise(_by_blocks(whole, "items", lambda i, j, left, right: links(left, right), "src long, dst long"), "links")
     if not more.isEmpty():
-        found = materialise(connected_components(links.union(more)), "classes")
+        found = materialise(connected_components(near.union(more)), "classes")
 
     named = found.join(nodes.select("node", "digest", "first_id"), "node")
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -59,7 +59,7 @@ ODD = [(900, None), (901, ""), (902, " \t\n"), (903, "a b"), (904, "A\x0bb"), (9
        (909, "1 2 3 4 5 " * 2000), (910, "1 2 3 4 5 " * 1999), (901, ""), (911, None)]
 
 
-@pytest.mark.parametrize("seed,block_rows", [(1, 512), (2, 2), (3, 5)])
+@pytest.mark.parametrize("seed,block_rows", [(1, 512), (2, 2)])
 def test_against_brute_force(spark, seed, block_rows):
     rows = corpus(seed) + ODD
     df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", digest string")  # a clashing name
@@ -74,8 +74,9 @@ def test_common_shingles_change_nothing(spark, monkeypatch):
 
 def test_shared_counters_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccardjoin, "HELD_SLOTS", 50)
-    everything = np.full(1 << (jaccardjoin.SLOT_BITS - 3), 255, np.uint8)
-    monkeypatch.setattr(jaccardjoin, "slot_planes", lambda texts: (everything, everything * 0))
+    some = np.random.default_rng(1).integers(0, 256, 1 << (jaccardjoin.SLOT_BITS - 2), dtype=np.uint8)
+    count = jaccardjoin.slot_classes
+    monkeypatch.setattr(jaccardjoin, "slot_classes", lambda texts: count(texts) | some)
     rows = corpus(5)
     assert found(jaccardjoin.jaccard_components(spark.createDataFrame(rows, SCHEMA), block_rows=3)) == brute(rows)
 
@@ -94,7 +95,7 @@ def test_prefixes_hold_a_shared_shingle():
     """The bound behind the join: every linked pair meets in the longer set's
     prefix and the shorter one's short prefix."""
     rng = np.random.default_rng(6)
-    ones = np.full(1 << (jaccardjoin.SLOT_BITS - 3), 255, np.uint8)
+    some = rng.integers(0, 256, 1 << (jaccardjoin.SLOT_BITS - 2), dtype=np.uint8)
     for _ in range(300):
         s = int(rng.integers(1, 60))
         common = np.sort(rng.integers(0, 1 << 63, s, dtype=np.uint64))
@@ -102,6 +103,6 @@ def test_prefixes_hold_a_shared_shingle():
         b = common[:max(1, s - int(rng.integers(0, s // 5 + 1)))]
         short, long = sorted((a, b), key=len)
         if 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b)):
-            p, lead, _ = jaccardjoin.prefix(short, ones, ones * 0)
-            q, _, _ = jaccardjoin.prefix(long, ones, ones * 0)
+            p, lead, _, _ = jaccardjoin.prefix(short, some)
+            q, _, _, _ = jaccardjoin.prefix(long, some)
             assert len(np.intersect1d(p[:lead], q))
