@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from flightlake.llm.common import materialise
 
-#: Rows of an index block and queries of a query block, at most and (where there
-#: are tasks for more blocks) at least.
-BLOCK_ROWS, QUERY_ROWS, LEAST_ROWS = 65_536, 1_024, 2_048
+#: Rows of an index block and queries of a query block, at most.
+BLOCK_ROWS, QUERY_ROWS = 65_536, 1_024
 #: Bits kept of values and of query weights in the slices.
 VALUE_BITS, WEIGHT_BITS = 8, 8
 #: Scaled components of a vector in the slices are smaller than this.
@@ -231,17 +230,19 @@ def top_k(vectors: DataFrame, asked: Column | str, k: int = 10, vec_id: str = "v
     only vectors of equal dimension are compared. Components may be of any size;
     scores beyond a long saturate. Other columns are ignored.
 
-    Both sides are dealt to blocks, sized so that all cores have some; each pair
-    of an index block and a query block is one group of bounded size. What returns
-    is k rows a query and block, of which a window keeps the k best.
+    Both sides are dealt to blocks; each pair of an index block and a query block is
+    one group of bounded size. Where index blocks are few, queries are dealt to more
+    blocks, so that all cores have some (a small index block would cost nearly as
+    much a query as a large one). What returns is k rows a query and block, of which
+    a window keeps the k best.
     """
     where = F.expr(asked) if isinstance(asked, str) else asked
     rows = materialise(vectors.select(vec_id, vector, F.coalesce(where, F.lit(False)).alias("__asked"),
                                       F.monotonically_increasing_id().alias("__row")), "vectors")
     n, n_asked = rows.agg(F.count(F.lit(1)), F.count_if("__asked")).first()
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    block_rows = min(block_rows, max(LEAST_ROWS, -(-n // (2 * cores))))
     blocks = -(-n // block_rows) or 1
+    query_rows = min(query_rows, max(1, -(-n_asked * blocks // (2 * cores))))
     query_blocks = -(-n_asked // query_rows) or 1
     index = pack_blocks(rows, blocks, block_rows, vec_id, vector, scale)
     queries = pack_blocks(rows.filter("__asked"), query_blocks, query_rows, vec_id, vector, scale)
