@@ -358,35 +358,40 @@ def _shared_columns(nodes: DataFrame) -> DataFrame:
 
 def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
     """(i, j, own, node, comp): the pairs of row blocks to be multiplied, with the
-    rows of both. A row lies in one block, with rows that meet the same most
-    connected row (near copies lie together), and apart from these if it is of
-    their largest component; blocks are paired if a column of several components
-    has rows of both, but not two blocks of one component. So each pair of rows is
-    looked at once, however many columns it shares."""
+    rows of both. A row lies in one block, with rows of about its size that meet
+    the same most connected row (near copies lie together), and apart from these if
+    it is of their largest component; blocks are paired if a column of several
+    components has rows of both, but not two blocks of one component, nor of sizes
+    that allow no link. So each pair of rows is looked at once, however many columns
+    it shares."""
     placed = (members.select("key", "node").join(found, "node", "left")
               .select("key", "node", F.coalesce("component", "node").alias("comp")))
     comps = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     open_rows = materialise(placed.join(comps.filter("lo < hi").select("key"), "key"), "open")
     home = (open_rows.join(centres.select("key", "a", "centre_score"), "key").groupBy("node", "comp")
             .agg(F.max(F.struct("centre_score", "a")).alias("h")).select("node", "comp", F.col("h.a").alias("home"))
-            .join(nodes.select("node", F.col("n").alias("items")), "node"))
-    sizes = home.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("items").alias("items"))
-    main = sizes.groupBy("home").agg(F.max(F.struct("m", "comp")).alias("main")).select("home", F.col("main.comp").alias("main"))
-    parts = (sizes.join(main, "home").groupBy("home", (F.col("comp") == F.col("main")).alias("is_main"), "main")
+            .join(nodes.select("node", F.col("n").alias("items")), "node")
+            # Sizes of a link differ by 1.25 at most, so by one class of 1.26 at most.
+            .withColumn("scale", F.floor(F.log("items") / F.log(F.lit(1.26))).cast("int")))
+    sizes = home.groupBy("home", "scale", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("items").alias("items"))
+    main = (sizes.groupBy("home", "scale").agg(F.max(F.struct("m", "comp")).alias("main"))
+            .select("home", "scale", F.col("main.comp").alias("main")))
+    parts = (sizes.join(main, ["home", "scale"]).groupBy("home", "scale", (F.col("comp") == F.col("main")).alias("is_main"))
              .agg(F.sum("m").alias("m"), F.sum("items").alias("items"))
-             .select("home", "main", "is_main", F.expr(
+             .select("home", "scale", "is_main", F.expr(
                  f"cast(ceil(greatest(m / {block_rows}, items / {BLOCK_ITEMS})) as int)").alias("blocks")))
-    lying = (home.join(main, "home").withColumn("is_main", F.col("comp") == F.col("main"))
-             .join(parts.drop("main"), ["home", "is_main"])
-             .select("node", "comp", F.xxhash64("home", "is_main", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"),
+    lying = (home.join(main, ["home", "scale"]).withColumn("is_main", F.col("comp") == F.col("main"))
+             .join(parts, ["home", "scale", "is_main"])
+             .select("node", "comp", "scale", F.xxhash64("home", "scale", "is_main", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"),
                      F.when(F.col("is_main"), F.col("comp")).alias("only")))
     lying = materialise(lying, "blocks")
-    seen = open_rows.select("key", "node").join(lying, "node").select("key", "own", "only").distinct()
-    left = seen.select("key", F.col("own").alias("i"), F.col("only").alias("only_i"))
-    right = seen.select("key", F.col("own").alias("j"), F.col("only").alias("only_j"))
-    met = (left.join(right, "key").filter("i <= j AND NOT coalesce(only_i = only_j, false)").select("i", "j").distinct())
+    seen = open_rows.select("key", "node").join(lying, "node").select("key", "own", "only", "scale").distinct()
+    left = seen.select("key", F.col("own").alias("i"), F.col("only").alias("only_i"), F.col("scale").alias("scale_i"))
+    right = seen.select("key", F.col("own").alias("j"), F.col("only").alias("only_j"), F.col("scale").alias("scale_j"))
+    met = (left.join(right, "key").filter("i <= j AND abs(scale_i - scale_j) <= 1 AND NOT coalesce(only_i = only_j, false)")
+           .select("i", "j").distinct())
     sides = met.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
-    return sides.join(lying.drop("only"), "own")
+    return sides.join(lying.drop("only", "scale"), "own")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
