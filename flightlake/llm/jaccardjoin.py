@@ -24,6 +24,8 @@ multiplied over their whole sets, which counts every overlap exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
+from itertools import combinations_with_replacement, product
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,12 @@ SLOT_BITS = 26
 HELD_SLOTS = 1 << 22
 #: A shingle is common if its counter is over this (or, in a larger corpus, over eight times the mean).
 COMMON = 64
-#: Rows, shingles and (at a time) columns of a block of the product.
-BLOCK_ROWS, BLOCK_ITEMS, BLOCK_COLUMNS = 512, 400_000, 4096
+#: Rows and shingles of a block of the product. Rows go once to each block that their
+#: block is paired with: a group is cut into blocks of BLOCK_ROWS, but into SPREAD at
+#: most until they have FULL x BLOCK_ROWS rows or BLOCK_ITEMS shingles.
+BLOCK_ROWS, SPREAD, FULL, BLOCK_ITEMS = 512, 8, 16, 1_000_000
+#: Rows and columns that are multiplied at a time.
+TILE_ROWS, BLOCK_COLUMNS = 512, 4096
 
 _RANGES = 1 << (SLOT_BITS - 16)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -221,6 +227,24 @@ class Block:
         self.columns = np.split(lists.flatten().to_numpy(), ends[:-1]) if len(ends) else []
         self.cut = table.column("cut").to_numpy() if "cut" in table.column_names else None
 
+    def tiles(self) -> list[Block]:
+        """The block in parts of TILE_ROWS rows."""
+        parts = []
+        for at in range(0, len(self.node), TILE_ROWS):
+            part, rows = copy(self), slice(at, at + TILE_ROWS)
+            part.node, part.comp, part.n, part.columns = self.node[rows], self.comp[rows], self.n[rows], self.columns[rows]
+            part.cut = None if self.cut is None else self.cut[rows]
+            parts.append(part)
+        return parts
+
+
+def _tile_pairs(left: Block, right: Block) -> Iterator[tuple[Block, Block]]:
+    """The pairs of tiles of two blocks, of a block with itself each pair once."""
+    if left is right:
+        yield from combinations_with_replacement(left.tiles(), 2)
+    else:
+        yield from product(left.tiles(), right.tiles())
+
 
 def eligible(left: Block, right: Block) -> np.ndarray:
     """Which pairs are of different components and of sizes that allow a link."""
@@ -244,10 +268,6 @@ def may_link(left: Block, right: Block) -> np.ndarray:
 
 def links(left: Block, right: Block) -> list[tuple[int, int]]:
     """Links between different components, less those that join nothing new."""
-    may = eligible(left, right)
-    if not may.any():
-        return []
-    may &= 9 * overlaps(left.columns, right.columns) >= 4 * (left.n[:, None] + right.n[None, :])
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -257,11 +277,16 @@ def links(left: Block, right: Block) -> list[tuple[int, int]]:
         return c
 
     out = []
-    for x, y in zip(*(i.tolist() for i in np.nonzero(may))):
-        a, b = root(int(left.comp[x])), root(int(right.comp[y]))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            out.append((int(left.node[x]), int(right.node[y])))
+    for one, two in _tile_pairs(left, right):
+        may = eligible(one, two)
+        if not may.any():
+            continue
+        may &= 9 * overlaps(one.columns, two.columns) >= 4 * (one.n[:, None] + two.n[None, :])
+        for x, y in zip(*(i.tolist() for i in np.nonzero(may))):
+            a, b = root(int(one.comp[x])), root(int(two.comp[y]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(one.node[x]), int(two.node[y])))
     return out
 
 
@@ -359,17 +384,30 @@ def _shared_columns(nodes: DataFrame) -> DataFrame:
 def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
     """(i, j, own, node, comp): the pairs of row blocks to be multiplied, with the
     rows of both. A row lies in one block, with rows of about its size that meet
-    the same most connected row (near copies lie together), and apart from these if
+    the same most connected row (near copies lie together; each such group joins the
+    largest one that it shares a column with), and apart from these if
     it is of their largest component; blocks are paired if a column of several
     components has rows of both, but not two blocks of one component, nor of sizes
     that allow no link. So each pair of rows is looked at once, however many columns
-    it shares."""
+    it shares.
+
+    The smaller block of a pair goes to the larger one: ``i`` is a block, ``j`` is
+    itself or stands for several smaller ones that it is paired with, about as many
+    rows as it has. So the rows made are at most twice those of the smaller blocks
+    of all pairs, and one copy of each block. A group is cut into SPREAD blocks at
+    most until these are full."""
     placed = (members.select("key", "node").join(found, "node", "left")
               .select("key", "node", F.coalesce("component", "node").alias("comp")))
     comps = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     open_rows = materialise(placed.join(comps.filter("lo < hi").select("key"), "key"), "open")
     home = (open_rows.join(centres.select("key", "a", "centre_score"), "key").groupBy("node", "comp")
-            .agg(F.max(F.struct("centre_score", "a")).alias("h")).select("node", "comp", F.col("h.a").alias("home"))
+            .agg(F.max(F.struct("centre_score", "a")).alias("h")).select("node", "comp", F.col("h.a").alias("home")))
+    home = materialise(home, "homes")
+    at = open_rows.select("key", "node").join(home.select("node", "home"), "node").select("key", "home").distinct()
+    at = at.join(home.groupBy("home").agg(F.count(F.lit(1)).alias("m")), "home")
+    largest = at.groupBy("key").agg(F.max(F.struct("m", "home")).alias("to"))
+    moves = at.join(largest, "key").groupBy("home").agg(F.max("to").alias("to")).select("home", F.col("to.home").alias("into"))
+    home = (home.join(moves, "home").select("node", "comp", F.col("into").alias("home"))
             .join(nodes.select("node", F.col("n").alias("items")), "node")
             # Sizes of a link differ by 1.25 at most, so by one class of 1.26 at most.
             .withColumn("scale", F.floor(F.log("items") / F.log(F.lit(1.26))).cast("int")))
@@ -379,10 +417,10 @@ def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes
     parts = (sizes.join(main, ["home", "scale"]).groupBy("home", "scale", (F.col("comp") == F.col("main")).alias("is_main"))
              .agg(F.sum("m").alias("m"), F.sum("items").alias("items"))
              .select("home", "scale", "is_main", F.expr(
-                 f"cast(ceil(greatest(m / {block_rows}, items / {BLOCK_ITEMS})) as int)").alias("blocks")))
+                 f"cast(ceil(greatest(least(m / {block_rows}, {SPREAD}), m / {FULL * block_rows}, items / {BLOCK_ITEMS})) as int)").alias("blocks")))
     lying = (home.join(main, ["home", "scale"]).withColumn("is_main", F.col("comp") == F.col("main"))
              .join(parts, ["home", "scale", "is_main"])
-             .select("node", "comp", "scale", F.xxhash64("home", "scale", "is_main", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"),
+             .select("node", "comp", "scale", "items", F.xxhash64("home", "scale", "is_main", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"),
                      F.when(F.col("is_main"), F.col("comp")).alias("only")))
     lying = materialise(lying, "blocks")
     seen = open_rows.select("key", "node").join(lying, "node").select("key", "own", "only", "scale").distinct()
@@ -390,8 +428,17 @@ def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes
     right = seen.select("key", F.col("own").alias("j"), F.col("only").alias("only_j"), F.col("scale").alias("scale_j"))
     met = (left.join(right, "key").filter("i <= j AND abs(scale_i - scale_j) <= 1 AND NOT coalesce(only_i = only_j, false)")
            .select("i", "j").distinct())
-    sides = met.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
-    return sides.join(lying.drop("only", "scale"), "own")
+    blocks = lying.groupBy("own").agg(F.count(F.lit(1)).alias("m"), F.sum("items").alias("items"))
+    one, two = (blocks.select(F.col("own").alias(c), F.struct("m", "items", "own").alias(f"block_{c}")) for c in "ij")
+    met = met.join(one, "i").join(two, "j").select(F.greatest("block_i", "block_j").alias("big"), F.least("block_i", "block_j").alias("small"))
+    met = materialise(met.select(F.col("big.own").alias("i"), F.col("big.m").alias("m"), "small"), "met")
+    packs = met.filter("i <> small.own").groupBy("i").agg(F.expr(
+        f"ceil(greatest(sum(small.m) / greatest(first(m), {block_rows}), sum(small.items) / {BLOCK_ITEMS}))").alias("packs"))
+    dealt = met.join(packs, "i", "left").select("i", F.col("small.own").alias("block"), F.when(F.col("i") == F.col("small.own"), F.col("i")).otherwise(
+        F.xxhash64("i", F.pmod(F.xxhash64("small.own"), F.col("packs")))).alias("j"))
+    firsts = dealt.filter("i <> j").select("i", "j", F.col("i").alias("own"), F.col("i").alias("block")).distinct()
+    sides = dealt.select("i", "j", F.col("j").alias("own"), "block").union(firsts)
+    return sides.join(lying.select("node", "comp", F.col("own").alias("block")), "block").drop("block")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -443,8 +490,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = pairs.join(nodes.select("node", "n", "cut", "prefix"), "node")
 
     def promising(i: int, j: int, left: Block, right: Block) -> list[tuple]:
-        may = may_link(left, right)
-        kept = {(i, j, i, int(x)) for x in left.node[may.any(axis=1)]} | {(i, j, j, int(y)) for y in right.node[may.any(axis=0)]}
+        kept = set()
+        for one, two in _tile_pairs(left, right):
+            may = may_link(one, two)
+            kept |= {(i, j, i, int(x)) for x in one.node[may.any(axis=1)]} | {(i, j, j, int(y)) for y in two.node[may.any(axis=0)]}
         return sorted(kept)
 
     likely = _by_blocks(rows, "prefix", promising, "i long, j long, own long, node long")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flightlake.llm import jaccardjoin
@@ -106,3 +107,42 @@ def test_prefixes_hold_a_shared_shingle():
             p, lead, _, _ = jaccardjoin.prefix(short, some)
             q, _, _, _ = jaccardjoin.prefix(long, some)
             assert len(np.intersect1d(p[:lead], q))
+
+
+def test_few_rows_meet_a_large_group_without_its_copies(spark):
+    """A column that 300 rows have, 100 of which lie in small blocks of their own:
+    the small ones go to the large blocks, and each pair of rows meets once."""
+    columns = {0: list(range(300))} | {k: [k, 1000 + k] for k in range(200, 300)}
+    members = spark.createDataFrame([(k, x) for k, xs in columns.items() for x in xs], "key long, node long")
+    centres = spark.createDataFrame([(k, xs[0], 2000 if k else 1000) for k, xs in columns.items()],
+                                    "key long, a long, centre_score long")
+    nodes = spark.createDataFrame([(x, 100) for x in sorted({x for xs in columns.values() for x in xs})], "node long, n long")
+    found = spark.createDataFrame([], "node long, component long")
+    for block_rows in (512, 30):
+        rows = jaccardjoin._open_blocks(members, centres, found, nodes, block_rows).collect()
+        assert len(rows) < 4000  # above 20,000 if the group went to each of the 100
+        sides = {}
+        for r in rows:
+            sides.setdefault((r.i, r.j), {}).setdefault(r.own, []).append(r.node)
+        met = []
+        for (i, j), own in sides.items():
+            pairs = [(x, y) for x in own[i] for y in own[j]] if i != j else [(x, y) for x in own[i] for y in own[i] if x < y]
+            met += [tuple(sorted(p)) for p in pairs]
+        assert len(met) == len(set(met))
+        assert {(x, y) for xs in columns.values() for x in xs for y in xs if x < y} <= set(met)
+
+
+def test_tiles_cover_a_product_once(monkeypatch):
+    monkeypatch.setattr(jaccardjoin, "TILE_ROWS", 3)
+
+    def block(nodes):
+        table = pa.table({"node": nodes, "comp": nodes, "n": [1] * len(nodes), "items": [[5]] * len(nodes)})
+        return jaccardjoin.Block(table, "items")
+
+    a, b = block(list(range(8))), block(list(range(10, 17)))
+    met = [(x, y) for one, two in jaccardjoin._tile_pairs(a, b) for x in one.node for y in two.node]
+    assert sorted(met) == [(x, y) for x in a.node for y in b.node]
+    own = [(one.node[x], two.node[y]) for one, two in jaccardjoin._tile_pairs(a, a)
+           for x, y in zip(*np.nonzero(jaccardjoin.eligible(one, two)))]
+    assert sorted(own) == [(x, y) for x in range(8) for y in range(8) if x < y]
+    assert len(jaccardjoin.links(a, a)) == 7  # all are linked; each link joins something new
