@@ -591,8 +591,9 @@ def q_speed_altitude_points(spark, sf):
 def q_upscaled_local_sort(spark, sf):
     """JB12 (U1, L7): 20 copies of the feed sorted by speed inside each partition (spill workload)."""
     from flightlake.operators.sampling import sort_local, upscale
-    up = upscale(V.states(spark, sf).select("icao24", "time", "velocity"), 20)
-    return sort_local(Fl.typed(up, ["velocity"]), ["velocity"])
+    rows = Fl.typed(V.states(spark, sf).select("icao24", "time", "velocity"), ["velocity"])
+    # Copies lie beside their row, so rows sorted before are sorted after: a task holds a row once.
+    return upscale(sort_local(rows, ["velocity"]), 20)
 
 
 def _cores(spark: SparkSession) -> int:
