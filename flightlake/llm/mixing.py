@@ -24,12 +24,14 @@ from flightlake.llm.common import materialise, without
 
 # Any run of characters other than blank, tab, line feed, vertical tab, form
 # feed and carriage return is a word (fixed by the contract).
-WORD = r"[^\x20\x09-\x0D]+"
+WORD, BLANKS = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 
 
 def word_count(text: str = "text") -> Column:
-    """Words of the text; null has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    """Words of the text; null has none. ``regexp_count`` would hold every word of
+    a text as a string of its own; here a word becomes one character."""
+    marks = F.regexp_replace(F.regexp_replace(F.col(text), WORD, "x"), BLANKS, "")
+    return F.coalesce(F.length(marks), F.lit(0)).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], repeats: int, budget: float = 1.0) -> DataFrame:

@@ -81,3 +81,13 @@ def test_ranges_of_any_width_give_the_same_mix(spark):
     key = lambda r: (str(r.doc_id), r.text or "", r.taken)
     want = sorted(map(key, mixing.mix_sources(docs_frame(spark)).collect()))
     assert sorted(map(key, mixing.mix_sources(docs_frame(spark), buckets=3).collect())) == want
+
+
+def test_words_are_counted_without_holding_them(spark):
+    texts = [None, "", " ", "\t\n\x0b\x0c\r ", "a", " a", "a ", "a  b\tc\n", "\u00a0 \u2003x", "x\x00y \x1c", "\U0001f600 $1 \\ x", "w " * 20000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    plan = df.select(mixing.word_count().alias("n"))
+    assert "regexp_extract_all" not in plan._jdf.queryExecution().executedPlan().toString()
+    got = [r.n for r in df.select("i", mixing.word_count().alias("n")).orderBy("i").collect()]
+    assert got == [0, 0, 0, 0, 1, 1, 1, 3, 2, 2, 4, 20000]
+    assert got == [r.n or 0 for r in df.selectExpr("i", r"regexp_count(text, r'[^\x20\x09-\x0D]+') n").orderBy("i").collect()]
