@@ -15,10 +15,12 @@ bounds keep most of that product from being made:
 
 Documents with equal sets are one row of the matrix, and shingles with equal
 rows one column. The rows of a column of the prefix matrix are first compared with
-its most connected row. Where they are then still of several components, blocks
-of rows of different components are multiplied, columns in blocks, and pairs
+its most connected row. Where they are then still of several components, columns
+that few rows have, or rows that mostly share little else, give pairs of rows, whose
+overlap in the prefixes is counted; columns of many like rows give no pairs, but
+blocks of rows of different components are multiplied, columns in blocks. Pairs
 whose overlap cannot reach the bound are discarded. The rows that are left are
-multiplied over their whole sets, which counts every overlap exactly.
+compared over their whole sets, which counts every overlap exactly.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from flightlake.llm.common import materialise, mix64, window_hashes
 from flightlake.llm.components import connected_components
-from flightlake.session import drop_stored, stored_tables
+from flightlake.session import drop_stored, shuffles_removed, stored_tables
 
 SHINGLE = 5
 #: Counters: 2^SLOT_BITS of them, in ranges of 2^16.
@@ -45,6 +47,11 @@ SLOT_BITS = 26
 HELD_SLOTS = 1 << 22
 #: A shingle is common if its counter is over this (or, in a larger corpus, over eight times the mean).
 COMMON = 64
+#: A column gives pairs of rows if it has PAIR_ROWS rows at most, or up to PAIR_MOST
+#: of which PAIR_ROWS at most share so many columns that a row of their size may be linked.
+PAIR_ROWS, PAIR_MOST = 32, 1024
+#: Bits that tell the ids whose texts are wanted from most others.
+ID_BITS = 26
 #: Rows and shingles of a block of the product. Rows go once to each block that their
 #: block is paired with: a group is cut into blocks of BLOCK_ROWS, but into SPREAD at
 #: most until they have FULL x BLOCK_ROWS rows or BLOCK_ITEMS shingles.
@@ -125,6 +132,7 @@ def slot_classes(texts: DataFrame) -> np.ndarray:
     corpus): 0 about what a counter has anyway, 1 up to twice and 2 well above
     that, 3 common (more than COMMON, and than eight times the mean)."""
     levels = materialise(count_slots(texts), "slots")
+    written = stored_tables()[-1]
     mean = (levels.agg(F.sum("total")).first()[0] or 0) / (1 << SLOT_BITS)
     usual = int(2 + 2 * mean).bit_length()  # levels are bit lengths of counts
     common = max(COMMON, int(8 * mean)).bit_length()
@@ -142,6 +150,7 @@ def slot_classes(texts: DataFrame) -> np.ndarray:
     out = np.zeros((_RANGES, 1 << 14), dtype=np.uint8)
     for r, classes in levels.mapInArrow(classify, "range int, classes binary").toLocalIterator():
         out[r] = np.frombuffer(classes, np.uint8)
+    drop_stored(texts.sparkSession, [written])
     return out.reshape(-1)
 
 
@@ -340,21 +349,51 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter("9 * common >= 4 * (n1 + n2)").select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
+def _id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit for each value of a hash of the ids, set where there is one (8 MB, however many they are)."""
+    at = ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(1 << ID_BITS)).alias("at"))
+    parts = materialise(at.groupBy(F.shiftright("at", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("at") % (1 << 15)).alias("bits")), "ids")
+    written = stored_tables()[-1]
+    out = np.zeros((1 << ID_BITS - 15, 1 << 12), dtype=np.uint8)
+    for part, bits in parts.toLocalIterator():
+        out[part] = np.frombuffer(bits, np.uint8)
+    drop_stored(ids.sparkSession, [written])
+    return out.reshape(-1)
+
+
+def _with_bits(rows: DataFrame, table: Broadcast) -> DataFrame:
+    """The rows whose id (the first column) has its bit set: all with one of the
+    ids, and few others. So the rest of the texts goes through no shuffle."""
+    names = rows.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))).select(names)
+
+    return rows.withColumn("at", F.pmod(F.xxhash64(names[0]), F.lit(1 << ID_BITS))).mapInArrow(keep, rows.schema)
+
+
 def _sets_of(some: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, n, items): whole sets of some nodes, made anew from one text each."""
+    """(node, n, items): whole sets of some nodes, made anew from one text each, written."""
     wanted = nodes.select("node", "n", "digest", "first_id").join(some, "node", "left_semi")
     ids = wanted.select(F.col("first_id").alias("w")).distinct()
     sources = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sources = sources.join(ids, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
+    table = docs.sparkSession.sparkContext.broadcast(_id_bits(ids))
+    sources = _with_bits(sources, table).join(ids, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
     found = whole_sets(sources, "doc_id", "text").dropDuplicates(["digest"])
-    return wanted.select("digest", "node", "n").join(found, "digest").select("node", "n", "items")
+    sets = materialise(wanted.select("digest", "node", "n").join(found, "digest").select("node", "n", "items"), "items")
+    table.destroy()
+    return sets
 
 
 def _shared_columns(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, size, times): the rows of each column of the prefix matrix
-    that several rows have, one of them by its short prefix. Columns with the same
-    rows are one, the first of them in the order (a pair that meets in them meets
-    there first); ``times`` says how many they are."""
+    """(key, node, n, size, times, short): the rows of each column of the prefix
+    matrix that several rows have. Columns with the same rows are one, the first of
+    them in the order (a pair that meets in them meets there first); ``times`` says
+    how many they are, ``short`` whether one of the rows has one of them in its short
+    prefix. A pair that is linked meets in such a column; the others only count."""
     postings = nodes.select("node", F.posexplode("prefix").alias("place", "key"), "lead", "usual")
     # Place and whether it is in the short prefix, in one number.
     spot = (2 * F.col("place") + (F.col("place") < F.col("lead")).cast("int")).alias("spot")
@@ -374,13 +413,50 @@ def _shared_columns(nodes: DataFrame) -> DataFrame:
     seen = materialise(shared.select(*columns).union(often.join(summed, "key").select(*columns)), "seen")
     firsts = (seen.filter("node = least.node").groupBy("size", "x", "s", F.col("least.node").alias("m"))
               .agg(F.min(F.struct("spot", "key")).alias("c"), F.max("any_short").alias("short"), F.count(F.lit(1)).alias("times"))
-              .filter("short").select(F.col("c.key").alias("key"), "times"))
+              .select(F.col("c.key").alias("key"), "times", "short"))
     written = stored_tables()[-1]
     members = materialise(seen.select("key", "node", "size").join(firsts, "key").join(nodes.select("node", "n"), "node"), "members")
     drop_stored(nodes.sparkSession, [written])
     return members
 
 
+def _open_columns(members: DataFrame, found: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of several components: (key, times, short, node, n, comp, cut,
+    most, beyond), the rows of those that give pairs, and (key), the others that
+    rows have by their short prefix. ``most``: the columns that a row shares at all;
+    ``beyond``: those that are in neither."""
+    placed = (members.join(found, "node", "left")
+              .select("key", "times", "short", "node", "n", F.coalesce("component", "node").alias("comp")))
+    comps = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    open_rows = materialise(placed.join(comps.filter("lo < hi").select("key"), "key"), "columns")
+    most = open_rows.groupBy("node").agg(F.sum("times").alias("most"))
+    strong = F.expr("9 * (most + n - least(n, n div 5 + 1)) >= 8 * n").cast("int")
+    few = (open_rows.join(most, "node").groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(strong).alias("strong"))
+           .select("key", F.expr(f"m <= {PAIR_ROWS} OR m <= {PAIR_MOST} AND strong <= {PAIR_ROWS}").alias("few")))
+    split = materialise(open_rows.join(few, "key"), "split")
+    facts = split.groupBy("node").agg(F.sum("times").alias("most"), F.sum(F.expr("if(few OR short, 0, times)")).alias("beyond"))
+    pairing = split.filter("few").drop("few").join(facts, "node").join(nodes.select("node", "cut"), "node")
+    return pairing, split.filter("short AND NOT few").select("key").distinct()
+
+
+def _likely_pairs(pairing: DataFrame) -> DataFrame:
+    """(a, b): the pairs of rows of different components that meet in columns that
+    give pairs, and may reach the bound by their prefixes' overlap (as in
+    ``may_link``). A pair that meets in another column as well may be left out:
+    it is in the products."""
+    one, two = (pairing.select("key", *(["times", "short"] if c == "a" else []),
+                               *(F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "comp", "cut", "most", "beyond"))) for c in "ab")
+    rest_a, rest_b = (f"(n_{c} - least(n_{c}, n_{c} div 5 + 1))" for c in "ab")
+    rest = f"CASE WHEN cut_a < cut_b THEN {rest_a} WHEN cut_a > cut_b THEN {rest_b} ELSE greatest({rest_a}, {rest_b}) END"
+    met = (one.join(two, "key")
+           .filter("node_a < node_b AND comp_a <> comp_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+           .filter(f"9 * (least(most_a, most_b) + {rest}) >= 4 * (n_a + n_b)"))
+    need = F.expr(f"4 * (n_a + n_b) - 9 * ({rest} + least(beyond_a, beyond_b))")
+    return (met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), need.alias("need"))
+            .agg(F.sum("times").alias("shared"), F.max("short").alias("short"))
+            .filter("short AND 9 * shared >= need").select("a", "b"))
+
+
 def _open_blocks(members: DataFrame, centres: DataFrame, found: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
     """(i, j, own, node, comp): the pairs of row blocks to be multiplied, with the
     rows of both. A row lies in one block, with rows of about its size that meet
@@ -454,6 +530,21 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     out of the minimum (a component without any id has none). Other columns are
     ignored; an empty table gives no rows. Shingles are told apart by 64-bit hashes.
     """
+    with shuffles_removed(docs.sparkSession):
+        signed, nodes, found = _classes(docs, doc_id, text, block_rows)
+    named = found.join(nodes.select("node", "digest", "first_id"), "node")
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    classes = named.join(smallest, "component").select("digest", "component_id")
+    owners = nodes.select("digest", "first_id").join(classes, "digest", "left").select(
+        "digest", F.coalesce("component_id", "first_id").alias("component_id"))
+    return (signed.select("doc_id", "digest", F.col("n").alias("n_shingles")).join(owners, "digest", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id"))
+                    .otherwise(F.col("component_id")).alias("component_id")))
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, block_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, digest, n) of the documents, (node, digest, first_id, ...) of the
+    rows of the matrix, (node, component) of those that are linked; all written."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(slot_classes(docs.select(text)))  # 16 MB at any size
     signed = materialise(sign_documents(docs, doc_id, text, table), "signed")
@@ -466,11 +557,21 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     nodes = materialise(nodes, "nodes")
     signed = materialise(signed.select("doc_id", "digest", "n"), "rows")
     drop_stored(spark, [fat])  # the prefixes are with the nodes now
-    members = _shared_columns(nodes)
+    columns = _shared_columns(nodes)
+    members = columns.filter("short")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The links of the pairs, written."""
+        rows = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = _sets_of(rows, nodes, docs, doc_id, text)
+        written = stored_tables()[-1]
+        near = materialise(_linked(pairs, sets), "links")
+        drop_stored(spark, [written])
+        return near
 
     # The row that meets the others most often is the likeliest origin of its
     # copies. Rows that share enough columns with it are compared; all other
-    # pairs are left to the products.
+    # pairs are left to the steps below.
     score = members.groupBy("node").agg(F.sum((F.col("size") - 1) * F.col("times")).alias("score"))
     centres = (members.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("c"))
                .select("key", F.col("c.node").alias("a"), F.col("c.n").alias("centre_n"),
@@ -480,12 +581,26 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     pairs = (members.join(centres, "key").filter("node <> a AND 5 * least(n, centre_n) >= 4 * greatest(n, centre_n)")
              .groupBy("a", F.col("node").alias("b"), "n", "centre_n").agg(F.sum("times").alias("shared"))
              .filter(9 * (F.col("shared") + rest) >= 4 * (F.col("n") + F.col("centre_n"))).select("a", "b"))
-    pairs = materialise(pairs, "pairs")
-    compared = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = materialise(_sets_of(compared, nodes, docs, doc_id, text), "items")
-    near = materialise(_linked(pairs, sets), "links")
+    near = compared(materialise(pairs, "pairs"))
     found = materialise(connected_components(near), "classes")
 
+    pairing, others = _open_columns(columns, found, nodes)
+    pairs = materialise(_likely_pairs(pairing), "pairs")
+    if not pairs.isEmpty():
+        near = near.union(compared(pairs))
+        found = materialise(connected_components(near), "classes")
+    members = materialise(members.join(others, "key", "left_semi"), "members")
+    if not members.isEmpty():
+        more = _block_links(members, centres, found, nodes, docs, doc_id, text, block_rows)
+        if not more.isEmpty():
+            found = materialise(connected_components(near.union(more)), "classes")
+    return signed, nodes, found
+
+
+def _block_links(members: DataFrame, centres: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame,
+                 doc_id: str, text: str, block_rows: int) -> DataFrame:
+    """(src, dst): links of rows of different components that meet in columns of ``members``, by products of blocks."""
+    spark = docs.sparkSession
     pairs = _open_blocks(members, centres, found, nodes, block_rows)
     rows = pairs.join(nodes.select("node", "n", "cut", "prefix"), "node")
 
@@ -499,17 +614,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     likely = _by_blocks(rows, "prefix", promising, "i long, j long, own long, node long")
     likely = materialise(likely, "likely")
     sets = _sets_of(likely.select("node").distinct(), nodes, docs, doc_id, text)
+    written = stored_tables()[-1]
     whole = (likely.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
              .join(sets, "node").select("i", "j", "own", "node", "comp", "n", "items"))
     more = materialise(_by_blocks(whole, "items", lambda i, j, left, right: links(left, right), "src long, dst long"), "links")
-    if not more.isEmpty():
-        found = materialise(connected_components(near.union(more)), "classes")
-
-    named = found.join(nodes.select("node", "digest", "first_id"), "node")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(smallest, "component").select("digest", "component_id")
-    owners = nodes.select("digest", "first_id").join(classes, "digest", "left").select(
-        "digest", F.coalesce("component_id", "first_id").alias("component_id"))
-    return (signed.select("doc_id", "digest", F.col("n").alias("n_shingles")).join(owners, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+    drop_stored(spark, [written])
+    return more

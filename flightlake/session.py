@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,6 +91,33 @@ def drop_stored(spark: SparkSession, tables: Iterable[str]) -> None:
         _WRITTEN.pop(path, None)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANING, _CLEANING_LOCK = {"open": 0, "before": None}, threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it ends. Else they lie on the
+    executors' disks until the driver happens to collect its garbage, those of all
+    steps of a long job together. For queries that run once, such as those that
+    write an intermediate table; what is to be returned is made outside."""
+    with _CLEANING_LOCK:
+        if not _CLEANING["open"]:
+            _CLEANING["before"] = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _CLEANING["open"] += 1
+    try:
+        yield
+    finally:
+        with _CLEANING_LOCK:
+            _CLEANING["open"] -= 1
+            if not _CLEANING["open"]:
+                if _CLEANING["before"] is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, _CLEANING["before"])
+
+
 def drop_stored_at_exit(spark: SparkSession) -> None:
     """Remove this process's intermediate tables when it ends with the session open."""
     if not getattr(drop_stored_at_exit, "registered", False):

@@ -1,10 +1,12 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from flightlake.llm import jaccardjoin
+from flightlake.session import _CLEANUP
 from tests.llm.util import classes
 
 SCHEMA = "doc_id long, text string"
@@ -146,3 +148,97 @@ def test_tiles_cover_a_product_once(monkeypatch):
            for x, y in zip(*np.nonzero(jaccardjoin.eligible(one, two)))]
     assert sorted(own) == [(x, y) for x in range(8) for y in range(8) if x < y]
     assert len(jaccardjoin.links(a, a)) == 7  # all are linked; each link joins something new
+
+
+@pytest.mark.parametrize("few,most", [(0, 0), (2, 3), (1, 1000)])
+def test_pairs_and_products_find_the_same(spark, monkeypatch, few, most):
+    monkeypatch.setattr(jaccardjoin, "PAIR_ROWS", few)
+    monkeypatch.setattr(jaccardjoin, "PAIR_MOST", most)
+    rows = corpus(8) + corpus(9)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)] + ODD
+    assert found(jaccardjoin.jaccard_components(spark.createDataFrame(rows, SCHEMA), block_rows=4)) == brute(rows)
+
+
+def chance(docs, words, seed=3):
+    """Documents without anything in common but a passage of 5 words now and then."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(docs):
+        w = [f"w{rng.randrange(10**8)}" for _ in range(words)]
+        for k in range(2):
+            at, which = rng.randrange(words - 5), rng.randrange(docs // 3 if k else 9)
+            w[at:at + 5] = [f"s{which}{'yx'[k]}{j}" for j in range(5)]
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def shared_by_chance(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    bits = jaccardjoin.slot_classes(docs.select("text"))
+    signed = jaccardjoin.sign_documents(docs, "doc_id", "text", spark.sparkContext.broadcast(bits))
+    nodes = jaccardjoin.materialise(signed.withColumnRenamed("doc_id", "node"), "nodes")
+    none = spark.createDataFrame([], "node long, component long")
+    return jaccardjoin._shared_columns(nodes), none, nodes
+
+
+def test_rows_that_share_little_go_through_no_block(spark):
+    """The rows of a column went, with their prefixes, to every block that theirs
+    was paired with, also if they share nothing but that column."""
+    columns, none, nodes = shared_by_chance(spark, chance(300, 120))
+    assert columns.groupBy("key").count().filter("count > 1").count() > 5
+    pairing, others = jaccardjoin._open_columns(columns, none, nodes)
+    assert others.count() == 0 and pairing.count() > 15
+    assert jaccardjoin._likely_pairs(pairing).count() == 0
+
+
+def test_pairs_within_the_bound_are_kept(spark):
+    """Every linked pair is among the pairs, also if it shares columns with many others."""
+    rows = [(i, t) for i, (_, t) in enumerate(corpus(10) + corpus(11))]
+    columns, none, nodes = shared_by_chance(spark, rows)
+    pairing, others = jaccardjoin._open_columns(columns, none, nodes)
+    got = {(r.a, r.b) for r in jaccardjoin._likely_pairs(pairing).collect()}
+    in_blocks = {}
+    for r in columns.join(others, "key", "left_semi").collect():
+        in_blocks.setdefault(r.key, set()).add(r.node)
+    sets = [shingle_set(t) for _, t in rows]
+    linked = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(linked) > 20
+    assert all(p in got or any(p[0] in s and p[1] in s for s in in_blocks.values()) for p in linked)
+
+
+@pytest.mark.parametrize("ids,kind", [([1, -7, None], "long"), (["a", "", None], "string"), ([], "long")])
+def test_wanted_ids_keep_their_rows(spark, ids, kind):
+    some = [(i if kind == "long" else str(i), f"t{i}") for i in range(100, 400)] + [(i, "x") for i in ids] * 2
+    rows = spark.createDataFrame(some, f"doc_id {kind}, text string")
+    bits = jaccardjoin._id_bits(spark.createDataFrame([(i,) for i in ids], f"w {kind}"))
+    kept = jaccardjoin._with_bits(rows, spark.sparkContext.broadcast(bits)).collect()
+    assert sum(r.text == "x" for r in kept) == 2 * len(ids)
+    assert len(kept) < 2 * len(ids) + 5  # of the others hardly any
+
+
+def test_shuffle_files_go_with_their_step(spark, monkeypatch):
+    """They stayed until the driver collected its garbage, those of all steps together."""
+    def left():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+    rows = chance(150, 400) + [(500 + i, t) for i, t in chance(40, 400)]
+    before, most = set(left()), []
+    write = jaccardjoin.materialise
+
+    def watched(df, name):
+        out = write(df, name)
+        for _ in range(50):  # they are removed in the background
+            size = sum(s for f, s in left().items() if f not in before)
+            if size < 50_000:
+                break
+            time.sleep(0.1)
+        most.append(size)
+        return out
+
+    monkeypatch.setattr(jaccardjoin, "materialise", watched)
+    kept = spark.conf.get(_CLEANUP, None)
+    assert found(jaccardjoin.jaccard_components(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    assert len(most) > 10 and max(most) < 50_000
+    assert spark.conf.get(_CLEANUP, None) == kept
