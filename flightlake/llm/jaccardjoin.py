@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.llm.common import materialise, mix64, window_hashes
@@ -190,17 +190,22 @@ def sign_documents(docs: DataFrame, doc_id: str, text: str, table: Broadcast) ->
     return rows.mapInArrow(sign, f"doc_id {kind}, digest binary, n long, prefix array<long>, lead long, usual long, cut long")
 
 
-def whole_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(digest, items): the whole set of each text."""
+def whole_sets(docs: DataFrame, doc_id: str, text: str, table: Broadcast) -> DataFrame:
+    """(digest, items): the whole set of each text whose id has its bit set in
+    ``table`` (``id_bits``): all texts with one of the ids, and few others."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(0).to_pylist()]
+            at = batch.column("at").to_numpy()
+            wanted = pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+            sets = [shingles(t) for t in batch.column("text").filter(wanted).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets], pa.binary()),
                  pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["digest", "items"])
 
-    return docs.select(text).mapInArrow(build, "digest binary, items array<long>")
+    rows = docs.select(_id_bit(doc_id).alias("at"), F.col(text).alias("text"))
+    return rows.mapInArrow(build, "digest binary, items array<long>")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -349,9 +354,13 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter("9 * common >= 4 * (n1 + n2)").select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
-def _id_bits(ids: DataFrame) -> np.ndarray:
+def _id_bit(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << ID_BITS))
+
+
+def id_bits(ids: DataFrame) -> np.ndarray:
     """A bit for each value of a hash of the ids, set where there is one (8 MB, however many they are)."""
-    at = ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(1 << ID_BITS)).alias("at"))
+    at = ids.select(_id_bit(ids.columns[0]).alias("at"))
     parts = materialise(at.groupBy(F.shiftright("at", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("at") % (1 << 15)).alias("bits")), "ids")
     written = stored_tables()[-1]
     out = np.zeros((1 << ID_BITS - 15, 1 << 12), dtype=np.uint8)
@@ -361,28 +370,11 @@ def _id_bits(ids: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _with_bits(rows: DataFrame, table: Broadcast) -> DataFrame:
-    """The rows whose id (the first column) has its bit set: all with one of the
-    ids, and few others. So the rest of the texts goes through no shuffle."""
-    names = rows.columns
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value
-        for batch in batches:
-            at = batch.column("at").to_numpy()
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))).select(names)
-
-    return rows.withColumn("at", F.pmod(F.xxhash64(names[0]), F.lit(1 << ID_BITS))).mapInArrow(keep, rows.schema)
-
-
 def _sets_of(some: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, n, items): whole sets of some nodes, made anew from one text each, written."""
     wanted = nodes.select("node", "n", "digest", "first_id").join(some, "node", "left_semi")
-    ids = wanted.select(F.col("first_id").alias("w")).distinct()
-    sources = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    table = docs.sparkSession.sparkContext.broadcast(_id_bits(ids))
-    sources = _with_bits(sources, table).join(ids, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
-    found = whole_sets(sources, "doc_id", "text").dropDuplicates(["digest"])
+    table = docs.sparkSession.sparkContext.broadcast(id_bits(wanted.select("first_id")))
+    found = whole_sets(docs, doc_id, text, table).dropDuplicates(["digest"])
     sets = materialise(wanted.select("digest", "node", "n").join(found, "digest").select("node", "n", "items"), "items")
     table.destroy()
     return sets

@@ -207,12 +207,13 @@ def test_pairs_within_the_bound_are_kept(spark):
 
 
 @pytest.mark.parametrize("ids,kind", [([1, -7, None], "long"), (["a", "", None], "string"), ([], "long")])
-def test_wanted_ids_keep_their_rows(spark, ids, kind):
-    some = [(i if kind == "long" else str(i), f"t{i}") for i in range(100, 400)] + [(i, "x") for i in ids] * 2
-    rows = spark.createDataFrame(some, f"doc_id {kind}, text string")
-    bits = jaccardjoin._id_bits(spark.createDataFrame([(i,) for i in ids], f"w {kind}"))
-    kept = jaccardjoin._with_bits(rows, spark.sparkContext.broadcast(bits)).collect()
-    assert sum(r.text == "x" for r in kept) == 2 * len(ids)
+def test_sets_are_made_of_wanted_texts(spark, ids, kind):
+    others = [(i if kind == "long" else str(i), f"t{i}") for i in range(100, 400)]
+    rows = spark.createDataFrame(others + [(i, "x") for i in ids] * 2, f"doc_id {kind}, text string")
+    bits = jaccardjoin.id_bits(spark.createDataFrame([(i,) for i in ids], f"w {kind}"))
+    kept = jaccardjoin.whole_sets(rows, "doc_id", "text", spark.sparkContext.broadcast(bits)).collect()
+    x = jaccardjoin.shingles("x").view(np.int64).tolist()
+    assert sum(r["items"] == x for r in kept) == 2 * len(ids)
     assert len(kept) < 2 * len(ids) + 5  # of the others hardly any
 
 
